@@ -48,12 +48,40 @@ def time_under(line: Column, version: Column) -> Column:
             .otherwise(epoch_from_text(raw, meta["format"], version["timezone"])))
 
 
-def choose_version(line: Column, versions: Column) -> Column:
-    """The version valid for ``line``: latest start not after its time, else NULL."""
-    qualified = F.filter(versions, lambda v: time_under(line, v) >= v["start_time"])
-    return F.try_element_at(qualified, F.lit(-1))
+# Up to this many versions per operator the choice is unrolled into one
+# CASE (compiled with the rest of the stage); beyond it a lambda is used.
+UNROLL_MAX = 32
 
 
-def attach_versions(lines: DataFrame, versions: DataFrame) -> DataFrame:
+def _qualifies(line: Column, version: Column) -> Column:
+    return time_under(line, version) >= version["start_time"]
+
+
+def choose_version(line: Column, versions: Column, max_versions: int | None = None) -> Column:
+    """The version valid for ``line``: latest start not after its time, else NULL.
+
+    Candidates are tried newest first and the first that qualifies wins, so
+    older versions are only read when newer ones do not fit.
+    """
+    if max_versions is not None and max_versions <= UNROLL_MAX:
+        n = F.size(versions)
+        choice = None
+        for k in range(1, max_versions + 1):
+            v = F.get(versions, n - k)
+            cond = (n >= k) & F.coalesce(_qualifies(line, v), F.lit(False))
+            choice = F.when(cond, v) if choice is None else choice.when(cond, v)
+        if choice is not None:
+            return choice
+    return F.try_element_at(F.filter(versions, lambda v: _qualifies(line, v)), F.lit(-1))
+
+
+def catalog_shape(versions: DataFrame) -> tuple[int, int]:
+    """(operators, most versions of one operator) of a grouped catalog, in one job."""
+    row = versions.agg(F.count(F.lit(1)).alias("n"),
+                       F.coalesce(F.max(F.size("versions")), F.lit(0)).alias("k")).first()
+    return int(row["n"]), int(row["k"])
+
+
+def attach_versions(lines: DataFrame, versions: DataFrame, operators: int | None = None) -> DataFrame:
     """Left-join each line to its operator's versions (the catalog is small)."""
-    return lookup_join(lines, versions, OP_KEY, "left")
+    return lookup_join(lines, versions, OP_KEY, "left", dim_rows=operators)

@@ -43,10 +43,15 @@ def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRA
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                split_hot_keys: bool = True) -> DataFrame:
+                split_hot_keys: bool = True, dim_rows: int | None = None) -> DataFrame:
     """Join ``facts`` to ``dim`` on equal ``keys`` (``left``, ``inner``,
-    ``left_semi`` or ``left_anti``), choosing the strategy by checked size."""
-    if fits_broadcast(dim, broadcast_max_rows):
+    ``left_semi`` or ``left_anti``), choosing the strategy by checked size.
+
+    ``dim_rows`` is the dimension's row count when the caller has counted it.
+    """
+    small = dim_rows <= broadcast_max_rows if dim_rows is not None \
+        else fits_broadcast(dim, broadcast_max_rows)
+    if small:
         return facts.join(F.broadcast(dim), keys, how)
     if not split_hot_keys:
         return facts.join(dim, keys, how)

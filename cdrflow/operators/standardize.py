@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import extract_urls, field_at, parse_int, parse_long, split_line
 from ..functions.time import epoch_from_text, to_timestamp
 from ..schema import EPOCH_TARGET, INT_TARGETS, LINE_FIELDS, URL_TARGET
-from .asof import attach_versions, choose_version
+from .asof import attach_versions, catalog_shape, choose_version
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
 
@@ -51,8 +51,9 @@ def parse_lines(lines: DataFrame, versions: DataFrame) -> DataFrame:
 
     ``lines`` has the tag columns and ``line``.
     """
-    chosen = (attach_versions(lines, versions)
-              .withColumn("_v", choose_version(F.col("line"), F.col("versions")))
+    operators, most = catalog_shape(versions)
+    chosen = (attach_versions(lines, versions, operators)
+              .withColumn("_v", choose_version(F.col("line"), F.col("versions"), most))
               .withColumn("_parts", split_line(F.col("line"), F.col("_v.delim_rx"))))
     reason = (F.when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))

@@ -27,6 +27,7 @@ from ..functions.text import extract_urls
 from ..functions.time import epoch_from_ntz
 from ..operators.asof import versions_per_operator
 from ..operators.joins import lookup_join
+from ..operators.partitioning import spread
 from ..sources.descriptors import parse_descriptors
 
 DATATYPE = "cccdr"
@@ -141,8 +142,8 @@ def known_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type", "value")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type", "value"))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     n_pages = pages.count()
     if n_pages == 0:
@@ -154,7 +155,8 @@ def _events_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     first = pages.select(F.col("page_id").alias("_p1"), F.col("url").alias("url1"))
     second = pages.select(F.col("page_id").alias("_p2"), F.col("url").alias("url2"))
-    joined = lookup_join(lookup_join(events, first, ["_p1"], "left"), second, ["_p2"], "left")
+    joined = lookup_join(lookup_join(events, first, ["_p1"], "left", dim_rows=n_pages),
+                         second, ["_p2"], "left", dim_rows=n_pages)
     return joined.drop("_p1", "_p2")
 
 
