@@ -9,14 +9,15 @@ layout never qualifies under a new one.
 Spark has no as-of join, and a range join per row would multiply rows.
 Instead the catalog is grouped to one row per operator holding its
 versions sorted by start; that small table is joined (broadcast after a
-size check) and a higher-order ``filter`` keeps the qualifying versions,
-of which the last is taken. Fact rows are never shuffled.
+size check) and a higher-order function walks the versions newest first
+and keeps the first that qualifies. Fact rows are never shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import field_at, parse_long, quote_regex, split_line
 from ..functions.time import epoch_from_text
@@ -48,31 +49,28 @@ def time_under(line: Column, version: Column) -> Column:
             .otherwise(epoch_from_text(raw, meta["format"], version["timezone"])))
 
 
-# Up to this many versions per operator the choice is unrolled into one
-# CASE (compiled with the rest of the stage); beyond it a lambda is used.
-UNROLL_MAX = 32
-
-
 def _qualifies(line: Column, version: Column) -> Column:
     return time_under(line, version) >= version["start_time"]
 
 
-def choose_version(line: Column, versions: Column, max_versions: int | None = None) -> Column:
+def choose_version(line: Column, versions: Column, element_type: T.DataType) -> Column:
     """The version valid for ``line``: latest start not after its time, else NULL.
 
-    Candidates are tried newest first and the first that qualifies wins, so
-    older versions are only read when newer ones do not fit.
+    Versions are tried newest first; once one fits, older ones are not read.
+    The lambda keeps the compiled stage small however many versions exist
+    (an unrolled CASE, pushed into filters by the optimizer, outgrows the
+    JVM's method size limit).
     """
-    if max_versions is not None and max_versions <= UNROLL_MAX:
-        n = F.size(versions)
-        choice = None
-        for k in range(1, max_versions + 1):
-            v = F.get(versions, n - k)
-            cond = (n >= k) & F.coalesce(_qualifies(line, v), F.lit(False))
-            choice = F.when(cond, v) if choice is None else choice.when(cond, v)
-        if choice is not None:
-            return choice
-    return F.try_element_at(F.filter(versions, lambda v: _qualifies(line, v)), F.lit(-1))
+    none = F.lit(None).cast(element_type)
+    return F.aggregate(F.reverse(versions), none, lambda acc, v: F.when(acc.isNotNull(), acc)
+                       .when(F.coalesce(_qualifies(line, v), F.lit(False)), v))
+
+
+def with_chosen_version(df: DataFrame, line: str = "line", versions: str = "versions",
+                        out: str = "_v") -> DataFrame:
+    """``df`` plus ``out``, the version valid for each line (NULL when none is)."""
+    element_type = df.schema[versions].dataType.elementType
+    return df.withColumn(out, choose_version(F.col(line), F.col(versions), element_type))
 
 
 def catalog_shape(versions: DataFrame) -> tuple[int, int]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import extract_urls, field_at, parse_int, parse_long, split_line
 from ..functions.time import epoch_from_text, to_timestamp
 from ..schema import EPOCH_TARGET, INT_TARGETS, LINE_FIELDS, URL_TARGET
-from .asof import attach_versions, catalog_shape, choose_version
+from .asof import attach_versions, catalog_shape, with_chosen_version
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
 
@@ -29,16 +29,13 @@ STD_COLUMNS = [
 REJECT_COLUMNS = TAG_COLUMNS + ["line", "reason"]
 
 
-def _typed(name: str, parts: Column, version: Column) -> Column:
-    meta = version["layout"][name]
-    raw = field_at(parts, meta["pos"])
-    kind = meta["type"]
+def _typed(name: str, raw: Column, kind: Column, fmt: Column, zone: Column) -> Column:
     if name in INT_TARGETS:
         return (F.when(kind == "LONG", parse_long(raw).try_cast("int"))
                 .otherwise(parse_int(raw)))
     if name == EPOCH_TARGET:
         return (F.when(kind.isin("INT", "LONG"), parse_long(raw))
-                .otherwise(epoch_from_text(raw, meta["format"], version["timezone"])))
+                .otherwise(epoch_from_text(raw, fmt, zone)))
     if name == URL_TARGET:
         return extract_urls(raw)
     return (F.when(kind == "INT", parse_int(raw).cast("string"))
@@ -46,24 +43,37 @@ def _typed(name: str, parts: Column, version: Column) -> Column:
             .otherwise(raw))
 
 
-def parse_lines(lines: DataFrame, versions: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, versions: DataFrame,
+                shape: tuple[int, int] | None = None) -> DataFrame:
     """Standard columns plus ``reason`` (NULL when the line is good) and ``line``.
 
-    ``lines`` has the tag columns and ``line``.
+    ``lines`` has the tag columns and ``line``; ``shape`` is the catalog's
+    (operators, most versions per operator) when already known.
+
+    The steps are separate projections (version, then raw fields, then
+    typed values) so each intermediate is computed once per row and the
+    compiled code stays small.
     """
-    operators, most = catalog_shape(versions)
-    chosen = (attach_versions(lines, versions, operators)
-              .withColumn("_v", choose_version(F.col("line"), F.col("versions"), most))
-              .withColumn("_parts", split_line(F.col("line"), F.col("_v.delim_rx"))))
+    operators, _ = shape or catalog_shape(versions)
+    chosen = with_chosen_version(attach_versions(lines, versions, operators))
     reason = (F.when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))
               .when(F.col("_v").isNull(), F.lit("no_valid_format")))
-    values = [_typed(n, F.col("_parts"), F.col("_v")).alias(
-        "urls" if n == URL_TARGET else n) for n in LINE_FIELDS]
-    return (chosen.select(*TAG_COLUMNS, "line", *values,
-                          F.col("_v.format_id").alias("format_id"),
-                          F.col("_v.format_name").alias("format_name"), reason.alias("reason"))
-            .withColumn("session_ts", to_timestamp(F.col("session_time"))))
+    base = chosen.select(*TAG_COLUMNS, "line", "_v", reason.alias("reason"),
+                         split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"))
+    raw = base.select(
+        *TAG_COLUMNS, "line", "reason",
+        F.col("_v.format_id").alias("format_id"), F.col("_v.format_name").alias("format_name"),
+        F.col("_v.timezone").alias("_zone"),
+        *[field_at(F.col("_parts"), F.col(f"_v.layout.{n}.pos")).alias(f"_raw_{n}")
+          for n in LINE_FIELDS],
+        *[F.col(f"_v.layout.{n}.type").alias(f"_type_{n}") for n in LINE_FIELDS],
+        F.col("_v.layout.session_time.format").alias("_fmt_session_time"))
+    values = [_typed(n, F.col(f"_raw_{n}"), F.col(f"_type_{n}"),
+                     F.col("_fmt_session_time"), F.col("_zone"))
+              .alias("urls" if n == URL_TARGET else n) for n in LINE_FIELDS]
+    typed = raw.select(*TAG_COLUMNS, "line", *values, "format_id", "format_name", "reason")
+    return typed.withColumn("session_ts", to_timestamp(F.col("session_time")))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
@@ -74,9 +84,10 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
 
 
-def standardize(lines: DataFrame, versions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def standardize(lines: DataFrame, versions: DataFrame,
+                shape: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """(standard rows, quarantined lines) of one set of lines."""
-    parsed = parse_lines(lines, versions)
+    parsed = parse_lines(lines, versions, shape)
     return good_rows(parsed), rejected_rows(parsed)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import extract_urls
 from ..functions.time import epoch_from_ntz
-from ..operators.asof import versions_per_operator
+from ..operators.asof import catalog_shape, versions_per_operator
 from ..operators.joins import lookup_join
 from ..operators.partitioning import spread
 from ..sources.descriptors import parse_descriptors
@@ -93,8 +93,20 @@ def formats(spark: SparkSession) -> DataFrame:
     return parse_descriptors(descriptors(spark))
 
 
+_CATALOGS: dict[str, tuple[DataFrame, tuple[int, int]]] = {}
+
+
+def catalog(spark: SparkSession) -> tuple[DataFrame, tuple[int, int]]:
+    """The feed's grouped versions (cached once per session) and their shape."""
+    key = spark.sparkContext.applicationId
+    if key not in _CATALOGS:
+        v = versions_per_operator(formats(spark)).cache()
+        _CATALOGS[key] = (v, catalog_shape(v))
+    return _CATALOGS[key]
+
+
 def versions(spark: SparkSession) -> DataFrame:
-    return versions_per_operator(formats(spark))
+    return catalog(spark)[0]
 
 
 def _ntz(text: str) -> Column:

