@@ -4,10 +4,10 @@ Ids continue each data centre's highest id, in key order. A global
 ``row_number()`` over all keys would run in one task, and the first load
 brings every key. Instead keys are range-partitioned and sorted, the
 result is checkpointed (so partition numbers are stable under retries),
-rows are counted per partition, and each row's global rank is its
-partition's offset plus its place in the partition. Only the per-partition
-and per-dc counts, whose sizes are bounded by the partition and dc
-counts, are broadcast.
+rows are counted per (partition, data centre), and each row's id is a base
+taken from those counts plus its place in the partition. Only the count
+table, bounded by partitions + data centres, is joined (broadcast after a
+size check).
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ def highest_ids(dim: DataFrame, id_col: str, group_col: str = "dc") -> DataFrame
         F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("_start"))
 
 
-def global_rank(keys: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
-    """``keys`` plus ``_rank``: 1-based place in the total order of ``order_cols``.
+def _ranked(keys: DataFrame, order_cols: list[str], partitions: int | None) -> DataFrame:
+    """Keys range-partitioned and sorted, with partition number and place in it.
 
-    Keys must be unique on ``order_cols``.
+    Checkpointed: partition numbers must not change between the counting
+    pass and the numbering pass, even when a task is retried.
     """
     spark = keys.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -37,30 +38,51 @@ def global_rank(keys: DataFrame, order_cols: list[str], partitions: int | None =
               .sortWithinPartitions(*order_cols)
               .withColumn("_mono", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    ranked = (ranked.withColumn("_part", F.shiftright("_mono", _LOCAL_BITS))
-              .withColumn("_local", F.col("_mono").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
+    return (ranked.withColumn("_part", F.shiftright("_mono", _LOCAL_BITS))
+            .withColumn("_local", F.col("_mono").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+            .drop("_mono"))
+
+
+def global_rank(keys: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
+    """``keys`` plus ``_rank``: 1-based place in the total order of ``order_cols``.
+
+    Keys must be unique on ``order_cols``.
+    """
+    ranked = _ranked(keys, order_cols, partitions)
     sizes = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     # At most one row per partition: a single-task window here is bounded.
     offsets = sizes.select(
         "_part",
         (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_offset"))
-    return (lookup_join(ranked, offsets, ["_part"], "inner")
+    return (ranked.join(F.broadcast(offsets), "_part")
             .withColumn("_rank", F.col("_offset") + F.col("_local") + 1)
-            .drop("_mono", "_part", "_local", "_offset"))
+            .drop("_part", "_local", "_offset"))
 
 
 def assign_ids(new_keys: DataFrame, key_cols: list[str], id_col: str,
-               start: DataFrame, group_col: str = "dc") -> DataFrame:
+               start: DataFrame, group_col: str = "dc", partitions: int | None = None) -> DataFrame:
     """Give unique ``new_keys`` ids ``start[group] + 1, + 2, ...`` in key order.
 
     ``start`` has ``group_col`` and ``_start`` (see :func:`highest_ids`).
+    Keys are sorted by group first, so each range partition holds a run of
+    whole or partial groups. From the row counts per (partition, group) --
+    at most partitions + groups rows -- each pair gets a base:
+    ``start + rows of the group in earlier partitions - rows of earlier
+    groups in this partition``; a key's id is ``base + place in partition + 1``.
     """
     order = [group_col] + [k for k in key_cols if k != group_col]
-    ranked = global_rank(new_keys, order)
-    first = ranked.groupBy(group_col).agg(F.min("_rank").alias("_first"))
-    with_first = lookup_join(ranked, first, [group_col], "inner")
-    with_start = lookup_join(with_first, start, [group_col], "left")
-    return (with_start
-            .withColumn(id_col, (F.coalesce(F.col("_start"), F.lit(0))
-                                 + F.col("_rank") - F.col("_first") + 1).cast("bigint"))
-            .drop("_rank", "_first", "_start"))
+    ranked = _ranked(new_keys, order, partitions)
+    counts = ranked.groupBy("_part", group_col).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group_col).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_part").orderBy(group_col).rowsBetween(
+        Window.unboundedPreceding, -1)
+    bases = (counts
+             .withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+                         - F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .join(start, group_col, "left")
+             .select("_part", group_col,
+                     (F.col("_base") + F.coalesce(F.col("_start"), F.lit(0))).alias("_base")))
+    return (lookup_join(ranked, bases, ["_part", group_col], "inner")
+            .withColumn(id_col, (F.col("_base") + F.col("_local") + 1).cast("bigint"))
+            .drop("_part", "_local", "_base"))

@@ -26,9 +26,18 @@ BATCH = 1
 SECOND_BATCH_FROM = 1705276800
 
 
+_PLANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions, shape = feed.catalog(spark)
-    return standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, shape)
+    """Parsed feed lines. The logical plan is built once per session and input
+    folder and reused, like a temporary view; every query still runs it in
+    full (nothing is cached)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        versions, shape = feed.catalog(spark)
+        _PLANS[key] = standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, shape)
+    return _PLANS[key]
 
 
 def _std(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,16 @@ def test_anti_join_shuffle_path(spark):
     dim = spark.range(0, 500).select(F.col("id").alias("key"))
     got = joins.anti_join(facts, dim, ["key"], broadcast_max_rows=0)
     assert sorted(r["key"] for r in got.collect()) == list(range(500, 997))
+
+
+def test_ids_across_partition_boundaries_match_row_number(spark):
+    keys = spark.range(0, 6000, 1, 5).select(
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("dc"),
+        F.concat(F.lit("k"), F.lpad((F.col("id") * 7919 % 6000).cast("string"), 5, "0")).alias("k"))
+    start = spark.createDataFrame([("a", 100), ("b", 0)], "dc string, _start bigint")
+    got = assign_ids(keys, ["dc", "k"], "id", start, partitions=7)
+    want = (keys.join(start, "dc", "left")
+            .select("dc", "k", (F.coalesce("_start", F.lit(0))
+                                + F.row_number().over(Window.partitionBy("dc").orderBy("k"))).alias("id")))
+    assert got.count() == 6000
+    assert got.select("dc", "k", "id").exceptAll(want).count() == 0
