@@ -153,9 +153,10 @@ def known_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(-1).cast("bigint").alias("batch_id"))
 
 
-def _events_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type", "value"))
+def _events_with_urls(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    if events is None:
+        events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     n_pages = pages.count()
     if n_pages == 0:
@@ -172,9 +173,13 @@ def _events_with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.drop("_p1", "_p2")
 
 
-def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0) -> DataFrame:
-    """Tagged CDR lines (dc, datatype, batch_id, op, source_file, row_id, line, ts)."""
-    ev = _events_with_urls(spark, sf_dir)
+def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
+             events: DataFrame | None = None) -> DataFrame:
+    """Tagged CDR lines (dc, datatype, batch_id, op, source_file, row_id, line, ts).
+
+    ``events`` replaces the events table (e.g. one micro-batch of it).
+    """
+    ev = _events_with_urls(spark, sf_dir, events)
     version = (F.when(F.col("ts") >= _ntz(VERSION_STARTS["v3"]), F.lit("v3"))
                .when(F.col("ts") >= _ntz(VERSION_STARTS["v2"]), F.lit("v2"))
                .otherwise(F.lit("v1")))

@@ -135,6 +135,13 @@ def _q(body: str) -> str:
     return "WITH " + _BASE.strip() + "\n" + body.strip()
 
 
+_BUCKETS = """
+        SELECT dc, op, service_code, bearer,
+               strftime(make_timestamp(session_time * 1000000), '%Y-%m-%d %H') AS bucket,
+               count(*) AS sessions, CAST(sum(duration) AS BIGINT) AS duration,
+               CAST(sum(page_sent) AS BIGINT) AS pages
+        FROM std GROUP BY ALL"""
+
 ORACLE_SQL: dict[str, str] = {
     "file_operator": _q("SELECT row_id, source_file, op FROM lines"),
     "field_by_position": _q("""
@@ -190,12 +197,8 @@ ORACLE_SQL: dict[str, str] = {
     "hits_per_page_id": _q("""
         SELECT h.dc, d.page_id, count(*) AS hits
         FROM hits h LEFT JOIN dim_p d ON d.dc = h.dc AND d.url = h.url GROUP BY ALL"""),
-    "bucket_counts": _q("""
-        SELECT dc, op, service_code, bearer,
-               strftime(make_timestamp(session_time * 1000000), '%Y-%m-%d %H') AS bucket,
-               count(*) AS sessions, CAST(sum(duration) AS BIGINT) AS duration,
-               CAST(sum(page_sent) AS BIGINT) AS pages
-        FROM std GROUP BY ALL"""),
+    "bucket_counts": _q(_BUCKETS),
+    "arrival_counts": _q(_BUCKETS),
     "window_counts": _q("""
         SELECT dc, op, CAST(floor(session_time / 900) * 900 AS BIGINT) AS window_start,
                count(*) AS sessions

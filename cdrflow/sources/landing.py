@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import operator_from_name
+from ..operators.partitioning import spread
 from ..schema import DATA_FILE_PATTERN
 
 DATA_FILE_GLOB = "CDR_*"
@@ -60,5 +61,9 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str],
 
 def read_landing(spark: SparkSession, root: str | list[str], batch_id: int,
                  glob: str = DATA_FILE_GLOB) -> DataFrame:
-    """Tagged data lines of every (dc, datatype) folder under ``root``."""
-    return tag_lines(read_raw_lines(spark, root, glob), batch_id)
+    """Tagged data lines of every (dc, datatype) folder under ``root``.
+
+    Text files are split by size; a few large compressed (unsplittable)
+    files are spread over the cores before the CPU-heavy parsing.
+    """
+    return tag_lines(spread(read_raw_lines(spark, root, glob)), batch_id)
