@@ -35,23 +35,32 @@ class BatchResult:
     new_pages: int
 
 
-def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse) -> None:
-    """Parse tagged lines and write them, good and quarantined, in one pass."""
+def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse):
+    """Parse tagged lines and write them, good and quarantined, in one pass.
+
+    Returns the schema of the stored records.
+    """
     versions = catalog.versions(spark, wh)
     parsed = standardize.parse_lines(lines, versions)
     out = (parsed.withColumn("status", F.when(F.col("reason").isNull(), F.lit("ok"))
                              .otherwise(F.lit("rejected")))
            .withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line"))))
     tables.write_batch(out, wh.records, ["status"] + PARTITIONS)
+    return out.schema
 
 
-def standard_rows(spark: SparkSession, wh: Warehouse, batch_id: int) -> DataFrame:
+def _records(spark: SparkSession, wh: Warehouse, schema) -> DataFrame:
     recs = tables.read_table(spark, wh.records)
+    return recs if recs is not None else spark.createDataFrame([], schema)
+
+
+def standard_rows(spark: SparkSession, wh: Warehouse, batch_id: int, schema=None) -> DataFrame:
+    recs = _records(spark, wh, schema)
     return standardize.good_rows(recs.where((F.col("status") == "ok") & (F.col("batch_id") == batch_id)))
 
 
-def rejected_rows(spark: SparkSession, wh: Warehouse, batch_id: int) -> DataFrame:
-    recs = tables.read_table(spark, wh.records)
+def rejected_rows(spark: SparkSession, wh: Warehouse, batch_id: int, schema=None) -> DataFrame:
+    recs = _records(spark, wh, schema)
     return standardize.rejected_rows(
         recs.where((F.col("status") == "rejected") & (F.col("batch_id") == batch_id)))
 
@@ -86,12 +95,14 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
                   text: bool = True) -> BatchResult:
     """Everything after the scan, for tagged lines of one batch."""
     checkpoint_dir(spark)
-    parse_and_store(spark, lines, wh)
-    std = standard_rows(spark, wh, batch_id)
+    schema = parse_and_store(spark, lines, wh)
+    std = standard_rows(spark, wh, batch_id, schema)
     n_std = std.count()
     rejected = {r["reason"]: r["lines"] for r in
-                standardize.reject_counts(rejected_rows(spark, wh, batch_id))
+                standardize.reject_counts(rejected_rows(spark, wh, batch_id, schema))
                 .groupBy("reason").agg(F.sum("lines").alias("lines")).collect()}
+    if n_std == 0:  # P13: nothing to add to dictionaries or outputs
+        return BatchResult(batch_id, 0, rejected, 0, 0)
     new_u, new_p = extend_dims(spark, std, wh, batch_id)
     enrich_and_store(spark, std, wh, batch_id, text)
     return BatchResult(batch_id, n_std, rejected, new_u, new_p)
