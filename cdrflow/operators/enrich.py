@@ -33,16 +33,20 @@ def page_id_lists(std: DataFrame, dim_page: DataFrame) -> DataFrame:
             .select(*ROW_KEY, F.transform("_p", lambda p: p["page_id"]).alias("page_ids")))
 
 
-def with_page_ids(std: DataFrame, dim_page: DataFrame) -> DataFrame:
-    """Standard rows plus ``page_ids``."""
+def with_page_ids(std: DataFrame, dim_page: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """``rows`` (default: the standard rows) plus ``page_ids`` of ``std``."""
     lists = page_id_lists(std, dim_page)
-    return (std.join(lists, ROW_KEY, "left")
+    return ((rows if rows is not None else std).join(lists, ROW_KEY, "left")
             .withColumn("page_ids", F.coalesce("page_ids", F.array().cast("array<bigint>"))))
 
 
 def enrich(std: DataFrame, dim_user: DataFrame, dim_page: DataFrame) -> DataFrame:
-    """Enriched rows: 12 columns plus the partition and row keys."""
-    rows = with_page_ids(with_user_ids(std, dim_user), dim_page)
+    """Enriched rows: 12 columns plus the partition and row keys.
+
+    Page lists come from the standard rows directly, so the user lookup runs
+    once, on the branch that keeps all columns.
+    """
+    rows = with_page_ids(std, dim_page, rows=with_user_ids(std, dim_user))
     return rows.select("dc", "datatype", "batch_id", "row_id", *ENRICHED_FIELDS)
 
 

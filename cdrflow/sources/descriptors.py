@@ -51,15 +51,19 @@ def _keep_last(entries: Column, key: str) -> Column:
         lambda x: x[key] == e[key]) | (i + 1 == F.size(entries)))
 
 
-def parse_properties(content: Column) -> Column:
-    """Properties text to ``map<string,string>``; the last value of a key wins."""
+def property_entries(content: Column) -> Column:
+    """Properties text to an array of (key, value) in file order."""
     lines = F.transform(F.split(content, "\n"), lambda l: F.regexp_replace(l, "\r$", ""))
     kept = F.filter(lines, lambda l: (F.trim(l) != "") & ~F.trim(l).startswith("#")
                     & ~F.trim(l).startswith("!"))
-    entries = F.transform(kept, lambda l: F.struct(
+    return F.transform(kept, lambda l: F.struct(
         _unescape(F.regexp_extract(l, _KEY_VALUE, 1)).alias("key"),
         _unescape(F.regexp_extract(l, _KEY_VALUE, 2)).alias("value")))
-    return F.map_from_entries(_keep_last(entries, "key"))
+
+
+def parse_properties(content: Column) -> Column:
+    """Properties text to ``map<string,string>``; the last value of a key wins."""
+    return F.map_from_entries(_keep_last(property_entries(content), "key"))
 
 
 def _layout(fields: Column) -> Column:
@@ -87,7 +91,8 @@ def parse_descriptors(desc: DataFrame) -> DataFrame:
     which are kept).
     """
     keep = [c for c in desc.columns if c != "content"]
-    props = desc.select(*keep, parse_properties(F.col("content")).alias("props"))
+    entries = desc.select(*keep, property_entries(F.col("content")).alias("_entries"))
+    props = entries.select(*keep, F.map_from_entries(_keep_last(F.col("_entries"), "key")).alias("props"))
     p = F.col("props")
     parsed = F.from_json(p[FORMAT_FIELDS_KEY], DESCRIPTOR_FIELDS_SCHEMA)
     numbered = F.transform(parsed["fields"], lambda f, i: F.struct(
