@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a dimension that may be broadcast to every task.
+# Size of a dimension that may be broadcast to every task: both bounds hold.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Hot-key detection: sample share, minimum share of rows, and how many hot
 # keys at most are broadcast (the remaining keys take the shuffle path).
 HOT_SAMPLE_FRACTION = 0.01
@@ -21,9 +23,19 @@ HOT_MIN_SHARE = 0.001
 HOT_MAX_KEYS = 1000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (counted, not guessed)."""
-    return df.count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` of data.
+
+    Both are measured in one aggregation (string bytes plus 8 per other
+    field), not guessed from file sizes.
+    """
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    others = len(df.schema.fields) - len(strings)
+    size = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    n, b = row["n"], (row["b"] or 0) + 8 * others * row["n"]
+    return n <= max_rows and b <= max_bytes
 
 
 def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRACTION,
@@ -47,7 +59,8 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
     """Join ``facts`` to ``dim`` on equal ``keys`` (``left``, ``inner``,
     ``left_semi`` or ``left_anti``), choosing the strategy by checked size.
 
-    ``dim_rows`` is the dimension's row count when the caller has counted it.
+    ``dim_rows`` is the dimension's row count when the caller has counted it
+    (and knows its rows are small).
     """
     small = dim_rows <= broadcast_max_rows if dim_rows is not None \
         else fits_broadcast(dim, broadcast_max_rows)

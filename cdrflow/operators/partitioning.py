@@ -1,10 +1,11 @@
 """Parallelism guard for narrow inputs.
 
 A scan of one small file or one row group gives one task; the CPU-heavy
-parsing after it would then run on one core. When an input has fewer
-partitions than the cluster has cores, it is spread round-robin (Spark
-sorts before a round-robin split, so a retried task gets the same rows).
-Large inputs already have many partitions and are left untouched.
+parsing after it would then run on one core. When an input would leave
+more than half of the cluster's cores idle, it is spread round-robin over
+all of them (Spark sorts before a round-robin split, so a retried task gets
+the same rows). Large inputs have far more splits than cores and are left
+untouched: no shuffle is added to a big scan.
 """
 
 from __future__ import annotations
@@ -14,6 +15,6 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df.rdd.getNumPartitions() * 2 <= target:
         return df.repartition(target)
     return df
