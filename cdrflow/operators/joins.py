@@ -23,8 +23,8 @@ HOT_MIN_SHARE = 0.001
 HOT_MAX_KEYS = 1000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None,
+                   max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` of data.
 
     Both are measured in one aggregation (string bytes plus 8 per other
@@ -35,6 +35,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     size = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     n, b = row["n"], (row["b"] or 0) + 8 * others * row["n"]
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     return n <= max_rows and b <= max_bytes
 
 
@@ -54,7 +56,7 @@ def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRA
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                broadcast_max_rows: int | None = None,
                 split_hot_keys: bool = True, dim_rows: int | None = None) -> DataFrame:
     """Join ``facts`` to ``dim`` on equal ``keys`` (``left``, ``inner``,
     ``left_semi`` or ``left_anti``), choosing the strategy by checked size.
@@ -62,8 +64,8 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
     ``dim_rows`` is the dimension's row count when the caller has counted it
     (and knows its rows are small).
     """
-    small = dim_rows <= broadcast_max_rows if dim_rows is not None \
-        else fits_broadcast(dim, broadcast_max_rows)
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    small = dim_rows <= bound if dim_rows is not None else fits_broadcast(dim, bound)
     if small:
         return facts.join(F.broadcast(dim), keys, how)
     if not split_hot_keys:
@@ -80,7 +82,7 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
 
 
 def anti_join(df: DataFrame, dim: DataFrame, keys: list[str],
-              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_max_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``dim`` (set difference on keys)."""
     return lookup_join(df, dim.select(*keys), keys, "left_anti",
                        broadcast_max_rows=broadcast_max_rows, split_hot_keys=False)
