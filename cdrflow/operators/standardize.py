@@ -44,11 +44,13 @@ def _typed(name: str, raw: Column, kind: Column, fmt: Column, zone: Column) -> C
 
 
 def parse_lines(lines: DataFrame, versions: DataFrame,
-                shape: tuple[int, int] | None = None) -> DataFrame:
+                shape: tuple[int, int] | None = None, mode: str = "quarantine") -> DataFrame:
     """Standard columns plus ``reason`` (NULL when the line is good) and ``line``.
 
     ``lines`` has the tag columns and ``line``; ``shape`` is the catalog's
-    (operators, most versions per operator) when already known.
+    (operators, most versions per operator) when already known. With
+    ``mode='failfast'`` the first bad line fails the job (as the original job
+    did) instead of being kept aside.
 
     The steps are separate projections (version, then raw fields, then
     typed values) so each intermediate is computed once per row and the
@@ -59,6 +61,11 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     reason = (F.when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))
               .when(F.col("_v").isNull(), F.lit("no_valid_format")))
+    if mode == "failfast":
+        reason = F.when(reason.isNotNull(), F.raise_error(F.concat(
+            F.lit("bad CDR line ("), reason, F.lit(") in "), F.col("source_file")))).cast("string")
+    elif mode != "quarantine":
+        raise ValueError(f"unknown mode {mode!r}")
     base = chosen.select(*TAG_COLUMNS, "line", "_v", reason.alias("reason"),
                          split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"))
     raw = base.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import versions_per_operator
 from ..operators.joins import anti_join
-from .descriptors import parse_descriptors, read_descriptors
+from .descriptors import format_fields, parse_descriptors, read_descriptors
 from .tables import Warehouse, append, read_table
 
 _IDENTITY = ["dc", "datatype", "format_name", "content_hash"]
@@ -30,7 +30,10 @@ def register(spark: SparkSession, landing_root: str, wh: Warehouse, run_id: int)
     fresh = parsed.where(F.col("problem").isNull())
     if known is not None:
         fresh = anti_join(fresh, known.select(*_IDENTITY).distinct(), _IDENTITY)
-    append(fresh.drop("registered", "problem"), wh.formats, ["dc", "datatype"])
+    fresh = fresh.drop("registered", "problem").checkpoint(eager=True)
+    append(fresh, wh.formats, ["dc", "datatype"])
+    # the flattened layout, one row per (format, field): name, place, type, pattern
+    append(format_fields(fresh), wh.format_fields, ["dc", "datatype"])
     return parsed
 
 

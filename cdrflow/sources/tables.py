@@ -27,6 +27,10 @@ class Warehouse:
     def formats(self) -> str:
         return f"{self.root}/formats"
 
+    @property
+    def format_fields(self) -> str:
+        return f"{self.root}/format_fields"
+
     @property
     def records(self) -> str:
         return f"{self.root}/cdr"

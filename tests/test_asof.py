@@ -65,3 +65,13 @@ def test_many_versions(spark):
     cat = catalog(spark, rows)
     df = lines(spark, [("op", "+33;;;;en;1326067200;#1;U2;0;1;;;;")])  # 2012-01-09
     assert parse_lines(df, cat).first()["format_name"] == "data_format-x-op-09.properties"
+
+
+def test_failfast_mode_raises_on_a_bad_line(spark):
+    import pytest
+    cat = catalog(spark, [
+        ("idc", "cccdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 1)])
+    df = lines(spark, [("op", "+33;;;;en;1345075199;#1;U2;0;1;;;;"), ("nop", "+33;;;;en;1;#1;U2;0;1;;;;")])
+    with pytest.raises(Exception, match="unknown_operator"):
+        parse_lines(df, cat, mode="failfast").collect()
+    assert parse_lines(df.where("op = 'op'"), cat, mode="failfast").count() == 1

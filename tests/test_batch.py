@@ -78,5 +78,6 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     assert (res3.new_users, res3.new_pages) == (0, 0)
     assert tables.dim_user(spark, wh).count() == fx.USERS
     assert {r["url"]: r["page_id"] for r in tables.dim_page(spark, wh).collect()} == pages
-    # the catalog registered each descriptor once
+    # the catalog registered each descriptor once, with its flattened fields
     assert spark.read.parquet(wh.formats).count() == 3
+    assert spark.read.parquet(wh.format_fields).count() == 3 * 14
