@@ -12,7 +12,7 @@ Layouts (one descriptor per data centre, operator and version):
   column), session time as ``yyyy-MM-dd HH:mm:ss`` text;
 * v3 from 2024-01-20: as v1 but ``|``-delimited and the time typed LONG.
 
-Events before 2024-01-02 have no valid format; operator ``undosat`` has no
+Events before 2024-01-02 have no valid format; operator ``zetanet`` has no
 descriptor at all. U2 rows leave out the trailing ``extra`` field.
 """
 
@@ -30,9 +30,9 @@ from ..operators.joins import lookup_join
 from ..operators.partitioning import spread
 from ..sources.descriptors import parse_descriptors
 
-DATATYPE = "cccdr"
+DATATYPE = "webcdr"
 DATA_CENTRES = ["dc0", "dc1"]
-OPERATORS = ["andosat", "bndosat", "indosat", "undosat"]
+OPERATORS = ["alphanet", "betacell", "gammatel", "zetanet"]
 DESCRIBED_OPERATORS = OPERATORS[:3]
 VERSION_STARTS = {"v1": "2024-01-02 00:00:00", "v2": "2024-01-10 00:00:00",
                   "v3": "2024-01-20 00:00:00"}
@@ -68,7 +68,7 @@ def descriptor_text(version: str) -> str:
     body = {"fields": [{"name": n, "type": t, "format": f} for n, t, f in fields]}
     return "\n".join([
         f"format_start_date_time={VERSION_STARTS[version]}",
-        "platform_name=cccdr",
+        "platform_name=webcdr",
         f"platform_format_version={version[1:]}",
         "operator=demo",
         f"delimiter={delimiter}",
@@ -207,7 +207,7 @@ def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
         "vlr_number": F.lit("33999999999"),
         "session_end": F.lit(""),
         "action_url": F.when(sms, F.lit("")).otherwise(urls_text),
-        "extra": F.when(sms, F.concat(F.col("event_type"), F.lit("#alert_aggregated"))),
+        "extra": F.when(sms, F.concat(F.col("event_type"), F.lit("#digest"))),
     }
     v1 = [fields[n] for n, _, _ in _layout("v1")[1]]
     v2 = [fields[n] for n, _, _ in _layout("v2")[1]]

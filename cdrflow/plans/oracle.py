@@ -16,8 +16,8 @@ ev AS (
   SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value,
          p1.url AS url1, p2.url AS url2,
          'dc' || CAST(e.user_id % 2 AS VARCHAR) AS dc,
-         CASE e.user_id % 4 WHEN 0 THEN 'andosat' WHEN 1 THEN 'bndosat'
-              WHEN 2 THEN 'indosat' ELSE 'undosat' END AS op,
+         CASE e.user_id % 4 WHEN 0 THEN 'alphanet' WHEN 1 THEN 'betacell'
+              WHEN 2 THEN 'gammatel' ELSE 'zetanet' END AS op,
          '+33' || CAST(e.user_id + 600000000 AS VARCHAR) AS msisdn,
          CASE WHEN e.user_id % 3 = 0 THEN '' ELSE CAST(e.user_id + 208010000000000 AS VARCHAR) END AS imsi,
          CASE WHEN e.ts >= TIMESTAMP '2024-01-20 00:00:00' THEN 'v3'
@@ -39,12 +39,12 @@ txt AS (
               ELSE CAST(CAST(url1 IS NOT NULL AS INTEGER) + CAST(url2 IS NOT NULL AS INTEGER) AS VARCHAR) END AS page_sent_txt,
          CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS duration_txt,
          CASE WHEN sms THEN '' ELSE service || '*#=' || coalesce(url1, '') || ',1=' || coalesce(url2, '') END AS action_txt,
-         CASE WHEN sms THEN event_type || '#alert_aggregated' END AS extra_txt
+         CASE WHEN sms THEN event_type || '#digest' END AS extra_txt
   FROM ev
 ),
 lines AS (
   SELECT event_id AS row_id, dc, op, ts,
-         '/landing/' || dc || '/cccdr/CDR_' || op || '_' || strftime(ts, '%Y%m%d_%H') || '0000_host'
+         '/landing/' || dc || '/webcdr/CDR_' || op || '_' || strftime(ts, '%Y%m%d_%H') || '0000_host'
            || CAST(user_id % 3 AS VARCHAR) || '_0001' AS source_file,
          CASE layout
            WHEN 'v2' THEN concat_ws(';', msisdn, imsi, '', CAST(user_id % 97 AS VARCHAR), '', lang,
@@ -71,15 +71,15 @@ std AS (
          '33999999999' AS vlr_number, '' AS session_end,
          CASE WHEN sms THEN NULL ELSE split_part(url1, '?', 1) END AS u1,
          CASE WHEN sms THEN NULL ELSE split_part(url2, '?', 1) END AS u2,
-         CASE WHEN sms THEN event_type || '#alert_aggregated' END AS extra,
-         'data_format-cccdr-' || op || '-' || version || '.properties' AS format_name
+         CASE WHEN sms THEN event_type || '#digest' END AS extra,
+         'data_format-webcdr-' || op || '-' || version || '.properties' AS format_name
   FROM ev
-  WHERE version IS NOT NULL AND op <> 'undosat'
+  WHERE version IS NOT NULL AND op <> 'zetanet'
 ),
 known_u AS (
   SELECT 'dc' || CAST(c_custkey % 2 AS VARCHAR) AS dc, c_custkey AS user_id,
-         CASE c_custkey % 4 WHEN 0 THEN 'andosat' WHEN 1 THEN 'bndosat'
-              WHEN 2 THEN 'indosat' ELSE 'undosat' END AS op,
+         CASE c_custkey % 4 WHEN 0 THEN 'alphanet' WHEN 1 THEN 'betacell'
+              WHEN 2 THEN 'gammatel' ELSE 'zetanet' END AS op,
          '+33' || CAST(c_custkey + 600000000 AS VARCHAR) AS msisdn,
          CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CAST(c_custkey + 208010000000000 AS VARCHAR) END AS imsi,
          '' AS imei
@@ -161,18 +161,18 @@ ORACLE_SQL: dict[str, str] = {
         FROM std"""),
     "format_asof": _q("""
         SELECT e.event_id AS row_id, e.dc, e.op,
-               CASE WHEN e.op <> 'undosat' AND e.version IS NOT NULL THEN e.epoch_s END AS session_time,
-               CASE WHEN e.op <> 'undosat' AND e.version IS NOT NULL
-                    THEN 'data_format-cccdr-' || e.op || '-' || e.version || '.properties' END AS format_name
+               CASE WHEN e.op <> 'zetanet' AND e.version IS NOT NULL THEN e.epoch_s END AS session_time,
+               CASE WHEN e.op <> 'zetanet' AND e.version IS NOT NULL
+                    THEN 'data_format-webcdr-' || e.op || '-' || e.version || '.properties' END AS format_name
         FROM ev e"""),
     "format_rejects": _q("""
         SELECT event_id AS row_id, dc, op,
-               CASE WHEN op = 'undosat' THEN 'unknown_operator' ELSE 'no_valid_format' END AS reason
-        FROM ev WHERE op = 'undosat' OR version IS NULL"""),
+               CASE WHEN op = 'zetanet' THEN 'unknown_operator' ELSE 'no_valid_format' END AS reason
+        FROM ev WHERE op = 'zetanet' OR version IS NULL"""),
     "reject_counts": _q("""
-        SELECT dc, op, CASE WHEN op = 'undosat' THEN 'unknown_operator' ELSE 'no_valid_format' END AS reason,
+        SELECT dc, op, CASE WHEN op = 'zetanet' THEN 'unknown_operator' ELSE 'no_valid_format' END AS reason,
                count(*) AS lines
-        FROM ev WHERE op = 'undosat' OR version IS NULL GROUP BY ALL"""),
+        FROM ev WHERE op = 'zetanet' OR version IS NULL GROUP BY ALL"""),
     "formats_per_operator": _q("""
         SELECT dc, op, string_agg(DISTINCT format_name, ',' ORDER BY format_name) AS formats,
                count(*) AS rows

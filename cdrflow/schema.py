@@ -25,10 +25,10 @@ TARGET_FIELDS = [
 # A page URL inside ``action_url``: stops at a comma, a line end or '?'.
 URL_PATTERN = r"(file:[^\,\r\n?]+|https?:[^\,\r\n?]+)"
 
-# Operator from a data file name, e.g. CDR_andosat_20120702_024801_localhost_0453.
+# Operator from a data file name, e.g. CDR_alphanet_20120702_024801_localhost_0453.
 DATA_FILE_PATTERN = r"CDR_(.*)_\d{8}_\d{6}"
 
-# Operator from a format descriptor name, e.g. data_format-x-andosat-2012.properties.
+# Operator from a format descriptor name, e.g. data_format-x-alphanet-2012.properties.
 FORMAT_FILE_PATTERN = r"^data_format-.*-(.*)-.*\.properties$"
 
 # Descriptor keys.

@@ -1,9 +1,9 @@
 """A small landing tree in the shape of the original fixtures (our own content).
 
-Data centre ``idc``, data type ``cccdr``:
+Data centre ``idc``, data type ``webcdr``:
 
-* ``andosat``: v1 from 1970-01-01 14:32:52 (``;``) and v2 from 2012-08-16 (``|``);
-* ``indosat``: v1 only; ``zndosat``: no descriptor (unknown operator);
+* ``alphanet``: v1 from 1970-01-01 14:32:52 (``;``) and v2 from 2012-08-16 (``|``);
+* ``gammatel``: v1 only; ``zetanet``: no descriptor (unknown operator);
 * ``CDR_bad_name``: a data file whose name carries no operator.
 """
 
@@ -24,35 +24,35 @@ FIELDS = [
 
 def descriptor(start: str, delimiter: str, operator: str = "demo_operator") -> str:
     body = {"fields": [{"name": n, "type": t, "format": f} for n, t, f in FIELDS]}
-    return (f"format_start_date_time={start}\nplatform_name=cccdr\nplatform_format_version=2\n"
+    return (f"format_start_date_time={start}\nplatform_name=webcdr\nplatform_format_version=2\n"
             f"operator={operator}\ndelimiter={delimiter}\nfields={json.dumps(body)}\n")
 
 
-ANDOSAT_1 = [
-    "+331100800101;999100100800101;;;en;1344939827;#701;U2;1;92;33999999999;;#701*#=file:/srv/app/en/login.xml#start",
-    "+331100800003;999100100800003;;;en;1344939887;#701;U2;4;129;33999999999;;#701*#=file:/srv/app/en/login.xml#page,1234=file:/srv/app/en/login.xml#id49,1=file:/srv/app/en/login.xml#menu,2=file:/srv/app/en/status.xml",
-    "+331100800107;999100100800107;;;en;1344939907;#902;U2;3;121;33999999999;;#902*#=file:/srv/app/en/post.xml,1=file:/srv/app/en/post.xml#id87,2=file:/srv/app/en/post.xml#id90",
-    "+33608995817;;;;;1344939998;;sms;0;0;;;;twitter#alert_aggregated",
-    "+33608995817;;;;;1344940000;;U2;2;15;;;#1=http://example.com/a?x=1,2=http://example.com/a?x=2",
-    "+33608995817;;;;;1344940100;;U2;x;20;;",
-    "+331100800003;999100100800003;;;en;1345200000;#701;U2;1;10;33999999999;;#701*#=file:/srv/app/en/status.xml",
+ALPHANET_1 = [
+    "+33710000101;208150000000101;;;en;1344939827;#701;U2;1;92;33999999999;;#701*#=file:/srv/app/en/login.xml#start",
+    "+33710000003;208150000000003;;;en;1344939887;#701;U2;4;129;33999999999;;#701*#=file:/srv/app/en/login.xml#page,1234=file:/srv/app/en/login.xml#id49,1=file:/srv/app/en/login.xml#menu,2=file:/srv/app/en/status.xml",
+    "+33710000107;208150000000107;;;en;1344939907;#902;U2;3;121;33999999999;;#902*#=file:/srv/app/en/post.xml,1=file:/srv/app/en/post.xml#id87,2=file:/srv/app/en/post.xml#id90",
+    "+33790000817;;;;;1344939998;;sms;0;0;;;;news#digest",
+    "+33790000817;;;;;1344940000;;U2;2;15;;;#1=http://example.com/a?x=1,2=http://example.com/a?x=2",
+    "+33790000817;;;;;1344940100;;U2;x;20;;",
+    "+33710000003;208150000000003;;;en;1345200000;#701;U2;1;10;33999999999;;#701*#=file:/srv/app/en/status.xml",
 ]
-ANDOSAT_2 = [
-    "+331100800101|999100100800101|||en|1345080000|#702|U2|2|60|33999999999||#702*#=file:/srv/app/en/login.xml#start,1=https://example.org/p+q/x",
-    "+331100800101|999100100800101|||en|1345080100|#702|U2|1|30|33999999999||#702*#=file:/srv/app/en/login.xml#start",
+ALPHANET_2 = [
+    "+33710000101|208150000000101|||en|1345080000|#702|U2|2|60|33999999999||#702*#=file:/srv/app/en/login.xml#start,1=https://example.org/p+q/x",
+    "+33710000101|208150000000101|||en|1345080100|#702|U2|1|30|33999999999||#702*#=file:/srv/app/en/login.xml#start",
 ]
 ELEVEN = ",".join(f"{i}=file:/srv/p/{i}.xml" for i in range(1, 12))
-INDOSAT = [
-    "+331100800004;999100100800004;;;en;1344939927;#702;U2;2;100;33999999999;;#702*#=file:/srv/app/en/a1.xml,1=file:/srv/app/en/a2.xml",
-    "+331100800005;999100100800005;;;en;1344939960;#702;U2;11;300;33999999999;;#702*#=" + ELEVEN,
+GAMMATEL = [
+    "+33710000004;208150000000004;;;en;1344939927;#702;U2;2;100;33999999999;;#702*#=file:/srv/app/en/a1.xml,1=file:/srv/app/en/a2.xml",
+    "+33710000005;208150000000005;;;en;1344939960;#702;U2;11;300;33999999999;;#702*#=" + ELEVEN,
 ]
 UNKNOWN = [
-    "+331100800009;999100100800009;;;en;1344939927;#702;U2;0;1;33999999999;;;",
-    "+331100800009;999100100800009;;;en;1344939928;#702;U2;0;1;33999999999;;;",
+    "+33710000009;208150000000009;;;en;1344939927;#702;U2;0;1;33999999999;;;",
+    "+33710000009;208150000000009;;;en;1344939928;#702;U2;0;1;33999999999;;;",
 ]
-BAD_NAME = ["+331100800010;;;;en;1344939927;#702;U2;0;1;33999999999;;;"]
+BAD_NAME = ["+33710000010;;;;en;1344939927;#702;U2;0;1;33999999999;;;"]
 
-STANDARD_ROWS = len(ANDOSAT_1) + len(ANDOSAT_2) + len(INDOSAT)
+STANDARD_ROWS = len(ALPHANET_1) + len(ALPHANET_2) + len(GAMMATEL)
 REJECTED = {"unknown_operator": 2, "no_operator": 1}
 USERS = 6
 PAGES = 10 + 2 + 11
@@ -65,19 +65,19 @@ def write(path: str, lines: list[str], newline: str = "\n", trailing_blank: bool
             fh.write(newline)
 
 
-def build_landing(root: str, dc: str = "idc", datatype: str = "cccdr") -> str:
+def build_landing(root: str, dc: str = "idc", datatype: str = "webcdr") -> str:
     d = os.path.join(root, dc, datatype)
     os.makedirs(d, exist_ok=True)
-    with open(os.path.join(d, "data_format-x-andosat-2012.properties"), "w") as fh:
+    with open(os.path.join(d, "data_format-x-alphanet-2012.properties"), "w") as fh:
         fh.write(descriptor("1970-01-01 14:32:52", ";"))
-    with open(os.path.join(d, "data_format-x-andosat-2012b.properties"), "w") as fh:
+    with open(os.path.join(d, "data_format-x-alphanet-2012b.properties"), "w") as fh:
         fh.write(descriptor("2012-08-16 00:00:00", "|"))
-    with open(os.path.join(d, "data_format-x-indosat-2012.properties"), "w") as fh:
+    with open(os.path.join(d, "data_format-x-gammatel-2012.properties"), "w") as fh:
         fh.write(descriptor("1970-01-01 14:32:52", ";"))
-    write(os.path.join(d, "CDR_andosat_20120702_024801_localhost_0001"), ANDOSAT_1, "\r\n", True)
-    write(os.path.join(d, "CDR_andosat_20120816_010000_localhost_0002"), ANDOSAT_2)
-    write(os.path.join(d, "CDR_indosat_20120702_024801_localhost_0003"), INDOSAT)
-    write(os.path.join(d, "CDR_zndosat_20120702_024801_localhost_0004"), UNKNOWN)
+    write(os.path.join(d, "CDR_alphanet_20120702_024801_localhost_0001"), ALPHANET_1, "\r\n", True)
+    write(os.path.join(d, "CDR_alphanet_20120816_010000_localhost_0002"), ALPHANET_2)
+    write(os.path.join(d, "CDR_gammatel_20120702_024801_localhost_0003"), GAMMATEL)
+    write(os.path.join(d, "CDR_zetanet_20120702_024801_localhost_0004"), UNKNOWN)
     write(os.path.join(d, "CDR_bad_name"), BAD_NAME)
     write(os.path.join(d, "notes.txt"), ["not a data file"])
     return root

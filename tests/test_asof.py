@@ -17,14 +17,14 @@ def catalog(spark, rows):
 
 def lines(spark, rows):
     return spark.createDataFrame(
-        [("idc", "cccdr", 1, op, "f", i, line) for i, (op, line) in enumerate(rows)],
+        [("idc", "webcdr", 1, op, "f", i, line) for i, (op, line) in enumerate(rows)],
         "dc string, datatype string, batch_id bigint, op string, source_file string, row_id bigint, line string")
 
 
 def test_latest_version_not_after_the_session_time(spark):
     cat = catalog(spark, [
-        ("idc", "cccdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 1),
-        ("idc", "cccdr", "data_format-x-op-2.properties", descriptor("2012-08-16 00:00:00", ";"), 1),
+        ("idc", "webcdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 1),
+        ("idc", "webcdr", "data_format-x-op-2.properties", descriptor("2012-08-16 00:00:00", ";"), 1),
     ])
     base = "+33;;;;en;{t};#1;U2;0;1;;;;"
     df = lines(spark, [("op", base.format(t=1345075199)), ("op", base.format(t=1345075200)),
@@ -39,8 +39,8 @@ def test_latest_version_not_after_the_session_time(spark):
 def test_time_is_read_through_each_candidate_layout(spark):
     # v2 is newer but '|'-delimited: a ';' line after its start still takes v1.
     cat = catalog(spark, [
-        ("idc", "cccdr", "data_format-x-op-1.properties", descriptor("1970-01-01 00:00:00", ";"), 1),
-        ("idc", "cccdr", "data_format-x-op-2.properties", descriptor("2012-08-16 00:00:00", "|"), 1),
+        ("idc", "webcdr", "data_format-x-op-1.properties", descriptor("1970-01-01 00:00:00", ";"), 1),
+        ("idc", "webcdr", "data_format-x-op-2.properties", descriptor("2012-08-16 00:00:00", "|"), 1),
     ])
     df = lines(spark, [("op", "+33;;;;en;1345200000;#1;U2;0;1;;;;"),
                        ("op", "+33|||||1345200000|#1|U2|0|1||||")])
@@ -52,15 +52,15 @@ def test_time_is_read_through_each_candidate_layout(spark):
 
 def test_tie_on_start_goes_to_newest_registration(spark):
     cat = catalog(spark, [
-        ("idc", "cccdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 5),
-        ("idc", "cccdr", "data_format-x-op-0.properties", descriptor("2012-01-01 00:00:00", ";"), 9),
+        ("idc", "webcdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 5),
+        ("idc", "webcdr", "data_format-x-op-0.properties", descriptor("2012-01-01 00:00:00", ";"), 9),
     ])
     df = lines(spark, [("op", "+33;;;;en;1345200000;#1;U2;0;1;;;;")])
     assert parse_lines(df, cat).first()["format_name"] == "data_format-x-op-0.properties"
 
 
 def test_many_versions(spark):
-    rows = [("idc", "cccdr", f"data_format-x-op-{i:02d}.properties",
+    rows = [("idc", "webcdr", f"data_format-x-op-{i:02d}.properties",
              descriptor(f"2012-01-{i:02d} 00:00:00", ";"), 1) for i in range(1, 31)]
     cat = catalog(spark, rows)
     df = lines(spark, [("op", "+33;;;;en;1326067200;#1;U2;0;1;;;;")])  # 2012-01-09
@@ -70,7 +70,7 @@ def test_many_versions(spark):
 def test_failfast_mode_raises_on_a_bad_line(spark):
     import pytest
     cat = catalog(spark, [
-        ("idc", "cccdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 1)])
+        ("idc", "webcdr", "data_format-x-op-1.properties", descriptor("2012-01-01 00:00:00", ";"), 1)])
     df = lines(spark, [("op", "+33;;;;en;1345075199;#1;U2;0;1;;;;"), ("nop", "+33;;;;en;1;#1;U2;0;1;;;;")])
     with pytest.raises(Exception, match="unknown_operator"):
         parse_lines(df, cat, mode="failfast").collect()

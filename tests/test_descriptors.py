@@ -9,7 +9,7 @@ from cdr_fixtures import descriptor
 
 
 def frame(spark, name, content, dc="idc"):
-    return spark.createDataFrame([(dc, "cccdr", name, content, 1000)],
+    return spark.createDataFrame([(dc, "webcdr", name, content, 1000)],
                                  "dc string, datatype string, file_name string, content string, registered_at bigint")
 
 
@@ -20,10 +20,10 @@ def test_properties_last_value_wins_and_comments(spark):
 
 
 def test_descriptor_is_flattened_with_positions(spark):
-    p = parse_descriptors(frame(spark, "data_format-x-andosat-2012.properties",
+    p = parse_descriptors(frame(spark, "data_format-x-alphanet-2012.properties",
                                 descriptor("1970-01-01 14:32:52", ";"))).first()
     assert p["problem"] is None
-    assert p["op"] == "andosat"
+    assert p["op"] == "alphanet"
     assert p["start_time"] == 14 * 3600 + 32 * 60 + 52
     assert p["delimiter"] == ";"
     assert p["layout"]["msisdn"]["pos"] == 0
@@ -34,7 +34,7 @@ def test_descriptor_is_flattened_with_positions(spark):
 
 
 def test_format_fields_rows(spark):
-    ff = format_fields(parse_descriptors(frame(spark, "data_format-x-andosat-2012.properties",
+    ff = format_fields(parse_descriptors(frame(spark, "data_format-x-alphanet-2012.properties",
                                                descriptor("1970-01-01 14:32:52", "|"))))
     rows = {r["field"]: r for r in ff.collect()}
     assert len(rows) == 14 and rows["extra"]["pos"] == 13

@@ -41,10 +41,10 @@ def test_urls_stop_at_comma_line_end_and_question_mark(spark):
 
 
 def test_operator_from_names(spark):
-    assert one(spark, operator_from_name(F.lit("CDR_andosat_20120702_024801_localhost_0453"),
-                                         DATA_FILE_PATTERN)) == "andosat"
-    assert one(spark, operator_from_name(F.lit("data_format-submscdr-5-vodafone_india-20120921.properties"),
-                                         FORMAT_FILE_PATTERN)) == "vodafone_india"
+    assert one(spark, operator_from_name(F.lit("CDR_alphanet_20120702_024801_localhost_0453"),
+                                         DATA_FILE_PATTERN)) == "alphanet"
+    assert one(spark, operator_from_name(F.lit("data_format-subs-5-gammatel_eu-20120921.properties"),
+                                         FORMAT_FILE_PATTERN)) == "gammatel_eu"
     assert one(spark, operator_from_name(F.lit("CDR_bad_name"), DATA_FILE_PATTERN)) is None
 
 

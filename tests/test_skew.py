@@ -9,8 +9,8 @@ from cdrflow.operators import dims, enrich, joins
 def _std(spark, n=20000):
     hot = F.col("id") % 3 != 0  # two thirds of rows belong to one subscriber / page
     return spark.range(0, n, 1, 8).select(
-        F.lit("dc0").alias("dc"), F.lit("cccdr").alias("datatype"), F.lit(1).cast("bigint").alias("batch_id"),
-        F.lit("andosat").alias("op"),
+        F.lit("dc0").alias("dc"), F.lit("webcdr").alias("datatype"), F.lit(1).cast("bigint").alias("batch_id"),
+        F.lit("alphanet").alias("op"),
         F.when(hot, F.lit("+33600000000")).otherwise(F.concat(F.lit("+336"), (F.col("id") % 500).cast("string"))).alias("msisdn"),
         F.lit("").alias("imsi"), F.lit("").alias("imei"), F.lit("").alias("subscription"),
         F.lit("en").alias("language"), (F.lit(1704067200) + F.col("id")).alias("session_time"),

@@ -11,10 +11,10 @@ import cdr_fixtures as fx
 def test_legacy_dictionary_text_keeps_empty_fields(spark, tmp_dir):
     users = os.path.join(tmp_dir, "user.txt")
     with open(users, "w") as fh:
-        fh.write("1;idc;andosat;+33608995817;;\n2;idc;indosat;+331100800004;999100100800004;\n\n")
+        fh.write("1;idc;alphanet;+33790000817;;\n2;idc;gammatel;+33710000004;208150000000004;\n\n")
     rows = {r["user_id"]: r for r in import_text_dim_user(spark, users, "idc").collect()}
-    assert rows[1]["imsi"] == "" and rows[1]["imei"] == "" and rows[1]["op"] == "andosat"
-    assert rows[2]["imsi"] == "999100100800004"
+    assert rows[1]["imsi"] == "" and rows[1]["imei"] == "" and rows[1]["op"] == "alphanet"
+    assert rows[2]["imsi"] == "208150000000004"
     pages = os.path.join(tmp_dir, "page.txt")
     with open(pages, "w") as fh:
         fh.write("9;file:/a.xml\n10;http://h.com/x;y\n")
@@ -24,9 +24,9 @@ def test_legacy_dictionary_text_keeps_empty_fields(spark, tmp_dir):
 
 def test_batch_with_no_data_files(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
-    d = os.path.join(landing, "idc", "cccdr")
+    d = os.path.join(landing, "idc", "webcdr")
     os.makedirs(d)
-    with open(os.path.join(d, "data_format-x-andosat-2012.properties"), "w") as fh:
+    with open(os.path.join(d, "data_format-x-alphanet-2012.properties"), "w") as fh:
         fh.write(fx.descriptor("1970-01-01 14:32:52", ";"))
     res = run_batch(spark, landing, os.path.join(tmp_dir, "wh"), batch_id=1)
     assert (res.standard_rows, res.new_users, res.new_pages) == (0, 0, 0)
