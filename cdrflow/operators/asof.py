@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import field_at, parse_long, quote_regex, split_line
 from ..functions.time import epoch_from_text
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 
 OP_KEY = ["dc", "datatype", "op"]
 
@@ -73,13 +73,12 @@ def with_chosen_version(df: DataFrame, line: str = "line", versions: str = "vers
     return df.withColumn(out, choose_version(F.col(line), F.col(versions), element_type))
 
 
-def catalog_shape(versions: DataFrame) -> tuple[int, int]:
-    """(operators, most versions of one operator) of a grouped catalog, in one job."""
-    row = versions.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.max(F.size("versions")), F.lit(0)).alias("k")).first()
-    return int(row["n"]), int(row["k"])
+def catalog_fits(versions: DataFrame) -> bool:
+    """Whether the grouped catalog may be broadcast (rows and bytes measured)."""
+    return fits_broadcast(versions)
 
 
-def attach_versions(lines: DataFrame, versions: DataFrame, operators: int | None = None) -> DataFrame:
-    """Left-join each line to its operator's versions (the catalog is small)."""
-    return lookup_join(lines, versions, OP_KEY, "left", dim_rows=operators)
+def attach_versions(lines: DataFrame, versions: DataFrame, small: bool | None = None) -> DataFrame:
+    """Left-join each line to its operator's versions: broadcast when the
+    catalog's measured size allows, else a shuffle join."""
+    return lookup_join(lines, versions, OP_KEY, "left", small=small)

@@ -23,21 +23,38 @@ HOT_MIN_SHARE = 0.001
 HOT_MAX_KEYS = 1000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None,
-                   max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` of data.
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, approximate bytes) of ``df``, measured in one aggregation.
 
-    Both are measured in one aggregation (string bytes plus 8 per other
-    field), not guessed from file sizes.
+    Strings count their bytes, nested values the length of their JSON form,
+    other fields 8 bytes.
     """
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    others = len(df.schema.fields) - len(strings)
-    size = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    size = sum(parts, F.lit(0))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    n, b = row["n"], (row["b"] or 0) + 8 * others * row["n"]
+    return int(row["n"]), int(row["b"] or 0)
+
+
+def within_bounds(rows: int, nbytes: int, max_rows: int | None = None,
+                  max_bytes: int | None = None) -> bool:
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return n <= max_rows and b <= max_bytes
+    return rows <= max_rows and nbytes <= max_bytes
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None,
+                   max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
+    of data, both measured (not guessed from file sizes)."""
+    return within_bounds(*measure(df), max_rows, max_bytes)
 
 
 def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRACTION,
@@ -57,15 +74,17 @@ def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRA
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
                 broadcast_max_rows: int | None = None,
-                split_hot_keys: bool = True, dim_rows: int | None = None) -> DataFrame:
+                split_hot_keys: bool = True, dim_rows: int | None = None,
+                small: bool | None = None) -> DataFrame:
     """Join ``facts`` to ``dim`` on equal ``keys`` (``left``, ``inner``,
     ``left_semi`` or ``left_anti``), choosing the strategy by checked size.
 
-    ``dim_rows`` is the dimension's row count when the caller has counted it
-    (and knows its rows are small).
+    ``small`` is the caller's own :func:`fits_broadcast` verdict; ``dim_rows``
+    a row count the caller has taken of a dimension of narrow rows.
     """
     bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
-    small = dim_rows <= bound if dim_rows is not None else fits_broadcast(dim, bound)
+    if small is None:
+        small = dim_rows <= bound if dim_rows is not None else fits_broadcast(dim, bound)
     if small:
         return facts.join(F.broadcast(dim), keys, how)
     if not split_hot_keys:

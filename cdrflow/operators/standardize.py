@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import extract_urls, field_at, parse_int, parse_long, split_line
 from ..functions.time import epoch_from_text, to_timestamp
 from ..schema import EPOCH_TARGET, INT_TARGETS, LINE_FIELDS, URL_TARGET
-from .asof import attach_versions, catalog_shape, with_chosen_version
+from .asof import attach_versions, with_chosen_version
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
 
@@ -44,11 +44,11 @@ def _typed(name: str, raw: Column, kind: Column, fmt: Column, zone: Column) -> C
 
 
 def parse_lines(lines: DataFrame, versions: DataFrame,
-                shape: tuple[int, int] | None = None, mode: str = "quarantine") -> DataFrame:
+                small: bool | None = None, mode: str = "quarantine") -> DataFrame:
     """Standard columns plus ``reason`` (NULL when the line is good) and ``line``.
 
-    ``lines`` has the tag columns and ``line``; ``shape`` is the catalog's
-    (operators, most versions per operator) when already known. With
+    ``lines`` has the tag columns and ``line``; ``small`` is the catalog's
+    broadcast verdict (:func:`catalog_fits`) when already known. With
     ``mode='failfast'`` the first bad line fails the job (as the original job
     did) instead of being kept aside.
 
@@ -56,8 +56,7 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     typed values) so each intermediate is computed once per row and the
     compiled code stays small.
     """
-    operators, _ = shape or catalog_shape(versions)
-    chosen = with_chosen_version(attach_versions(lines, versions, operators))
+    chosen = with_chosen_version(attach_versions(lines, versions, small))
     reason = (F.when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))
               .when(F.col("_v").isNull(), F.lit("no_valid_format")))
@@ -92,9 +91,9 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
 
 
 def standardize(lines: DataFrame, versions: DataFrame,
-                shape: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+                small: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(standard rows, quarantined lines) of one set of lines."""
-    parsed = parse_lines(lines, versions, shape)
+    parsed = parse_lines(lines, versions, small)
     return good_rows(parsed), rejected_rows(parsed)
 
 

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import extract_urls
 from ..functions.time import epoch_from_ntz
-from ..operators.asof import catalog_shape, versions_per_operator
-from ..operators.joins import lookup_join
+from ..operators.asof import catalog_fits, versions_per_operator
+from ..operators.joins import lookup_join, measure, within_bounds
 from ..operators.partitioning import spread
 from ..sources.descriptors import parse_descriptors
 
@@ -93,15 +93,16 @@ def formats(spark: SparkSession) -> DataFrame:
     return parse_descriptors(descriptors(spark))
 
 
-_CATALOGS: dict[str, tuple[DataFrame, tuple[int, int]]] = {}
+_CATALOGS: dict[str, tuple[DataFrame, bool]] = {}
 
 
-def catalog(spark: SparkSession) -> tuple[DataFrame, tuple[int, int]]:
-    """The feed's grouped versions (cached once per session) and their shape."""
+def catalog(spark: SparkSession) -> tuple[DataFrame, bool]:
+    """The feed's grouped versions (cached once per session) and whether
+    their measured size allows a broadcast."""
     key = spark.sparkContext.applicationId
     if key not in _CATALOGS:
         v = versions_per_operator(formats(spark)).cache()
-        _CATALOGS[key] = (v, catalog_shape(v))
+        _CATALOGS[key] = (v, catalog_fits(v))
     return _CATALOGS[key]
 
 
@@ -158,7 +159,8 @@ def _events_with_urls(spark: SparkSession, sf_dir: str, events: DataFrame | None
         events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     events = events.select("event_id", "ts", "user_id", "event_type", "value")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    n_pages = pages.count()
+    n_pages, page_bytes = measure(pages)
+    small = within_bounds(n_pages, page_bytes)
     if n_pages == 0:
         return events.withColumns({"url1": F.lit(None).cast("string"),
                                    "url2": F.lit(None).cast("string")})
@@ -168,8 +170,8 @@ def _events_with_urls(spark: SparkSession, sf_dir: str, events: DataFrame | None
     })
     first = pages.select(F.col("page_id").alias("_p1"), F.col("url").alias("url1"))
     second = pages.select(F.col("page_id").alias("_p2"), F.col("url").alias("url2"))
-    joined = lookup_join(lookup_join(events, first, ["_p1"], "left", dim_rows=n_pages),
-                         second, ["_p2"], "left", dim_rows=n_pages)
+    joined = lookup_join(lookup_join(events, first, ["_p1"], "left", small=small),
+                         second, ["_p2"], "left", small=small)
     return joined.drop("_p1", "_p2")
 
 

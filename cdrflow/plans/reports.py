@@ -39,8 +39,8 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     full (nothing is cached)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PLANS:
-        versions, shape = feed.catalog(spark)
-        _PLANS[key] = standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, shape)
+        versions, small = feed.catalog(spark)
+        _PLANS[key] = standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, small)
     return _PLANS[key]
 
 
@@ -255,11 +255,11 @@ def arrival_counts(spark, sf_dir):
               .option("maxFilesPerTrigger", arrival.MAX_FILES_PER_BATCH)
               .parquet(sf_dir))
     sink = scratch_path(spark, "arrival-counts")
-    versions, shape = feed.catalog(spark)
+    versions, small = feed.catalog(spark)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         lines = feed.cdr_feed(spark, sf_dir, BATCH, events=spread(batch))
-        std = standardize.good_rows(standardize.parse_lines(lines, versions, shape))
+        std = standardize.good_rows(standardize.parse_lines(lines, versions, small))
         (metrics.bucket_counts(std).write.mode("overwrite")
          .parquet(f"{sink}/epoch={epoch_id}"))
 
