@@ -1,10 +1,10 @@
 """Command line for spark-submit.
 
-    spark-submit -m cdrflow batch  --landing /landing --warehouse /wh --batch-id 20240101
-    spark-submit -m cdrflow stream --landing /landing --warehouse /wh --checkpoint /shared/ckpt \
+    spark-submit --py-files cdrflow.zip submit.py batch  --landing /landing --warehouse /wh --batch-id 20240101
+    spark-submit --py-files cdrflow.zip submit.py stream --landing /landing --warehouse /wh --checkpoint /shared/ckpt \
         [--every "1 minute"] [--max-files 10]
 
-(or ``python -m cdrflow ...`` locally). Master, memory and
+(``cdrflow.zip`` is the zipped package; locally ``python -m cdrflow ...``). Master, memory and
 ``spark.checkpoint.dir`` come from spark-submit.
 """
 
