@@ -32,6 +32,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--every", default=None, help="processing-time trigger; default: available now")
     s.add_argument("--max-files", type=int, default=10)
     s.add_argument("--batch-base", type=int, default=0)
+    m = sub.add_parser("import-dims", help="append old text dictionaries <root>/<dc>/{user,page}/*")
+    m.add_argument("--legacy", required=True)
+    m.add_argument("--warehouse", required=True)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -40,6 +43,10 @@ def main(argv: list[str] | None = None) -> None:
         batch_id = args.batch_id if args.batch_id is not None else int(time.time() * 1000)
         res = run_batch(spark, args.landing, args.warehouse, batch_id, text=not args.no_text)
         print(json.dumps(res.__dict__))
+    elif args.command == "import-dims":
+        from .plans.batch import import_legacy_dims
+        users, pages = import_legacy_dims(spark, args.legacy, args.warehouse)
+        print(json.dumps({"users": users, "pages": pages}))
     else:
         from .streaming.arrival import start
         q = start(spark, args.landing, args.warehouse, args.checkpoint, args.batch_base,

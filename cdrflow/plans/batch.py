@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dims, enrich, metrics, standardize
+from ..operators.joins import anti_join
 from ..session import checkpoint_dir
 from ..sources import catalog, tables
 from ..sources.landing import read_landing, tag_lines
@@ -124,3 +125,19 @@ def process_stream_batch(spark: SparkSession, raw: DataFrame, wh: Warehouse, bat
     if landing_root is not None:
         catalog.register(spark, landing_root, wh, batch_id)
     return process_lines(spark, tag_lines(raw, batch_id), wh, batch_id)
+
+
+def import_legacy_dims(spark: SparkSession, legacy_root: str, warehouse: str) -> tuple[int, int]:
+    """Append the old text dictionaries ``<root>/<dc>/user/*`` and
+    ``<root>/<dc>/page/*`` to the dictionary tables, keys not yet known only,
+    with ids settled per data centre. Returns (users added, pages added)."""
+    from ..operators.migrate import settle_ids
+    from ..schema import USER_KEY
+    wh = Warehouse(warehouse)
+    users = settle_ids(tables.import_text_dim_user(spark, f"{legacy_root}/*/user"), USER_KEY, "user_id")
+    pages = settle_ids(tables.import_text_dim_page(spark, f"{legacy_root}/*/page"), dims.PAGE_KEY, "page_id")
+    before = (tables.dim_user(spark, wh).count(), tables.dim_page(spark, wh).count())
+    known_u, known_p = tables.dim_user(spark, wh), tables.dim_page(spark, wh)
+    tables.append(anti_join(users, known_u, USER_KEY).select(*known_u.columns), wh.dim_user, ["dc"])
+    tables.append(anti_join(pages, known_p, dims.PAGE_KEY).select(*known_p.columns), wh.dim_page, ["dc"])
+    return (tables.dim_user(spark, wh).count() - before[0], tables.dim_page(spark, wh).count() - before[1])

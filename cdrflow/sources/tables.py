@@ -92,24 +92,30 @@ def dim_page(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return read_or_empty(spark, wh.dim_page, DIM_PAGE_SCHEMA)
 
 
-def import_text_dim_user(spark: SparkSession, path: str, dc: str) -> DataFrame:
+def import_text_dim_user(spark: SparkSession, path: str, dc: str | None = None) -> DataFrame:
     """Legacy user dictionary text ``id;dc;op;msisdn;imsi;imei``.
 
-    Fields are split with a limit, so empty trailing fields are kept.
+    Fields are split with a limit, so empty trailing fields are kept; the
+    data centre is the line's own unless ``dc`` is given.
     """
     parts = F.split(F.col("value"), ";", 6)
     return (spark.read.text(path)
             .where(F.length("value") > 0)
-            .select(F.lit(dc).alias("dc"), F.get(parts, 0).try_cast("bigint").alias("user_id"),
+            .select((F.lit(dc) if dc else F.get(parts, 1)).alias("dc"),
+                    F.get(parts, 0).try_cast("bigint").alias("user_id"),
                     *[F.coalesce(F.get(parts, i), F.lit("")).alias(n)
                       for i, n in ((2, "op"), (3, "msisdn"), (4, "imsi"), (5, "imei"))],
                     F.lit(-1).cast("bigint").alias("batch_id")))
 
 
-def import_text_dim_page(spark: SparkSession, path: str, dc: str) -> DataFrame:
-    """Legacy page dictionary text ``id;url`` (S09); a ';' inside a URL survives."""
+def import_text_dim_page(spark: SparkSession, path: str, dc: str | None = None) -> DataFrame:
+    """Legacy page dictionary text ``id;url`` (S09); a ';' inside a URL survives.
+
+    The data centre is ``dc`` or the folder above ``page/``.
+    """
     parts = F.split(F.col("value"), ";", 2)
+    dc_col = F.lit(dc) if dc else F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/page/[^/]+$", 1)
     return (spark.read.text(path)
             .where(F.length("value") > 0)
-            .select(F.lit(dc).alias("dc"), F.get(parts, 0).try_cast("bigint").alias("page_id"),
+            .select(dc_col.alias("dc"), F.get(parts, 0).try_cast("bigint").alias("page_id"),
                     F.get(parts, 1).alias("url"), F.lit(-1).cast("bigint").alias("batch_id")))

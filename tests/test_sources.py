@@ -31,3 +31,23 @@ def test_batch_with_no_data_files(spark, tmp_dir):
     res = run_batch(spark, landing, os.path.join(tmp_dir, "wh"), batch_id=1)
     assert (res.standard_rows, res.new_users, res.new_pages) == (0, 0, 0)
     assert res.rejected == {}
+
+
+def test_import_legacy_dims_settles_ids(spark, tmp_dir):
+    from cdrflow.plans.batch import import_legacy_dims
+    from cdrflow.sources import tables
+    from cdrflow.sources.tables import Warehouse
+    root = os.path.join(tmp_dir, "dim")
+    for sub in ("user", "page"):
+        os.makedirs(os.path.join(root, "idc", sub))
+    with open(os.path.join(root, "idc", "user", "1000"), "w") as fh:
+        fh.write("1;idc;alphanet;+33790000817;;\n2;idc;gammatel;+33710000004;208150000000004;\n")
+    with open(os.path.join(root, "idc", "page", "1000"), "w") as fh:  # url under two ids, id 10 reused
+        fh.write("9;file:/a.xml\n10;file:/b.xml\n10;file:/c.xml\n11;file:/a.xml\n")
+    wh = os.path.join(tmp_dir, "wh")
+    assert import_legacy_dims(spark, root, wh) == (2, 3)
+    pages = {r["url"]: r["page_id"] for r in tables.dim_page(spark, Warehouse(wh)).collect()}
+    assert pages == {"file:/a.xml": 9, "file:/b.xml": 10, "file:/c.xml": 11}
+    users = {r["msisdn"]: (r["user_id"], r["imsi"], r["imei"]) for r in tables.dim_user(spark, Warehouse(wh)).collect()}
+    assert users["+33790000817"] == (1, "", "")
+    assert import_legacy_dims(spark, root, wh) == (0, 0)  # idempotent
