@@ -199,6 +199,17 @@ ORACLE_SQL: dict[str, str] = {
         FROM hits h LEFT JOIN dim_p d ON d.dc = h.dc AND d.url = h.url GROUP BY ALL"""),
     "bucket_counts": _q(_BUCKETS),
     "arrival_counts": _q(_BUCKETS),
+    "legacy_page_ids": """
+        WITH legacy AS (SELECT 'dc0' AS dc, CAST(floor(page_id / 2) + 1 AS BIGINT) AS page_id,
+                               split_part(url, '?', 1) AS url FROM pages),
+        per_key AS (SELECT dc, url, min(page_id) AS page_id FROM legacy GROUP BY dc, url),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY dc, page_id ORDER BY url) AS rn FROM per_key),
+        keep AS (SELECT dc, page_id, url FROM ranked WHERE rn = 1),
+        top AS (SELECT dc, max(page_id) AS m FROM keep GROUP BY dc)
+        SELECT dc, page_id, url FROM keep
+        UNION ALL
+        SELECT r.dc, t.m + row_number() OVER (PARTITION BY r.dc ORDER BY r.url) AS page_id, r.url
+        FROM ranked r JOIN top t ON t.dc = r.dc WHERE r.rn > 1""",
     "window_counts": _q("""
         SELECT dc, op, CAST(floor(session_time / 900) * 900 AS BIGINT) AS window_start,
                count(*) AS sessions

@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import field_at, operator_from_name, split_line
+from ..functions.text import extract_urls, field_at, operator_from_name, split_line
 from ..functions.time import epoch_from_text, utc_wall_time
-from ..operators import dims, enrich, ids, metrics, standardize
+from ..operators import dims, enrich, ids, metrics, migrate, standardize
 from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sources import tables
@@ -239,6 +239,17 @@ def dim_two_batches(spark, sf_dir):
     return dim2
 
 
+def legacy_page_ids(spark, sf_dir):
+    """An old page dictionary whose ids were reused (two pages per id)
+    brought into the id rules: lowest id per URL, fresh ids for later holders."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    legacy = pages.select(F.lit("dc0").alias("dc"),
+                          (F.floor(F.col("page_id") / 2) + 1).cast("bigint").alias("page_id"),
+                          F.get(extract_urls(F.col("url")), 0).alias("url"),
+                          F.lit(-1).cast("bigint").alias("batch_id"))
+    return migrate.settle_ids(legacy, dims.PAGE_KEY, "page_id").drop("batch_id")
+
+
 BUCKET_KEYS = ["dc", "op", "service_code", "bearer", "bucket"]
 
 
@@ -305,4 +316,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_fields": json_fields,
     "dim_two_batches": dim_two_batches,
     "arrival_counts": arrival_counts,
+    "legacy_page_ids": legacy_page_ids,
 }
