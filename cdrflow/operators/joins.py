@@ -87,17 +87,29 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
         small = dim_rows <= bound if dim_rows is not None else fits_broadcast(dim, bound)
     if small:
         return facts.join(F.broadcast(dim), keys, how)
+    # Rows with a NULL key never match; they bypass the shuffle (where they
+    # would all land in one partition) and are kept or dropped as ``how`` says.
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 \
+        else F.col(keys[0]).isNull()
+    nulls = facts.where(has_null)
+    facts = facts.where(~has_null)
+    if how == "left":
+        extra = [c for c in dim.columns if c not in keys]
+        nulls = nulls.select("*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in extra])
     if not split_hot_keys:
-        return facts.join(dim, keys, how)
-    hot = hot_keys(facts, keys)
-    if hot.isEmpty():
-        return facts.join(dim, keys, how)
-    hot_b = F.broadcast(hot)
-    facts_hot = facts.join(hot_b, keys, "left_semi")
-    facts_cold = facts.join(hot_b, keys, "left_anti")
-    dim_hot = dim.join(hot_b, keys, "left_semi")
-    return (facts_hot.join(F.broadcast(dim_hot), keys, how)
-            .unionByName(facts_cold.join(dim, keys, how)))
+        joined = facts.join(dim, keys, how)
+    else:
+        hot = hot_keys(facts, keys)
+        if hot.isEmpty():
+            joined = facts.join(dim, keys, how)
+        else:
+            hot_b = F.broadcast(hot)
+            facts_hot = facts.join(hot_b, keys, "left_semi")
+            facts_cold = facts.join(hot_b, keys, "left_anti")
+            dim_hot = dim.join(hot_b, keys, "left_semi")
+            joined = (facts_hot.join(F.broadcast(dim_hot), keys, how)
+                      .unionByName(facts_cold.join(dim, keys, how)))
+    return joined.unionByName(nulls) if how in ("left", "left_anti") else joined
 
 
 def anti_join(df: DataFrame, dim: DataFrame, keys: list[str],

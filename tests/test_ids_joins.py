@@ -62,3 +62,14 @@ def test_ids_across_partition_boundaries_match_row_number(spark):
                                 + F.row_number().over(Window.partitionBy("dc").orderBy("k"))).alias("id")))
     assert got.count() == 6000
     assert got.select("dc", "k", "id").exceptAll(want).count() == 0
+
+
+def test_null_keys_bypass_the_shuffle_path(spark):
+    facts = spark.range(0, 3000, 1, 4).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("key"))
+    dim = spark.range(0, 40).select(F.col("id").alias("key"), (F.col("id") * 10).alias("val"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = facts.join(F.broadcast(dim), ["key"], how)
+        got = joins.lookup_join(facts, dim, ["key"], how, broadcast_max_rows=0)
+        assert got.count() == want.count(), how
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, how
