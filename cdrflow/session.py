@@ -16,6 +16,8 @@ DEFAULTS = {
     # Dims are joined through operators.joins, which checks sizes itself.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Remove checkpoint files (staged ids, hot-key sets) once no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
