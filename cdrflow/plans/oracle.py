@@ -179,6 +179,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM std GROUP BY dc, op"""),
     "rows_per_format": _q("SELECT dc, op, format_name, count(*) AS rows FROM std GROUP BY ALL"),
     "page_hits": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
+    "landing_files": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
     "user_keys": _q("SELECT dc, op, msisdn, imsi, imei FROM ukeys"),
     "max_user_id": _q("SELECT dc, coalesce(max(user_id), 0) AS max_user_id FROM known_u GROUP BY dc"),
     "new_user_ids": _q("SELECT dc, user_id, op, msisdn, imsi, imei FROM new_u"),

@@ -19,7 +19,7 @@ from ..functions.time import epoch_from_text, utc_wall_time
 from ..operators import dims, enrich, ids, metrics, migrate, standardize
 from ..operators.partitioning import spread
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import landing, tables
 from ..streaming import arrival
 from ..schema import DATA_FILE_PATTERN, DIM_USER_SCHEMA, ENRICHED_FIELDS
 from ..sources.landing import file_name_of
@@ -250,6 +250,19 @@ def legacy_page_ids(spark, sf_dir):
     return migrate.settle_ids(legacy, dims.PAGE_KEY, "page_id").drop("batch_id")
 
 
+def landing_files(spark, sf_dir):
+    """The feed written as text files in a ``dc=/datatype=/op=``
+    landing under the shared folder, read back by the landing reader, parsed
+    and counted per page."""
+    root = scratch_path(spark, "landing")
+    (feed.cdr_feed(spark, sf_dir, BATCH).select("dc", "datatype", "op", "line")
+     .write.partitionBy("dc", "datatype", "op").text(root))
+    versions, small = feed.catalog(spark)
+    lines = landing.read_landing(spark, root, BATCH, partitioned=True)
+    std = standardize.good_rows(standardize.parse_lines(lines, versions, small))
+    return metrics.page_hits(std, by="url")
+
+
 BUCKET_KEYS = ["dc", "op", "service_code", "bearer", "bucket"]
 
 
@@ -317,4 +330,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_two_batches": dim_two_batches,
     "arrival_counts": arrival_counts,
     "legacy_page_ids": legacy_page_ids,
+    "landing_files": landing_files,
 }

@@ -3,7 +3,9 @@
 
 Layout: ``<root>/<dc>/<datatype>/CDR_<op>_<yyyyMMdd>_<HHmmss>_<host>_<seq>``.
 All (dc, datatype) folders are read by one splittable line scan; descriptor
-files in the same folders are skipped by the name filter.
+files in the same folders are skipped by the name filter. Landings written
+by another Spark job can instead use partition folders
+``<root>/dc=<dc>/datatype=<datatype>/op=<op>/``, found by partition discovery.
 """
 
 from __future__ import annotations
@@ -34,17 +36,21 @@ def tag_lines(raw: DataFrame, batch_id: int | Column) -> DataFrame:
     """Tag raw lines (``line``, ``source_file``) with dc, datatype, op, batch.
 
     Blank lines are dropped and a trailing CR is removed. ``row_id`` is
-    unique within the batch.
+    unique within the batch. ``dc``, ``datatype`` and ``op`` columns already
+    present (partition folders) are kept; otherwise they come from the path.
     """
     bid = F.lit(batch_id).cast("bigint") if isinstance(batch_id, int) else batch_id.cast("bigint")
     line = F.regexp_replace(F.col("line"), "\r$", "")
+    from_path = {
+        "dc": dc_of(F.col("source_file")),
+        "datatype": datatype_of(F.col("source_file")),
+        "op": operator_from_name(file_name_of(F.col("source_file")), DATA_FILE_PATTERN),
+    }
+    tags = {k: (F.col(k).cast("string") if k in raw.columns else v) for k, v in from_path.items()}
     return (raw
             .withColumn("line", line)
             .where(F.length("line") > 0)
-            .withColumn("dc", dc_of(F.col("source_file")))
-            .withColumn("datatype", datatype_of(F.col("source_file")))
-            .withColumn("op", operator_from_name(file_name_of(F.col("source_file")),
-                                                 DATA_FILE_PATTERN))
+            .withColumns(tags)
             .withColumn("batch_id", bid)
             .withColumn("row_id", F.monotonically_increasing_id()))
 
@@ -59,11 +65,21 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str],
                      F.col("_metadata.file_path").alias("source_file"))
 
 
+def read_partitioned_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Untagged lines of a ``dc=/datatype=/op=`` partitioned landing, with
+    those three as columns (partition discovery, all strings)."""
+    df = spark.read.text(root)
+    keep = [c for c in ("dc", "datatype", "op") if c in df.columns]
+    return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"),
+                     *[F.col(c).cast("string").alias(c) for c in keep])
+
+
 def read_landing(spark: SparkSession, root: str | list[str], batch_id: int,
-                 glob: str = DATA_FILE_GLOB) -> DataFrame:
+                 glob: str = DATA_FILE_GLOB, partitioned: bool = False) -> DataFrame:
     """Tagged data lines of every (dc, datatype) folder under ``root``.
 
     Text files are split by size; a few large compressed (unsplittable)
     files are spread over the cores before the CPU-heavy parsing.
     """
-    return tag_lines(spread(read_raw_lines(spark, root, glob)), batch_id)
+    raw = read_partitioned_lines(spark, root) if partitioned else read_raw_lines(spark, root, glob)
+    return tag_lines(spread(raw), batch_id)
