@@ -110,12 +110,15 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
 
 
 def run_batch(spark: SparkSession, landing_root: str, warehouse: str, batch_id: int,
-              data_paths: str | list[str] | None = None, text: bool = True) -> BatchResult:
-    """Register descriptors under ``landing_root`` and process its data files
-    (or just ``data_paths``) as batch ``batch_id``."""
+              data_paths: str | list[str] | None = None, text: bool = True,
+              partitioned: bool = False, descriptor_root: str | None = None) -> BatchResult:
+    """Register descriptors under ``descriptor_root`` (default: the landing)
+    and process the landing's data files (or just ``data_paths``) as batch
+    ``batch_id``. ``partitioned`` reads a ``dc=/datatype=/op=`` landing
+    written by another Spark job (its descriptors then live apart)."""
     wh = Warehouse(warehouse)
-    catalog.register(spark, landing_root, wh, batch_id)
-    lines = read_landing(spark, data_paths or landing_root, batch_id)
+    catalog.register(spark, descriptor_root or landing_root, wh, batch_id)
+    lines = read_landing(spark, data_paths or landing_root, batch_id, partitioned=partitioned)
     return process_lines(spark, lines, wh, batch_id, text)
 
 

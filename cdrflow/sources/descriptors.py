@@ -30,8 +30,8 @@ def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> Data
                    F.col("_metadata.file_path").alias("path"),
                    F.col("_metadata.file_name").alias("file_name")))
     return (raw
-            .withColumn("dc", F.regexp_extract("path", r"/([^/]+)/[^/]+/[^/]+$", 1))
-            .withColumn("datatype", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1))
+            .withColumn("dc", F.regexp_extract("path", r"/(?:dc=)?([^/]+)/[^/]+/[^/]+$", 1))
+            .withColumn("datatype", F.regexp_extract("path", r"/(?:datatype=)?([^/]+)/[^/]+$", 1))
             .withColumn("registered_at", F.lit(registered_at).cast("bigint"))
             .drop("path"))
 

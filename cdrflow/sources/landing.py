@@ -68,7 +68,7 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str],
 def read_partitioned_lines(spark: SparkSession, root: str) -> DataFrame:
     """Untagged lines of a ``dc=/datatype=/op=`` partitioned landing, with
     those three as columns (partition discovery, all strings)."""
-    df = spark.read.text(root)
+    df = spark.read.option("pathGlobFilter", "part-*").text(root)
     keep = [c for c in ("dc", "datatype", "op") if c in df.columns]
     return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"),
                      *[F.col(c).cast("string").alias(c) for c in keep])
