@@ -12,6 +12,7 @@ output partitions and adds no dictionary rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,17 @@ from ..sources.tables import Warehouse
 PARTITIONS = ["dc", "datatype", "batch_id"]
 
 
+@contextmanager
+def _step(spark: SparkSession, name: str):
+    """Label the jobs of one step (visible in the event log and job listings)."""
+    sc = spark.sparkContext
+    sc.setJobDescription(f"cdrflow: {name}")
+    try:
+        yield
+    finally:
+        sc.setJobDescription(None)
+
+
 @dataclass
 class BatchResult:
     batch_id: int
@@ -96,16 +108,20 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
                   text: bool = True) -> BatchResult:
     """Everything after the scan, for tagged lines of one batch."""
     checkpoint_dir(spark)
-    schema = parse_and_store(spark, lines, wh)
-    std = standard_rows(spark, wh, batch_id, schema)
-    n_std = std.count()
-    rejected = {r["reason"]: r["lines"] for r in
-                standardize.reject_counts(rejected_rows(spark, wh, batch_id, schema))
-                .groupBy("reason").agg(F.sum("lines").alias("lines")).collect()}
+    with _step(spark, "parse and store records"):
+        schema = parse_and_store(spark, lines, wh)
+    with _step(spark, "count records"):
+        std = standard_rows(spark, wh, batch_id, schema)
+        n_std = std.count()
+        rejected = {r["reason"]: r["lines"] for r in
+                    standardize.reject_counts(rejected_rows(spark, wh, batch_id, schema))
+                    .groupBy("reason").agg(F.sum("lines").alias("lines")).collect()}
     if n_std == 0:  # P13: nothing to add to dictionaries or outputs
         return BatchResult(batch_id, 0, rejected, 0, 0)
-    new_u, new_p = extend_dims(spark, std, wh, batch_id)
-    enrich_and_store(spark, std, wh, batch_id, text)
+    with _step(spark, "extend dictionaries"):
+        new_u, new_p = extend_dims(spark, std, wh, batch_id)
+    with _step(spark, "enrich and store"):
+        enrich_and_store(spark, std, wh, batch_id, text)
     return BatchResult(batch_id, n_std, rejected, new_u, new_p)
 
 
@@ -117,7 +133,8 @@ def run_batch(spark: SparkSession, landing_root: str, warehouse: str, batch_id:
     ``batch_id``. ``partitioned`` reads a ``dc=/datatype=/op=`` landing
     written by another Spark job (its descriptors then live apart)."""
     wh = Warehouse(warehouse)
-    catalog.register(spark, descriptor_root or landing_root, wh, batch_id)
+    with _step(spark, "register formats"):
+        catalog.register(spark, descriptor_root or landing_root, wh, batch_id)
     lines = read_landing(spark, data_paths or landing_root, batch_id, partitioned=partitioned)
     return process_lines(spark, lines, wh, batch_id, text)
 
