@@ -24,11 +24,14 @@ def _lit(x: Column | str) -> Column:
 def epoch_from_text(text: Column, pattern: Column | str, zone: Column | str = "UTC") -> Column:
     """Epoch seconds of wall-clock text read with ``pattern`` in ``zone``.
 
-    NULL for unparsable text or a blank pattern.
+    A pattern with its own zone or offset letters is read as it is; otherwise
+    ``zone`` is attached. NULL for unparsable text or a blank pattern.
     """
     pat = _lit(pattern)
     tz = _lit(zone)
-    parsed = F.try_to_timestamp(F.concat(text, F.lit(" "), tz), F.concat(pat, F.lit(" VV")))
+    has_zone = F.regexp_replace(pat, "'[^']*'", "").rlike("[zZXxVO]")
+    parsed = F.when(has_zone, F.try_to_timestamp(text, pat)).otherwise(
+        F.try_to_timestamp(F.concat(text, F.lit(" "), tz), F.concat(pat, F.lit(" VV"))))
     ok = text.isNotNull() & (F.trim(text) != "") & pat.isNotNull() & (F.trim(pat) != "")
     return F.when(ok, F.unix_seconds(parsed))
 

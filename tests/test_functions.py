@@ -52,6 +52,9 @@ def test_epoch_from_text_uses_explicit_zone(spark):
     assert one(spark, epoch_from_text(F.lit("2012-08-16 00:00:00"), "yyyy-MM-dd HH:mm:ss")) == 1345075200
     assert one(spark, epoch_from_text(F.lit("2012-08-16 02:00:00"), "yyyy-MM-dd HH:mm:ss",
                                       "Europe/Paris")) == 1345075200
+    assert one(spark, epoch_from_text(F.lit("2012-08-16 02:00:00 +0200"), "yyyy-MM-dd HH:mm:ss Z",
+                                      "Asia/Tokyo")) == 1345075200
+    assert one(spark, epoch_from_text(F.lit("2012-08-16T00:00:00"), "yyyy-MM-dd'T'HH:mm:ss")) == 1345075200
     assert one(spark, epoch_from_text(F.lit("#702"), "yyyy-MM-dd HH:mm:ss")) is None
     assert one(spark, epoch_from_text(F.lit("2012-08-16"), "")) is None
 
