@@ -59,8 +59,3 @@ def text_line(sep: str = ";") -> F.Column:
     """The ``;``-joined text of an enriched row, missing values empty."""
     cols = [page_ids_text(F.col(n)) if n == "page_ids" else F.col(n) for n in ENRICHED_FIELDS]
     return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
-
-
-def as_text(enriched: DataFrame, sep: str = ";") -> DataFrame:
-    """One text line per enriched row, as written by the text sink."""
-    return enriched.select(text_line(sep).alias("value"))
