@@ -27,6 +27,8 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--no-text", action="store_true", help="skip the ';'-joined text export")
     b.add_argument("--partitioned", action="store_true", help="landing has dc=/datatype=/op= folders")
     b.add_argument("--descriptors", default=None, help="descriptor root (default: the landing)")
+    b.add_argument("--cluster-output", action="store_true",
+                   help="range-partition enriched rows by dc/datatype before writing (fewer files)")
     s = sub.add_parser("stream", help="process files as they arrive")
     s.add_argument("--landing", required=True)
     s.add_argument("--warehouse", required=True)
@@ -44,7 +46,8 @@ def main(argv: list[str] | None = None) -> None:
         from .plans.batch import run_batch
         batch_id = args.batch_id if args.batch_id is not None else int(time.time() * 1000)
         res = run_batch(spark, args.landing, args.warehouse, batch_id, text=not args.no_text,
-                        partitioned=args.partitioned, descriptor_root=args.descriptors)
+                        partitioned=args.partitioned, descriptor_root=args.descriptors,
+                        cluster_output=args.cluster_output)
         print(json.dumps(res.__dict__))
     elif args.command == "import-dims":
         from .plans.batch import import_legacy_dims

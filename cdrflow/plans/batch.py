@@ -91,8 +91,14 @@ def extend_dims(spark: SparkSession, std: DataFrame, wh: Warehouse, batch_id: in
 
 
 def enrich_and_store(spark: SparkSession, std: DataFrame, wh: Warehouse, batch_id: int,
-                     text: bool = True) -> None:
+                     text: bool = True, cluster_output: bool = False) -> None:
+    """Enrich and write. ``cluster_output`` range-partitions the rows by
+    (dc, datatype, batch, row) first -- one more shuffle -- so each task
+    writes about one folder (fewer, larger files); a hot data centre is still
+    split over many tasks because row ids are distinct."""
     rows = enrich.enrich(std, tables.dim_user(spark, wh), tables.dim_page(spark, wh))
+    if cluster_output:
+        rows = rows.repartitionByRange(*PARTITIONS, "row_id")
     tables.write_batch(rows, wh.enriched, PARTITIONS)
     if text:
         stored = spark.read.parquet(wh.enriched).where(F.col("batch_id") == batch_id)
@@ -105,7 +111,7 @@ def enrich_and_store(spark: SparkSession, std: DataFrame, wh: Warehouse, batch_i
 
 
 def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id: int,
-                  text: bool = True) -> BatchResult:
+                  text: bool = True, cluster_output: bool = False) -> BatchResult:
     """Everything after the scan, for tagged lines of one batch."""
     checkpoint_dir(spark)
     with _step(spark, "parse and store records"):
@@ -121,13 +127,14 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
     with _step(spark, "extend dictionaries"):
         new_u, new_p = extend_dims(spark, std, wh, batch_id)
     with _step(spark, "enrich and store"):
-        enrich_and_store(spark, std, wh, batch_id, text)
+        enrich_and_store(spark, std, wh, batch_id, text, cluster_output)
     return BatchResult(batch_id, n_std, rejected, new_u, new_p)
 
 
 def run_batch(spark: SparkSession, landing_root: str, warehouse: str, batch_id: int,
               data_paths: str | list[str] | None = None, text: bool = True,
-              partitioned: bool = False, descriptor_root: str | None = None) -> BatchResult:
+              partitioned: bool = False, descriptor_root: str | None = None,
+              cluster_output: bool = False) -> BatchResult:
     """Register descriptors under ``descriptor_root`` (default: the landing)
     and process the landing's data files (or just ``data_paths``) as batch
     ``batch_id``. ``partitioned`` reads a ``dc=/datatype=/op=`` landing
@@ -136,7 +143,7 @@ def run_batch(spark: SparkSession, landing_root: str, warehouse: str, batch_id:
     with _step(spark, "register formats"):
         catalog.register(spark, descriptor_root or landing_root, wh, batch_id)
     lines = read_landing(spark, data_paths or landing_root, batch_id, partitioned=partitioned)
-    return process_lines(spark, lines, wh, batch_id, text)
+    return process_lines(spark, lines, wh, batch_id, text, cluster_output)
 
 
 def process_stream_batch(spark: SparkSession, raw: DataFrame, wh: Warehouse, batch_id: int,

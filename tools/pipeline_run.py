@@ -42,7 +42,8 @@ def main() -> None:
     runs = []
     for batch_id in (1, 2):   # the second run finds every key known
         t0 = time.time()
-        res = run_batch(spark, landing, warehouse, batch_id, partitioned=True, descriptor_root=formats)
+        res = run_batch(spark, landing, warehouse, batch_id, partitioned=True, descriptor_root=formats,
+                        cluster_output=os.environ.get("CLUSTER_OUTPUT") == "1")
         runs.append({"batch_id": batch_id, "sec": round(time.time() - t0, 2), **res.__dict__})
     print(json.dumps({"sf_dir": sf_dir, "stage_landing_sec": round(staged, 2), "runs": runs}))
     spark.stop()
