@@ -53,7 +53,10 @@ def _keep_last(entries: Column, key: str) -> Column:
 
 def property_entries(content: Column) -> Column:
     """Properties text to an array of (key, value) in file order."""
-    lines = F.transform(F.split(content, "\n"), lambda l: F.regexp_replace(l, "\r$", ""))
+    # A line ending in an odd number of backslashes continues on the next
+    # line, whose leading blanks are dropped (Java properties rule).
+    joined = F.regexp_replace(content, r"(?<!\\)((?:\\\\)*)\\\r?\n[ \t\f]*", "$1")
+    lines = F.transform(F.split(joined, "\n"), lambda l: F.regexp_replace(l, "\r$", ""))
     kept = F.filter(lines, lambda l: (F.trim(l) != "") & ~F.trim(l).startswith("#")
                     & ~F.trim(l).startswith("!"))
     return F.transform(kept, lambda l: F.struct(

@@ -48,3 +48,10 @@ def test_bad_descriptors_are_flagged(spark):
     assert no_start.first()["problem"] == "no_start_time"
     bad_pat = descriptor("1970-01-01 00:00:00", ";").replace("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss nnnn")
     assert parse_descriptors(frame(spark, "data_format-x-a-1.properties", bad_pat)).first()["problem"] == "bad_pattern"
+
+
+def test_properties_line_continuation(spark):
+    text = 'fields={"fields": [{"name": "msisdn", \\\n    "type": "String", "format": ""}]}\npath=c:\\\\\\\\\nnext=1\n'
+    m = spark.range(1).select(parse_properties(F.lit(text)).alias("m")).first()["m"]
+    assert m["fields"] == '{"fields": [{"name": "msisdn", "type": "String", "format": ""}]}'
+    assert m["path"] == "c:\\\\" and m["next"] == "1"
