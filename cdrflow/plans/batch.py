@@ -118,10 +118,11 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
         schema = parse_and_store(spark, lines, wh)
     with _step(spark, "count records"):
         std = standard_rows(spark, wh, batch_id, schema)
-        n_std = std.count()
-        rejected = {r["reason"]: r["lines"] for r in
-                    standardize.reject_counts(rejected_rows(spark, wh, batch_id, schema))
-                    .groupBy("reason").agg(F.sum("lines").alias("lines")).collect()}
+        # one small aggregation: rows per status and reason (at most a handful)
+        summary = (_records(spark, wh, schema).where(F.col("batch_id") == batch_id)
+                   .groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n")).collect())
+        n_std = sum(r["n"] for r in summary if r["status"] == "ok")
+        rejected = {r["reason"]: r["n"] for r in summary if r["status"] == "rejected"}
     if n_std == 0:  # P13: nothing to add to dictionaries or outputs
         return BatchResult(batch_id, 0, rejected, 0, 0)
     with _step(spark, "extend dictionaries"):

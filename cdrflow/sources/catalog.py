@@ -31,9 +31,10 @@ def register(spark: SparkSession, landing_root: str, wh: Warehouse, run_id: int)
     if known is not None:
         fresh = anti_join(fresh, known.select(*_IDENTITY).distinct(), _IDENTITY)
     fresh = fresh.drop("registered", "problem").checkpoint(eager=True)
-    append(fresh, wh.formats, ["dc", "datatype"])
-    # the flattened layout, one row per (format, field): name, place, type, pattern
-    append(format_fields(fresh), wh.format_fields, ["dc", "datatype"])
+    if not fresh.isEmpty():
+        append(fresh, wh.formats, ["dc", "datatype"])
+        # the flattened layout, one row per (format, field): name, place, type, pattern
+        append(format_fields(fresh), wh.format_fields, ["dc", "datatype"])
     return parsed
 
 
