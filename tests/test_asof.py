@@ -1,6 +1,5 @@
 """Format choice and quarantine."""
 
-from pyspark.sql import functions as F
 
 from cdrflow.operators.asof import versions_per_operator
 from cdrflow.operators.standardize import parse_lines
