@@ -1,6 +1,5 @@
 """Format choice and quarantine."""
 
-
 from cdrflow.operators.asof import versions_per_operator
 from cdrflow.operators.standardize import parse_lines
 from cdrflow.sources.descriptors import parse_descriptors
