@@ -178,6 +178,7 @@ ORACLE_SQL: dict[str, str] = {
                count(*) AS rows
         FROM std GROUP BY dc, op"""),
     "rows_per_format": _q("SELECT dc, op, format_name, count(*) AS rows FROM std GROUP BY ALL"),
+    "page_list": _q("SELECT row_id, dc, CAST(pos - 1 AS INTEGER) AS pos, url FROM hits WHERE length(url) > 0"),
     "page_hits": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
     "landing_files": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
     "user_keys": _q("SELECT dc, op, msisdn, imsi, imei FROM ukeys"),

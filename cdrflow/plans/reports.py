@@ -120,6 +120,14 @@ def rows_per_format(spark, sf_dir):
     return std.groupBy("dc", "op", "format_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def page_list(spark, sf_dir):
+    """Each row's page URLs with their 0-based place, repeats kept."""
+    std = _std(spark, sf_dir)
+    return (std.select("row_id", "dc", F.posexplode("urls").alias("pos", "url"))
+            .where(F.length("url") > 0)
+            .withColumn("pos", F.col("pos").cast("int")))
+
+
 def page_hits(spark, sf_dir):
     """Hits per page URL."""
     return metrics.page_hits(_std(spark, sf_dir), by="url")
@@ -312,6 +320,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_counts": reject_counts,
     "formats_per_operator": formats_per_operator,
     "rows_per_format": rows_per_format,
+    "page_list": page_list,
     "page_hits": page_hits,
     "user_keys": user_keys,
     "max_user_id": max_user_id,
