@@ -14,7 +14,8 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 # Pattern letters accepted in descriptor formats; anything else is refused
 # when a format is registered, because an illegal pattern fails a whole job.
-VALID_PATTERN = r"^([^A-Za-z']|'[^']*'|[yMdDHhmsSaEkKzZXxVOuL])*$"
+_PATTERN_CHAR = r"[[^A-Za-z'][yMdDHhmsSaEkKzZXxVOuL]]"
+VALID_PATTERN = rf"^{_PATTERN_CHAR}*(?:'[^']*'{_PATTERN_CHAR}*)*$"
 
 
 def _lit(x: Column | str) -> Column:

@@ -18,6 +18,10 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Remove checkpoint files (staged ids, hot-key sets) once no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Streaming batches run on their own JVM threads; give threads room for
+    # deep expression trees and regex matching.
+    "spark.driver.extraJavaOptions": "-Xss16m",
+    "spark.executor.extraJavaOptions": "-Xss16m",
 }
 
 

@@ -17,7 +17,9 @@ from ..schema import (DEFAULT_DELIMITER, DESCRIPTOR_FIELDS_SCHEMA, FORMAT_DELIMI
                       FORMAT_FIELDS_KEY, FORMAT_FILE_PATTERN, FORMAT_START_KEY,
                       FORMAT_START_PATTERN, LINE_FIELDS, URL_PATTERN)
 
-_KEY_VALUE = r"^\s*((?:\\.|[^=:\s\\])+)\s*[=:\s]?\s*(.*)$"
+# Key: plain characters with backslash escapes, written as an unrolled loop
+# (a repeated alternation recurses once per character in Java's regex engine).
+_KEY_VALUE = r"^\s*([^=:\s\\]*(?:\\.[^=:\s\\]*)*)\s*[=:\s]?\s*(.*)$"
 
 
 def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> DataFrame:
