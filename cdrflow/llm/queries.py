@@ -6,8 +6,10 @@ Each applies its operator, with production parameters, to its whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup
+from . import decontaminate, near_dup, quality, toxicity
+from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
 
@@ -20,9 +22,26 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores; labels of the bucket crc32(doc_id) mod 4 = 2 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), modulus=4, held=2)
+    return quality.quality(docs, model).select(
+        "doc_id", (bucket(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups on four-word shingles at 0.8."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op9_near_duplicates)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores and spans; labels of the bucket crc32(doc_id) mod 5 = 0 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), modulus=5, held=0)
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", (bucket(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.to_json("spans").alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_classifier, op9_near_duplicates, op10_toxicity)}

@@ -89,6 +89,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     offsets: np.ndarray
+    bounds: np.ndarray    # first byte of each text, and the end
 
     @property
     def counts(self) -> np.ndarray:
@@ -115,7 +116,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray) -> Wo
     inside = word_byte[text]
     if not len(text):
         none = np.zeros(0, np.int64)
-        return Words(text, none, none, np.zeros(len(bounds), np.int64))
+        return Words(text, none, none, np.zeros(len(bounds), np.int64), bounds)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -125,7 +126,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray) -> Wo
     tails = bounds[1:][bounds[:-1] < bounds[1:]] - 1
     last[tails] = inside[tails]
     starts = np.flatnonzero(first)
-    return Words(text, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds))
+    return Words(text, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds), bounds)
 
 
 def slices(column: pa.Array, word_byte: np.ndarray) -> Iterator[tuple[int, int, Words]]:
