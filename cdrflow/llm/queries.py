@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, quality, toxicity
+from . import bpe, decontaminate, near_dup, quality, toxicity
 from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
@@ -30,6 +30,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (bucket(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of whole texts, and the texts decoded from them, as digests."""
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups on four-word shingles at 0.8."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
@@ -44,4 +49,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_classifier, op9_near_duplicates, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_classifier, op7_bpe, op9_near_duplicates, op10_toxicity)}
