@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, quality, toxicity
+from . import bpe, decontaminate, near_dup, quality, rules, secrets, toxicity
 from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
@@ -22,6 +22,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of whole texts and the rule cascade's verdict."""
+    return rules.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores; labels of the bucket crc32(doc_id) mod 4 = 2 are held out."""
     docs = table(spark, sf_dir, "documents")
@@ -35,6 +40,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in whole texts; a document is a repository, its source the owner."""
+    return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups on four-word shingles at 0.8."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
@@ -49,4 +59,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_classifier, op7_bpe, op9_near_duplicates, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}
