@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, quality, rules, secrets, toxicity
+from . import bpe, decontaminate, near_dup, quality, rules, secrets, toxicity, urls
 from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
@@ -22,6 +22,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and character models on every page's url."""
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of whole texts and the rule cascade's verdict."""
     return rules.report(table(spark, sf_dir, "documents"))
@@ -59,4 +64,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_url_filter, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}
