@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lm, near_dup, quality, rules, secrets, toxicity, urls
+from . import bpe, decontaminate, line_dedup, lm, near_dup, quality, rules, secrets, toxicity, urls
 from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
@@ -22,6 +22,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines that repeat an earlier line but for two edits."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of whole texts; the bucket crc32(doc_id) mod 10 = 0 is held out."""
     return lm.scores(table(spark, sf_dir, "documents"))
@@ -69,4 +74,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_lm_scores, op4_url_filter, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_lm_scores, op4_url_filter, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}

@@ -24,10 +24,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, weight: str | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, marked for broadcast if it is counted to be within ``most`` rows.
 
-    Only for stored tables of a few numeric columns: the count comes from
-    Parquet footers.
+    Only for stored tables of a few numeric columns. With an array column, its
+    size is the ``weight`` of a row (an SQL expression), so that the bound
+    holds for the numbers broadcast.
     """
-    return F.broadcast(df) if df.count() <= most else df
+    n = df.count() if weight is None else (df.selectExpr(f"sum(1 + {weight})").first()[0] or 0)
+    return F.broadcast(df) if n <= most else df

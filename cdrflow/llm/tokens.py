@@ -108,11 +108,12 @@ class Words:
         return self.text[self.starts[i]: self.ends[i]].tobytes()
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``, A-Z lower-cased."""
+def words_of(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray, fold: np.ndarray = LOWER) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``, A-Z lower-cased
+    unless ``fold`` maps bytes in another way."""
     base = offsets[0]
     bounds = offsets - base
-    text = LOWER[data[base: offsets[-1]]]
+    text = fold[data[base: offsets[-1]]]
     inside = word_byte[text]
     if not len(text):
         none = np.zeros(0, np.int64)
