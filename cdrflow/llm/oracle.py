@@ -39,7 +39,93 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.m, d
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) c USING (doc_id)
 """
 
+
+# Thirds of each line against shifted substrings of lines of up to two more
+# characters: any two lines within two edits share one.
+_OP2 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\r\n]+'), lambda x: x <> '') AS v FROM documents),
+occ AS (SELECT doc_id, i - 1 AS line, v[i] AS t, length(v[i]) AS n
+        FROM (SELECT doc_id, v, unnest(range(1, len(v) + 1)) AS i FROM d) WHERE length(v[i]) >= 24),
+ln AS (SELECT t, n, min((doc_id, line)) AS first, row_number() OVER (ORDER BY t) AS id FROM occ GROUP BY t, n),
+seg AS (SELECT n, k, k * (n // 3) + greatest(0, k - 3 + n % 3) AS s, n // 3 + CASE WHEN k >= 3 - n % 3 THEN 1 ELSE 0 END AS w
+        FROM (SELECT DISTINCT n FROM occ), (SELECT unnest([0, 1, 2]) AS k)),
+own AS (SELECT id, n, k, substr(t, CAST(s + 1 AS BIGINT), CAST(w AS BIGINT)) AS g FROM ln JOIN seg USING (n)),
+sub AS (SELECT DISTINCT id, seg.n, k, substr(t, CAST(s + o + 1 AS BIGINT), CAST(w AS BIGINT)) AS g
+        FROM ln JOIN seg ON seg.n BETWEEN ln.n - 2 AND ln.n, (SELECT unnest([-2, -1, 0, 1, 2]) AS o)
+        WHERE s + o >= 0 AND s + o + w <= ln.n),
+cand AS (SELECT DISTINCT own.id AS a, sub.id AS b FROM own JOIN sub USING (n, k, g) WHERE own.id <> sub.id),
+link AS (SELECT a, b FROM cand JOIN ln x ON x.id = a JOIN ln y ON y.id = b WHERE levenshtein(x.t, y.t) <= 2),
+both_ AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM both_ UNION SELECT r.a, l.b FROM reach r JOIN both_ l ON r.b = l.a),
+head AS (SELECT id, least(first, coalesce(m, first)) AS head FROM ln LEFT JOIN
+         (SELECT a, min(ln.first) AS m FROM reach JOIN ln ON ln.id = reach.b GROUP BY a) r ON r.a = ln.id),
+later AS (SELECT doc_id, line, n, head[1] AS doc FROM occ JOIN ln USING (t, n) JOIN head USING (id) WHERE (doc_id, line) <> head),
+per AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN doc <> doc_id THEN n ELSE 0 END) AS c,
+        string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS l FROM later GROUP BY doc_id),
+src AS (SELECT doc_id, string_agg(CAST(doc AS VARCHAR), ',' ORDER BY doc) AS s
+        FROM (SELECT DISTINCT doc_id, doc FROM later WHERE doc <> doc_id) GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n, 0) AS n_repeated, CAST(coalesce(c, 0) AS BIGINT) AS repeated_chars,
+       coalesce(l, '') AS repeated_lines, coalesce(s, '') AS first_seen_in
+FROM documents LEFT JOIN per USING (doc_id) LEFT JOIN src USING (doc_id)
+"""
+
+_OP5 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (SELECT doc_id, s, list_slice(w, s, s + 4) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM d WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, g FROM runs GROUP BY doc_id, g HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(s, s + 5)) AS x FROM runs JOIN twice USING (doc_id, g)) GROUP BY doc_id),
+m AS (SELECT doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+             coalesce(n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+             n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words OR word_chars > 15 * n_words
+            OR 10 * n_dup_lines > 3 * len(string_split(t, chr(10)))
+            OR 10 * len(regexp_extract_all(t, '[A-Z]')) > 4 * len(regexp_extract_all(t, '[A-Za-z]'))
+            OR 10 * len(regexp_extract_all(t, '!')) > 3 * n_words) AS kept
+FROM b
+"""
+
+
+def _op8() -> str:
+    """Spans of each kind from the pieces between its matches."""
+    from .secrets import EXAMPLE_OWNERS, KINDS
+
+    found = []
+    for place, (kind, pattern, group, least, _) in enumerate(KINDS):
+        p = pattern.replace("'", "''")
+        secret = f"regexp_extract_all(t, '{p}', {group})" if group else "ms"
+        found.append(f"""
+SELECT doc_id, owner, {place} AS place, '{kind}' AS kind, before + inside AS s, before + inside + length(ms[i]) AS e, secret[i] AS value
+FROM (SELECT doc_id, owner, ms, i, secret, coalesce(list_sum(list_transform(list_slice(ps, 1, i), lambda x: length(x))), 0) AS before,
+             coalesce(list_sum(list_transform(list_slice(ms, 1, i - 1), lambda x: length(x))), 0) AS inside
+      FROM (SELECT doc_id, owner, ms, ps, secret, unnest(range(1, len(ms) + 1)) AS i
+            FROM (SELECT doc_id, owner, t, ms, string_split_regex(t, '{p}') AS ps, {secret} AS secret
+                  FROM (SELECT doc_id, owner, t, regexp_extract_all(t, '{p}') AS ms FROM d)) WHERE len(ms) > 0))
+WHERE length(secret[i]) >= {least}""")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+f AS ({' UNION ALL '.join(found)}),
+wide AS (SELECT value, count(DISTINCT owner) AS owners FROM f GROUP BY value),
+g AS (SELECT f.*, owners >= {EXAMPLE_OWNERS} AS example, kind || ':' || CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR) AS span
+      FROM f JOIN wide USING (value)),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY s, place) FILTER (place < 3) AS base,
+               string_agg(span, ',' ORDER BY s, place) AS spans, count(*) FILTER (example) AS n_example,
+               count(*) FILTER (NOT example) AS n_live FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_example, 0) AS n_example, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
+
 ORACLE_SQL = {
     "op1_decontaminate": _OP1,
+    "op2_line_dedup": _OP2,
+    "op5_quality_rules": _OP5,
+    "op8_secrets": _op8(),
     "op9_near_duplicates": _OP9,
 }
