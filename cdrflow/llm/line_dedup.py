@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tokens
 from .components import components
@@ -374,18 +375,21 @@ def without_repeats(docs: DataFrame, least_left: float = LEAST_LEFT) -> DataFram
     such a column, is counted anew for changed texts. Documents without
     repeated lines, also null and empty ones, stay as they are.
     """
-    found = repeats(docs)
-    both = docs.join(small(found.select("doc_id", "lines", "foreign_chars").withColumnsRenamed(
-        {"doc_id": "_doc", "lines": "_lines", "foreign_chars": "_foreign"}), "size(_lines)"), docs["doc_id"].cast("long") == F.col("_doc"), "left")
-    whole = F.length(F.regexp_replace("text", r"[\r\n]", ""))
-    both = both.filter(F.col("_doc").isNull() | (F.col("_foreign") <= (1 - least_left) * whole))
-    rest = [c for c in docs.columns if c != "text"]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
-    out = both.select(*(docs[c] for c in rest), F.col("_lines").isNotNull().alias("_changed"), "text", "_lines").mapInArrow(
-        _without, f"{kept}, _changed boolean, text string")
-    if "n_chars" in rest:
-        out = out.withColumn("n_chars", F.when(F.col("_changed"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    found = repeats(docs).select(F.col("doc_id").alias("at"), "lines", "foreign_chars")
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col("doc_id").cast("long").alias("at"))
+    whole = F.length(F.regexp_replace("d.text", r"[\r\n]", ""))
+    both = (packed.join(small(found, "size(lines)"), "at", "left")
+            .filter(F.col("lines").isNull() | (F.col("foreign_chars") <= (1 - least_left) * whole))
+            .select("d", F.col("lines").isNotNull().alias("changed"), F.col("d.text").alias("text"), "lines"))
+    out = both.mapInArrow(_without, T.StructType([*both.schema.fields[:2], T.StructField("text", T.StringType())]))
+
+    def column(f: T.StructField):
+        if f.name == "text":
+            return F.col("text")
+        if f.name == "n_chars":
+            return F.when(F.col("changed"), F.length("text")).otherwise(F.col("d.n_chars")).cast(f.dataType).alias("n_chars")
+        return F.col("d")[f.name].alias(f.name)
+    return out.select(*map(column, docs.schema.fields))
 
 
 def report(docs: DataFrame) -> DataFrame:
