@@ -28,6 +28,7 @@ from ..functions.time import epoch_from_ntz
 from ..operators.asof import catalog_fits, versions_per_operator
 from ..operators.joins import lookup_join, measure, within_bounds
 from ..operators.partitioning import spread
+from ..schema import LINE_FIELDS
 from ..sources.descriptors import parse_descriptors
 
 DATATYPE = "webcdr"
@@ -39,22 +40,15 @@ VERSION_STARTS = {"v1": "2024-01-02 00:00:00", "v2": "2024-01-10 00:00:00",
 TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 REGISTERED_AT = 1_700_000_000_000
 
-_V1_FIELDS = [
-    ("msisdn", "String", ""), ("imsi", "String", ""), ("imei", "String", ""),
-    ("subscription", "String", ""), ("language", "String", ""),
-    ("session_time", "int", TIME_PATTERN), ("service_code", "String", ""),
-    ("bearer", "String", ""), ("page_sent", "int", ""), ("duration", "int", ""),
-    ("vlr_number", "String", ""), ("session_end", "String", TIME_PATTERN),
-    ("action_url", "String", ""), ("extra", "String", ""),
-]
+_TYPES = {"session_time": "int", "page_sent": "int", "duration": "int"}
+_V1_FIELDS = [(name, _TYPES.get(name, "String"), "") for name in LINE_FIELDS]
 
 
 def _layout(version: str) -> tuple[str, list[tuple[str, str, str]]]:
     fields = list(_V1_FIELDS)
     if version == "v2":
         fields.insert(3, ("cell_id", "String", ""))
-        fields[fields.index(("session_time", "int", TIME_PATTERN))] = (
-            "session_time", "String", TIME_PATTERN)
+        fields[fields.index(("session_time", "int", ""))] = ("session_time", "String", TIME_PATTERN)
         return ";", fields
     if version == "v3":
         fields[5] = ("session_time", "long", "")
@@ -206,7 +200,7 @@ def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
         "page_sent": F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit("x"))
                       .when(sms, F.lit("0")).otherwise(n_urls.cast("string")),
         "duration": F.floor(F.col("value")).cast("bigint").cast("string"),
-        "vlr_number": F.lit("33999999999"),
+        "vlr_number": F.lit("4917000"),
         "session_end": F.lit(""),
         "action_url": F.when(sms, F.lit("")).otherwise(urls_text),
         "extra": F.when(sms, F.concat(F.col("event_type"), F.lit("#digest"))),

@@ -50,13 +50,13 @@ lines AS (
            WHEN 'v2' THEN concat_ws(';', msisdn, imsi, '', CAST(user_id % 97 AS VARCHAR), '', lang,
                                     strftime(ts, '%Y-%m-%d %H:%M:%S'), service,
                                     CASE WHEN sms THEN 'sms' ELSE 'U2' END, page_sent_txt, duration_txt,
-                                    '33999999999', '', action_txt, extra_txt)
+                                    '4917000', '', action_txt, extra_txt)
            WHEN 'v3' THEN concat_ws('|', msisdn, imsi, '', '', lang, CAST(epoch_s AS VARCHAR), service,
                                     CASE WHEN sms THEN 'sms' ELSE 'U2' END, page_sent_txt, duration_txt,
-                                    '33999999999', '', action_txt, extra_txt)
+                                    '4917000', '', action_txt, extra_txt)
            ELSE concat_ws(';', msisdn, imsi, '', '', lang, CAST(epoch_s AS VARCHAR), service,
                           CASE WHEN sms THEN 'sms' ELSE 'U2' END, page_sent_txt, duration_txt,
-                          '33999999999', '', action_txt, extra_txt)
+                          '4917000', '', action_txt, extra_txt)
          END AS line
   FROM txt
 ),
@@ -68,7 +68,7 @@ std AS (
          CAST(CASE WHEN event_id % 7 = 0 THEN NULL WHEN sms THEN 0
                    ELSE CAST(url1 IS NOT NULL AS INTEGER) + CAST(url2 IS NOT NULL AS INTEGER) END AS INTEGER) AS page_sent,
          CAST(floor(value) AS INTEGER) AS duration,
-         '33999999999' AS vlr_number, '' AS session_end,
+         '4917000' AS vlr_number, '' AS session_end,
          CASE WHEN sms THEN NULL ELSE split_part(url1, '?', 1) END AS u1,
          CASE WHEN sms THEN NULL ELSE split_part(url2, '?', 1) END AS u2,
          CASE WHEN sms THEN event_type || '#digest' END AS extra,

@@ -23,9 +23,9 @@ def test_run_batch_end_to_end(spark, tmp_dir):
 
     wh = Warehouse(wh_root)
     users = {(r["op"], r["msisdn"]): r["user_id"] for r in tables.dim_user(spark, wh).collect()}
-    assert users[("alphanet", "+33710000003")] == 1
-    assert users[("alphanet", "+33790000817")] == 4
-    assert users[("gammatel", "+33710000005")] == 6
+    assert users[("alphanet", fx.ANNA)] == 1
+    assert users[("alphanet", fx.DORA)] == 4
+    assert users[("gammatel", fx.FAYE)] == 6
 
     pages = {r["url"]: r["page_id"] for r in tables.dim_page(spark, wh).collect()}
     assert sorted(pages.values()) == list(range(1, fx.PAGES + 1))
@@ -34,15 +34,15 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     enriched = spark.read.parquet(wh.enriched).where("batch_id = 1")
     rows = {(r["user_id"], r["session_time"]): r for r in enriched.collect()}
     assert len(rows) == fx.STANDARD_ROWS
-    post = rows[(users[("alphanet", "+33710000107")], 1344939907)]["page_ids"]
-    assert post == [pages["file:/srv/app/en/post.xml"], pages["file:/srv/app/en/post.xml#id87"],
-                    pages["file:/srv/app/en/post.xml#id90"]]
-    repeated = rows[(users[("alphanet", "+33790000817")], 1344940000)]["page_ids"]
+    post = rows[(users[("alphanet", fx.BERT)], fx.DAY + 150)]["page_ids"]
+    assert post == [pages[f"{fx.MENU}/news.xml"], pages[f"{fx.MENU}/news.xml#p1"],
+                    pages[f"{fx.MENU}/news.xml#p12"]]
+    repeated = rows[(users[("alphanet", fx.DORA)], fx.DAY + 333)]["page_ids"]
     assert repeated == [pages["http://example.com/a"]] * 2
-    empty = rows[(users[("alphanet", "+33790000817")], 1344940100)]
+    empty = rows[(users[("alphanet", fx.DORA)], fx.DAY + 402)]
     assert empty["page_ids"] == [] and empty["page_sent"] is None and empty["extra"] is None
-    eleven = rows[(users[("gammatel", "+33710000005")], 1344939960)]["page_ids"]
-    assert eleven == [pages[f"file:/srv/p/{i}.xml"] for i in range(1, 12)]
+    eleven = rows[(users[("gammatel", fx.FAYE)], fx.DAY + 95)]["page_ids"]
+    assert eleven == [pages[u] for u in fx.ELEVEN_PAGES]
     # law: list length equals page_sent where page_sent is a number
     for r in rows.values():
         if r["page_sent"] is not None:

@@ -15,9 +15,9 @@ def test_cli_batch_and_import(spark, tmp_dir, capsys):
     os.makedirs(os.path.join(legacy, "idc", "user"))
     os.makedirs(os.path.join(legacy, "idc", "page"))
     with open(os.path.join(legacy, "idc", "user", "1"), "w") as fh:
-        fh.write("7;idc;alphanet;+33710000003;208150000000003;\n")
+        fh.write(f"7;idc;alphanet;{fx.BERT};{fx.IMSI[fx.BERT]};\n")
     with open(os.path.join(legacy, "idc", "page", "1"), "w") as fh:
-        fh.write("40;file:/srv/app/en/status.xml\n")
+        fh.write(f"40;{fx.MENU}/balance.xml\n")
     main(["import-dims", "--legacy", legacy, "--warehouse", wh])
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"users": 1, "pages": 1}
     main(["batch", "--landing", landing, "--warehouse", wh, "--batch-id", "5", "--no-text"])
@@ -26,6 +26,6 @@ def test_cli_batch_and_import(spark, tmp_dir, capsys):
     # the imported subscriber and page keep their ids; the rest continue after them
     assert res["new_users"] == fx.USERS - 1 and res["new_pages"] == fx.PAGES - 1
     users = {r["msisdn"]: r["user_id"] for r in spark.read.parquet(os.path.join(wh, "dim_user")).collect()}
-    assert users["+33710000003"] == 7 and min(v for k, v in users.items() if k != "+33710000003") == 8
+    assert users[fx.BERT] == 7 and min(v for k, v in users.items() if k != fx.BERT) == 8
     pages = {r["url"]: r["page_id"] for r in spark.read.parquet(os.path.join(wh, "dim_page")).collect()}
-    assert pages["file:/srv/app/en/status.xml"] == 40 and sorted(pages.values())[:1] == [40]
+    assert pages[f"{fx.MENU}/balance.xml"] == 40 and sorted(pages.values())[:1] == [40]

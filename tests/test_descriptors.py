@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cdrflow.sources.descriptors import format_fields, parse_descriptors, parse_properties
 from cdrflow.schema import URL_PATTERN
 
-from cdr_fixtures import descriptor
+from cdr_fixtures import START_1, descriptor
 
 
 def frame(spark, name, content, dc="idc"):
@@ -21,7 +21,7 @@ def test_properties_last_value_wins_and_comments(spark):
 
 def test_descriptor_is_flattened_with_positions(spark):
     p = parse_descriptors(frame(spark, "data_format-x-alphanet-2012.properties",
-                                descriptor("1970-01-01 14:32:52", ";"))).first()
+                                descriptor(START_1, ";"))).first()
     assert p["problem"] is None
     assert p["op"] == "alphanet"
     assert p["start_time"] == 14 * 3600 + 32 * 60 + 52
@@ -35,18 +35,18 @@ def test_descriptor_is_flattened_with_positions(spark):
 
 def test_format_fields_rows(spark):
     ff = format_fields(parse_descriptors(frame(spark, "data_format-x-alphanet-2012.properties",
-                                               descriptor("1970-01-01 14:32:52", "|"))))
+                                               descriptor(START_1, "|"))))
     rows = {r["field"]: r for r in ff.collect()}
     assert len(rows) == 14 and rows["extra"]["pos"] == 13
     assert rows["action_url"]["format"] == URL_PATTERN
 
 
 def test_bad_descriptors_are_flagged(spark):
-    bad_name = parse_descriptors(frame(spark, "format.properties", descriptor("1970-01-01 00:00:00", ";")))
+    bad_name = parse_descriptors(frame(spark, "format.properties", descriptor(START_1, ";")))
     assert bad_name.first()["problem"] == "bad_descriptor_name"
     no_start = parse_descriptors(frame(spark, "data_format-x-a-1.properties", "delimiter=;\nfields={}"))
     assert no_start.first()["problem"] == "no_start_time"
-    bad_pat = descriptor("1970-01-01 00:00:00", ";").replace("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss nnnn")
+    bad_pat = descriptor(START_1, ";").replace("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss nnnn")
     assert parse_descriptors(frame(spark, "data_format-x-a-1.properties", bad_pat)).first()["problem"] == "bad_pattern"
 
 

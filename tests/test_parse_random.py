@@ -11,11 +11,8 @@ from cdrflow.operators.standardize import parse_lines
 from cdrflow.schema import LINE_FIELDS, URL_PATTERN
 from cdrflow.sources.descriptors import parse_descriptors
 
-BASE = [("msisdn", "String", ""), ("imsi", "String", ""), ("imei", "String", ""),
-        ("subscription", "String", ""), ("language", "String", ""),
-        ("session_time", "int", ""), ("service_code", "String", ""), ("bearer", "String", ""),
-        ("page_sent", "int", ""), ("duration", "int", ""), ("vlr_number", "String", ""),
-        ("session_end", "String", ""), ("action_url", "String", ""), ("extra", "String", "")]
+TYPES = {"session_time": "int", "page_sent": "int", "duration": "int"}
+BASE = [(name, TYPES.get(name, "String"), "") for name in LINE_FIELDS]
 V2 = [BASE[1], BASE[0], BASE[2], ("cell", "String", ""), BASE[3], BASE[4],
       ("session_time", "String", "yyyy-MM-dd HH:mm:ss")] + BASE[6:]
 V3 = BASE[:5] + [("session_time", "long", "")] + BASE[6:9] + [("duration", "long", "")] + BASE[10:]

@@ -11,10 +11,10 @@ import cdr_fixtures as fx
 def test_legacy_dictionary_text_keeps_empty_fields(spark, tmp_dir):
     users = os.path.join(tmp_dir, "user.txt")
     with open(users, "w") as fh:
-        fh.write("1;idc;alphanet;+33790000817;;\n2;idc;gammatel;+33710000004;208150000000004;\n\n")
+        fh.write(f"1;idc;alphanet;{fx.DORA};;\n2;idc;gammatel;{fx.EMIL};{fx.IMSI[fx.EMIL]};\n\n")
     rows = {r["user_id"]: r for r in import_text_dim_user(spark, users, "idc").collect()}
     assert rows[1]["imsi"] == "" and rows[1]["imei"] == "" and rows[1]["op"] == "alphanet"
-    assert rows[2]["imsi"] == "208150000000004"
+    assert rows[2]["imsi"] == fx.IMSI[fx.EMIL]
     pages = os.path.join(tmp_dir, "page.txt")
     with open(pages, "w") as fh:
         fh.write("9;file:/a.xml\n10;http://h.com/x;y\n")
@@ -27,7 +27,7 @@ def test_batch_with_no_data_files(spark, tmp_dir):
     d = os.path.join(landing, "idc", "webcdr")
     os.makedirs(d)
     with open(os.path.join(d, "data_format-x-alphanet-2012.properties"), "w") as fh:
-        fh.write(fx.descriptor("1970-01-01 14:32:52", ";"))
+        fh.write(fx.descriptor(fx.START_1, ";"))
     res = run_batch(spark, landing, os.path.join(tmp_dir, "wh"), batch_id=1)
     assert (res.standard_rows, res.new_users, res.new_pages) == (0, 0, 0)
     assert res.rejected == {}
@@ -41,7 +41,7 @@ def test_import_legacy_dims_settles_ids(spark, tmp_dir):
     for sub in ("user", "page"):
         os.makedirs(os.path.join(root, "idc", sub))
     with open(os.path.join(root, "idc", "user", "1000"), "w") as fh:
-        fh.write("1;idc;alphanet;+33790000817;;\n2;idc;gammatel;+33710000004;208150000000004;\n")
+        fh.write(f"1;idc;alphanet;{fx.DORA};;\n2;idc;gammatel;{fx.EMIL};{fx.IMSI[fx.EMIL]};\n")
     with open(os.path.join(root, "idc", "page", "1000"), "w") as fh:  # url under two ids, id 10 reused
         fh.write("9;file:/a.xml\n10;file:/b.xml\n10;file:/c.xml\n11;file:/a.xml\n")
     wh = os.path.join(tmp_dir, "wh")
@@ -49,5 +49,5 @@ def test_import_legacy_dims_settles_ids(spark, tmp_dir):
     pages = {r["url"]: r["page_id"] for r in tables.dim_page(spark, Warehouse(wh)).collect()}
     assert pages == {"file:/a.xml": 9, "file:/b.xml": 10, "file:/c.xml": 11}
     users = {r["msisdn"]: (r["user_id"], r["imsi"], r["imei"]) for r in tables.dim_user(spark, Warehouse(wh)).collect()}
-    assert users["+33790000817"] == (1, "", "")
+    assert users[fx.DORA] == (1, "", "")
     assert import_legacy_dims(spark, root, wh) == (0, 0)  # idempotent

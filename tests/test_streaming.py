@@ -13,9 +13,9 @@ def test_arrival_runs_only_new_files(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     d = os.path.join(landing, "idc", "webcdr")
     os.makedirs(d)
-    with open(os.path.join(d, "data_format-x-alphanet-2012.properties"), "w") as fh:
-        fh.write(fx.descriptor("1970-01-01 14:32:52", ";"))
-    fx.write(os.path.join(d, "CDR_alphanet_20120702_024801_localhost_0001"), fx.ALPHANET_1[:3])
+    with open(os.path.join(d, "data_format-x-alphanet-1.properties"), "w") as fh:
+        fh.write(fx.descriptor(fx.START_1, ";"))
+    fx.write(os.path.join(d, "CDR_alphanet_20240304_080000_h1_0001"), fx.ALPHANET_1[:3])
     wh_root, ckpt = os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "ckpt")
     run_available(spark, landing, wh_root, ckpt, batch_base=100)
     wh = Warehouse(wh_root)
@@ -26,11 +26,11 @@ def test_arrival_runs_only_new_files(spark, tmp_dir):
     run_available(spark, landing, wh_root, ckpt, batch_base=100)
     assert spark.read.parquet(wh.enriched).count() == 3
 
-    fx.write(os.path.join(d, "CDR_alphanet_20120702_024801_localhost_0002"), fx.ALPHANET_1[3:])
+    fx.write(os.path.join(d, "CDR_alphanet_20240304_090000_h1_0002"), fx.ALPHANET_1[3:])
     run_available(spark, landing, wh_root, ckpt, batch_base=100)
     dim = {r["msisdn"]: r["user_id"] for r in tables.dim_user(spark, wh).collect()}
     assert len(dim) == 4 and all(dim[k] == v for k, v in first_ids.items())
-    assert dim["+33790000817"] == 4
+    assert dim[fx.DORA] == 4
     assert spark.read.parquet(wh.enriched).count() == len(fx.ALPHANET_1)
 
 
@@ -39,15 +39,15 @@ def test_long_running_stream_takes_new_files(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     d = os.path.join(landing, "idc", "webcdr")
     os.makedirs(d)
-    with open(os.path.join(d, "data_format-x-alphanet-2012.properties"), "w") as fh:
-        fh.write(fx.descriptor("1970-01-01 14:32:52", ";"))
-    fx.write(os.path.join(d, "CDR_alphanet_20120702_024801_localhost_0001"), fx.ALPHANET_1[:3])
+    with open(os.path.join(d, "data_format-x-alphanet-1.properties"), "w") as fh:
+        fh.write(fx.descriptor(fx.START_1, ";"))
+    fx.write(os.path.join(d, "CDR_alphanet_20240304_080000_h1_0001"), fx.ALPHANET_1[:3])
     wh_root = os.path.join(tmp_dir, "wh")
     q = start(spark, landing, wh_root, os.path.join(tmp_dir, "ckpt"),
               available_now=False, processing_time="1 second")
     try:
         q.processAllAvailable()
-        fx.write(os.path.join(d, "CDR_alphanet_20120702_024801_localhost_0002"), fx.ALPHANET_1[3:])
+        fx.write(os.path.join(d, "CDR_alphanet_20240304_090000_h1_0002"), fx.ALPHANET_1[3:])
         q.processAllAvailable()
     finally:
         q.stop()
