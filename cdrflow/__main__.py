@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--every", default=None, help="processing-time trigger; default: available now")
     s.add_argument("--max-files", type=int, default=10)
-    s.add_argument("--batch-base", type=int, default=0)
+    s.add_argument("--descriptors", default=None, help="descriptor root (default: the landing)")
     m = sub.add_parser("import-dims", help="append old text dictionaries <root>/<dc>/{user,page}/*")
     m.add_argument("--legacy", required=True)
     m.add_argument("--warehouse", required=True)
@@ -51,13 +51,12 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(res.__dict__))
     elif args.command == "import-dims":
         from .plans.batch import import_legacy_dims
-        users, pages = import_legacy_dims(spark, args.legacy, args.warehouse)
-        print(json.dumps({"users": users, "pages": pages}))
+        print(json.dumps(import_legacy_dims(spark, args.legacy, args.warehouse).__dict__))
     else:
         from .streaming.arrival import start
-        q = start(spark, args.landing, args.warehouse, args.checkpoint, args.batch_base,
+        q = start(spark, args.landing, args.warehouse, args.checkpoint,
                   available_now=args.every is None, processing_time=args.every,
-                  max_files=args.max_files)
+                  max_files=args.max_files, descriptor_root=args.descriptors)
         q.awaitTermination()
 
 

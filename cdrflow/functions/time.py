@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-# Pattern letters accepted in descriptor formats; anything else is refused
-# when a format is registered, because an illegal pattern fails a whole job.
-_PATTERN_CHAR = r"[[^A-Za-z'][yMdDHhmsSaEkKzZXxVOuL]]"
-VALID_PATTERN = rf"^{_PATTERN_CHAR}*(?:'[^']*'{_PATTERN_CHAR}*)*$"
+# The letters, and how often each may stand in a row, that
+# Spark's parser takes when it reads a time. Anything else is refused when a
+# format is registered, because an illegal pattern fails a whole job. Week
+# fields, quarters' names and optional sections are not taken.
+_PATTERN_RUNS = ["y{1,6}", "M{1,4}", "L{1,4}", "d{1,2}", "D{1,3}", "H{1,2}", "h{1,2}", "k{1,2}", "K{1,2}",
+                 "m{1,2}", "s{1,2}", "S{1,9}", "a", "VV", "z{1,4}", "O", "O{4}", "X{1,5}", "x{1,5}", "Z{1,5}"]
+_RUN = "|".join(f"(?<!{r[0]}){r}(?!{r[0]})" for r in _PATTERN_RUNS)
+_OTHER = r"[^A-Za-z'\[\]{}#]"
+VALID_PATTERN = rf"^(?:{_RUN}|{_OTHER}|'[^']*')*$"
 
 
 def _lit(x: Column | str) -> Column:
@@ -28,13 +33,23 @@ def epoch_from_text(text: Column, pattern: Column | str, zone: Column | str = "U
     A pattern with its own zone or offset letters is read as it is; otherwise
     ``zone`` is attached. NULL for unparsable text or a blank pattern.
     """
-    pat = _lit(pattern)
-    tz = _lit(zone)
-    has_zone = F.regexp_replace(pat, "'[^']*'", "").rlike("[zZXxVO]")
-    parsed = F.when(has_zone, F.try_to_timestamp(text, pat)).otherwise(
-        F.try_to_timestamp(F.concat(text, F.lit(" "), tz), F.concat(pat, F.lit(" VV"))))
-    ok = text.isNotNull() & (F.trim(text) != "") & pat.isNotNull() & (F.trim(pat) != "")
-    return F.when(ok, F.unix_seconds(parsed))
+    return epoch_by_rule(text, time_rule(_lit(pattern), _lit(zone)))
+
+
+def time_rule(pattern: Column, zone: Column) -> Column:
+    """What :func:`epoch_by_rule` needs of a pattern, worked out once per pattern:
+    (whole, suffix) -- the pattern with a zone, and what is put behind the text.
+    NULL for a blank pattern."""
+    has_zone = F.regexp_replace(pattern, "'[^']*'", "").rlike("[zZXxVO]")
+    return F.when(F.trim(pattern) != "", F.struct(
+        F.when(has_zone, pattern).otherwise(F.concat(pattern, F.lit(" VV"))).alias("whole"),
+        F.when(has_zone, F.lit("")).otherwise(F.concat(F.lit(" "), zone)).alias("suffix")))
+
+
+def epoch_by_rule(text: Column, rule: Column) -> Column:
+    """Epoch seconds of text read by a :func:`time_rule`; NULL when either is missing."""
+    parsed = F.try_to_timestamp(F.concat(text, rule["suffix"]), rule["whole"])
+    return F.when(rule.isNotNull() & (F.trim(text) != ""), F.unix_seconds(parsed))
 
 
 def epoch_from_ntz(ts: Column) -> Column:

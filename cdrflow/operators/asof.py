@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import field_at, parse_long, quote_regex, split_line
-from ..functions.time import epoch_from_text
+from ..functions.time import epoch_by_rule, time_rule
 from .joins import fits_broadcast, lookup_join
 
 OP_KEY = ["dc", "datatype", "op"]
@@ -29,13 +29,17 @@ OP_KEY = ["dc", "datatype", "op"]
 def versions_per_operator(formats: DataFrame) -> DataFrame:
     """One row per (dc, datatype, op) with its valid versions, oldest first.
 
-    Ties on start time go to the newest registration, then the name.
+    Ties on start time go to the newest registration, then the name. What a
+    line's time needs of a version (``rule``) is worked out here, once.
     """
+    meta = F.col("layout.session_time")
     version = F.struct(
         F.col("start_time"), F.col("registered_at"), F.col("format_name"),
         F.col("format_id"), F.col("delimiter"),
         quote_regex(F.col("delimiter")).alias("delim_rx"),
-        F.col("timezone"), F.col("layout"))
+        F.col("timezone"), F.col("layout"),
+        meta["type"].isin("INT", "LONG").alias("numeric_time"),
+        time_rule(meta["format"], F.col("timezone")).alias("rule"))
     return (formats.where(F.col("problem").isNull())
             .groupBy(*OP_KEY)
             .agg(F.sort_array(F.collect_list(version)).alias("versions")))
@@ -43,34 +47,42 @@ def versions_per_operator(formats: DataFrame) -> DataFrame:
 
 def time_under(line: Column, version: Column) -> Column:
     """Session time (epoch seconds) of ``line`` read through ``version``."""
-    meta = version["layout"]["session_time"]
-    raw = field_at(split_line(line, version["delim_rx"]), meta["pos"])
-    return (F.when(meta["type"].isin("INT", "LONG"), parse_long(raw))
-            .otherwise(epoch_from_text(raw, meta["format"], version["timezone"])))
-
-
-def _qualifies(line: Column, version: Column) -> Column:
-    return time_under(line, version) >= version["start_time"]
+    raw = field_at(split_line(line, version["delim_rx"]), version["layout"]["session_time"]["pos"])
+    return F.when(version["numeric_time"], parse_long(raw)).otherwise(epoch_by_rule(raw, version["rule"]))
 
 
 def choose_version(line: Column, versions: Column, element_type: T.DataType) -> Column:
-    """The version valid for ``line``: latest start not after its time, else NULL.
+    """Struct (time, version) of the version valid for ``line``: latest start not
+    after the line's time under it, else NULL.
 
     Versions are tried newest first; once one fits, older ones are not read.
     The lambda keeps the compiled stage small however many versions exist
     (an unrolled CASE, pushed into filters by the optimizer, outgrows the
     JVM's method size limit).
     """
-    none = F.lit(None).cast(element_type)
-    return F.aggregate(F.reverse(versions), none, lambda acc, v: F.when(acc.isNotNull(), acc)
-                       .when(F.coalesce(_qualifies(line, v), F.lit(False)), v))
+    kind = T.StructType([T.StructField("time", T.LongType()), T.StructField("version", element_type)])
+
+    def tried(v: Column) -> Column:
+        fits = F.filter(F.array(time_under(line, v)), lambda t: t >= v["start_time"])
+        return F.get(F.transform(fits, lambda t: F.struct(t.alias("time"), v.alias("version"))), 0)
+
+    return F.aggregate(F.reverse(versions), F.lit(None).cast(kind),
+                       lambda acc, v: F.when(acc.isNotNull(), acc).otherwise(tried(v)))
 
 
 def with_chosen_version(df: DataFrame, line: str = "line", versions: str = "versions",
                         out: str = "_v") -> DataFrame:
-    """``df`` plus ``out``, the version valid for each line (NULL when none is)."""
+    """``df`` plus ``out``, the version valid for each line, and ``out + '_time'``,
+    its session time under it (NULL when none is).
+
+    The choice is made by a generator of one row: later filters and
+    projections refer to its result, whereas a plain projection would be
+    copied into each of them and walk the versions again.
+    """
     element_type = df.schema[versions].dataType.elementType
-    return df.withColumn(out, choose_version(F.col(line), F.col(versions), element_type))
+    choice = choose_version(F.col(line), F.col(versions), element_type)
+    made = df.select(*df.columns, F.explode(F.array(choice)).alias("_choice"))
+    return made.select(*df.columns, F.col("_choice.version").alias(out), F.col("_choice.time").alias(f"{out}_time"))
 
 
 def catalog_fits(versions: DataFrame) -> bool:

@@ -14,9 +14,13 @@ from ..functions.time import bucket_label, bucket_start
 
 def page_hits(rows: DataFrame, by: str = "url") -> DataFrame:
     """Hits per page (A05): ``by='url'`` on standard rows, ``'page_id'`` on enriched rows."""
-    source = "urls" if by == "url" else "page_ids"
-    return (rows.select("dc", F.explode(source).alias(by))
-            .groupBy("dc", by).agg(F.count(F.lit(1)).alias("hits")))
+    if by == "url":
+        # explode_outer and a filter behind it: the filter that explode implies
+        # would extract the pages a second time, below.
+        hits = rows.select("dc", F.explode_outer("urls").alias(by)).where(F.col(by).isNotNull())
+    else:
+        hits = rows.select("dc", F.explode("page_ids").alias(by))
+    return (hits.groupBy("dc", by).agg(F.count(F.lit(1)).alias("hits")))
 
 
 def bucket_counts(std: DataFrame, keys: list[str] | None = None,
@@ -26,8 +30,8 @@ def bucket_counts(std: DataFrame, keys: list[str] | None = None,
     return (std.withColumn("bucket", bucket_label(F.col("session_time"), pattern))
             .groupBy(*keys, "bucket")
             .agg(F.count(F.lit(1)).alias("sessions"),
-                 F.sum("duration").cast("bigint").alias("duration"),
-                 F.sum("page_sent").cast("bigint").alias("pages")))
+                 F.sum(F.col("duration").try_cast("bigint")).alias("duration"),
+                 F.sum(F.col("page_sent").try_cast("bigint")).alias("pages")))
 
 
 def window_counts(std: DataFrame, seconds: int = 3600, keys: list[str] | None = None) -> DataFrame:

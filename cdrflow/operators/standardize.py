@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_urls, field_at, parse_int, parse_long, split_line
-from ..functions.time import epoch_from_text, to_timestamp
-from ..schema import EPOCH_TARGET, INT_TARGETS, LINE_FIELDS, URL_TARGET
+from ..functions.time import to_timestamp
+from ..schema import EPOCH_TARGET, LINE_FIELDS, UNPLACED, URL_TARGET
 from .asof import attach_versions, with_chosen_version
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
@@ -29,13 +29,9 @@ STD_COLUMNS = [
 REJECT_COLUMNS = TAG_COLUMNS + ["line", "reason"]
 
 
-def _typed(name: str, raw: Column, kind: Column, fmt: Column, zone: Column) -> Column:
-    if name in INT_TARGETS:
-        return (F.when(kind == "LONG", parse_long(raw).try_cast("int"))
-                .otherwise(parse_int(raw)))
-    if name == EPOCH_TARGET:
-        return (F.when(kind.isin("INT", "LONG"), parse_long(raw))
-                .otherwise(epoch_from_text(raw, fmt, zone)))
+def _typed(name: str, raw: Column, kind: Column) -> Column:
+    """A field as its version declares it: INT and LONG values that are such
+    numbers, other types as they are. All but the page list are kept as text."""
     if name == URL_TARGET:
         return extract_urls(raw)
     return (F.when(kind == "INT", parse_int(raw).cast("string"))
@@ -52,12 +48,13 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     ``mode='failfast'`` the first bad line fails the job (as the original job
     did) instead of being kept aside.
 
-    The steps are separate projections (version, then raw fields, then
-    typed values) so each intermediate is computed once per row and the
-    compiled code stays small.
+    The version and the session time come from one walk per line, made by a
+    generator (see :func:`with_chosen_version`); what follows is cheap
+    enough for the optimizer to copy where it filters early.
     """
     chosen = with_chosen_version(attach_versions(lines, versions, small))
-    reason = (F.when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
+    reason = (F.when(F.col("datatype") == UNPLACED, F.lit("bad_path"))
+              .when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))
               .when(F.col("_v").isNull(), F.lit("no_valid_format")))
     if mode == "failfast":
@@ -66,18 +63,17 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     elif mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     base = chosen.select(*TAG_COLUMNS, "line", "_v", reason.alias("reason"),
-                         split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"))
+                         split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"), F.col("_v_time"))
     raw = base.select(
         *TAG_COLUMNS, "line", "reason",
         F.col("_v.format_id").alias("format_id"), F.col("_v.format_name").alias("format_name"),
-        F.col("_v.timezone").alias("_zone"),
+        F.col("_v_time").alias("session_time"),
         *[field_at(F.col("_parts"), F.col(f"_v.layout.{n}.pos")).alias(f"_raw_{n}")
-          for n in LINE_FIELDS],
-        *[F.col(f"_v.layout.{n}.type").alias(f"_type_{n}") for n in LINE_FIELDS],
-        F.col("_v.layout.session_time.format").alias("_fmt_session_time"))
-    values = [_typed(n, F.col(f"_raw_{n}"), F.col(f"_type_{n}"),
-                     F.col("_fmt_session_time"), F.col("_zone"))
-              .alias("urls" if n == URL_TARGET else n) for n in LINE_FIELDS]
+          for n in LINE_FIELDS if n != EPOCH_TARGET],
+        *[F.col(f"_v.layout.{n}.type").alias(f"_type_{n}") for n in LINE_FIELDS])
+    values = [F.col(n) if n == EPOCH_TARGET else
+              _typed(n, F.col(f"_raw_{n}"), F.col(f"_type_{n}")).alias("urls" if n == URL_TARGET else n)
+              for n in LINE_FIELDS]
     typed = raw.select(*TAG_COLUMNS, "line", *values, "format_id", "format_name", "reason")
     return typed.withColumn("session_ts", to_timestamp(F.col("session_time")))
 

@@ -8,10 +8,16 @@ enriched rows, their text form and hourly usage.
 Every step reads what the previous step wrote, so a lost executor only
 repeats the step it was in, and re-running a batch id replaces its own
 output partitions and adds no dictionary rows.
+
+Each data file belongs to one batch. A run first writes down the files it
+takes (``ingested``) and last that it is through (``finished_batches``); later
+runs take only files that no batch has, after finishing any batch that was
+broken off. So a file's lines are stored exactly once.
 """
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -20,9 +26,12 @@ from pyspark.sql import functions as F
 
 from ..operators import dims, enrich, metrics, standardize
 from ..operators.joins import anti_join
+from ..operators.migrate import settle_ids
+from ..operators.partitioning import spread
+from ..schema import USER_KEY
 from ..session import checkpoint_dir
 from ..sources import catalog, tables
-from ..sources.landing import read_landing, tag_lines
+from ..sources.landing import list_files, place_of, plain_path, read_partitioned_lines, read_raw_lines, tag_lines
 from ..sources.tables import Warehouse
 
 PARTITIONS = ["dc", "datatype", "batch_id"]
@@ -48,7 +57,7 @@ class BatchResult:
     new_pages: int
 
 
-def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse):
+def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id: int):
     """Parse tagged lines and write them, good and quarantined, in one pass.
 
     Returns the schema of the stored records.
@@ -58,7 +67,7 @@ def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse):
     out = (parsed.withColumn("status", F.when(F.col("reason").isNull(), F.lit("ok"))
                              .otherwise(F.lit("rejected")))
            .withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line"))))
-    tables.write_batch(out, wh.records, ["status"] + PARTITIONS)
+    tables.write_batch(out, wh.records, ["status"] + PARTITIONS, batch_id)
     return out.schema
 
 
@@ -99,15 +108,14 @@ def enrich_and_store(spark: SparkSession, std: DataFrame, wh: Warehouse, batch_i
     rows = enrich.enrich(std, tables.dim_user(spark, wh), tables.dim_page(spark, wh))
     if cluster_output:
         rows = rows.repartitionByRange(*PARTITIONS, "row_id")
-    tables.write_batch(rows, wh.enriched, PARTITIONS)
+    schema = rows.schema
+    tables.write_batch(rows, wh.enriched, PARTITIONS, batch_id)
     if text:
-        stored = spark.read.parquet(wh.enriched).where(F.col("batch_id") == batch_id)
-        (stored.select(*PARTITIONS, enrich.text_line().alias("value"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITIONS).text(wh.text))
+        stored = tables.read_or_empty(spark, wh.enriched, schema).where(F.col("batch_id") == batch_id)
+        tables.write_batch(stored.select(*PARTITIONS, enrich.text_line().alias("value")), wh.text, PARTITIONS, batch_id, "text")
     usage = metrics.bucket_counts(std, keys=["dc", "datatype", "batch_id", "op",
                                              "service_code", "bearer"])
-    tables.write_batch(usage, wh.usage, PARTITIONS)
+    tables.write_batch(usage, wh.usage, PARTITIONS, batch_id)
 
 
 def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id: int,
@@ -115,7 +123,7 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
     """Everything after the scan, for tagged lines of one batch."""
     checkpoint_dir(spark)
     with _step(spark, "parse and store records"):
-        schema = parse_and_store(spark, lines, wh)
+        schema = parse_and_store(spark, lines, wh, batch_id)
     with _step(spark, "count records"):
         std = standard_rows(spark, wh, batch_id, schema)
         # one small aggregation: rows per status and reason (at most a handful)
@@ -123,7 +131,9 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
                    .groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n")).collect())
         n_std = sum(r["n"] for r in summary if r["status"] == "ok")
         rejected = {r["reason"]: r["n"] for r in summary if r["status"] == "rejected"}
-    if n_std == 0:  # P13: nothing to add to dictionaries or outputs
+    if n_std == 0:  # P13: nothing for the dictionaries; an earlier run's outputs go
+        with _step(spark, "enrich and store"):
+            enrich_and_store(spark, std, wh, batch_id, text, cluster_output)
         return BatchResult(batch_id, 0, rejected, 0, 0)
     with _step(spark, "extend dictionaries"):
         new_u, new_p = extend_dims(spark, std, wh, batch_id)
@@ -132,40 +142,94 @@ def process_lines(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_id
     return BatchResult(batch_id, n_std, rejected, new_u, new_p)
 
 
+def _clock() -> int:
+    return int(time.time() * 1000)
+
+
+LEDGER = "path string, length bigint, modified bigint, batch_id bigint"
+
+
+def _take_files(spark: SparkSession, wh: Warehouse, paths: str | list[str], batch_id: int) -> list[str]:
+    """Write down and return the files of ``batch_id``: those it had and those no batch has.
+
+    The list is as long as the batch has files, which the driver lists to read them anyway.
+    """
+    ledger = tables.read_or_empty(spark, wh.ingested, LEDGER)
+    elsewhere = ledger.where(F.col("batch_id") != batch_id).drop("batch_id")
+    files = list_files(spark, paths).join(elsewhere, ["path", "length", "modified"], "left_anti")
+    files = files.withColumn("batch_id", F.lit(batch_id).cast("bigint")).checkpoint(eager=True)
+    tables.write_batch(files, wh.ingested, ["batch_id"], batch_id)
+    return [r["path"] for r in files.select("path").orderBy("path").collect()]
+
+
+def _unfinished(spark: SparkSession, wh: Warehouse) -> list[int]:
+    begun = tables.read_or_empty(spark, wh.ingested, LEDGER).select("batch_id").distinct()
+    done = tables.read_or_empty(spark, wh.finished, "batch_id bigint")
+    return sorted(r["batch_id"] for r in begun.join(done, "batch_id", "left_anti").collect())
+
+
 def run_batch(spark: SparkSession, landing_root: str, warehouse: str, batch_id: int,
               data_paths: str | list[str] | None = None, text: bool = True,
               partitioned: bool = False, descriptor_root: str | None = None,
               cluster_output: bool = False) -> BatchResult:
     """Register descriptors under ``descriptor_root`` (default: the landing)
-    and process the landing's data files (or just ``data_paths``) as batch
-    ``batch_id``. ``partitioned`` reads a ``dc=/datatype=/op=`` landing
-    written by another Spark job (its descriptors then live apart)."""
+    and process the landing's data files (or just those under ``data_paths``)
+    that no other batch has taken as batch ``batch_id``. ``partitioned`` reads
+    a ``dc=/datatype=/op=`` landing written by another Spark job (its
+    descriptors then live apart)."""
     wh = Warehouse(warehouse)
     with _step(spark, "register formats"):
-        catalog.register(spark, descriptor_root or landing_root, wh, batch_id)
-    lines = read_landing(spark, data_paths or landing_root, batch_id, partitioned=partitioned)
-    return process_lines(spark, lines, wh, batch_id, text, cluster_output)
+        catalog.register(spark, descriptor_root or landing_root, wh, _clock())
+
+    def run(own: int, paths: list[str]) -> BatchResult:
+        if not paths:
+            lines = spark.createDataFrame([], "line string, source_file string")
+        elif partitioned:
+            mine = spark.createDataFrame([(plain_path(p),) for p in paths], "_path string")
+            lines = read_partitioned_lines(spark, landing_root)
+            lines = lines.join(mine, F.concat_ws("/", F.lit(""), F.array_join(place_of(F.col("source_file"), "/"), "/")) == mine["_path"], "left_semi")
+        else:
+            lines = read_raw_lines(spark, paths)
+        result = process_lines(spark, tag_lines(spread(lines), own, landing_root), wh, own, text, cluster_output)
+        if own not in {r["batch_id"] for r in tables.read_or_empty(spark, wh.finished, "batch_id bigint").where(F.col("batch_id") == own).collect()}:
+            tables.append(spark.createDataFrame([(own,)], "batch_id bigint"), wh.finished)
+        return result
+
+    for broken_off in _unfinished(spark, wh):
+        if broken_off != batch_id:
+            held = tables.read_or_empty(spark, wh.ingested, LEDGER).where(F.col("batch_id") == broken_off)
+            run(broken_off, [r["path"] for r in held.select("path").collect()])
+    return run(batch_id, _take_files(spark, wh, data_paths or landing_root, batch_id))
 
 
 def process_stream_batch(spark: SparkSession, raw: DataFrame, wh: Warehouse, batch_id: int,
-                         landing_root: str | None = None) -> BatchResult:
+                         landing_root: str | None = None, descriptor_root: str | None = None) -> BatchResult:
     """A micro-batch of untagged lines (``line``, ``source_file``)."""
-    if landing_root is not None:
-        catalog.register(spark, landing_root, wh, batch_id)
-    return process_lines(spark, tag_lines(raw, batch_id), wh, batch_id)
+    if descriptor_root or landing_root:
+        catalog.register(spark, descriptor_root or landing_root, wh, _clock())
+    return process_lines(spark, tag_lines(raw, batch_id, landing_root), wh, batch_id)
+
+
+@dataclass
+class ImportResult:
+    users: int
+    pages: int
+    unreadable: int
 
 
-def import_legacy_dims(spark: SparkSession, legacy_root: str, warehouse: str) -> tuple[int, int]:
+def import_legacy_dims(spark: SparkSession, legacy_root: str, warehouse: str) -> ImportResult:
     """Append the old text dictionaries ``<root>/<dc>/user/*`` and
-    ``<root>/<dc>/page/*`` to the dictionary tables, keys not yet known only,
-    with ids settled per data centre. Returns (users added, pages added)."""
-    from ..operators.migrate import settle_ids
-    from ..schema import USER_KEY
+    ``<root>/<dc>/page/*`` to the dictionary tables: keys not yet known only,
+    with ids settled per data centre against those in use. Rows whose id is
+    no number are counted and left out."""
     wh = Warehouse(warehouse)
-    users = settle_ids(tables.import_text_dim_user(spark, f"{legacy_root}/*/user"), USER_KEY, "user_id")
-    pages = settle_ids(tables.import_text_dim_page(spark, f"{legacy_root}/*/page"), dims.PAGE_KEY, "page_id")
-    before = (tables.dim_user(spark, wh).count(), tables.dim_page(spark, wh).count())
-    known_u, known_p = tables.dim_user(spark, wh), tables.dim_page(spark, wh)
-    tables.append(anti_join(users, known_u, USER_KEY).select(*known_u.columns), wh.dim_user, ["dc"])
-    tables.append(anti_join(pages, known_p, dims.PAGE_KEY).select(*known_p.columns), wh.dim_page, ["dc"])
-    return (tables.dim_user(spark, wh).count() - before[0], tables.dim_page(spark, wh).count() - before[1])
+    added, unreadable = [], 0
+    for read, known, path, key, id_col in (
+            (tables.import_text_dim_user(spark, f"{legacy_root}/*/user"), tables.dim_user(spark, wh), wh.dim_user, USER_KEY, "user_id"),
+            (tables.import_text_dim_page(spark, f"{legacy_root}/*/page"), tables.dim_page(spark, wh), wh.dim_page, dims.PAGE_KEY, "page_id")):
+        before = known.count()
+        unreadable += read.where(F.col(id_col).isNull()).count()
+        fresh = settle_ids(anti_join(read, known, key), key, id_col, taken=known)
+        tables.append(fresh.select(*known.columns).checkpoint(eager=True), path, ["dc"])
+        added.append(tables.read_or_empty(spark, path, known.schema).count() - before)
+    return ImportResult(*added, unreadable)

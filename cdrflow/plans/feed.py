@@ -9,8 +9,8 @@ Layouts (one descriptor per data centre, operator and version):
 
 * v1 from 2024-01-02: 14 fields, ``;``, session time in epoch seconds;
 * v2 from 2024-01-10: a ``cell_id`` field after ``imei`` (not a target
-  column), session time as ``yyyy-MM-dd HH:mm:ss`` text;
-* v3 from 2024-01-20: as v1 but ``|``-delimited and the time typed LONG.
+  column), session time as ``yyyy-MM-dd HH:mm:ss`` text, ``page_sent`` as text;
+* v3 from 2024-01-20: as v1 but ``|``-delimited, time and duration typed LONG.
 
 Events before 2024-01-02 have no valid format; operator ``zetanet`` has no
 descriptor at all. U2 rows leave out the trailing ``extra`` field.
@@ -49,9 +49,11 @@ def _layout(version: str) -> tuple[str, list[tuple[str, str, str]]]:
     if version == "v2":
         fields.insert(3, ("cell_id", "String", ""))
         fields[fields.index(("session_time", "int", ""))] = ("session_time", "String", TIME_PATTERN)
+        fields[fields.index(("page_sent", "int", ""))] = ("page_sent", "String", "")
         return ";", fields
     if version == "v3":
         fields[5] = ("session_time", "long", "")
+        fields[fields.index(("duration", "int", ""))] = ("duration", "long", "")
         return "|", fields
     return ";", fields
 
@@ -199,7 +201,10 @@ def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
         "bearer": F.when(sms, F.lit("sms")).otherwise(F.lit("U2")),
         "page_sent": F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit("x"))
                       .when(sms, F.lit("0")).otherwise(n_urls.cast("string")),
-        "duration": F.floor(F.col("value")).cast("bigint").cast("string"),
+        # under v3, typed LONG, some lie above the range of an int
+        "duration": (F.floor(F.col("value")).cast("bigint") + F.when(
+            (F.col("_version") == "v3") & (F.pmod(F.col("event_id"), F.lit(11)) == 0), F.lit(3_000_000_000))
+            .otherwise(F.lit(0))).cast("string"),
         "vlr_number": F.lit("4917000"),
         "session_end": F.lit(""),
         "action_url": F.when(sms, F.lit("")).otherwise(urls_text),

@@ -37,7 +37,7 @@ txt AS (
          CASE WHEN event_id % 4 = 0 THEN '' ELSE 'en' END AS lang,
          CASE WHEN event_id % 7 = 0 THEN 'x' WHEN sms THEN '0'
               ELSE CAST(CAST(url1 IS NOT NULL AS INTEGER) + CAST(url2 IS NOT NULL AS INTEGER) AS VARCHAR) END AS page_sent_txt,
-         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS duration_txt,
+         CAST(CAST(floor(value) AS BIGINT) + CASE WHEN layout = 'v3' AND event_id % 11 = 0 THEN 3000000000 ELSE 0 END AS VARCHAR) AS duration_txt,
          CASE WHEN sms THEN '' ELSE service || '*#=' || coalesce(url1, '') || ',1=' || coalesce(url2, '') END AS action_txt,
          CASE WHEN sms THEN event_type || '#digest' END AS extra_txt
   FROM ev
@@ -65,9 +65,9 @@ std AS (
          CASE WHEN event_id % 4 = 0 THEN '' ELSE 'en' END AS language,
          epoch_s AS session_time, service AS service_code,
          CASE WHEN sms THEN 'sms' ELSE 'U2' END AS bearer,
-         CAST(CASE WHEN event_id % 7 = 0 THEN NULL WHEN sms THEN 0
-                   ELSE CAST(url1 IS NOT NULL AS INTEGER) + CAST(url2 IS NOT NULL AS INTEGER) END AS INTEGER) AS page_sent,
-         CAST(floor(value) AS INTEGER) AS duration,
+         CASE WHEN event_id % 7 = 0 THEN CASE WHEN version = 'v2' THEN 'x' END WHEN sms THEN '0'
+              ELSE CAST(CAST(url1 IS NOT NULL AS INTEGER) + CAST(url2 IS NOT NULL AS INTEGER) AS VARCHAR) END AS page_sent,
+         CAST(CAST(floor(value) AS BIGINT) + CASE WHEN version = 'v3' AND event_id % 11 = 0 THEN 3000000000 ELSE 0 END AS VARCHAR) AS duration,
          '4917000' AS vlr_number, '' AS session_end,
          CASE WHEN sms THEN NULL ELSE split_part(url1, '?', 1) END AS u1,
          CASE WHEN sms THEN NULL ELSE split_part(url2, '?', 1) END AS u2,
@@ -138,8 +138,8 @@ def _q(body: str) -> str:
 _BUCKETS = """
         SELECT dc, op, service_code, bearer,
                strftime(make_timestamp(session_time * 1000000), '%Y-%m-%d %H') AS bucket,
-               count(*) AS sessions, CAST(sum(duration) AS BIGINT) AS duration,
-               CAST(sum(page_sent) AS BIGINT) AS pages
+               count(*) AS sessions, CAST(sum(TRY_CAST(duration AS BIGINT)) AS BIGINT) AS duration,
+               CAST(sum(TRY_CAST(page_sent AS BIGINT)) AS BIGINT) AS pages
         FROM std GROUP BY ALL"""
 
 ORACLE_SQL: dict[str, str] = {

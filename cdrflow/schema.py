@@ -46,14 +46,16 @@ FORMAT_START_PATTERN = "yyyy-MM-dd HH:mm:ss"
 # Identity of a subscriber; ids are dense per data centre.
 USER_KEY = ["dc", "op", "msisdn", "imsi", "imei"]
 
-# Typed target of each standard column (all others are strings).
-INT_TARGETS = ("page_sent", "duration")
+# Standard columns that aren't text.
 EPOCH_TARGET = "session_time"
 URL_TARGET = "action_url"
 
 # Source fields read from the line (``from``/``op`` come from the path).
 LINE_FIELDS = TARGET_FIELDS[2:]
 
+# Data type of lines whose file lies at another depth than <root>/<dc>/<datatype>/.
+UNPLACED = "_unplaced"
+
 DESCRIPTOR_FIELDS_SCHEMA = T.StructType([
     T.StructField("fields", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()),
@@ -62,28 +64,6 @@ DESCRIPTOR_FIELDS_SCHEMA = T.StructType([
     ]))),
 ])
 
-FIELD_META = T.StructType([
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("format", T.StringType()),
-])
-
-FORMAT_SCHEMA = T.StructType([
-    T.StructField("dc", T.StringType()),
-    T.StructField("datatype", T.StringType()),
-    T.StructField("op", T.StringType()),
-    T.StructField("format_name", T.StringType()),
-    T.StructField("registered_at", T.LongType()),
-    T.StructField("start_time", T.LongType()),
-    T.StructField("delimiter", T.StringType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("platform_name", T.StringType()),
-    T.StructField("platform_format_version", T.StringType()),
-    T.StructField("field_names", T.ArrayType(T.StringType())),
-    T.StructField("fields", T.MapType(T.StringType(), FIELD_META)),
-    T.StructField("format_id", T.StringType()),
-])
-
 DIM_USER_SCHEMA = T.StructType([
     T.StructField("dc", T.StringType()),
     T.StructField("user_id", T.LongType()),

@@ -16,6 +16,8 @@ DEFAULTS = {
     # Dims are joined through operators.joins, which checks sizes itself.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Partition folders hold text: dc=001 stays '001'.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Remove checkpoint files (staged ids, hot-key sets) once no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming batches run on their own JVM threads; give threads room for
@@ -47,6 +49,11 @@ def build_session(master: str | None = None, app: str = "cdrflow",
     return spark
 
 
+def text_partitions(spark: SparkSession) -> None:
+    """Have ``spark`` read partition folder values as text, whoever made the session."""
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 

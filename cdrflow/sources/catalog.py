@@ -1,8 +1,10 @@
 """Format catalog: register descriptors, load versions.
 
-A descriptor is registered once per content: re-reading an unchanged file
-adds nothing, a changed file becomes a new version with a newer
-registration time (which wins ties on start time).
+A descriptor file is registered when its content differs from its last
+registration: re-reading an unchanged file adds nothing, a changed file (also
+one that goes back to an earlier content) becomes a new version with a newer
+registration time, which wins ties on start time. Refused descriptors are
+kept, once per content, with what is wrong with them.
 """
 
 from __future__ import annotations
@@ -15,26 +17,40 @@ from ..operators.joins import anti_join
 from .descriptors import format_fields, parse_descriptors, read_descriptors
 from .tables import Warehouse, append, read_table
 
-_IDENTITY = ["dc", "datatype", "format_name", "content_hash"]
+_FILE = ["dc", "datatype", "format_name"]
+_IDENTITY = [*_FILE, "content_hash"]
 
 
-def register(spark: SparkSession, landing_root: str, wh: Warehouse, run_id: int) -> DataFrame:
-    """Parse the descriptors under ``landing_root`` and append new ones to the catalog.
+def _last_contents(known: DataFrame) -> DataFrame:
+    return (known.groupBy(*_FILE).agg(F.max_by("content_hash", "registered_at").alias("content_hash"))
+            .select(*_IDENTITY))
 
-    Returns every descriptor read with its ``problem`` (NULL when accepted).
+
+def register(spark: SparkSession, root: str, wh: Warehouse, registered_at: int) -> DataFrame:
+    """Parse the descriptors under ``root`` and append new ones to the catalog.
+
+    ``registered_at`` is the run's clock in milliseconds. Returns every
+    descriptor read with its ``problem`` (NULL when accepted).
     """
-    desc = read_descriptors(spark, landing_root, run_id).withColumn(
+    desc = read_descriptors(spark, root, registered_at).withColumn(
         "content_hash", F.sha2(F.col("content"), 256))
-    parsed = parse_descriptors(desc).withColumn("registered", F.lit(True))
+    parsed = parse_descriptors(desc).checkpoint(eager=True)
+    fresh = parsed.where(F.col("problem").isNull()).drop("problem")
     known = read_table(spark, wh.formats)
-    fresh = parsed.where(F.col("problem").isNull())
     if known is not None:
-        fresh = anti_join(fresh, known.select(*_IDENTITY).distinct(), _IDENTITY)
-    fresh = fresh.drop("registered", "problem").checkpoint(eager=True)
+        fresh = anti_join(fresh, _last_contents(known), _IDENTITY)
+    fresh = fresh.checkpoint(eager=True)
     if not fresh.isEmpty():
         append(fresh, wh.formats, ["dc", "datatype"])
         # the flattened layout, one row per (format, field): name, place, type, pattern
         append(format_fields(fresh), wh.format_fields, ["dc", "datatype"])
+    refused = parsed.where(F.col("problem").isNotNull()).select(*_IDENTITY, "problem", "registered_at")
+    before = read_table(spark, wh.format_problems)
+    if before is not None:
+        refused = anti_join(refused, before.select(*_IDENTITY).distinct(), _IDENTITY)
+    refused = refused.checkpoint(eager=True)
+    if not refused.isEmpty():
+        append(refused, wh.format_problems, ["dc", "datatype"])
     return parsed
 
 

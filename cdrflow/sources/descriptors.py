@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import operator_from_name
+from .landing import datatype_of, dc_of, place_of
 from ..functions.time import VALID_PATTERN, epoch_from_text
-from ..schema import (DEFAULT_DELIMITER, DESCRIPTOR_FIELDS_SCHEMA, FORMAT_DELIMITER_KEY,
+from ..schema import (EPOCH_TARGET, DEFAULT_DELIMITER, DESCRIPTOR_FIELDS_SCHEMA, FORMAT_DELIMITER_KEY,
                       FORMAT_FIELDS_KEY, FORMAT_FILE_PATTERN, FORMAT_START_KEY,
                       FORMAT_START_PATTERN, LINE_FIELDS, URL_PATTERN)
 
@@ -32,15 +33,19 @@ def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> Data
                    F.col("_metadata.file_path").alias("path"),
                    F.col("_metadata.file_name").alias("file_name")))
     return (raw
-            .withColumn("dc", F.regexp_extract("path", r"/(?:dc=)?([^/]+)/[^/]+/[^/]+$", 1))
-            .withColumn("datatype", F.regexp_extract("path", r"/(?:datatype=)?([^/]+)/[^/]+$", 1))
+            .withColumn("_place", place_of(F.col("path"), root))
+            .withColumn("dc", F.regexp_replace(dc_of(F.col("_place")), "^dc=", ""))
+            .withColumn("datatype", F.regexp_replace(datatype_of(F.col("_place")), "^datatype=", ""))
+            .drop("_place")
             .withColumn("registered_at", F.lit(registered_at).cast("bigint"))
             .drop("path"))
 
 
 def _unescape(value: Column) -> Column:
-    """Properties escapes: ``\\t \\n \\r \\f`` and ``\\x`` for any other x."""
-    v = value
+    """Properties escapes: ``\\uXXXX``, ``\\t \\n \\r \\f`` and ``\\x`` for any other x."""
+    pieces = F.split(value, r"(?<!\\)(?:\\\\)*\\u(?=[0-9a-fA-F]{4})")
+    v = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.concat(
+        F.decode(F.unhex(F.substr(p, F.lit(1), F.lit(4))), "UTF-16BE"), F.substr(p, F.lit(5))))), "")
     for code, char in (("t", "\t"), ("n", "\n"), ("r", "\r"), ("f", "\f")):
         v = F.regexp_replace(v, r"(?<!\\)\\" + code, char)
     return F.regexp_replace(v, r"\\(.)", "$1")
@@ -116,7 +121,9 @@ def parse_descriptors(desc: DataFrame) -> DataFrame:
                     F.col("registered_at").cast("string")).alias("format_id"),
         p["platform_name"].alias("platform_name"),
         p["platform_format_version"].alias("platform_format_version"))
-    bad_pattern = F.exists("field_list", lambda f: ~f["format"].rlike(VALID_PATTERN))
+    # Only the session time's pattern is ever read as one, and only where it is text.
+    bad_pattern = F.exists("field_list", lambda f: (f["name"] == EPOCH_TARGET) & ~f["type"].isin("INT", "LONG")
+                           & ~f["format"].rlike(VALID_PATTERN))
     layout = _layout(F.col("field_list"))
     problem = (F.when(F.col("op").isNull(), F.lit("bad_descriptor_name"))
                .when(F.col("props")[FORMAT_START_KEY].isNull(), F.lit("no_start_time"))

@@ -2,48 +2,72 @@
 (S01, S02, S03, S07, G01, P01, P04).
 
 Layout: ``<root>/<dc>/<datatype>/CDR_<op>_<yyyyMMdd>_<HHmmss>_<host>_<seq>``.
-All (dc, datatype) folders are read by one splittable line scan; descriptor
-files in the same folders are skipped by the name filter. Landings written
-by another Spark job can instead use partition folders
+All folders are read by one splittable line scan. Every file but the
+``.properties`` descriptors is data: a file whose name carries no operator,
+or that lies at another depth, is read too, and its lines are quarantined.
+Landings written by another Spark job can instead use partition folders
 ``<root>/dc=<dc>/datatype=<datatype>/op=<op>/``, found by partition discovery.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import operator_from_name
 from ..operators.partitioning import spread
-from ..schema import DATA_FILE_PATTERN
+from ..schema import DATA_FILE_PATTERN, UNPLACED
+from ..session import text_partitions
+
+DESCRIPTOR_SUFFIX = ".properties"
+
 
-DATA_FILE_GLOB = "CDR_*"
+def plain_path(path: str) -> str:
+    """A path or URI without its scheme, as file paths of a scan show it."""
+    return "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "", quote(path, safe="/:=+,;@&$!*'()~%")).strip("/")
 
 
-def dc_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"/([^/]+)/[^/]+/[^/]+$", 1)
+def place_of(path: Column, root: str | None) -> Column:
+    """Folders and name of a file below ``root``, or of its last three steps without one."""
+    plain = F.concat(F.lit("/"), F.regexp_replace(path, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?/*", ""))
+    if root is None:
+        return F.slice(F.split(plain, "/"), -3, 3)
+    base = plain_path(root).rstrip("/") + "/"
+    return F.when(plain.startswith(base), F.split(F.substr(plain, F.lit(len(base) + 1)), "/"))
 
 
-def datatype_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
+def dc_of(place: Column) -> Column:
+    return F.when(F.size(place) > 1, F.get(place, 0)).otherwise(F.lit(UNPLACED))
+
+
+def datatype_of(place: Column) -> Column:
+    return F.when(F.size(place) == 3, F.get(place, 1)).otherwise(F.lit(UNPLACED))
 
 
 def file_name_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)$", 1)
 
 
-def tag_lines(raw: DataFrame, batch_id: int | Column) -> DataFrame:
+def is_data(path: Column) -> Column:
+    return ~path.endswith(DESCRIPTOR_SUFFIX)
+
+
+def tag_lines(raw: DataFrame, batch_id: int | Column, root: str | None = None) -> DataFrame:
     """Tag raw lines (``line``, ``source_file``) with dc, datatype, op, batch.
 
     Blank lines are dropped and a trailing CR is removed. ``row_id`` is
     unique within the batch. ``dc``, ``datatype`` and ``op`` columns already
-    present (partition folders) are kept; otherwise they come from the path.
+    present (partition folders) are kept; otherwise they come from the path
+    below ``root``. A file at another depth gets the data type ``_unplaced``.
     """
     bid = F.lit(batch_id).cast("bigint") if isinstance(batch_id, int) else batch_id.cast("bigint")
     line = F.regexp_replace(F.col("line"), "\r$", "")
     from_path = {
-        "dc": dc_of(F.col("source_file")),
-        "datatype": datatype_of(F.col("source_file")),
+        "dc": dc_of(place_of(F.col("source_file"), root)),
+        "datatype": datatype_of(place_of(F.col("source_file"), root)),
         "op": operator_from_name(file_name_of(F.col("source_file")), DATA_FILE_PATTERN),
     }
     tags = {k: (F.col(k).cast("string") if k in raw.columns else v) for k, v in from_path.items()}
@@ -55,31 +79,37 @@ def tag_lines(raw: DataFrame, batch_id: int | Column) -> DataFrame:
             .withColumn("row_id", F.monotonically_increasing_id()))
 
 
-def read_raw_lines(spark: SparkSession, paths: str | list[str],
-                   glob: str = DATA_FILE_GLOB) -> DataFrame:
+def _lines(df: DataFrame, *more: Column) -> DataFrame:
+    return (df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"), *more)
+            .where(is_data(F.col("source_file"))))
+
+
+def read_raw_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Untagged lines with their file path, from folders or files."""
-    reader = (spark.read.option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", glob))
-    df = reader.text(paths)
-    return df.select(F.col("value").alias("line"),
-                     F.col("_metadata.file_path").alias("source_file"))
+    return _lines(spark.read.option("recursiveFileLookup", "true").text(paths))
 
 
 def read_partitioned_lines(spark: SparkSession, root: str) -> DataFrame:
     """Untagged lines of a ``dc=/datatype=/op=`` partitioned landing, with
-    those three as columns (partition discovery, all strings)."""
-    df = spark.read.option("pathGlobFilter", "part-*").text(root)
-    keep = [c for c in ("dc", "datatype", "op") if c in df.columns]
-    return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"),
-                     *[F.col(c).cast("string").alias(c) for c in keep])
+    those three as columns (partition discovery, all text)."""
+    text_partitions(spark)
+    df = spark.read.text(root)
+    return _lines(df, *[F.col(c).cast("string").alias(c) for c in ("dc", "datatype", "op") if c in df.columns])
+
+
+def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, modified) of the data files under ``paths``; contents aren't read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+             .select("path", "length", F.unix_millis("modificationTime").alias("modified")))
+    return files.where(is_data(F.col("path")))
 
 
 def read_landing(spark: SparkSession, root: str | list[str], batch_id: int,
-                 glob: str = DATA_FILE_GLOB, partitioned: bool = False) -> DataFrame:
+                 partitioned: bool = False, tag_root: str | None = None) -> DataFrame:
     """Tagged data lines of every (dc, datatype) folder under ``root``.
 
     Text files are split by size; a few large compressed (unsplittable)
     files are spread over the cores before the CPU-heavy parsing.
     """
-    raw = read_partitioned_lines(spark, root) if partitioned else read_raw_lines(spark, root, glob)
-    return tag_lines(spread(raw), batch_id)
+    raw = read_partitioned_lines(spark, root) if partitioned else read_raw_lines(spark, root)
+    return tag_lines(spread(raw), batch_id, tag_root or (root if isinstance(root, str) else None))

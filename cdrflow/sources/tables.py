@@ -3,9 +3,10 @@
 
 All writes happen on executors. Record outputs are partitioned by
 ``dc``, ``datatype`` and ``batch_id`` and written with dynamic partition
-overwrite, so re-running a batch replaces exactly that batch. Dictionaries
-are appended; re-running a batch adds nothing because known keys are
-excluded before ids are given.
+overwrite; folders of the batch that the new result doesn't have are removed,
+so re-running a batch replaces exactly that batch. Dictionaries are appended;
+re-running a batch adds nothing because known keys are excluded before ids
+are given. Partition values are text, but for ``batch_id``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..schema import DIM_PAGE_SCHEMA, DIM_USER_SCHEMA
+from ..session import text_partitions
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,18 @@ class Warehouse:
     def format_fields(self) -> str:
         return f"{self.root}/format_fields"
 
+    @property
+    def format_problems(self) -> str:
+        return f"{self.root}/format_problems"
+
+    @property
+    def ingested(self) -> str:
+        return f"{self.root}/ingested"
+
+    @property
+    def finished(self) -> str:
+        return f"{self.root}/finished_batches"
+
     @property
     def records(self) -> str:
         return f"{self.root}/cdr"
@@ -58,6 +72,7 @@ class Warehouse:
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A Parquet table, or an empty frame of ``schema`` when it does not exist yet."""
+    text_partitions(spark)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
@@ -65,16 +80,34 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    text_partitions(spark)
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException:
         return None
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint")) if "batch_id" in df.columns else df
+
+
+def _batch_folders(spark: SparkSession, path: str, partition_by: list[str], batch_id: int) -> tuple:
+    """(file system, {folder: names of its files}) of one batch of a table."""
+    jvm = spark.sparkContext._jvm
+    levels = ["*"] * partition_by.index("batch_id")
+    pattern = jvm.org.apache.hadoop.fs.Path("/".join([path, *levels, f"batch_id={batch_id}"]))
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    return fs, {f.getPath(): {x.getPath().getName() for x in fs.listStatus(f.getPath())} for f in found}
 
 
-def write_batch(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace the partitions present in ``df`` (idempotent re-runs)."""
+def write_batch(df: DataFrame, path: str, partition_by: list[str], batch_id: int, form: str = "parquet") -> None:
+    """Replace all that ``path`` holds of ``batch_id`` with ``df``: partitions of
+    the batch that ``df`` doesn't have are removed, also when it is empty."""
+    fs, before = _batch_folders(df.sparkSession, path, partition_by, batch_id)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+     .partitionBy(*partition_by).format(form).save(path))
+    _, after = _batch_folders(df.sparkSession, path, partition_by, batch_id)
+    for folder, names in after.items():
+        if names & before.get(folder, set()):  # not written anew
+            fs.delete(folder, True)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -2,8 +2,8 @@
 
 New data files under the landing root are picked up by a file stream (at
 most ``max_files`` per micro-batch); each micro-batch runs the batch steps
-through ``foreachBatch`` with a batch id derived from the epoch id. The
-stream's checkpoint records which files were processed, so a failed batch
+through ``foreachBatch`` with a batch id made of the stream's own id and the
+epoch, so two streams never share one. The stream's checkpoint records which files were processed, so a failed batch
 is retried with the same files and id, and a later run reads only files
 it has not seen. Dictionary updates are idempotent per batch (known keys
 are never renumbered), so a replayed batch adds nothing twice.
@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.batch import process_stream_batch
-from ..session import scratch_path
-from ..sources.landing import DATA_FILE_GLOB
+from ..sources.landing import is_data
 from ..sources.tables import Warehouse
 
 MAX_FILES_PER_BATCH = 10
@@ -27,28 +26,33 @@ def arrival_lines(spark: SparkSession, landing_root: str,
                   max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
     """Streaming (line, source_file) of data files arriving under ``landing_root``."""
     stream = (spark.readStream.format("text")
-              .option("pathGlobFilter", DATA_FILE_GLOB)
               .option("recursiveFileLookup", "true")
               .option("maxFilesPerTrigger", max_files)
               .load(landing_root))
-    return stream.select(F.col("value").alias("line"),
-                         F.col("_metadata.file_path").alias("source_file"))
+    return (stream.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
+            .where(is_data(F.col("source_file"))))
 
 
-def start(spark: SparkSession, landing_root: str, warehouse: str,
-          checkpoint: str | None = None, batch_base: int = 0,
+def batch_key(stream_id: str, epoch_id: int) -> int:
+    """A batch id owned by one stream: the first 30 bits of the id that Spark keeps
+    with the checkpoint, then the epoch."""
+    return ((int(stream_id.replace("-", "")[:8], 16) >> 2) << 32) | epoch_id
+
+
+def start(spark: SparkSession, landing_root: str, warehouse: str, checkpoint: str,
           available_now: bool = True, processing_time: str | None = None,
-          max_files: int = MAX_FILES_PER_BATCH) -> StreamingQuery:
+          max_files: int = MAX_FILES_PER_BATCH, descriptor_root: str | None = None) -> StreamingQuery:
     """Start processing arriving files; returns the running query.
 
     ``available_now`` processes what is there and stops; otherwise a
-    ``processing_time`` trigger keeps polling.
+    ``processing_time`` trigger keeps polling. ``checkpoint`` names the
+    stream: another one reads all files again, as batches of its own.
     """
     wh = Warehouse(warehouse)
-    checkpoint = checkpoint or scratch_path(spark, "arrival-checkpoint")
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        process_stream_batch(spark, batch, wh, batch_base + epoch_id, landing_root)
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        process_stream_batch(batch.sparkSession, batch, wh, batch_key(stream_id, epoch_id), landing_root, descriptor_root)
 
     writer = (arrival_lines(spark, landing_root, max_files).writeStream
               .foreachBatch(each)
@@ -61,9 +65,9 @@ def start(spark: SparkSession, landing_root: str, warehouse: str,
 
 
 def run_available(spark: SparkSession, landing_root: str, warehouse: str, checkpoint: str,
-                  batch_base: int = 0) -> None:
+                  descriptor_root: str | None = None) -> None:
     """Process every file not yet seen by ``checkpoint``, then return."""
-    q = start(spark, landing_root, warehouse, checkpoint, batch_base, available_now=True)
+    q = start(spark, landing_root, warehouse, checkpoint, available_now=True, descriptor_root=descriptor_root)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -68,7 +68,7 @@ UNKNOWN = [record("+49170000407", DAY + i, "*56#", seconds="1") for i in (1, 2)]
 BAD_NAME = [record("+49170000408", DAY + 3, "*56#", seconds="1")]
 
 STANDARD_ROWS = len(ALPHANET_1) + len(ALPHANET_2) + len(GAMMATEL)
-REJECTED = {"unknown_operator": 2, "no_operator": 1}
+REJECTED = {"unknown_operator": 2, "no_operator": 2}
 USERS = 6
 PAGES = 9 + 2 + 11
 
@@ -94,5 +94,5 @@ def build_landing(root: str, dc: str = "idc", datatype: str = "webcdr") -> str:
     write(os.path.join(d, "CDR_gammatel_20240304_080000_h2_0001"), GAMMATEL)
     write(os.path.join(d, "CDR_zetanet_20240304_080000_h2_0002"), UNKNOWN)
     write(os.path.join(d, "CDR_bad_name"), BAD_NAME)
-    write(os.path.join(d, "notes.txt"), ["not a data file"])
+    write(os.path.join(d, "notes.txt"), ["no record, but no descriptor either"])
     return root

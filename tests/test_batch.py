@@ -46,7 +46,7 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     # law: list length equals page_sent where page_sent is a number
     for r in rows.values():
         if r["page_sent"] is not None:
-            assert len(r["page_ids"]) == r["page_sent"]
+            assert len(r["page_ids"]) == int(r["page_sent"])
 
     # law: standard + quarantined = non-empty data lines
     recs = spark.read.parquet(wh.records).where("batch_id = 1")
@@ -73,11 +73,79 @@ def test_run_batch_end_to_end(spark, tmp_dir):
     res2 = run_batch(spark, landing, wh_root, batch_id=1)
     assert (res2.new_users, res2.new_pages) == (0, 0)
     assert spark.read.parquet(wh.enriched).where("batch_id = 1").count() == fx.STANDARD_ROWS
-    # law: a later batch over the same files finds nothing new and keeps the ids
+    # law: a later batch finds no file that isn't taken, and keeps the ids
     res3 = run_batch(spark, landing, wh_root, batch_id=2)
-    assert (res3.new_users, res3.new_pages) == (0, 0)
+    assert (res3.standard_rows, res3.rejected, res3.new_users, res3.new_pages) == (0, {}, 0, 0)
+    assert spark.read.parquet(wh.records).count() == fx.STANDARD_ROWS + sum(fx.REJECTED.values())
     assert tables.dim_user(spark, wh).count() == fx.USERS
     assert {r["url"]: r["page_id"] for r in tables.dim_page(spark, wh).collect()} == pages
     # the catalog registered each descriptor once, with its flattened fields
     assert spark.read.parquet(wh.formats).count() == 3
     assert spark.read.parquet(wh.format_fields).count() == 3 * 14
+
+
+def _stored(spark, wh):
+    rows = tables.read_table(spark, wh.records)
+    if rows is None:  # no folder is left
+        return []
+    return sorted((r["status"], r["dc"], r["msisdn"], r["session_time"], r["line"])
+                  for r in rows.select("status", "dc", "msisdn", "session_time", "line").collect())
+
+
+def test_rerun_replaces_the_whole_batch(spark, tmp_dir):
+    """Rejected lines become good with their descriptor; a removed file's lines go."""
+    landing = fx.build_landing(os.path.join(tmp_dir, "landing"))
+    d = os.path.join(landing, "idc", "webcdr")
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    run_batch(spark, landing, wh.root, batch_id=5)
+    os.remove(os.path.join(d, "CDR_bad_name"))
+    os.remove(os.path.join(d, "notes.txt"))
+    with open(os.path.join(d, "data_format-x-zetanet-1.properties"), "w") as fh:
+        fh.write(fx.descriptor(fx.START_1, ";"))
+    res = run_batch(spark, landing, wh.root, batch_id=5)
+    assert res.rejected == {} and res.standard_rows == fx.STANDARD_ROWS + len(fx.UNKNOWN)
+    assert len(_stored(spark, wh)) == res.standard_rows
+    for name in os.listdir(d):
+        if not name.startswith("data_format"):
+            os.remove(os.path.join(d, name))
+    res = run_batch(spark, landing, wh.root, batch_id=5)
+    assert res.standard_rows == 0 and _stored(spark, wh) == []
+    for path in (wh.enriched, wh.usage, wh.text):
+        assert not any(files for _, _, files in os.walk(path) if any(f.startswith("part-") for f in files))
+
+
+def test_files_belong_to_one_batch_and_broken_off_batches_are_finished(spark, tmp_dir, monkeypatch):
+    from cdrflow.plans import batch
+    landing = fx.build_landing(os.path.join(tmp_dir, "landing"))
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    whole = batch.enrich_and_store
+    monkeypatch.setattr(batch, "enrich_and_store", lambda *a, **b: 1 / 0)
+    try:
+        run_batch(spark, landing, wh.root, batch_id=1)
+    except ZeroDivisionError:
+        pass
+    monkeypatch.setattr(batch, "enrich_and_store", whole)
+    late = os.path.join(landing, "idc", "webcdr", "CDR_gammatel_20240305_080000_h2_0009")
+    fx.write(late, [fx.record(fx.EMIL, fx.DAY + 90_000, pages="0")])
+    res = run_batch(spark, landing, wh.root, batch_id=2)
+    assert res.standard_rows == 1
+    got = tables.read_table(spark, wh.enriched).groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in got} == {1: fx.STANDARD_ROWS, 2: 1}
+
+
+def test_names_places_and_files_are_kept(spark, tmp_dir):
+    """Numeric data centres stay text; a file of any name is read; one at another depth is quarantined."""
+    landing = os.path.join(tmp_dir, "landing")
+    line = fx.record(fx.EMIL, fx.DAY, pages="0")
+    for dc in ("001", "1"):
+        d = os.path.join(landing, dc, "webcdr")
+        os.makedirs(os.path.join(d, "deeper"))
+        with open(os.path.join(d, "data_format-x-alphanet-1.properties"), "w") as fh:
+            fh.write(fx.descriptor(fx.START_1, ";"))
+        fx.write(os.path.join(d, "XCDR_alphanet_20240304_080000_h1_1"), [line])
+        fx.write(os.path.join(d, "deeper", "CDR_alphanet_20240304_080000_h1_2"), [line])
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    res = run_batch(spark, landing, wh.root, batch_id=1)
+    assert res.standard_rows == 2 and res.rejected == {"bad_path": 2} and res.new_users == 2
+    assert {r["dc"] for r in tables.dim_user(spark, wh).collect()} == {"001", "1"}
+    assert {r["dc"] for r in tables.read_table(spark, wh.enriched).collect()} == {"001", "1"}

@@ -19,7 +19,7 @@ def test_cli_batch_and_import(spark, tmp_dir, capsys):
     with open(os.path.join(legacy, "idc", "page", "1"), "w") as fh:
         fh.write(f"40;{fx.MENU}/balance.xml\n")
     main(["import-dims", "--legacy", legacy, "--warehouse", wh])
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"users": 1, "pages": 1}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"users": 1, "pages": 1, "unreadable": 0}
     main(["batch", "--landing", landing, "--warehouse", wh, "--batch-id", "5", "--no-text"])
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["standard_rows"] == fx.STANDARD_ROWS

@@ -24,7 +24,7 @@ def test_descriptor_is_flattened_with_positions(spark):
                                 descriptor(START_1, ";"))).first()
     assert p["problem"] is None
     assert p["op"] == "alphanet"
-    assert p["start_time"] == 14 * 3600 + 32 * 60 + 52
+    assert p["start_time"] == 981_173_106
     assert p["delimiter"] == ";"
     assert p["layout"]["msisdn"]["pos"] == 0
     assert p["layout"]["session_time"]["type"] == "INT"
@@ -46,8 +46,31 @@ def test_bad_descriptors_are_flagged(spark):
     assert bad_name.first()["problem"] == "bad_descriptor_name"
     no_start = parse_descriptors(frame(spark, "data_format-x-a-1.properties", "delimiter=;\nfields={}"))
     assert no_start.first()["problem"] == "no_start_time"
-    bad_pat = descriptor(START_1, ";").replace("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss nnnn")
-    assert parse_descriptors(frame(spark, "data_format-x-a-1.properties", bad_pat)).first()["problem"] == "bad_pattern"
+    timed = descriptor(START_1, ";").replace('"session_time", "type": "int", "format": ""', '"session_time", "type": "String", "format": "%s"')
+    for pattern, problem in (("yyyy-MM-dd HH:mm:ss nnnn", "bad_pattern"), ("EEE yyyy", "bad_pattern"), ("u-MM-dd", "bad_pattern"),
+                             ("HHH:mm", "bad_pattern"), ("yyyy[-MM]", "bad_pattern"), ("yyyyMMdd'T'HHmmss.SSS", None), ("dd/MM/yyyy hh:mm a", None)):
+        got = parse_descriptors(frame(spark, "data_format-x-a-1.properties", timed % pattern)).first()
+        assert got["problem"] == problem, pattern
+    # formats of other fields aren't patterns
+    other = descriptor(START_1, ";").replace('"action_url", "type": "String", "format": ""', '"action_url", "type": "String", "format": "(file:.+)"')
+    assert parse_descriptors(frame(spark, "data_format-x-a-1.properties", other)).first()["problem"] is None
+
+
+def test_accepted_patterns_never_throw(spark):
+    """Every accepted run of a letter can be parsed with, whatever the text."""
+    from cdrflow.functions.time import VALID_PATTERN, epoch_from_text
+    tried = [c * n for c in "yMLdDHhkKmsSaVzOXxZEuQqwWnNAeFcGB" for n in range(1, 11)] + ["yyyyMMddHHmmss", "yyyy-MM-dd'T'HH:mm:ss.SSSX", "", "-"]
+    df = spark.createDataFrame([(p,) for p in tried], "p string").where(F.col("p").rlike(VALID_PATTERN))
+    accepted = [r["p"] for r in df.collect()]
+    assert {"yyyy", "VV", "OOOO", "SSSSSSSSS", "yyyyMMddHHmmss"} <= set(accepted) and not {"V", "OO", "HHH", "E", "u", "dd" * 2} & set(accepted)
+    texts = ["2024-03-04", "20240304080000", "x", "Mar", "12", ""]
+    for p in accepted:
+        spark.createDataFrame([(t,) for t in texts], "t string").select(epoch_from_text(F.col("t"), p)).collect()
+
+
+def test_unicode_escapes(spark):
+    m = spark.range(1).select(parse_properties(F.lit("a=caf\\u00e9 \\u4e2d\nb=x")).alias("m")).first()["m"]
+    assert m == {"a": "caf\u00e9 \u4e2d", "b": "x"}
 
 
 def test_properties_line_continuation(spark):

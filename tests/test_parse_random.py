@@ -91,7 +91,7 @@ def brute(line):
                 out[n] = t
             elif n in ("page_sent", "duration"):
                 x = java_int(v, 64 if kind == "LONG" else 32)
-                out[n] = x if x is not None and -(2 ** 31) <= x < 2 ** 31 else None
+                out[n] = str(x) if x is not None else None
             elif n == "action_url":
                 out["urls"] = re.findall(URL_PATTERN, v) if v is not None else []
             else:

@@ -15,7 +15,7 @@ def _std(spark, n=20000):
         F.lit("").alias("imsi"), F.lit("").alias("imei"), F.lit("").alias("subscription"),
         F.lit("en").alias("language"), (F.lit(1704067200) + F.col("id")).alias("session_time"),
         F.lit("#702").alias("service_code"), F.lit("U2").alias("bearer"),
-        F.lit(2).alias("page_sent"), F.lit(10).alias("duration"), F.lit("").alias("vlr_number"),
+        F.lit("2").alias("page_sent"), F.lit("10").alias("duration"), F.lit("").alias("vlr_number"),
         F.lit("").alias("session_end"),
         F.array(F.when(hot, F.lit("http://hot.example/")).otherwise(
             F.concat(F.lit("http://p.example/"), (F.col("id") % 700).cast("string"))),

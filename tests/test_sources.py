@@ -34,7 +34,7 @@ def test_batch_with_no_data_files(spark, tmp_dir):
 
 
 def test_import_legacy_dims_settles_ids(spark, tmp_dir):
-    from cdrflow.plans.batch import import_legacy_dims
+    from cdrflow.plans.batch import ImportResult, import_legacy_dims
     from cdrflow.sources import tables
     from cdrflow.sources.tables import Warehouse
     root = os.path.join(tmp_dir, "dim")
@@ -45,9 +45,49 @@ def test_import_legacy_dims_settles_ids(spark, tmp_dir):
     with open(os.path.join(root, "idc", "page", "1000"), "w") as fh:  # url under two ids, id 10 reused
         fh.write("9;file:/a.xml\n10;file:/b.xml\n10;file:/c.xml\n11;file:/a.xml\n")
     wh = os.path.join(tmp_dir, "wh")
-    assert import_legacy_dims(spark, root, wh) == (2, 3)
+    assert import_legacy_dims(spark, root, wh) == ImportResult(2, 3, 0)
     pages = {r["url"]: r["page_id"] for r in tables.dim_page(spark, Warehouse(wh)).collect()}
     assert pages == {"file:/a.xml": 9, "file:/b.xml": 10, "file:/c.xml": 11}
     users = {r["msisdn"]: (r["user_id"], r["imsi"], r["imei"]) for r in tables.dim_user(spark, Warehouse(wh)).collect()}
     assert users[fx.DORA] == (1, "", "")
-    assert import_legacy_dims(spark, root, wh) == (0, 0)  # idempotent
+    assert import_legacy_dims(spark, root, wh) == ImportResult(0, 0, 0)  # idempotent
+
+
+def test_import_into_a_live_dictionary_keeps_ids_unique(spark, tmp_dir):
+    from cdrflow.plans.batch import import_legacy_dims, run_batch
+    landing = fx.build_landing(os.path.join(tmp_dir, "landing"))
+    wh = os.path.join(tmp_dir, "wh")
+    run_batch(spark, landing, wh, batch_id=1)
+    legacy = os.path.join(tmp_dir, "legacy", "idc")
+    os.makedirs(os.path.join(legacy, "user"))
+    os.makedirs(os.path.join(legacy, "page"))
+    with open(os.path.join(legacy, "user", "u.txt"), "w") as fh:
+        fh.write("1;idc;alphanet;+1;;\n2;idc;alphanet;+2;;\nx;idc;alphanet;+3;;\n90;idc;alphanet;+4;;\n")
+    with open(os.path.join(legacy, "page", "p.txt"), "w") as fh:
+        fh.write("1;file:/old.xml\n")
+    got = import_legacy_dims(spark, os.path.join(tmp_dir, "legacy"), wh)
+    assert (got.users, got.pages, got.unreadable) == (3, 1, 1)
+    for t, c, n in (("dim_user", "user_id", fx.USERS + 3), ("dim_page", "page_id", fx.PAGES + 1)):
+        rows = [(r["dc"], r[c]) for r in spark.read.parquet(f"{wh}/{t}").collect()]
+        assert len(rows) == len(set(rows)) == n
+    users = {r["msisdn"]: r["user_id"] for r in spark.read.parquet(f"{wh}/dim_user").collect()}
+    assert users["+4"] == 90 and users["+1"] > 90
+
+
+def test_catalog_versions_and_problems(spark, tmp_dir):
+    """Going back to an earlier content is a new version; refused descriptors are kept once."""
+    from cdrflow.sources import catalog
+    from cdrflow.sources.tables import Warehouse, read_table
+    d = os.path.join(tmp_dir, "landing", "idc", "webcdr")
+    os.makedirs(d)
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    with open(os.path.join(d, "bad.properties"), "w") as fh:
+        fh.write("delimiter=;\n")
+    for clock, delimiter in ((10, ";"), (20, "|"), (30, "|"), (40, ";")):
+        with open(os.path.join(d, "data_format-x-alphanet-1.properties"), "w") as fh:
+            fh.write(fx.descriptor(fx.START_1, delimiter))
+        catalog.register(spark, os.path.join(tmp_dir, "landing"), wh, clock)
+    rows = sorted((r["registered_at"], r["delimiter"]) for r in read_table(spark, wh.formats).collect())
+    assert rows == [(10, ";"), (20, "|"), (40, ";")]
+    assert catalog.versions(spark, wh).first()["versions"][-1]["registered_at"] == 40
+    assert [r["problem"] for r in read_table(spark, wh.format_problems).collect()] == ["bad_descriptor_name"]
