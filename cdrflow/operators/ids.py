@@ -43,22 +43,6 @@ def _ranked(keys: DataFrame, order_cols: list[str], partitions: int | None) -> D
             .drop("_mono"))
 
 
-def global_rank(keys: DataFrame, order_cols: list[str], partitions: int | None = None) -> DataFrame:
-    """``keys`` plus ``_rank``: 1-based place in the total order of ``order_cols``.
-
-    Keys must be unique on ``order_cols``.
-    """
-    ranked = _ranked(keys, order_cols, partitions)
-    sizes = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    # At most one row per partition: a single-task window here is bounded.
-    offsets = sizes.select(
-        "_part",
-        (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_offset"))
-    return (ranked.join(F.broadcast(offsets), "_part")
-            .withColumn("_rank", F.col("_offset") + F.col("_local") + 1)
-            .drop("_part", "_local", "_offset"))
-
-
 def assign_ids(new_keys: DataFrame, key_cols: list[str], id_col: str,
                start: DataFrame, group_col: str = "dc", partitions: int | None = None) -> DataFrame:
     """Give unique ``new_keys`` ids ``start[group] + 1, + 2, ...`` in key order.

@@ -1,10 +1,10 @@
 """Lookup joins against dimension-like tables.
 
 A dimension is broadcast only when its row count has been checked to be
-under a bound. Above the bound the join shuffles; keys that hold a large
-share of the fact rows (a hot page, a test subscriber) are split off and
-joined against a broadcast of just their dimension rows, so no single task
-receives a hot key's rows. Both paths give the same, complete result.
+under a bound. Above the bound the join shuffles, once: rows of keys that
+hold a large share of the facts (a hot page, a test subscriber) and rows
+without a key are dealt over ``SALTS`` parts, and only the hot keys'
+dimension rows are repeated in each. Both paths give the same result.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 # Size of a dimension that may be broadcast to every task: both bounds hold.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Hot-key detection: sample share, minimum share of rows, and how many hot
-# keys at most are broadcast (the remaining keys take the shuffle path).
+# Hot-key detection: sample share, the least share of rows, and the least rows
+# in the sample. At most 1 / HOT_MIN_SHARE keys can hold such a share.
 HOT_SAMPLE_FRACTION = 0.01
 HOT_MIN_SHARE = 0.001
-HOT_MAX_KEYS = 1000
+HOT_MIN_ROWS = 20
+SALTS = 64
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -53,67 +54,71 @@ def within_bounds(rows: int, nbytes: int, max_rows: int | None = None,
 def fits_broadcast(df: DataFrame, max_rows: int | None = None,
                    max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
-    of data, both measured (not guessed from file sizes)."""
+    of data, both measured (not guessed from file sizes). The bytes are only
+    summed where the rows, which a Parquet table counts in its footers, fit."""
+    if not within_bounds(df.count(), 0, max_rows, max_bytes):
+        return False
     return within_bounds(*measure(df), max_rows, max_bytes)
 
 
 def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRACTION,
-             min_share: float = HOT_MIN_SHARE, max_keys: int = HOT_MAX_KEYS) -> DataFrame:
-    """Keys holding at least ``min_share`` of a sample of ``facts``.
+             min_share: float = HOT_MIN_SHARE) -> DataFrame:
+    """Keys holding at least ``min_share`` of a sample of ``facts``, most rows first.
 
-    At most ``max_keys`` rows; the result is checkpointed so every use sees
-    the same set.
+    At most 1 / ``min_share`` rows, from one pass; the result is checkpointed
+    so every use sees the same set.
     """
     sample = facts.select(*keys).dropna(subset=keys).sample(fraction=fraction, seed=7)
-    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = sample.count()
-    floor = max(2, int(total * min_share))
-    top = counts.where(F.col("_n") >= floor).orderBy(F.desc("_n"), *keys).limit(max_keys)
-    return top.select(*keys).checkpoint(eager=True)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    floor = max(HOT_MIN_ROWS, int(total * min_share))
+    return counts.where(F.col("_n") >= floor).orderBy(F.desc("_n"), *keys).select(*keys).checkpoint(eager=True)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                broadcast_max_rows: int | None = None,
-                split_hot_keys: bool = True, dim_rows: int | None = None,
-                small: bool | None = None) -> DataFrame:
+                broadcast_max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Join ``facts`` to ``dim`` on equal ``keys`` (``left``, ``inner``,
     ``left_semi`` or ``left_anti``), choosing the strategy by checked size.
 
-    ``small`` is the caller's own :func:`fits_broadcast` verdict; ``dim_rows``
-    a row count the caller has taken of a dimension of narrow rows.
+    ``small`` is the caller's own :func:`fits_broadcast` verdict.
     """
     bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     if small is None:
-        small = dim_rows <= bound if dim_rows is not None else fits_broadcast(dim, bound)
+        small = fits_broadcast(dim, bound)
     if small:
         return facts.join(F.broadcast(dim), keys, how)
-    # Rows with a NULL key never match; they bypass the shuffle (where they
-    # would all land in one partition) and are kept or dropped as ``how`` says.
-    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 \
-        else F.col(keys[0]).isNull()
-    nulls = facts.where(has_null)
-    facts = facts.where(~has_null)
-    if how == "left":
-        extra = [c for c in dim.columns if c not in keys]
-        nulls = nulls.select("*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in extra])
-    if not split_hot_keys:
-        joined = facts.join(dim, keys, how)
-    else:
-        hot = hot_keys(facts, keys)
-        if hot.isEmpty():
-            joined = facts.join(dim, keys, how)
-        else:
-            hot_b = F.broadcast(hot)
-            facts_hot = facts.join(hot_b, keys, "left_semi")
-            facts_cold = facts.join(hot_b, keys, "left_anti")
-            dim_hot = dim.join(hot_b, keys, "left_semi")
-            joined = (facts_hot.join(F.broadcast(dim_hot), keys, how)
-                      .unionByName(facts_cold.join(dim, keys, how)))
-    return joined.unionByName(nulls) if how in ("left", "left_anti") else joined
+    # Which part a row goes to depends on the row alone: a retried task deals the same.
+    columns = facts.columns
+    part = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    hot = F.broadcast(hot_keys(facts, keys).withColumn("_hot", F.lit(True)))
+    dealt = (facts.join(hot, keys, "left")
+             .withColumn("_part", F.when(no_key | F.col("_hot"), part).otherwise(F.lit(0))).drop("_hot"))
+    held = (dim.join(hot, keys, "left")
+            .withColumn("_part", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+                                           .otherwise(F.array(F.lit(0))))).drop("_hot"))
+    joined = dealt.join(held, [*keys, "_part"], how)
+    rest = [c for c in columns if c not in keys]
+    return joined.select(*keys, *rest, *([] if how in ("left_semi", "left_anti") else [c for c in dim.columns if c not in keys]))
 
 
 def anti_join(df: DataFrame, dim: DataFrame, keys: list[str],
               broadcast_max_rows: int | None = None) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``dim`` (set difference on keys)."""
-    return lookup_join(df, dim.select(*keys), keys, "left_anti",
-                       broadcast_max_rows=broadcast_max_rows, split_hot_keys=False)
+    """Rows of ``df`` whose key is not in ``dim`` (set difference on keys).
+
+    The small side decides: a small ``dim`` is broadcast; of a large one a
+    small ``df`` first picks the keys it needs, so a batch of a few files
+    doesn't shuffle the whole dictionary. Else both sides shuffle; the keys
+    of ``df`` are expected to be distinct, so none is hot.
+    """
+    bound = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
+    held = dim.select(*keys)
+    if fits_broadcast(held, bound):
+        return df.join(F.broadcast(held), keys, "left_anti")
+    own = df.select(*keys)
+    if fits_broadcast(own, bound):
+        known = held.join(F.broadcast(own), keys, "left_semi").distinct().checkpoint(eager=True)
+        return df.join(F.broadcast(known), keys, "left_anti")  # no more rows than df has
+    return df.join(held, keys, "left_anti")

@@ -4,15 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cdrflow.operators import joins
-from cdrflow.operators.ids import assign_ids, global_rank, highest_ids
-
-
-def test_global_rank_matches_row_number(spark):
-    keys = spark.range(0, 5000, 1, 7).select(
-        F.concat(F.lit("k"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 5, "0")).alias("k"))
-    got = global_rank(keys, ["k"], partitions=6).select("k", "_rank")
-    want = keys.select("k", F.row_number().over(Window.orderBy("k")).alias("_rank"))
-    assert got.exceptAll(want).count() == 0 and got.count() == 5000
+from cdrflow.operators.ids import assign_ids, highest_ids
 
 
 def test_ids_continue_each_dc_in_key_order(spark):
@@ -44,11 +36,21 @@ def test_shuffle_path_with_hot_key_equals_broadcast_path(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_anti_join_shuffle_path(spark):
+def test_anti_join_paths(spark):
+    """Both sides large, the new keys small, the dictionary small."""
     facts = _facts(spark).select("key").distinct()
-    dim = spark.range(0, 500).select(F.col("id").alias("key"))
-    got = joins.anti_join(facts, dim, ["key"], broadcast_max_rows=0)
-    assert sorted(r["key"] for r in got.collect()) == list(range(500, 997))
+    dim = spark.range(0, 2500).select(F.when(F.col("id") < 500, F.col("id")).otherwise(F.col("id") + 5000).alias("key"))
+    for bound in (0, 1500, 10_000):
+        got = joins.anti_join(facts, dim, ["key"], broadcast_max_rows=bound)
+        assert sorted(r["key"] for r in got.collect()) == list(range(500, 997))
+
+
+def test_shuffle_path_reads_the_facts_once_for_its_join(spark, tmp_dir):
+    _facts(spark).write.parquet(tmp_dir + "/facts")
+    facts = spark.read.parquet(tmp_dir + "/facts")
+    dim = spark.range(0, 500).select(F.col("id").alias("key"), (F.col("id") * 10).alias("val"))
+    plan = joins.lookup_join(facts, dim, ["key"], broadcast_max_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and "Union" not in plan
 
 
 def test_ids_across_partition_boundaries_match_row_number(spark):
