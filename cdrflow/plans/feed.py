@@ -22,6 +22,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import extract_urls
 from ..functions.time import epoch_from_ntz
@@ -29,6 +30,7 @@ from ..operators.asof import catalog_fits, versions_per_operator
 from ..operators.joins import lookup_join, measure, within_bounds
 from ..operators.partitioning import spread
 from ..schema import LINE_FIELDS
+from ..session import scratch_path
 from ..sources.descriptors import parse_descriptors
 
 DATATYPE = "webcdr"
@@ -89,17 +91,24 @@ def formats(spark: SparkSession) -> DataFrame:
     return parse_descriptors(descriptors(spark))
 
 
-_CATALOGS: dict[str, tuple[DataFrame, bool]] = {}
+_CATALOG_TABLES: dict[str, tuple[str, StructType]] = {}
 
 
 def catalog(spark: SparkSession) -> tuple[DataFrame, bool]:
-    """The feed's grouped versions (cached once per session) and whether
-    their measured size allows a broadcast."""
+    """The feed's grouped versions and whether their measured size allows a broadcast.
+
+    As in the job, descriptors are registered once, into a table; every query
+    reads that table and measures it.
+    """
     key = spark.sparkContext.applicationId
-    if key not in _CATALOGS:
-        v = versions_per_operator(formats(spark)).cache()
-        _CATALOGS[key] = (v, catalog_fits(v))
-    return _CATALOGS[key]
+    if key not in _CATALOG_TABLES:
+        v = versions_per_operator(formats(spark))
+        path = scratch_path(spark, "feed-catalog")
+        v.coalesce(1).write.parquet(path)
+        _CATALOG_TABLES[key] = (path, v.schema)
+    path, schema = _CATALOG_TABLES[key]
+    v = spark.read.schema(schema).parquet(path)
+    return v, catalog_fits(v)
 
 
 def versions(spark: SparkSession) -> DataFrame:
@@ -123,14 +132,16 @@ def identity(user_id: Column) -> dict[str, Column]:
     }
 
 
-def known_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A subscriber dictionary already holding the BUILDING-segment customers.
+def known_users(spark: SparkSession, sf_dir: str, segment: str | None = "BUILDING") -> DataFrame:
+    """A subscriber dictionary already holding the customers of a segment (None: of all).
 
     Their ids are their customer keys (not dense), as a dictionary imported
     from an older system would be.
     """
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").where(
-        F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    if segment is not None:
+        c = c.where(F.col("c_mktsegment") == segment)
+    c = c.select("c_custkey")
     ident = identity(F.col("c_custkey"))
     return c.select(ident["dc"].alias("dc"), F.col("c_custkey").alias("user_id"),
                     *[ident[k].alias(k) for k in ("op", "msisdn", "imsi", "imei")],

@@ -182,7 +182,7 @@ ORACLE_SQL: dict[str, str] = {
     "page_hits": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
     "landing_files": _q("SELECT dc, url, count(*) AS hits FROM hits GROUP BY dc, url"),
     "user_keys": _q("SELECT dc, op, msisdn, imsi, imei FROM ukeys"),
-    "max_user_id": _q("SELECT dc, coalesce(max(user_id), 0) AS max_user_id FROM known_u GROUP BY dc"),
+    "max_user_id": "SELECT 'dc' || CAST(c_custkey % 2 AS VARCHAR) AS dc, CAST(max(c_custkey) AS BIGINT) AS max_user_id FROM customer GROUP BY 1",
     "new_user_ids": _q("SELECT dc, user_id, op, msisdn, imsi, imei FROM new_u"),
     "new_page_ids": _q("SELECT dc, page_id, url FROM new_p"),
     "dim_after_append": _q("SELECT dc, user_id, op, msisdn, imsi, imei FROM dim_u"),

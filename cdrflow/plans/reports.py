@@ -30,18 +30,18 @@ BATCH = 1
 SECOND_BATCH_FROM = 1705276800
 
 
-_PLANS: dict[tuple[str, str], DataFrame] = {}
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed feed lines."""
+    versions, small = feed.catalog(spark)
+    return standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, small)
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed feed lines. The logical plan is built once per session and input
-    folder and reused, like a temporary view; every query still runs it in
-    full (nothing is cached)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PLANS:
-        versions, small = feed.catalog(spark)
-        _PLANS[key] = standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, small)
-    return _PLANS[key]
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back, as the
+    batch job stores its steps: later steps read the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _std(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,9 +49,7 @@ def _std(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standard rows written to the checkpoint folder, as the batch job stores
-    them before building dictionaries (later steps re-read, not re-parse)."""
-    return _std(spark, sf_dir).checkpoint(eager=True)
+    return _stored(_std(spark, sf_dir), "standard-rows")
 
 
 def file_operator(spark, sf_dir):
@@ -139,8 +137,8 @@ def user_keys(spark, sf_dir):
 
 
 def max_user_id(spark, sf_dir):
-    """Highest id per data centre of the existing subscriber dictionary."""
-    known = feed.known_users(spark, sf_dir)
+    """Highest id per data centre of a dictionary of all customers."""
+    known = feed.known_users(spark, sf_dir, segment=None)
     return ids.highest_ids(known, "user_id").withColumnRenamed("_start", "max_user_id")
 
 
@@ -160,9 +158,9 @@ def _dims(spark, sf_dir, std):
     """Dictionaries after this batch, stored like the batch job's appended tables."""
     known_u = feed.known_users(spark, sf_dir)
     known_p = feed.known_pages(spark, sf_dir)
-    dim_user = dims.extend(known_u, dims.new_users(std, known_u, BATCH)).checkpoint(eager=True)
-    dim_page = dims.extend(known_p, dims.new_pages(std, known_p, BATCH)).checkpoint(eager=True)
-    return dim_user, dim_page
+    dim_user = dims.extend(known_u, dims.new_users(std, known_u, BATCH))
+    dim_page = dims.extend(known_p, dims.new_pages(std, known_p, BATCH))
+    return _stored(dim_user, "dim-user"), _stored(dim_page, "dim-page")
 
 
 def dim_after_append(spark, sf_dir):
