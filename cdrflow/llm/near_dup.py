@@ -7,11 +7,13 @@ a one-bit signature, and confirmed on their full shingle sets; the confirmed
 links are closed by alternating large-star and small-star.
 
 Scale. Equal sets are one representative before any banding. In a band,
-every member is first compared with the band's smallest document only; after
-the first components, a band's members outside its largest component are
-compared with the others. So a group of n copies or near copies costs about
-n comparisons, yet every pair that shares a band is either confirmed or
-already in one component.
+every member is first compared with the band's most connected document only;
+after the first components, a band's members outside its largest component
+are compared with the others, once per pair, unless exact bounds rule a link
+out: the shingles that no other member has, and the shingles of the band's
+head that either of the two lacks. So a group of n copies or near copies
+costs about n comparisons, yet every pair that shares a band is confirmed,
+ruled out or already in one component.
 """
 
 from __future__ import annotations
@@ -155,15 +157,76 @@ def _alike(x: str, y: str, percent: int):
                + F.bit_count(c(f"{x}.sign2").bitwiseXOR(c(f"{y}.sign2"))) <= SIGN_SLACK))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    pairs = stored(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _texts(docs: DataFrame, pairs: DataFrame, x: str, y: str, name: str) -> DataFrame:
+    """``pairs`` with text_a and text_b, the texts of the ids x and y; an id
+    with two texts gives a row for each. Sorted runs of x."""
+    ids = pairs.select(F.explode(F.array(x, y)).alias("doc_id")).distinct()
     ids = small(stored(ids, f"{name}-ids"))
-    texts = stored(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{name}-texts")
-    ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    full = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return stored(full.mapInArrow(_confirm(k, percent), "a long, b long"), f"{name}-links")
+    texts = stored(docs.join(ids, "doc_id", "left_semi").dropDuplicates(), f"{name}-texts")
+    ta = texts.select(F.col("doc_id").alias(x), F.col("text").alias("text_a"))
+    tb = texts.select(F.col("doc_id").alias(y), F.col("text").alias("text_b"))
+    return pairs.join(tb, y).join(ta, x).select(x, y, "text_a", "text_b")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
+    full = _texts(docs, stored(pairs, f"{name}-pairs"), "a", "b", name)
+    return stored(full.mapInArrow(_confirm(k, percent), "a long, b long").distinct(), f"{name}-links")
+
+
+LACKS = 4    # longs of a bitmap
+
+
+def _lacking(k: int):
+    """Arrow batches (head, id, text_a, text_b) -> what the text has beyond the
+    head's shingles, and a bitmap of hashed shingles of the head that it lacks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, places = None, set(), {}
+        for batch in batches:
+            heads, _, ta, tb = (c.to_pylist() for c in batch.columns)
+            sizes, beyond, maps = [], [], []
+            for i in range(len(heads)):
+                if heads[i] != last:
+                    last, held = heads[i], _shingles(ta[i], k)
+                    # The same order of shingles on every worker: a place is a bit.
+                    places = {x: p % (64 * LACKS) for p, x in enumerate(sorted(held))}
+                other = _shingles(tb[i], k)
+                sizes.append(len(held))
+                beyond.append(len(other - held))
+                bits = 0
+                for x in held - other:
+                    bits |= 1 << places[x]
+                maps.append(bits)
+            words = [tokens.signed(np.array([(m >> (64 * j)) & (2**64 - 1) for m in maps], np.uint64)) for j in range(LACKS)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(beyond, pa.int64()), *map(pa.array, words)],
+                names=["head", "id", "n_head", "beyond", *(f"lack{j}" for j in range(LACKS))])
+    return run
+
+
+def _shingle_rows(k: int):
+    """Arrow batches (doc_id, text) -> (id, shingle), each shingle once per text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, w in tokens.slices(batch.column(1), tokens.BLANK_SPLIT):
+                x, offsets = shingle_hashes(w, k)
+                pairs = np.unique(np.stack([tokens.owners(offsets).astype(np.uint64), x]), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(pairs[0].astype(np.int64) + at)), pa.array(tokens.signed(pairs[1]))],
+                    names=["id", "shingle"])
+    return run
+
+
+def _own_shingles(docs: DataFrame, member: DataFrame, k: int) -> DataFrame:
+    """(id, own): how many shingles of each of the ``member`` ids no other of them has.
+
+    Those can't be in an intersection, which bounds the similarity of any two
+    members exactly.
+    """
+    ids = stored(member.select(F.col("id").alias("doc_id")).distinct(), "near-mixed-ids")
+    texts = docs.join(small(ids), "doc_id", "left_semi")
+    return (texts.mapInArrow(_shingle_rows(k), "id long, shingle long").groupBy("shingle")
+            .agg(F.min("id").alias("id"), F.max("id").alias("last")).filter("id = last")
+            .groupBy("id").agg(F.count(F.lit(1)).alias("own")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -187,16 +250,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                     .filter("doc_id <> rep").distinct(), "near-copies")
     lone = nodes.join(small(copies.drop("rep")), ["doc_id", "set1", "set2"], "left_anti")
     # Bands that more than one representative has.
-    rows = lone.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"))
-    shared = (rows.groupBy("band").agg(F.min("id").alias("head"), F.max("id").alias("tail"))
-              .filter("head < tail").drop("tail"))
-    member = stored(rows.join(shared, "band").join(
-        lone.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sign1", "sign2"), "id"),
-        "near-members")
+    rows = lone.select(F.posexplode("bands").alias("slot", "band"), F.col("doc_id").alias("id"))
+    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    facts = lone.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sign1", "sign2")
+    member = stored(rows.join(shared, "band").join(facts, "id"), "near-members")
+    # A band's head is its member with the most company over all bands: of near
+    # copies of one text, that text rather than one of the copies.
+    weight = member.groupBy("id").agg(F.sum("size").alias("weight"))
+    heads = (member.select("band", "id").join(weight, "id").groupBy("band")
+             .agg(F.max(F.struct("weight", -F.col("id"))).alias("top")).select("band", (-F.col("top.col2")).alias("head")))
     facts = member.select("id", "n", "sign1", "sign2").distinct()
-    star = member.filter("id > head").select("id", "n", "sign1", "sign2", "head").distinct().alias("x").join(
+    star = member.join(heads, "band").filter("id <> head").select("id", "n", "sign1", "sign2", "head").distinct().alias("x").join(
         facts.alias("y"), (F.col("x.head") == F.col("y.id")) & _alike("x", "y", percent)).select(
-        F.col("x.head").alias("a"), F.col("x.id").alias("b"))
+        F.col("x.head").alias("a"), F.col("x.id").alias("b")).distinct()
     links = _verified(star, docs, k, percent, "near-star")
     first = stored(components(links, "near-first"), "near-first-map")
     # In each band, members outside its largest component against the others.
@@ -205,11 +271,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     per = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m"))
     major = (per.groupBy("band").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("c"))
              .filter("c > 1").select("band", F.col("top.component").alias("major")))
-    mixed = stored(placed.join(major, "band"), "near-mixed")
+    mixed = placed.join(major, "band").join(heads, "band").drop("size")
+    mixed = stored(mixed.join(lone.select(F.col("doc_id").alias("id"), "bands"), "id"), "near-mixed")
+    twice = stored(lone.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id")), "near-twice")
+    own = stored(_own_shingles(docs, mixed, k).join(twice, "id", "left_anti"), "near-own")
+    mixed = mixed.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    mixed = stored(mixed.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent), "near-bounded")
+    against = stored(mixed.select("head", "id").distinct().join(twice, "id", "left_anti")
+                     .join(twice.withColumnRenamed("id", "head"), "head", "left_anti"), "near-against")
+    lacks = [f"lack{j}" for j in range(LACKS)]
+    lacking = _texts(docs, against, "head", "id", "near-against").mapInArrow(
+        _lacking(k), "head long, id long, n_head long, beyond long, " + ", ".join(f"{c} long" for c in lacks))
+    # Where a text is unknown to its head, nothing is lacking and nothing bounded.
+    mixed = stored(mixed.join(lacking, ["head", "id"], "left").fillna(0, lacks)
+                   .withColumn("beyond", F.coalesce(F.greatest(F.col("beyond") - F.col("own"), F.lit(0)), F.col("n")))
+                   .withColumn("n_head", F.coalesce("n_head", F.lit(2**40))), "near-cross-rows")
     x, y = mixed.filter("component <> major").alias("x"), mixed.alias("y")
+    lacked = sum((F.bit_count(F.col(f"x.{c}").bitwiseOR(F.col(f"y.{c}"))) for c in lacks), F.lit(0))
+    common = F.least(F.col("x.n") - F.col("x.own"), F.col("y.n") - F.col("y.own"),
+                     F.greatest("x.n_head", "y.n_head") - lacked + F.least("x.beyond", "y.beyond"))
+    first_shared = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.slot") + 1
     cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component"))
                    & ((F.col("y.component") == F.col("y.major")) | (F.col("x.id") < F.col("y.id")))
-                   & _alike("x", "y", percent)).select(
+                   & _alike("x", "y", percent)
+                   & (common * 100 >= (F.col("x.n") + F.col("y.n") - common) * percent) & first_shared).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     more = _verified(cross, docs, k, percent, "near-cross")
     if not more.isEmpty():
