@@ -36,6 +36,7 @@ MIN_CHARS = 24        # shorter lines are left alone
 HOT = 32              # lines under one key beyond which the key is refined
 DEPTH = 3
 LEAST_LEFT = 0.2      # a document of which less is left, the rest seen in others, goes
+COPIED = 0.5          # share of a document, in two lines or more, of one other document: left whole
 
 LINE_BYTE = np.ones(256, bool)
 LINE_BYTE[[10, 13]] = False
@@ -334,14 +335,17 @@ def line_classes(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, lines, foreign_chars, sources): per document that has any, the
-    numbers of its lines whose class occurs before, the characters of those
-    first seen in another document, and the documents they were first seen in."""
+    """(doc_id, lines, foreign_chars, sources, one_chars): per document that has
+    any, the numbers of its lines whose class occurs before, the characters of
+    those first seen in another document, the documents they were first seen in,
+    and the most characters, in two lines or more, first seen in one of them."""
     later = line_classes(docs).filter((F.col("doc_id") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))).distinct()
     foreign = F.when(F.col("doc_id") != F.col("first_doc"), F.col("chars")).otherwise(0)
-    return stored(later.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list("line")).alias("lines"), F.sum(foreign).alias("foreign_chars"),
-        F.array_sort(F.collect_set("first_doc")).alias("sources")), "lines-repeats")
+    pairs = later.groupBy("doc_id", "first_doc").agg(F.collect_list("line").alias("lines"), F.sum(foreign).alias("chars"))
+    return stored(pairs.groupBy("doc_id").agg(
+        F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"), F.sum("chars").alias("foreign_chars"),
+        F.array_sort(F.collect_list("first_doc")).alias("sources"),
+        F.max(F.when(F.size("lines") > 1, F.col("chars")).otherwise(0)).alias("one_chars")), "lines-repeats")
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,15 +374,19 @@ def without_repeats(docs: DataFrame, least_left: float = LEAST_LEFT) -> DataFram
     """``docs`` without lines whose class occurs before; its columns and their order stay.
 
     A line stays at its first place (smallest doc_id, then line number). A
-    document goes when lines first seen in other documents leave less than
-    ``least_left`` of its characters: it is a copy. n_chars, where there is
+    document that shares half or more of its characters, in two lines or more,
+    with one other document is left whole: whether it is a copy is not for
+    lines to say, and cutting it would hide it from a comparison of documents.
+    Of the others, a document goes when lines first seen in other documents
+    leave less than ``least_left`` of its characters. n_chars, where there is
     such a column, is counted anew for changed texts. Documents without
     repeated lines, also null and empty ones, stay as they are.
     """
-    found = repeats(docs).select(F.col("doc_id").alias("at"), "lines", "foreign_chars")
+    found = repeats(docs).select(F.col("doc_id").alias("at"), "lines", "foreign_chars", "one_chars")
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col("doc_id").cast("long").alias("at"))
     whole = F.length(F.regexp_replace("d.text", r"[\r\n]", ""))
     both = (packed.join(small(found, "size(lines)"), "at", "left")
+            .withColumn("lines", F.when(F.col("one_chars") >= COPIED * whole, F.lit(None)).otherwise(F.col("lines")))
             .filter(F.col("lines").isNull() | (F.col("foreign_chars") <= (1 - least_left) * whole))
             .select("d", F.col("lines").isNotNull().alias("changed"), F.col("d.text").alias("text"), "lines"))
     out = both.mapInArrow(_without, T.StructType([*both.schema.fields[:2], T.StructField("text", T.StringType())]))

@@ -28,10 +28,9 @@ def test_planted_documents(spark, make_docs, tmp_dir):
     toxic = [(1000 + d, text(1000 + d).replace(" ", " vile nasty ", 2)) for d in range(80)]
     copies = [(2000 + d, text(d)) for d in range(5)]
     near = []
-    for d in range(5, 10):  # every line differs by a word, so that it is no near copy of a line
+    for d in range(5, 10):  # one line differs by a word: three lines are the same, the document a near copy
         lines = [x.split() for x in text(d).split("\n")]
-        for x in lines[:]:
-            x[r.randrange(1, 24)] = "otherword"
+        lines[r.randrange(4)][r.randrange(1, 24)] = "otherword"
         near.append((3000 + d, "\n".join(" ".join(x) for x in lines)))
     item = prose(77, 20)
     leaked = [(4000, text(4000) + "\n" + item), (4001, item.upper())]
