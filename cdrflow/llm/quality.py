@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", modulus: in
     train = training_texts(docs, labels, column, modulus, held, TRAIN_ROWS, "quality")
     schema = "label int, " + ", ".join(f"{n} double" for n in NAMES)
     rows = (train.select("label", "text").mapInArrow(_rows(0, 1, lambda x: x.T.copy(), ["label", *NAMES]), schema)
-            .toPandas().sort_values(list(NAMES)))
+            .toArrow().to_pandas().sort_values(list(NAMES)))
     return grow(rows[list(NAMES)].to_numpy(float).reshape(len(rows), len(NAMES)), rows["label"].to_numpy(float))
 
 

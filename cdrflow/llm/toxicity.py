@@ -322,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", modulus: int
         rows += part.orderBy(F.xxhash64("words")).limit(TRAIN_WINDOWS // 2).collect()
     cut.unpersist()
     model = _fit_chain(rows)
-    level = train.select("label", "text").mapInArrow(_level_rows(spark.sparkContext.broadcast(model)), "label int, peak double, mass double").toPandas()
+    level = train.select("label", "text").mapInArrow(_level_rows(spark.sparkContext.broadcast(model)), "label int, peak double, mass double").toArrow().to_pandas()
     if level["label"].nunique() == 2:
         x = np.column_stack([np.ones(len(level)), level["peak"], level["mass"]])
         model.level = _fit_level(x, level["label"].to_numpy(float))
