@@ -149,3 +149,20 @@ def test_names_places_and_files_are_kept(spark, tmp_dir):
     assert res.standard_rows == 2 and res.rejected == {"bad_path": 2} and res.new_users == 2
     assert {r["dc"] for r in tables.dim_user(spark, wh).collect()} == {"001", "1"}
     assert {r["dc"] for r in tables.read_table(spark, wh.enriched).collect()} == {"001", "1"}
+
+
+def test_partitioned_landing(spark, tmp_dir):
+    """A ``dc=/datatype=/op=`` landing of another Spark job; a second run takes no file."""
+    landing, formats = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "formats")
+    rows = [("007", "webcdr", "alphanet", line) for line in fx.ALPHANET_1] + [("idc", "webcdr", "zetanet", line) for line in fx.UNKNOWN]
+    spark.createDataFrame(rows, "dc string, datatype string, op string, value string").write.partitionBy("dc", "datatype", "op").text(landing)
+    d = os.path.join(formats, "007", "webcdr")
+    os.makedirs(d)
+    with open(os.path.join(d, "data_format-x-alphanet-1.properties"), "w") as fh:
+        fh.write(fx.descriptor(fx.START_1, ";"))
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    res = run_batch(spark, landing, wh.root, 1, partitioned=True, descriptor_root=formats)
+    assert res.standard_rows == len(fx.ALPHANET_1) and res.rejected == {"unknown_operator": 2}
+    assert {r["dc"] for r in tables.dim_user(spark, wh).collect()} == {"007"}
+    res = run_batch(spark, landing, wh.root, 2, partitioned=True, descriptor_root=formats)
+    assert res.standard_rows == 0 and res.rejected == {}
