@@ -91,24 +91,23 @@ def formats(spark: SparkSession) -> DataFrame:
     return parse_descriptors(descriptors(spark))
 
 
-_CATALOG_TABLES: dict[str, tuple[str, StructType]] = {}
+_CATALOG_TABLES: dict[str, tuple[str, StructType, bool]] = {}
 
 
 def catalog(spark: SparkSession) -> tuple[DataFrame, bool]:
     """The feed's grouped versions and whether their measured size allows a broadcast.
 
-    As in the job, descriptors are registered once, into a table; every query
-    reads that table and measures it.
+    As in the job, descriptors are registered once, into a table, which is
+    measured when it is written; every query reads that table.
     """
     key = spark.sparkContext.applicationId
     if key not in _CATALOG_TABLES:
         v = versions_per_operator(formats(spark))
         path = scratch_path(spark, "feed-catalog")
         v.coalesce(1).write.parquet(path)
-        _CATALOG_TABLES[key] = (path, v.schema)
-    path, schema = _CATALOG_TABLES[key]
-    v = spark.read.schema(schema).parquet(path)
-    return v, catalog_fits(v)
+        _CATALOG_TABLES[key] = (path, v.schema, catalog_fits(spark.read.schema(v.schema).parquet(path)))
+    path, schema, small = _CATALOG_TABLES[key]
+    return spark.read.schema(schema).parquet(path), small
 
 
 def versions(spark: SparkSession) -> DataFrame:
