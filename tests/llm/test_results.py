@@ -352,3 +352,22 @@ def test_held_out_labels(spark):
     rows = t.select(F.col("score") >= 0.5, F.col("toxic") == 1).collect()
     assert len(rows) > 50 and sum(a and not b for a, b in rows) <= 0.02 * len(rows)  # labels also mark documents without a sign
     assert sum(a and b for a, b in rows) >= 0.4 * sum(b for _, b in rows)
+
+
+def test_filter_keeps_its_error_rate_in_blocks(spark, make_docs, monkeypatch):
+    """Every n-gram counts, also in texts that fit; many blocks read as one does."""
+    rows = [(d, prose(d, 150, 2_000)) for d in range(60)]
+    docs = make_docs(rows)
+    whole = {x["doc_id"]: x["score"] for x in lm.scores(docs).collect()}
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2_000)
+    monkeypatch.setattr(lm, "HELD_TOKENS", 500)
+    model, _ = lm.fit(docs.select("doc_id", "text"))
+    assert len(model.blocks) > 2
+    data = [t.encode() for _, t in rows]
+    w = tokens.words_of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), tokens.BLANK_SPLIT)
+    for grams in lm._grams(*lm._sequence(w)):
+        keys, n = np.unique(grams, return_counts=True)
+        got = model.levels(keys)
+        assert (got >= lm._level(n, 1)).all() and (got > lm._level(n, 1)).mean() < 0.05
+        assert (model.levels(keys ^ np.uint64(0x5555)) > 0).mean() < 0.05
+    assert {x["doc_id"]: x["score"] for x in lm.scores(docs).collect()} == pytest.approx(whole)
