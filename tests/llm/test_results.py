@@ -371,3 +371,12 @@ def test_filter_keeps_its_error_rate_in_blocks(spark, make_docs, monkeypatch):
         assert (got >= lm._level(n, 1)).all() and (got > lm._level(n, 1)).mean() < 0.05
         assert (model.levels(keys ^ np.uint64(0x5555)) > 0).mean() < 0.05
     assert {x["doc_id"]: x["score"] for x in lm.scores(docs).collect()} == pytest.approx(whole)
+
+
+def test_ngrams_count_from_one_occurrence(spark, make_docs):
+    """Those of texts that fit the weights too: one in ten here."""
+    rows = [(d, prose(500 + d, 60, 5_000)) for d in range(40)]
+    model, _ = lm.fit(make_docs(rows).select("doc_id", "text"))
+    for _, t in rows:
+        w = tokens.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), tokens.BLANK_SPLIT)
+        assert all((model.levels(g) > 0).all() for g in lm._grams(*lm._sequence(w)))
