@@ -172,6 +172,22 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tokens.Words:
     return tokens.words_of(data, offsets, LINE_BYTE, SAME)
 
 
+def _short_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> id, doc_id, line, chars of the lines of under MIN_CHARS that hold a word."""
+    for batch in batches:
+        data, offsets = tokens.raw(batch.column(1))
+        for at, to in tokens.cut(offsets):
+            w = _lines(data, offsets[at: to + 1])
+            _, bounds = _points(w)
+            number = np.arange(len(w.starts)) - np.repeat(w.offsets[:-1], w.counts)
+            inked = np.concatenate([[0], np.cumsum(tokens.BLANK_SPLIT[w.text])])
+            short = np.flatnonzero((np.diff(bounds) < MIN_CHARS) & (inked[w.ends] > inked[w.starts]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens.signed(w.hashes()[short])), batch.column(0).take(pa.array(tokens.owners(w.offsets)[short] + at)),
+                 pa.array(number[short].astype(np.int32)), pa.array(np.diff(bounds)[short].astype(np.int32))],
+                names=["id", "doc_id", "line", "chars"])
+
+
 def _probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, repeats) -> (key, id) of the substrings of the lines not in repeats."""
     for batch in batches:
@@ -334,12 +350,25 @@ def line_classes(docs: DataFrame) -> DataFrame:
         "doc_id", "line", "chars", F.col("head.doc_id").alias("first_doc"), F.col("head.line").alias("first_line"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def short_classes(docs: DataFrame) -> DataFrame:
+    """As ``line_classes``, of the lines of under MIN_CHARS characters that hold a word: equal ones only."""
+    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .filter("doc_id is not null and text is not null"))
+    seen = stored(docs.mapInArrow(_short_lines, "id long, doc_id long, line int, chars int"), "lines-short")
+    heads = stored(seen.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("head"), F.count(F.lit(1)).alias("times"))
+                   .filter("times > 1").drop("times"), "lines-short-heads")
+    return seen.join(small(heads), "id").select(
+        "doc_id", "line", "chars", F.col("head.doc_id").alias("first_doc"), F.col("head.line").alias("first_line"))
+
+
+def repeats(docs: DataFrame, short: bool = False) -> DataFrame:
     """(doc_id, lines, foreign_chars, sources, one_chars): per document that has
     any, the numbers of its lines whose class occurs before, the characters of
     those first seen in another document, the documents they were first seen in,
-    and the most characters, in two lines or more, first seen in one of them."""
-    later = line_classes(docs).filter((F.col("doc_id") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))).distinct()
+    and the most characters, in two lines or more, first seen in one of them.
+    With ``short``, lines of under MIN_CHARS count where they are equal."""
+    classes = line_classes(docs).unionAll(short_classes(docs)) if short else line_classes(docs)
+    later = classes.filter((F.col("doc_id") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))).distinct()
     foreign = F.when(F.col("doc_id") != F.col("first_doc"), F.col("chars")).otherwise(0)
     pairs = later.groupBy("doc_id", "first_doc").agg(F.collect_list("line").alias("lines"), F.sum(foreign).alias("chars"))
     return stored(pairs.groupBy("doc_id").agg(
@@ -370,26 +399,29 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(out, pa.string())], names=batch.schema.names[:-1])
 
 
-def without_repeats(docs: DataFrame, least_left: float = LEAST_LEFT) -> DataFrame:
+def without_repeats(docs: DataFrame, least_left: float = LEAST_LEFT, copied: float | None = COPIED,
+                    short: bool = False, key: str = "doc_id") -> DataFrame:
     """``docs`` without lines whose class occurs before; its columns and their order stay.
 
-    A line stays at its first place (smallest doc_id, then line number). A
-    document that shares half or more of its characters, in two lines or more,
-    with one other document is left whole: whether it is a copy is not for
-    lines to say, and cutting it would hide it from a comparison of documents.
-    Of the others, a document goes when lines first seen in other documents
-    leave less than ``least_left`` of its characters. n_chars, where there is
-    such a column, is counted anew for changed texts. Documents without
+    A line stays at its first place (smallest ``key``, then line number). A
+    document that shares ``copied`` or more of its characters, in two lines or
+    more, with one other document is left whole; with None no document is. Of
+    the others, a document goes when lines first seen in other documents leave
+    less than ``least_left`` of its characters, or no line with a word is left.
+    With ``short``, equal lines of under MIN_CHARS go too. n_chars, where there
+    is such a column, is counted anew for changed texts. Documents without
     repeated lines, also null and empty ones, stay as they are.
     """
-    found = repeats(docs).select(F.col("doc_id").alias("at"), "lines", "foreign_chars", "one_chars")
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col("doc_id").cast("long").alias("at"))
+    found = repeats(docs.select(F.col(f"`{key}`").alias("doc_id"), "text"), short).select(F.col("doc_id").alias("at"), "lines", "foreign_chars", "one_chars")
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(f"`{key}`").cast("long").alias("at"))
     whole = F.length(F.regexp_replace("d.text", r"[\r\n]", ""))
     both = (packed.join(small(found, "size(lines)"), "at", "left")
-            .withColumn("lines", F.when(F.col("one_chars") >= COPIED * whole, F.lit(None)).otherwise(F.col("lines")))
+            .withColumn("lines", F.col("lines") if copied is None else
+                        F.when(F.col("one_chars") >= copied * whole, F.lit(None)).otherwise(F.col("lines")))
             .filter(F.col("lines").isNull() | (F.col("foreign_chars") <= (1 - least_left) * whole))
             .select("d", F.col("lines").isNotNull().alias("changed"), F.col("d.text").alias("text"), "lines"))
     out = both.mapInArrow(_without, T.StructType([*both.schema.fields[:2], T.StructField("text", T.StringType())]))
+    out = out.filter(~F.col("changed") | F.col("text").rlike(r"\S"))
 
     def column(f: T.StructField):
         if f.name == "text":

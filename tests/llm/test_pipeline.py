@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 
 import __spark_entry__ as entry
+from cdrflow.llm import stages
 
 from .conftest import prose
 
@@ -49,3 +50,16 @@ def test_planted_documents(spark, make_docs, tmp_dir):
     assert [passage in kept[5000 + i]["text"] for i in range(4)] == [True, False, False, False]
     assert kept[0]["text"] == clean[0][1] and kept[0]["n_tokens"] > 0
     assert not {d for d, _ in near} & set(kept)
+
+
+def test_verdicts_are_of_rows(spark, make_docs, tmp_dir):
+    """Null and repeated ids: each row by its own text, one row of each group."""
+    item = prose(77, 20)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    clean, twice, loose = prose(41, 50), prose(42, 50), prose(43, 50)
+    docs = make_docs([(None, item), (None, loose), (None, loose), (1, item), (1, clean), (2, twice), (2, twice), (3, twice)])
+    out = stages.decontaminated(spark, docs, tmp_dir).collect()
+    assert sorted(x["text"] for x in out) == sorted([loose, loose, clean, twice, twice, twice])
+    for stage in (stages.near_dedup, stages.line_deduped):
+        out = stage(spark, docs.filter(docs.text != item), tmp_dir).collect()
+        assert sorted((x["doc_id"] or 0, x["text"]) for x in out) == sorted([(0, loose), (1, clean), (2, twice)])
