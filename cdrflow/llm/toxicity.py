@@ -9,7 +9,7 @@ score through a small logistic fit, and the tokens over one half its spans.
 
 Scale. Fitting reads a bounded sample (``TRAIN_DOCS``, ``TRAIN_WINDOWS``);
 only word counts and windows of it reach the driver, and the broadcast model
-has a fixed size. Scoring is one pass over the texts without a shuffle.
+holds the words of the windows, TRAIN_WINDOWS * WINDOW at most. Scoring is one pass over the texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -32,31 +32,31 @@ WINDOW = 24                 # tokens
 CANDIDATES = 20_000         # words that may mark toxic documents
 MIN_DOCS, MIN_PRECISION = 3, 0.9
 CHANCE = 0.01               # expected number of words that mark by chance
-BITS = 18                   # hashed word weights
 EPOCHS, BATCH, RATE, DECAY = 12, 128, 1.0, 1e-4
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
-
-
 @dataclass
 class Chain:
     """Score differences between the toxic and the plain label."""
 
-    word: np.ndarray       # by hashed word: own, previous, next
+    words: np.ndarray      # sorted hashes of the words of the training windows
+    word: np.ndarray       # by place in words: own, previous, next; one more column, unused
     bias: float
     move: np.ndarray       # move[i, j]: from label i to label j
     level: np.ndarray      # document score: weights of (1, peak, log expected count)
 
     @classmethod
-    def blank(cls) -> Chain:
-        return cls(np.zeros((3, 1 << BITS)), -4.0, np.zeros((2, 2)), np.array([-3.0, 0.0, 0.0]))
+    def blank(cls, words: np.ndarray | None = None) -> Chain:
+        words = np.zeros(0, np.uint64) if words is None else words
+        return cls(words, np.zeros((3, len(words) + 1)), -4.0, np.zeros((2, 2)), np.array([-3.0, 0.0, 0.0]))
 
 
-def _slots(h: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    """(3, n) weight slots of each token: own, previous and next word; -1 beyond its line."""
-    own = _slot(h)
+def _slots(words: np.ndarray, h: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """(3, n) weight slots of each token: own, previous and next word; -1 beyond its line and for unknown words."""
+    own = np.full(len(h), -1, np.int64)
+    if len(words):
+        at = np.minimum(np.searchsorted(words, h), len(words) - 1)
+        own = np.where(words[at] == h, at, -1)
     out = np.full((3, len(h)), -1, np.int64)
     out[0] = own
     out[1, 1:] = own[:-1]
@@ -114,7 +114,7 @@ def _lines(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
 
 def _tag(model: Chain, w: tokens.Words) -> np.ndarray:
     starts, sizes = _lines(w)
-    slots = _slots(w.hashes(), starts, starts + sizes - 1)
+    slots = _slots(model.words, w.hashes(), starts, starts + sizes - 1)
     return _marginals(_potential(model, slots), starts, sizes, model.move)
 
 
@@ -187,7 +187,7 @@ def _windows(shared):
                     mine = np.flatnonzero(who == text) if to - at < 2 else np.arange(*np.searchsorted(who, [text, text + 1]))
                     if not len(mine):
                         continue
-                    hot = [i for i in mine if toxic[starts[i]: starts[i] + sizes[i]].any()][:4]
+                    hot = [i for i in mine if toxic[starts[i]: starts[i] + sizes[i]].any()]
                     plain = mine[int(h[starts[mine[0]]] % np.uint64(len(mine)))]
                     for i in {*hot, plain}:
                         span = slice(starts[i], starts[i] + sizes[i])
@@ -231,20 +231,21 @@ def _gradients(model: Chain, slots, y, sizes):
 
 
 def _fit_chain(rows: list) -> Chain:
-    model = Chain.blank()
     rows = [r for r in rows if r["words"]]
     if not rows:
-        return model
+        return Chain.blank()
+    model = Chain.blank(np.unique(np.concatenate([np.array(r["words"], np.int64) for r in rows]).view(np.uint64)))
+    width = model.word.shape[1]
     n = len(rows)
     sizes = np.array([len(r["words"]) for r in rows])
     slots = np.full((3, n, WINDOW), -1, np.int64)
     y = np.zeros((n, WINDOW), np.int64)
     for i, r in enumerate(rows):
         h = np.array(r["words"], np.int64).view(np.uint64)
-        slots[:, i, : len(h)] = _slots(h, np.array([0]), np.array([len(h) - 1]))
+        slots[:, i, : len(h)] = _slots(model.words, h, np.array([0]), np.array([len(h) - 1]))
         y[i, : len(h)] = r["tags"]
     rng = np.random.default_rng(7)
-    seen = [np.full(1 << BITS, 0.5) for _ in range(3)]
+    seen = [np.full(width, 0.5) for _ in range(3)]
     seen_move, seen_bias = np.ones((2, 2)), 1.0
     for _ in range(EPOCHS):
         order = rng.permutation(n)
@@ -254,7 +255,7 @@ def _fit_chain(rows: list) -> Chain:
             for j in range(3):
                 at = slots[j][take]
                 ok = at >= 0
-                grad = np.bincount(at[ok], weights=g[ok], minlength=1 << BITS) - DECAY * model.word[j]
+                grad = np.bincount(at[ok], weights=g[ok], minlength=width) - DECAY * model.word[j]
                 if j:
                     grad *= 0.1  # context weights move more slowly than the word's own
                 seen[j] += grad * grad
@@ -265,6 +266,8 @@ def _fit_chain(rows: list) -> Chain:
             seen_bias += bias * bias
             model.bias += RATE * bias / np.sqrt(seen_bias)
     model.word[np.abs(model.word) < 1e-3] = 0
+    used = model.word[:, :-1].any(axis=0)
+    model.words, model.word = model.words[used], model.word[:, np.append(used, True)]
     return model
 
 

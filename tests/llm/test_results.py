@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,3 +381,24 @@ def test_ngrams_count_from_one_occurrence(spark, make_docs):
     for _, t in rows:
         w = tokens.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), tokens.BLANK_SPLIT)
         assert all((model.levels(g) > 0).all() for g in lm._grams(*lm._sequence(w)))
+
+
+def test_unknown_words_have_no_weight():
+    """A word that shares the top bits of a toxic word's hash is not that word."""
+    data = " ".join(["vile", *(f"x{i}" for i in range(1_500_000))]).encode()
+    h = tokens.words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), tokens.ALNUM).hashes()
+    near = np.flatnonzero(h[1:] >> np.uint64(46) == h[0] >> np.uint64(46))
+    assert len(near)
+    rows = [{"words": tokens.signed(np.array([h[i + 9], h[0] if i % 2 else h[i + 2000], h[i + 4000]])).tolist(), "tags": [0, i % 2, 0]} for i in range(600)]
+    model = toxicity._fit_chain(rows)
+    p = [toxicity._tag(model, tokens.words_of(np.frombuffer(t, np.uint8), np.array([0, len(t)]), tokens.ALNUM)).max()
+         for t in (b"vile", *(b"x%d" % i for i in near))]
+    assert p[0] > 0.5 > max(p[1:])
+
+
+def test_all_toxic_lines_give_windows():
+    text = "\n".join(f"a{i} vile b{i}" for i in range(9))
+    vile = tokens.words_of(np.frombuffer(b"vile", np.uint8), np.array([0, 4]), tokens.ALNUM).hashes()
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([text])], names=["label", "text"])
+    shared = type("Shared", (), {"value": {int(vile[0])}})
+    assert sum(x.column(2).to_pylist().count(True) for x in toxicity._windows(shared)(iter([batch]))) == 9
