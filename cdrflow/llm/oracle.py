@@ -121,6 +121,68 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN per USING (doc_id)
 """
 
+_LABELS = ("(SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic "
+           "FROM labels GROUP BY doc_id)")
+
+# Each order tries its letters in turn; a mask goes at the first letter it holds.
+_OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT doc_id, part, concat(CASE WHEN len(w) < 200 THEN 'A' ELSE '' END,
+             CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+             CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END,
+             CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+             CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS mask FROM d),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM m LEFT JOIN {_LABELS} USING (doc_id) GROUP BY part, mask),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS x, left(filter_order, step - 1) AS earlier
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, x,
+             sum(n) FILTER (NOT contains(mask, x) AND translate(mask, earlier, '') = mask) AS passed,
+             coalesce(sum(n) FILTER (contains(mask, x) AND translate(mask, earlier, '') = mask), 0) AS removed,
+             coalesce(sum(n) FILTER (contains(mask, x) AND translate(mask, earlier, '') <> mask), 0) AS redundant,
+             coalesce(sum(n) FILTER (mask = x), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (contains(mask, x) AND translate(mask, earlier, '') = mask), 0) AS good_lost,
+             coalesce(sum(toxic) FILTER (contains(mask, x) AND translate(mask, earlier, '') = mask), 0) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, CAST(coalesce(passed, 0) AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
+# CRC-32 byte by byte over the distinct words, with the usual table of 256 values.
+_OP12 = rf"""
+WITH RECURSIVE bits(b, c, k) AS (SELECT b, CAST(b AS BIGINT), 0 FROM (SELECT unnest(range(0, 256)) AS b)
+    UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+dw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY word),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest({_ALNUM}) AS word FROM benchmark) GROUP BY word),
+hashed AS (SELECT word, xor(4294967295, list_reduce(list_transform(range(0, CAST(length(hex(encode(word))) / 2 AS BIGINT)),
+                  lambda i: CAST(('0x' || substr(hex(encode(word)), 2 * i + 1, 2)) AS BIGINT)),
+                  lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS BIGINT)]), CAST(4294967295 AS BIGINT))) % 10000 AS bucket
+           FROM (SELECT word FROM dw UNION SELECT word FROM bw), tab),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN hashed USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (CAST((SELECT sum(n) FROM dw) AS DOUBLE) + 10000)
+             / ((CAST(s.n AS DOUBLE) + 1) * (CAST(coalesce((SELECT sum(n) FROM bw), 0) AS DOUBLE) + 10000)))) AS BIGINT) AS g
+         FROM s LEFT JOIN t USING (bucket)),
+tokens AS (SELECT doc_id, unnest(w) AS word FROM d),
+weighed AS (SELECT doc_id, count(*) AS n, sum(g) AS g FROM tokens JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(CAST(floor(CAST(g AS DOUBLE) / n) AS BIGINT), 0) AS weight,
+                  CAST(floor(-1000 * ln(-ln((CAST(('0x' || left(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 8)) AS BIGINT) + 0.5::DOUBLE)
+                       / 4294967296::DOUBLE))) AS BIGINT) AS noise
+           FROM d LEFT JOIN weighed USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS place,
+                  10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= drawn THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
 
 ORACLE_SQL = {
     "op1_decontaminate": _OP1,
@@ -128,4 +190,6 @@ ORACLE_SQL = {
     "op5_quality_rules": _OP5,
     "op8_secrets": _op8(),
     "op9_near_duplicates": _OP9,
+    "op11_filter_audit": _OP11,
+    "op12_importance_resample": _OP12,
 }

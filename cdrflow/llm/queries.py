@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lm, near_dup, quality, rules, secrets, toxicity, urls
+from . import (audit, bpe, decontaminate, importance, line_dedup, lm, mixture, near_dup, quality, rules, secrets, toxicity,
+               urls)
 from .labelled import bucket
 from .oracle import ORACLE_SQL
 from .store import table
@@ -74,4 +75,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_lm_scores, op4_url_filter, op5_quality_rules, op6_quality_classifier, op7_bpe, op8_secrets, op9_near_duplicates, op10_toxicity)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes at each step of all 120 orders, per source."""
+    return audit.audit(audit.masked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the longer documents, drawn by weight towards ``benchmark``."""
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix of all sources takes of each document."""
+    return mixture.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_line_dedup, op3_lm_scores, op4_url_filter, op5_quality_rules, op6_quality_classifier, op7_bpe,
+    op8_secrets, op9_near_duplicates, op10_toxicity, op11_filter_audit, op12_importance_resample, op13_source_mix)}
