@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import USER_KEY
+from ..schema import PAGE_KEY, USER_KEY
 from .ids import assign_ids, highest_ids
 from .joins import anti_join
-
-PAGE_KEY = ["dc", "url"]
+from .staging import staged
 
 
 def user_keys(std: DataFrame) -> DataFrame:
@@ -31,15 +30,15 @@ def page_urls(std: DataFrame) -> DataFrame:
 
 def new_users(std: DataFrame, dim_user: DataFrame, batch_id: int) -> DataFrame:
     """Dictionary rows for subscribers not yet known."""
-    fresh = anti_join(user_keys(std), dim_user, USER_KEY)
-    rows = assign_ids(fresh, USER_KEY, "user_id", highest_ids(dim_user, "user_id"))
+    fresh = staged(anti_join(user_keys(std), dim_user, USER_KEY), "new-users")
+    rows = assign_ids(fresh, USER_KEY, "user_id", highest_ids(dim_user, "user_id"), rows=fresh.count())
     return rows.select("dc", "user_id", *USER_KEY[1:], F.lit(batch_id).cast("bigint").alias("batch_id"))
 
 
 def new_pages(std: DataFrame, dim_page: DataFrame, batch_id: int) -> DataFrame:
     """Dictionary rows for pages not yet known."""
-    fresh = anti_join(page_urls(std), dim_page, PAGE_KEY)
-    rows = assign_ids(fresh, PAGE_KEY, "page_id", highest_ids(dim_page, "page_id"))
+    fresh = staged(anti_join(page_urls(std), dim_page, PAGE_KEY), "new-pages")
+    rows = assign_ids(fresh, PAGE_KEY, "page_id", highest_ids(dim_page, "page_id"), rows=fresh.count())
     return rows.select("dc", "page_id", "url", F.lit(batch_id).cast("bigint").alias("batch_id"))
 
 

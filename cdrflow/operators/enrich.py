@@ -1,61 +1,87 @@
 """Identity and page substitution (J04, J05, U02) and the text form.
 
-Users: a lookup join on the five key columns. Pages: each URL of a row is
-replaced by its page id, keeping order and repeats: URLs are exploded with
-their position, looked up, and gathered back per row. Rows without URLs
-keep an empty list.
+Users: a lookup on the five key columns. Pages: each URL of a row is replaced by
+its page id, keeping order and repeats. With a dictionary small enough to
+broadcast, every place of the list is one broadcast lookup and no row moves;
+lists are short, and all but the longest few are done so. Otherwise URLs are
+exploded with their position, looked up, and gathered back per row. Rows without
+URLs keep an empty list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ENRICHED_FIELDS, USER_KEY
-from .dims import PAGE_KEY
-from .joins import lookup_join
+from ..schema import ENRICHED_FIELDS, PAGE_KEY, USER_KEY
+from .joins import fits_broadcast
+from .lookup import Layers, with_value
 
 ROW_KEY = ["batch_id", "row_id"]
+#: Lists up to this long are looked up place by place.
+PLACES = 8
 
 
-def with_user_ids(std: DataFrame, dim_user: DataFrame) -> DataFrame:
+def with_user_ids(std: DataFrame, dim_user: DataFrame | Layers) -> DataFrame:
     """Standard rows plus ``user_id``."""
     facts = std.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in USER_KEY})
-    return lookup_join(facts, dim_user.select(*USER_KEY, "user_id"), USER_KEY, "left")
+    return with_value(facts, dim_user, USER_KEY, "user_id")
 
 
-def page_id_lists(std: DataFrame, dim_page: DataFrame) -> DataFrame:
+def page_ids_by_place(rows: DataFrame, held: DataFrame, longest: int) -> DataFrame:
+    """``rows``, with lists of at most ``longest`` URLs, plus ``page_ids``. The
+    dictionary ``held`` (dc, url, page_id) is broadcast, once for all places."""
+    columns, out = rows.columns, rows
+    for i in range(longest):
+        place = F.broadcast(held.select("dc", F.col("url").alias(f"_url{i}"), F.col("page_id").alias(f"_page{i}")))
+        out = out.withColumn(f"_url{i}", F.get("urls", F.lit(i))).join(place, ["dc", f"_url{i}"], "left")
+    found = F.array(*[F.col(f"_page{i}") for i in range(longest)]).cast("array<bigint>")
+    return out.select(*columns, F.coalesce(F.slice(found, F.lit(1), F.size("urls")), F.array().cast("array<bigint>")).alias("page_ids"))
+
+
+def page_id_lists(std: DataFrame, dim_page: DataFrame | Layers) -> DataFrame:
     """(batch_id, row_id, page_ids) for rows with URLs, in URL order."""
     hits = std.select(*ROW_KEY, "dc", F.posexplode("urls").alias("pos", "url"))
-    looked = lookup_join(hits, dim_page.select(*PAGE_KEY, "page_id"), PAGE_KEY, "left")
+    looked = with_value(hits, dim_page, PAGE_KEY, "page_id")
     return (looked.groupBy(*ROW_KEY)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "page_id"))).alias("_p"))
             .select(*ROW_KEY, F.transform("_p", lambda p: p["page_id"]).alias("page_ids")))
 
 
-def with_page_ids(std: DataFrame, dim_page: DataFrame, rows: DataFrame | None = None) -> DataFrame:
-    """``rows`` (default: the standard rows) plus ``page_ids`` of ``std``."""
-    lists = page_id_lists(std, dim_page)
-    return ((rows if rows is not None else std).join(lists, ROW_KEY, "left")
+def _page_ids_by_row(rows: DataFrame, std: DataFrame, dim_page: DataFrame | Layers) -> DataFrame:
+    return (rows.join(page_id_lists(std, dim_page), ROW_KEY, "left")
             .withColumn("page_ids", F.coalesce("page_ids", F.array().cast("array<bigint>"))))
 
 
-def enrich(std: DataFrame, dim_user: DataFrame, dim_page: DataFrame) -> DataFrame:
-    """Enriched rows: 12 columns plus the partition and row keys.
+def with_page_ids(std: DataFrame, dim_page: DataFrame | Layers, rows: DataFrame | None = None) -> DataFrame:
+    """``rows`` (default: the standard rows) plus ``page_ids`` of ``std``.
 
-    Page lists come from the standard rows directly, so the user lookup runs
-    once, on the branch that keeps all columns.
+    ``std`` should be stored: the length of its longest list is measured.
     """
+    rows = std if rows is None else rows
+    held = (dim_page.rows if isinstance(dim_page, Layers) else dim_page).select(*PAGE_KEY, "page_id")
+    if not fits_broadcast(held):
+        return _page_ids_by_row(rows, std, dim_page).select(*rows.columns, "page_ids")
+    longest = std.agg(F.max(F.size("urls"))).first()[0] or 0
+    if longest <= PLACES:
+        return page_ids_by_place(rows, held, max(longest, 0))
+    short = F.coalesce(F.size("urls"), F.lit(0)) <= PLACES
+    return (page_ids_by_place(rows.where(short), held, PLACES)
+            .unionByName(_page_ids_by_row(rows.where(~short), std.where(~short), dim_page)))
+
+
+def enrich(std: DataFrame, dim_user: DataFrame | Layers, dim_page: DataFrame | Layers) -> DataFrame:
+    """Enriched rows: 12 columns plus the partition and row keys."""
     rows = with_page_ids(std, dim_page, rows=with_user_ids(std, dim_user))
     return rows.select("dc", "datatype", "batch_id", "row_id", *ENRICHED_FIELDS)
 
 
-def page_ids_text(page_ids) -> F.Column:
+def page_ids_text(page_ids) -> Column:
     """Page ids as one ','-joined string."""
     return F.array_join(F.transform(page_ids, lambda x: x.cast("string")), ",")
 
 
-def text_line(sep: str = ";") -> F.Column:
+def text_line(sep: str = ";") -> Column:
     """The ``;``-joined text of an enriched row, missing values empty."""
     cols = [page_ids_text(F.col(n)) if n == "page_ids" else F.col(n) for n in ENRICHED_FIELDS]
     return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .joins import lookup_join
 
 _LOCAL_BITS = 33
+#: New keys that one task may number.
+SMALL_ROWS = 200_000
 
 
 def highest_ids(dim: DataFrame, id_col: str, group_col: str = "dc") -> DataFrame:
@@ -44,9 +46,13 @@ def _ranked(keys: DataFrame, order_cols: list[str], partitions: int | None) -> D
 
 
 def assign_ids(new_keys: DataFrame, key_cols: list[str], id_col: str,
-               start: DataFrame, group_col: str = "dc", partitions: int | None = None) -> DataFrame:
+               start: DataFrame, group_col: str = "dc", partitions: int | None = None,
+               rows: int | None = None) -> DataFrame:
     """Give unique ``new_keys`` ids ``start[group] + 1, + 2, ...`` in key order.
 
+    ``rows`` is the number of keys, where the caller knows it: up to
+    ``SMALL_ROWS`` are numbered by one window over each group.
+
     ``start`` has ``group_col`` and ``_start`` (see :func:`highest_ids`).
     Keys are sorted by group first, so each range partition holds a run of
     whole or partial groups. From the row counts per (partition, group) --
@@ -55,6 +61,11 @@ def assign_ids(new_keys: DataFrame, key_cols: list[str], id_col: str,
     groups in this partition``; a key's id is ``base + place in partition + 1``.
     """
     order = [group_col] + [k for k in key_cols if k != group_col]
+    if rows is not None and rows <= SMALL_ROWS:
+        place = F.row_number().over(Window.partitionBy(group_col).orderBy(*order[1:]))
+        return (new_keys.withColumn("_place", place).join(F.broadcast(start), group_col, "left")
+                .withColumn(id_col, (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_place")).cast("bigint"))
+                .drop("_place", "_start"))
     ranked = _ranked(new_keys, order, partitions)
     counts = ranked.groupBy("_part", group_col).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group_col).orderBy("_part").rowsBetween(

@@ -16,7 +16,7 @@ from ..functions.text import extract_urls
 from ..functions.time import utc_wall_time
 from ..schema import LINE_FIELDS
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import dictionary, tables
 from ..sources.descriptors import format_fields, parse_descriptors
 from ..sources.landing import read_landing
 from ..sources.tables import Warehouse
@@ -191,9 +191,9 @@ def _import(spark: SparkSession, sf_dir: str) -> Warehouse:
     that are in use, of all of them, imported on top."""
     wh, legacy = Warehouse(scratch_path(spark, "job-warehouse")), scratch_path(spark, "job-legacy")
     users = feed.known_users(spark, sf_dir)
-    tables.append(users, wh.dim_user, ["dc"])
     pages = feed.known_pages(spark, sf_dir)
-    tables.append(pages, wh.dim_page, ["dc"])
+    for held, rows in ((dictionary.users(spark, wh), users), (dictionary.pages(spark, wh), pages)):
+        held.commit(rows, held.snapshot())
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     ident = feed.identity(F.col("c_custkey"))
     old = c.select(ident["dc"].alias("dc"), F.concat_ws(";", F.when(F.pmod("c_custkey", F.lit(13)) == 0, "none").otherwise((F.col("c_custkey") + 3).cast("string")),

@@ -18,6 +18,7 @@ from ..functions.text import extract_urls, field_at, operator_from_name, split_l
 from ..functions.time import epoch_from_text, utc_wall_time
 from ..operators import dims, enrich, ids, metrics, migrate, standardize
 from ..operators.partitioning import spread
+from ..operators.staging import staged
 from ..session import scratch_path
 from ..sources import landing, tables
 from ..streaming import arrival
@@ -36,20 +37,12 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.parse_lines(feed.cdr_feed(spark, sf_dir, BATCH), versions, small)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under the shared folder and read back, as the
-    batch job stores its steps: later steps read the columns they need."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _std(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.good_rows(_parsed(spark, sf_dir))
 
 
 def _stored_std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(_std(spark, sf_dir), "standard-rows")
+    return staged(_std(spark, sf_dir), "standard-rows")
 
 
 def file_operator(spark, sf_dir):
@@ -160,7 +153,7 @@ def _dims(spark, sf_dir, std):
     known_p = feed.known_pages(spark, sf_dir)
     dim_user = dims.extend(known_u, dims.new_users(std, known_u, BATCH))
     dim_page = dims.extend(known_p, dims.new_pages(std, known_p, BATCH))
-    return _stored(dim_user, "dim-user"), _stored(dim_page, "dim-page")
+    return staged(dim_user, "dim-user"), staged(dim_page, "dim-page")
 
 
 def dim_after_append(spark, sf_dir):

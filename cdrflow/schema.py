@@ -25,10 +25,10 @@ TARGET_FIELDS = [
 # A page URL inside ``action_url``: stops at a comma, a line end or '?'.
 URL_PATTERN = r"(file:[^\,\r\n?]+|https?:[^\,\r\n?]+)"
 
-# Operator from a data file name, e.g. CDR_alphanet_20120702_024801_localhost_0453.
+# Operator from a data file name, e.g. CDR_alphanet_20240305_101500_gw7_0012.
 DATA_FILE_PATTERN = r"CDR_(.*)_\d{8}_\d{6}"
 
-# Operator from a format descriptor name, e.g. data_format-x-alphanet-2012.properties.
+# Operator from a format descriptor name, e.g. data_format-x-alphanet-2024.properties.
 FORMAT_FILE_PATTERN = r"^data_format-.*-(.*)-.*\.properties$"
 
 # Descriptor keys.
@@ -36,7 +36,7 @@ FORMAT_START_KEY = "format_start_date_time"
 FORMAT_FIELDS_KEY = "fields"
 FORMAT_DELIMITER_KEY = "delimiter"
 DEFAULT_DELIMITER = ";"
-# Seconds, not fractions: the start "14:32:52" means 52 seconds.
+# Seconds, not fractions: the start "07:08:09" means 9 seconds.
 FORMAT_START_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 # ---------------------------------------------------------------------------
@@ -45,6 +45,7 @@ FORMAT_START_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 # Identity of a subscriber; ids are dense per data centre.
 USER_KEY = ["dc", "op", "msisdn", "imsi", "imei"]
+PAGE_KEY = ["dc", "url"]
 
 # Standard columns that aren't text.
 EPOCH_TARGET = "session_time"

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.text import operator_from_name
 from .landing import datatype_of, dc_of, place_of
@@ -24,14 +25,20 @@ _KEY_VALUE = r"^\s*([^=:\s\\]*(?:\\.[^=:\s\\]*)*)\s*[=:\s]?\s*(.*)$"
 
 
 def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> DataFrame:
-    """Descriptor files under ``root/<dc>/<datatype>/`` as (dc, datatype, file_name, content)."""
-    raw = (spark.read
-           .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", "*.properties")
-           .text(root, wholetext=True)
-           .select(F.col("value").alias("content"),
-                   F.col("_metadata.file_path").alias("path"),
-                   F.col("_metadata.file_name").alias("file_name")))
+    """Descriptor files under ``root/<dc>/<datatype>/`` as (dc, datatype, file_name, content).
+    A folder that isn't there has none."""
+    try:
+        raw = (spark.read
+               .option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.properties")
+               .text(root, wholetext=True)
+               .select(F.col("value").alias("content"),
+                       F.col("_metadata.file_path").alias("path"),
+                       F.col("_metadata.file_name").alias("file_name")))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], "content string, path string, file_name string")
     return (raw
             .withColumn("_place", place_of(F.col("path"), root))
             .withColumn("dc", F.regexp_replace(dc_of(F.col("_place")), "^dc=", ""))

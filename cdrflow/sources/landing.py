@@ -16,6 +16,7 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.text import operator_from_name
 from ..operators.partitioning import spread
@@ -97,13 +98,47 @@ def read_partitioned_lines(spark: SparkSession, root: str) -> DataFrame:
     return _lines(df, *[F.col(c).cast("string").alias(c) for c in ("dc", "datatype", "op") if c in df.columns])
 
 
+def literal_path(path: str) -> str:
+    """``path`` for a reader that takes patterns: only the file of that name."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, length, modified) of the data files under ``paths``; contents aren't read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-             .select("path", "length", F.unix_millis("modificationTime").alias("modified")))
+    """(path, source_file, length, modified) of the data files under ``paths``; contents
+    aren't read. ``source_file`` is the path as a line's scan shows it. A
+    folder that isn't there has no files."""
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+                 .select("path", F.col("_metadata.file_path").alias("source_file"), "length",
+                         F.unix_millis("modificationTime").alias("modified")))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, source_file string, length bigint, modified bigint")
     return files.where(is_data(F.col("path")))
 
 
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Untagged lines of just these files, whatever letters their names have."""
+    if not files:
+        return spark.createDataFrame([], "line string, source_file string")
+    return _lines(spark.read.text([literal_path(f) for f in files]))
+
+
+def identities(lines: DataFrame, root: str | None) -> DataFrame:
+    """(source_file, name, content) per file of untagged lines: its place and name
+    below ``root``, and a fingerprint of its lines, whatever their order.
+
+    One pass and one small aggregation, partial per task: a large file is no group.
+    """
+    line = F.col("line")
+    return (lines.groupBy("source_file")
+            .agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(F.length(line)).cast("string"),
+                             F.sum(F.xxhash64(line).cast("decimal(38,0)")).cast("string"),
+                             F.sum(F.xxhash64(line, F.lit(1)).cast("decimal(38,0)")).cast("string")).alias("content"))
+            .select("source_file", F.coalesce(F.array_join(place_of(F.col("source_file"), root), "/"), F.col("source_file")).alias("name"), "content"))
+
+
 def read_landing(spark: SparkSession, root: str | list[str], batch_id: int,
                  partitioned: bool = False, tag_root: str | None = None) -> DataFrame:
     """Tagged data lines of every (dc, datatype) folder under ``root``.

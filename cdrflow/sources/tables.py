@@ -4,9 +4,9 @@
 All writes happen on executors. Record outputs are partitioned by
 ``dc``, ``datatype`` and ``batch_id`` and written with dynamic partition
 overwrite; folders of the batch that the new result doesn't have are removed,
-so re-running a batch replaces exactly that batch. Dictionaries are appended;
-re-running a batch adds nothing because known keys are excluded before ids
-are given. Partition values are text, but for ``batch_id``.
+so re-running a batch replaces exactly that batch. Dictionaries are appended
+(:mod:`.dictionary`); re-running a batch adds nothing because known keys are
+excluded before ids are given. Partition values are text, but for ``batch_id``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..schema import DIM_PAGE_SCHEMA, DIM_USER_SCHEMA
 from ..session import text_partitions
 
 
@@ -45,6 +44,18 @@ class Warehouse:
     def finished(self) -> str:
         return f"{self.root}/finished_batches"
 
+    @property
+    def batches(self) -> str:
+        return f"{self.root}/batch_log"
+
+    @property
+    def parsed_with(self) -> str:
+        return f"{self.root}/parsed_with"
+
+    @property
+    def stuck(self) -> str:
+        return f"{self.root}/stuck_batches"
+
     @property
     def records(self) -> str:
         return f"{self.root}/cdr"
@@ -70,12 +81,18 @@ class Warehouse:
         return f"{self.root}/out"
 
 
+#: What Spark says of a path without a table, or without a file in it.
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A Parquet table, or an empty frame of ``schema`` when it does not exist yet."""
     text_partitions(spark)
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in _MISSING:  # a table that can't be read isn't an empty one
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -83,11 +100,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     text_partitions(spark)
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in _MISSING:
+            raise
         return None
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint")) if "batch_id" in df.columns else df
 
 
+def read_batch(spark: SparkSession, path: str, partition_by: list[str], batch_id: int, schema) -> DataFrame:
+    """The rows of one batch: only its own folders are listed. Empty when it has none."""
+    text_partitions(spark)
+    levels = ["*"] * partition_by.index("batch_id")
+    try:
+        return (spark.read.schema(schema).option("basePath", path)
+                .parquet("/".join([path, *levels, f"batch_id={batch_id}"])))
+    except AnalysisException as e:
+        if e.getCondition() not in _MISSING:
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _batch_folders(spark: SparkSession, path: str, partition_by: list[str], batch_id: int) -> tuple:
     """(file system, {folder: names of its files}) of one batch of a table."""
     jvm = spark.sparkContext._jvm
@@ -118,11 +150,15 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def dim_user(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return read_or_empty(spark, wh.dim_user, DIM_USER_SCHEMA)
+    """All subscribers with their ids, as committed now."""
+    from .dictionary import users  # which builds on this module
+    return users(spark, wh).rows()
 
 
 def dim_page(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return read_or_empty(spark, wh.dim_page, DIM_PAGE_SCHEMA)
+    """All pages with their ids, as committed now."""
+    from .dictionary import pages
+    return pages(spark, wh).rows()
 
 
 def import_text_dim_user(spark: SparkSession, path: str, dc: str | None = None) -> DataFrame:
