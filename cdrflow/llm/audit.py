@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .native import WORD, let, words
+from .store import stored
 
 LETTERS = "ABCDE"
 MEASURES = ("n", "good", "toxic")
@@ -54,10 +55,10 @@ def masked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     bits = [F.when(fails, 1 << i).otherwise(0) for i, fails in enumerate(default_filters().values())]
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
-                        F.unhex(F.sha2(t, 256)).alias("digest"), sum(bits[1:], bits[0]).alias("mask"))
-            .groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")))
+    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                              F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
+                              F.unhex(F.sha2(t, 256)).alias("digest"), sum(bits[1:], bits[0]).alias("mask"))
+                  .groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")), "audit-rows")
     first = (rows.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
              .withColumn("first", F.lit(True)))
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
