@@ -39,9 +39,9 @@ WEIGHTS = (3, 1, 2)
 PERCENT = 150
 #: A target is at most so many times its source's words.
 MOST = 2
-BLOCK = 50_000
+BLOCK = 4_000
 #: Blocks whose open documents meet in the next round.
-FAN = 10_000
+FAN = 2_000
 SEED = 2024
 #: Probabilities this near to 0 or 1 are settled.
 CLOSE = 1e-9
