@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: 0001-01-01 00:00:00 and 9999-12-31 23:59:59 UTC.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 # The letters, and how often each may stand in a row, that
@@ -57,14 +59,21 @@ def epoch_from_ntz(ts: Column) -> Column:
     return F.unix_timestamp(ts)
 
 
+def plausible_epoch(epoch_seconds: Column) -> Column:
+    """Epoch seconds within the years 1 to 9999, else NULL: what a timestamp and its
+    text can hold. Milliseconds or microseconds read as seconds lie outside."""
+    return F.when(epoch_seconds.between(FIRST_SECOND, LAST_SECOND), epoch_seconds)
+
+
 def to_timestamp(epoch_seconds: Column) -> Column:
-    """Epoch seconds to a timestamp."""
-    return F.timestamp_seconds(epoch_seconds)
+    """Epoch seconds to a timestamp; NULL beyond the years 1 to 9999."""
+    return F.timestamp_seconds(plausible_epoch(epoch_seconds))
 
 
 def utc_wall_time(epoch_seconds: Column) -> Column:
-    """Epoch seconds as a UTC ``timestamp_ntz`` (formatting it needs no zone)."""
-    return F.timestamp_add("SECOND", epoch_seconds, F.expr(_EPOCH_NTZ))
+    """Epoch seconds as a UTC ``timestamp_ntz`` (formatting it needs no zone); NULL
+    beyond the years 1 to 9999."""
+    return F.timestamp_add("SECOND", plausible_epoch(epoch_seconds), F.expr(_EPOCH_NTZ))
 
 
 def bucket_label(epoch_seconds: Column, pattern: str = "yyyy-MM-dd HH") -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import field_at, parse_long, quote_regex, split_line
-from ..functions.time import epoch_by_rule, time_rule
+from ..functions.time import epoch_by_rule, plausible_epoch, time_rule
 from .joins import fits_broadcast, lookup_join
 
 OP_KEY = ["dc", "datatype", "op"]
@@ -46,9 +46,10 @@ def versions_per_operator(formats: DataFrame) -> DataFrame:
 
 
 def time_under(line: Column, version: Column) -> Column:
-    """Session time (epoch seconds) of ``line`` read through ``version``."""
+    """Session time (epoch seconds) of ``line`` read through ``version``; NULL where
+    no time stands, or one beyond the years 1 to 9999."""
     raw = field_at(split_line(line, version["delim_rx"]), version["layout"]["session_time"]["pos"])
-    return F.when(version["numeric_time"], parse_long(raw)).otherwise(epoch_by_rule(raw, version["rule"]))
+    return F.when(version["numeric_time"], plausible_epoch(parse_long(raw))).otherwise(plausible_epoch(epoch_by_rule(raw, version["rule"])))
 
 
 def choose_version(line: Column, versions: Column, element_type: T.DataType) -> Column:

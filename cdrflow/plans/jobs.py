@@ -21,7 +21,11 @@ from ..sources.descriptors import format_fields, parse_descriptors
 from ..sources.landing import read_landing
 from ..sources.tables import Warehouse
 from ..streaming import arrival
-from . import batch, feed
+from ..operators import enrich
+from ..operators.dims import user_keys
+from ..operators.staging import staged
+from ..sources.batches import Batches
+from . import batch, feed, reports
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -135,6 +139,159 @@ def two_checkpoints(spark, sf_dir):
                                       F.sum(F.size("page_ids")).alias("hits"))
 
 
+# Files that are touched, sent again, oddly named or hold odd lines -----------
+
+def _counts(spark: SparkSession, wh: Warehouse, *keys: str) -> DataFrame:
+    """Stored lines of whole batches per key, '' for null."""
+    found = batch.output(spark, wh, "records")
+    return found.groupBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _files(spark: SparkSession, root: str) -> list[str]:
+    pattern, fs = _file_system(spark, f"{root}/*/{feed.DATATYPE}/*CDR_*")
+    return sorted(str(f.getPath().toString()) for f in fs.globStatus(pattern) or [])
+
+
+def touched_file(spark, sf_dir):
+    """Every file gets a new time, and half of them are written again with
+    their lines in another order, between two batches; each line is stored once."""
+    root, wh = _landing(spark, sf_dir), Warehouse(scratch_path(spark, "job-warehouse"))
+    write_descriptors(spark, root)
+    batch.run_batch(spark, root, wh.root, 1)
+    for i, path in enumerate(_files(spark, root)):
+        p, fs = _file_system(spark, path)
+        if i % 2:
+            again = scratch_path(spark, "sent-again")
+            (spark.read.text(path).coalesce(1).sortWithinPartitions(F.xxhash64("value")).write.text(again))
+            parts, _ = _file_system(spark, f"{again}/part-*")
+            fs.delete(p, False)
+            fs.rename(fs.globStatus(parts)[0].getPath(), p)
+        fs.setTimes(p, 1_900_000_000_000 + i, -1)
+    batch.run_batch(spark, root, wh.root, 2)
+    return _counts(spark, wh, "dc", "op", "reason")
+
+
+def batch_and_stream_one_landing(spark, sf_dir):
+    """A batch, a stream and a further batch read one landing that
+    grows in between; each file is taken by the first that sees it."""
+    root, wh = scratch_path(spark, "job-landing"), Warehouse(scratch_path(spark, "job-warehouse"))
+    lines, checkpoint = feed.cdr_feed(spark, sf_dir), scratch_path(spark, "job-checkpoint")
+    write_descriptors(spark, root)
+    write_landing(spark, lines.where("row_id % 3 = 0"), root)
+    batch.run_batch(spark, root, wh.root, 1)
+    write_landing(spark, lines.where("row_id % 3 = 1"), root, prefix="b-CDR_")
+    arrival.run_available(spark, root, wh.root, checkpoint)
+    write_landing(spark, lines.where("row_id % 3 = 2"), root, prefix="c-CDR_")
+    batch.run_batch(spark, root, wh.root, 2)
+    arrival.run_available(spark, root, wh.root, checkpoint)
+    kind = F.when(F.col("batch_id") <= 2, F.concat(F.lit("batch "), F.col("batch_id").cast("string"))).otherwise("stream")
+    return (batch.output(spark, wh, "records").groupBy(kind.alias("taken_by"), F.coalesce("reason", F.lit("")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("lines")))
+
+
+#: What a file may be called, between its operator's name and its end.
+ODD_NAMES = ("h[2]_2", "a{b,c}", "what?", "star*", "two words", "per%20cent", "plus+sign", "ümlaut")
+
+
+def odd_file_names(spark, sf_dir):
+    """Files whose names hold the letters of patterns, blanks and others."""
+    root, wh = scratch_path(spark, "job-landing"), Warehouse(scratch_path(spark, "job-warehouse"))
+    write_descriptors(spark, root)
+    lines = feed.cdr_feed(spark, sf_dir)
+    for i in range(2):
+        write_landing(spark, lines.where(F.pmod("row_id", F.lit(2)) == i), root, prefix=f"{i}-CDR_")
+        for n, path in enumerate(_files(spark, root)):
+            p, fs = _file_system(spark, path)
+            name = str(p.getName())
+            if not any(name.endswith(odd) for odd in ODD_NAMES):
+                target, _ = _file_system(spark, f"{path.rsplit('/', 1)[0]}/{name}_{ODD_NAMES[n % len(ODD_NAMES)]}")
+                fs.rename(p, target)
+        batch.run_batch(spark, root, wh.root, i + 1)
+    return _counts(spark, wh, "batch_id", "dc", "op", "reason")
+
+
+def odd_times(spark, sf_dir):
+    """Session times in milliseconds, microseconds, beyond a long, negative
+    or no number at all; each line is stored, those without a time as rejected."""
+    root, wh = scratch_path(spark, "job-landing"), Warehouse(scratch_path(spark, "job-warehouse"))
+    write_descriptors(spark, root)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"))
+    ident, kind, t = feed.identity(F.col("user_id")), F.pmod("event_id", F.lit(9)), F.col("t").cast("string")
+    time = (F.when(kind == 0, t).when(kind == 1, F.concat(t, F.lit("000"))).when(kind == 2, F.concat(t, F.lit("000000")))
+            .when(kind == 3, F.concat(t, F.lit("00000000000000"))).when(kind == 4, F.concat(F.lit("-"), t))
+            .when(kind == 5, "soon").when(kind == 6, "").when(kind == 7, "9223372036854775807").otherwise(F.lit("253402300799")))
+    fields = {"msisdn": ident["msisdn"], "session_time": time, "page_sent": F.lit("0"), "duration": F.lit("1")}
+    line = F.concat_ws(";", *[fields.get(n, F.lit("")) for n in LINE_FIELDS[:-1]])
+    write_landing(spark, ev.select(ident["dc"].alias("dc"), ident["op"].alias("op"), line.alias("line")), root)
+    batch.run_batch(spark, root, wh.root, 1)
+    stored = batch.output(spark, wh, "records")
+    return stored.groupBy(F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce(F.year(utc_wall_time(F.col("session_time"))), F.lit(0)).alias("year")).agg(
+        F.count(F.lit(1)).alias("lines"))
+
+
+# Batches that are broken off, late descriptors, several writers ----------------
+
+def half_written_batch(spark, sf_dir):
+    """Of a batch that stopped behind its records nothing shows in any output."""
+    root, wh = scratch_path(spark, "job-landing"), Warehouse(scratch_path(spark, "job-warehouse"))
+    write_descriptors(spark, root)
+    lines = feed.cdr_feed(spark, sf_dir)
+    write_landing(spark, lines.where("row_id % 2 = 0"), root)
+    batch.run_batch(spark, root, wh.root, 1)
+    Batches(spark, wh).open(2)
+    batch.parse_and_store(spark, lines.where("row_id % 2 = 1").drop("ts").withColumn("batch_id", F.lit(2).cast("bigint")), wh, 2)
+    parts = [batch.output(spark, wh, name).agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("rows"))
+             for name in ("records", "enriched", "text")]
+    usage = batch.output(spark, wh, "usage").agg(F.lit("usage").alias("output"), F.sum("sessions").alias("rows"))
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(usage)
+
+
+def late_descriptor(spark, sf_dir):
+    """Two batches without one version's descriptors, which then arrive;
+    the result is that of a run that had them all along."""
+    root, late, wh = _landing(spark, sf_dir), scratch_path(spark, "job-late"), Warehouse(scratch_path(spark, "job-warehouse"))
+    write_descriptors(spark, root, versions=["v1", "v3"])
+    batch.run_batch(spark, root, wh.root, 1)
+    write_landing(spark, feed.cdr_feed(spark, sf_dir).where("row_id % 5 = 0"), root, prefix="more-CDR_")
+    batch.run_batch(spark, root, wh.root, 2)
+    write_descriptors(spark, late, versions=["v2"])
+    batch.apply_late_descriptors(spark, late, wh.root)
+    rows = batch.output(spark, wh, "records")
+    text = batch.output(spark, wh, "text").groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias("lines"))
+    return (rows.groupBy("batch_id", F.coalesce("reason", F.regexp_extract("format_name", r"-(v\d)\.", 1)).alias("read_as"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("session_time").alias("times"))
+            .unionAll(text.select("batch_id", F.lit("text").alias("read_as"), "lines", F.lit(None).cast("bigint").alias("times"))))
+
+
+def ids_two_writers(spark, sf_dir):
+    """Two batches read the dictionary before either appends to it; ids
+    are dense per data centre and no key has two. The first takes the even
+    events, the second the odd ones; which ids a key gets is the race's."""
+    wh = Warehouse(scratch_path(spark, "job-warehouse"))
+    held = dictionary.users(spark, wh)
+    known = feed.known_users(spark, sf_dir)
+    held.commit(known, held.snapshot())
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ident = feed.identity(F.col("user_id"))
+    keys = events.select("event_id", *[ident[k].alias(k) for k in ident])
+    seen = held.snapshot()
+    for n in (0, 1):  # both work from the same state
+        held.extend(keys.where(F.pmod("event_id", F.lit(2)) == n).select(*held.key).distinct(), n + 1, at=seen)
+    return held.rows().groupBy("dc").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("ids"),
+                                         F.count_distinct("op", "msisdn", "imsi", "imei").alias("keys"), F.max("user_id").alias("highest"))
+
+
+def dim_compacted(spark, sf_dir):
+    """Rows are looked up in a dictionary of a compact form and later commits."""
+    wh = Warehouse(scratch_path(spark, "job-warehouse"))
+    held = dictionary.users(spark, wh)
+    held.commit(feed.known_users(spark, sf_dir), held.snapshot())
+    held.compact()
+    std = staged(reports._std(spark, sf_dir), "standard-rows")
+    held.extend(user_keys(std), 1)
+    return enrich.with_user_ids(std, held.layers()).select("row_id", "user_id")
+
+
 # Descriptors made from the customers: one file each ------------------------
 
 def _descriptor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,4 +375,6 @@ def import_pages(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     second_run_reads_nothing, rerun_totals, landing_paths, landing_rejects, two_checkpoints,
-    descriptor_fields, descriptor_problems, catalog_versions, import_users, import_pages)}
+    descriptor_fields, descriptor_problems, catalog_versions, import_users, import_pages,
+    touched_file, batch_and_stream_one_landing, odd_file_names, odd_times, half_written_batch, late_descriptor,
+    ids_two_writers, dim_compacted)}

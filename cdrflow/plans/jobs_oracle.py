@@ -64,4 +64,32 @@ ORACLE_SQL: dict[str, str] = {
           FROM pages, (SELECT unnest(['dc0', 'dc1']) AS dc) d
           WHERE split_part(url, '?', 1) NOT IN (SELECT url FROM known_p) GROUP BY ALL),""" + _IMPORT.format(
               order="url", known="known_p", id="page_id", cols="url")),
+    "touched_file": _q(f"SELECT dc, op, {_REASON} AS reason, count(*) AS lines FROM ev GROUP BY ALL"),
+    "batch_and_stream_one_landing": _q(f"""
+        SELECT CASE event_id % 3 WHEN 0 THEN 'batch 1' WHEN 1 THEN 'stream' ELSE 'batch 2' END AS taken_by, {_REASON} AS reason,
+               count(*) AS lines FROM ev GROUP BY ALL"""),
+    "odd_file_names": _q(f"""
+        SELECT CASE event_id % 2 WHEN 0 THEN '1' ELSE '2' END AS batch_id, dc, op, {_REASON} AS reason, count(*) AS lines FROM ev GROUP BY ALL"""),
+    # a time that is one falls under v1 or later; under v3 the line has another delimiter, under v2 another form
+    "odd_times": _q("""
+        SELECT CASE WHEN op = 'zetanet' THEN 'unknown_operator' WHEN good THEN '' ELSE 'no_valid_format' END AS reason,
+               CASE WHEN op <> 'zetanet' AND good THEN y ELSE 0 END AS year, count(*) AS lines
+        FROM (SELECT op, CASE event_id % 9 WHEN 0 THEN CAST(year(ts) AS INTEGER) WHEN 8 THEN 9999 ELSE 0 END AS y,
+                     event_id % 9 = 8 OR (event_id % 9 = 0 AND version IS NOT NULL) AS good FROM ev) GROUP BY ALL"""),
+    "half_written_batch": _q("""
+        SELECT 'records' AS output, CAST(count(*) AS BIGINT) AS rows FROM ev WHERE event_id % 2 = 0
+        UNION ALL SELECT x, (SELECT count(*) FROM std WHERE row_id % 2 = 0) FROM (SELECT unnest(['enriched', 'text', 'usage']) AS x)"""),
+    "late_descriptor": _q(f"""
+        , b AS (SELECT 1 AS n UNION ALL SELECT 2),
+        x AS (SELECT CAST(n AS BIGINT) AS batch_id, CASE WHEN {_REASON} = '' THEN version ELSE {_REASON} END AS read_as, epoch_s
+              FROM ev, b WHERE n = 1 OR event_id % 5 = 0)
+        SELECT batch_id, read_as, count(*) AS lines, CAST(sum(CASE WHEN read_as LIKE 'v_' THEN epoch_s END) AS BIGINT) AS times FROM x GROUP BY ALL
+        UNION ALL SELECT batch_id, 'text', count(*), NULL FROM x WHERE read_as LIKE 'v_' GROUP BY ALL"""),
+    "ids_two_writers": _q("""
+        , k AS (SELECT DISTINCT dc, op, msisdn, imsi, '' AS imei FROM ev),
+        u AS (SELECT dc, op, msisdn, imsi, imei FROM known_u UNION SELECT * FROM k),
+        m AS (SELECT dc, max(user_id) AS m, count(*) AS n FROM known_u GROUP BY dc)
+        SELECT u.dc, count(*) AS rows, count(*) AS ids, count(*) AS keys, CAST(any_value(m.m) + count(*) - any_value(m.n) AS BIGINT) AS highest
+        FROM u JOIN m USING (dc) GROUP BY u.dc"""),
+    "dim_compacted": _q("SELECT row_id, user_id FROM enriched"),
 }
