@@ -15,12 +15,15 @@ and keeps the first that qualifies. Fact rows are never shuffled.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import field_at, parse_long, quote_regex, split_line
 from ..functions.time import epoch_by_rule, plausible_epoch, time_rule
+from ..session import built_once
 from .joins import fits_broadcast, lookup_join
 
 OP_KEY = ["dc", "datatype", "op"]
@@ -71,6 +74,12 @@ def choose_version(line: Column, versions: Column, element_type: T.DataType) ->
                        lambda acc, v: F.when(acc.isNotNull(), acc).otherwise(tried(v)))
 
 
+@built_once
+def _choice(line: str, versions: str, element_type: str) -> Column:
+    kind = T.StructType.fromJson(json.loads(element_type))
+    return F.explode(F.array(choose_version(F.col(line), F.col(versions), kind))).alias("_choice")
+
+
 def with_chosen_version(df: DataFrame, line: str = "line", versions: str = "versions",
                         out: str = "_v") -> DataFrame:
     """``df`` plus ``out``, the version valid for each line, and ``out + '_time'``,
@@ -80,10 +89,8 @@ def with_chosen_version(df: DataFrame, line: str = "line", versions: str = "vers
     projections refer to its result, whereas a plain projection would be
     copied into each of them and walk the versions again.
     """
-    element_type = df.schema[versions].dataType.elementType
-    choice = choose_version(F.col(line), F.col(versions), element_type)
-    made = df.select(*df.columns, F.explode(F.array(choice)).alias("_choice"))
-    return made.select(*df.columns, F.col("_choice.version").alias(out), F.col("_choice.time").alias(f"{out}_time"))
+    made = df.select("*", _choice(line, versions, df.schema[versions].dataType.elementType.json()))
+    return made.select("*", F.col("_choice.version").alias(out), F.col("_choice.time").alias(f"{out}_time")).drop("_choice")
 
 
 def catalog_fits(versions: DataFrame) -> bool:

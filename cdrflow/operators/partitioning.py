@@ -15,6 +15,6 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
+    if df._jdf.queryExecution().toRdd().getNumPartitions() * 2 <= target:
         return df.repartition(target)
     return df

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import extract_urls, field_at, parse_int, parse_long, split_line
 from ..functions.time import to_timestamp
 from ..schema import EPOCH_TARGET, LINE_FIELDS, UNPLACED, URL_TARGET
+from ..session import built_once
 from .asof import attach_versions, with_chosen_version
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
@@ -53,6 +54,14 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     enough for the optimizer to copy where it filters early.
     """
     chosen = with_chosen_version(attach_versions(lines, versions, small))
+    for step in _steps(mode):
+        chosen = chosen.select(*step)
+    return chosen
+
+
+@built_once
+def _steps(mode: str) -> list[list[Column | str]]:
+    """The projections of :func:`parse_lines` behind the version choice, in order."""
     reason = (F.when(F.col("datatype") == UNPLACED, F.lit("bad_path"))
               .when(F.col("op").isNull() | (F.col("op") == ""), F.lit("no_operator"))
               .when(F.col("versions").isNull(), F.lit("unknown_operator"))
@@ -62,20 +71,19 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
             F.lit("bad CDR line ("), reason, F.lit(") in "), F.col("source_file")))).cast("string")
     elif mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
-    base = chosen.select(*TAG_COLUMNS, "line", "_v", reason.alias("reason"),
-                         split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"), F.col("_v_time"))
-    raw = base.select(
-        *TAG_COLUMNS, "line", "reason",
-        F.col("_v.format_id").alias("format_id"), F.col("_v.format_name").alias("format_name"),
-        F.col("_v_time").alias("session_time"),
-        *[field_at(F.col("_parts"), F.col(f"_v.layout.{n}.pos")).alias(f"_raw_{n}")
-          for n in LINE_FIELDS if n != EPOCH_TARGET],
-        *[F.col(f"_v.layout.{n}.type").alias(f"_type_{n}") for n in LINE_FIELDS])
+    base = [*TAG_COLUMNS, "line", "_v", reason.alias("reason"),
+            split_line(F.col("line"), F.col("_v.delim_rx")).alias("_parts"), "_v_time"]
+    raw = [*TAG_COLUMNS, "line", "reason",
+           F.col("_v.format_id").alias("format_id"), F.col("_v.format_name").alias("format_name"),
+           F.col("_v_time").alias("session_time"),
+           *[field_at(F.col("_parts"), F.col(f"_v.layout.{n}.pos")).alias(f"_raw_{n}")
+             for n in LINE_FIELDS if n != EPOCH_TARGET],
+           *[F.col(f"_v.layout.{n}.type").alias(f"_type_{n}") for n in LINE_FIELDS]]
     values = [F.col(n) if n == EPOCH_TARGET else
               _typed(n, F.col(f"_raw_{n}"), F.col(f"_type_{n}")).alias("urls" if n == URL_TARGET else n)
               for n in LINE_FIELDS]
-    typed = raw.select(*TAG_COLUMNS, "line", *values, "format_id", "format_name", "reason")
-    return typed.withColumn("session_ts", to_timestamp(F.col("session_time")))
+    return [base, raw, [*TAG_COLUMNS, "line", *values, "format_id", "format_name", "reason",
+                        to_timestamp(F.col("session_time")).alias("session_ts")]]
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

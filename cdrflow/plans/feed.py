@@ -30,7 +30,7 @@ from ..operators.asof import catalog_fits, versions_per_operator
 from ..operators.joins import lookup_join, measure, within_bounds
 from ..operators.partitioning import spread
 from ..schema import LINE_FIELDS
-from ..session import scratch_path
+from ..session import built_once, scratch_path
 from ..sources.descriptors import parse_descriptors
 
 DATATYPE = "webcdr"
@@ -160,22 +160,30 @@ def known_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(-1).cast("bigint").alias("batch_id"))
 
 
+_PAGE_SIZES: dict[tuple[str, str], tuple[int, int]] = {}
+
+
+def _page_size(spark: SparkSession, sf_dir: str, pages: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of the pages' urls, measured once a session, as a table is when it is registered."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PAGE_SIZES:
+        _PAGE_SIZES[key] = measure(pages)
+    return _PAGE_SIZES[key]
+
+
 def _events_with_urls(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     if events is None:
         events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     events = events.select("event_id", "ts", "user_id", "event_type", "value")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    n_pages, page_bytes = measure(pages)
+    n_pages, page_bytes = _page_size(spark, sf_dir, pages)
     small = within_bounds(n_pages, page_bytes)
     if n_pages == 0:
         return events.withColumns({"url1": F.lit(None).cast("string"),
                                    "url2": F.lit(None).cast("string")})
-    events = events.withColumns({
-        "_p1": F.pmod(F.col("event_id"), F.lit(n_pages)),
-        "_p2": F.pmod(F.col("event_id") * 7 + 3, F.lit(n_pages)),
-    })
-    first = pages.select(F.col("page_id").alias("_p1"), F.col("url").alias("url1"))
-    second = pages.select(F.col("page_id").alias("_p2"), F.col("url").alias("url2"))
+    events = events.select("*", F.expr(f"pmod(event_id, {n_pages}) AS _p1"), F.expr(f"pmod(event_id * 7 + 3, {n_pages}) AS _p2"))
+    first = pages.selectExpr("page_id AS _p1", "url AS url1")
+    second = pages.selectExpr("page_id AS _p2", "url AS url2")
     joined = lookup_join(lookup_join(events, first, ["_p1"], "left", small=small),
                          second, ["_p2"], "left", small=small)
     return joined.drop("_p1", "_p2")
@@ -187,7 +195,14 @@ def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
 
     ``events`` replaces the events table (e.g. one micro-batch of it).
     """
-    ev = _events_with_urls(spark, sf_dir, events)
+    version, columns = _feed_columns()
+    batch = F.lit(batch_id).cast("bigint").alias("batch_id")
+    return _events_with_urls(spark, sf_dir, events).select("*", version).select(*columns[:2], batch, *columns[2:])
+
+
+@built_once
+def _feed_columns() -> tuple[Column, list[Column]]:
+    """The layout version of an event, and the feed's columns but the batch."""
     version = (F.when(F.col("ts") >= _ntz(VERSION_STARTS["v3"]), F.lit("v3"))
                .when(F.col("ts") >= _ntz(VERSION_STARTS["v2"]), F.lit("v2"))
                .otherwise(F.lit("v1")))
@@ -226,13 +241,8 @@ def cdr_feed(spark: SparkSession, sf_dir: str, batch_id: int = 0,
             .when(F.col("_version") == "v3", F.concat_ws("|", *v1))
             .otherwise(F.concat_ws(";", *v1)))
     source_file = F.concat(
-        F.lit("/landing/"), F.col("dc"), F.lit(f"/{DATATYPE}/CDR_"), F.col("op"), F.lit("_"),
+        F.lit("/landing/"), ident["dc"], F.lit(f"/{DATATYPE}/CDR_"), ident["op"], F.lit("_"),
         F.date_format(F.col("ts"), "yyyyMMdd_HH"), F.lit("0000_host"),
         F.pmod(F.col("user_id"), F.lit(3)).cast("string"), F.lit("_0001"))
-    return (ev.withColumn("_version", version)
-            .withColumn("dc", ident["dc"])
-            .withColumn("op", ident["op"])
-            .select("dc", F.lit(DATATYPE).alias("datatype"),
-                    F.lit(batch_id).cast("bigint").alias("batch_id"), "op",
-                    source_file.alias("source_file"),
-                    F.col("event_id").alias("row_id"), line.alias("line"), "ts"))
+    return version.alias("_version"), [ident["dc"].alias("dc"), F.lit(DATATYPE).alias("datatype"), ident["op"].alias("op"),
+                                       source_file.alias("source_file"), F.col("event_id").alias("row_id"), line.alias("line"), F.col("ts")]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -49,6 +51,24 @@ def build_session(master: str | None = None, app: str = "cdrflow",
     return spark
 
 
+def built_once(make):
+    """Keep what ``make`` builds, column expressions, per process and arguments.
+
+    Expressions name columns and hold no data or plan; building the larger ones
+    takes thousands of calls to the JVM, which each query and micro-batch
+    would repeat. A new JVM gets new ones.
+    """
+    made = {}
+
+    @functools.wraps(make)
+    def get(*args):
+        key = (id(SparkContext._gateway), args)
+        if key not in made:
+            made[key] = make(*args)
+        return made[key]
+    return get
+
+
 def text_partitions(spark: SparkSession) -> None:
     """Have ``spark`` read partition folder values as text, whoever made the session."""
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
