@@ -8,8 +8,8 @@ token that t may follow; so a prefix that many words share is encoded once.
 Whether t may follow s is decided by undoing their merges across the border.
 
 Scale. One pass without a shuffle; the vocabulary is a parameter file that is
-read once on the driver (its size is checked) and broadcast; each worker's
-piece cache is bounded.
+read once on the driver (its size is checked) and broadcast; each worker process
+keeps one encoder, whose piece cache is bounded.
 """
 
 from __future__ import annotations
@@ -17,7 +17,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -30,6 +33,13 @@ from . import tokens
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
+# The same cut for texts of Latin letters: fixed ranges of letters below U+0250, and
+# the characters for which these classes don't hold (further letters, numbers and blanks).
+_LATIN = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_BLANK = r" \t-\r"
+LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^{_BLANK}0-9{_LATIN}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+BEYOND_LATIN = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0250-\u200a\u2028-\u202f\u205f-\U0010ffff]")
+
 CACHE_PIECES = 400_000
 MODEL_BYTES = 64 << 20
 
@@ -82,7 +92,8 @@ class Encoder:
         self.pieces = regex.compile(PIECES)
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
         self.follows: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, str] = {}
+        #: piece -> (token ids, joined by commas; the bytes they spell)
+        self.cache: dict[str, tuple[str, bytes]] = {}
         # A byte string's reverse, walked from the end of a prefix, meets the tokens that end it.
         self.ending: dict[int, dict] = {}
         for b, i in vocabulary.id_of.items():
@@ -175,8 +186,6 @@ class Encoder:
         In sorted order the pieces are the trie's leaves from left to right, and
         the prefix shared with the one before is the path that stays.
         """
-        if len(self.cache) + len(words) > CACHE_PIECES:
-            self.cache.clear()
         before, lasts = b"", []
         lengths = self.v.bytes_of
         for raw, word in sorted((w.encode(), w) for w in words):
@@ -190,14 +199,19 @@ class Encoder:
                 t = lasts[at - 1]
                 ids.append(t)
                 at -= len(lengths[t])
-            self.cache[word] = ",".join(map(str, reversed(ids)))
+            ids.reverse()
+            self.cache[word] = ",".join(map(str, ids)), b"".join([self.v.bytes_of[t] for t in ids])
             before = raw
 
     def _cut(self, text: str) -> list[str]:
-        return self.pieces.findall(text)
+        return (self.pieces if BEYOND_LATIN.search(text) else LATIN_PIECES).findall(text)
 
     def encode_all(self, texts: list[str]) -> list[str]:
         """The token ids of each text, as decimals joined by commas."""
+        return [ids for ids, _ in self.encodings(texts)]
+
+    def encodings(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """Of each text the token ids, as decimals joined by commas, and the bytes they spell."""
         cut: list[list] = []
         for text in texts:
             parts = []
@@ -210,50 +224,64 @@ class Encoder:
             else:
                 parts = self._cut(text)
             cut.append(parts)
-        new = {p for parts in cut for p in parts if p.__class__ is str} - self.cache.keys()
-        if len(new) + len(self.cache) > CACHE_PIECES:  # may drop known ones: all are looked up again
-            self.cache.clear()
-            new = {p for parts in cut for p in parts if p.__class__ is str}
+        met = set().union(*cut)
+        special = {p for p in met if p.__class__ is tuple}
+        met -= special
+        new = met - self.cache.keys()
+        if len(new) + len(self.cache) > CACHE_PIECES:  # the older half goes, unless it is met here
+            for p in list(islice(self.cache, len(self.cache) // 2)):
+                if p not in met:
+                    del self.cache[p]
         self.learn(list(new))
-        get = self.cache
-        return [",".join([get[p] if p.__class__ is str else str(p[0]) for p in parts]) for parts in cut]
+        get = {p: (str(p[0]), self.v.bytes_of[p[0]]) for p in special} | self.cache if special else self.cache
+        out = []
+        for parts in cut:
+            found = [get[p] for p in parts]
+            out.append((",".join([x for x, _ in found]), b"".join([b for _, b in found])))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of token ids; bytes that aren't UTF-8 become replacement characters."""
         return b"".join([self.v.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
 
-def _digests(encoder: Encoder, spell: dict, ids: list[str]) -> list[pa.Array]:
-    count, sha, back = [], [], []
-    for x in ids:
-        parts = x.split(",") if x else []
-        count.append(len(parts))
-        sha.append(hashlib.sha256(x.encode()).hexdigest())
-        whole = b"".join([spell[p] for p in parts])
-        back.append(hashlib.sha256(whole.decode("utf-8", "replace").encode()).hexdigest())
+def _digests(encoder: Encoder, encodings: list[tuple[str, bytes]]) -> list[pa.Array]:
+    count = [ids.count(",") + 1 if ids else 0 for ids, _ in encodings]
+    sha = [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in encodings]
+    back = [hashlib.sha256(spelled.decode("utf-8", "replace").encode()).hexdigest() for _, spelled in encodings]
     return [pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
 
 
-def _full(encoder: Encoder, spell: dict, ids: list[str]) -> list[pa.Array]:
-    own = [[int(p) for p in x.split(",")] if x else [] for x in ids]
+def _full(encoder: Encoder, encodings: list[tuple[str, bytes]]) -> list[pa.Array]:
+    own = [[int(p) for p in ids.split(",")] if ids else [] for ids, _ in encodings]
     return [pa.array(own, pa.list_(pa.int32())), pa.array([encoder.decode(x) for x in own], pa.string())]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(name: str, vocabulary: Vocabulary) -> Encoder:
+    """This worker process's encoder of a broadcast vocabulary, kept from task to task."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = Encoder(vocabulary)
+    return _encoders[name]
+
+
 def _applied(docs: DataFrame, path: str, keep: list[str], codec, made: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared, name = docs.sparkSession.sparkContext.broadcast(Vocabulary(path)), uuid.uuid4().hex
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     names = [*keep, *(c.strip().split(" ")[0] for c in made.split(","))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        spell = {str(i): b for i, b in shared.value.bytes_of.items()}
+        encoder = _encoder(name, shared.value)
         for batch in batches:
             text = batch.column(len(keep))
             for at, to in tokens.cut(tokens.raw(text)[1]):
                 texts = [x or "" for x in text.slice(at, to - at).to_pylist()]
                 passed = [batch.column(i).slice(at, to - at) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*passed, *codec(encoder, spell, encoder.encode_all(texts))], names=names)
+                yield pa.RecordBatch.from_arrays([*passed, *codec(encoder, encoder.encodings(texts))], names=names)
 
     return rows.mapInArrow(run, f"{schema}, {made}")
 

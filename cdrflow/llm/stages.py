@@ -71,5 +71,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its number of tokens and the digests of its token
-    ids and of the text decoded from them; none goes."""
-    return bpe.encoded_digests(docs, bpe.tokenizer_path(), keep=tuple(docs.columns))
+    ids and of the text decoded from them; none goes. Columns of these three
+    names that ``docs`` has are replaced."""
+    made = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encoded_digests(docs, bpe.tokenizer_path(), keep=tuple(c for c in docs.columns if c not in made))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cdrflow.llm import bpe, decontaminate, line_dedup, lm, near_dup, quality, rules, secrets, tokens, toxicity, urls
+from cdrflow.llm import bpe, decontaminate, line_dedup, lm, near_dup, quality, rules, secrets, stages, tokens, toxicity, urls
 from cdrflow.llm.components import components
 
 from .conftest import prose
@@ -402,3 +402,23 @@ def test_all_toxic_lines_give_windows():
     batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([text])], names=["label", "text"])
     shared = type("Shared", (), {"value": {int(vile[0])}})
     assert sum(x.column(2).to_pylist().count(True) for x in toxicity._windows(shared)(iter([batch]))) == 9
+
+
+def test_latin_pieces_are_the_patterns_pieces():
+    """The cut for Latin texts against the general one, on every character it is for."""
+    r = random.Random(8)
+    plain = [c for c in map(chr, [*range(0x0, 0x250), *range(0x200B, 0x2028), *range(0x2030, 0x205F)]) if not bpe.BEYOND_LATIN.search(c)]
+    assert len(plain) > 600 and bpe.BEYOND_LATIN.search("漢") and bpe.BEYOND_LATIN.search(" ")
+    general = bpe.regex.compile(bpe.PIECES)
+    for c in plain:
+        text = f"a{c}b {c}{c} 1{c} .{c}'s"
+        assert bpe.LATIN_PIECES.findall(text) == general.findall(text), hex(ord(c))
+    for _ in range(300):
+        text = "".join(r.choice(plain + [" ", " ", "'", "s", "1", "\n"] * 60) for _ in range(120))
+        assert bpe.LATIN_PIECES.findall(text) == general.findall(text)
+
+
+def test_tokenised_replaces_columns_of_its_names(spark):
+    docs = spark.createDataFrame([(1, "one two", 7, "x")], "doc_id long, text string, n_tokens long, ids_sha256 string")
+    out = stages.tokenised(spark, docs, SF)
+    assert sorted(out.columns) == ["decoded_sha256", "doc_id", "ids_sha256", "n_tokens", "text"] and out.first()["n_tokens"] < 7
