@@ -7,13 +7,20 @@ line's length and the segment's number, are joined with the few substrings
 that length and place allow. Candidates are verified by a banded
 bit-parallel edit distance on code points; links are closed to classes.
 
+Lines of under MIN_CHARS characters are classed where they are equal: two edits
+are a large part of them.
+
 Scale. Equal lines are one line before the join. The text stays where it is:
 hashes and keys are shuffled, and only the texts of candidates are read
-again. A segment that many lines share (a hot key) is not joined: under it
-the lines' remainders, which must again be within EDITS edits, are cut into
-segments in turn, for at most DEPTH rounds; in the last one a character
-signature within the join condition thins what is left. Every pair within
-the bound is found at any group size.
+again. Under a key, every line is first compared with the key's head alone, and
+what agrees is one component; a group of n variants of a line costs n
+comparisons. Only lines outside a key's largest component are then compared with
+the others, if they are at most HOT: HOT times the key's lines are all that is
+written. Under a key with more of them the lines' remainders, which must again be
+within EDITS edits, are cut into segments in turn, until no key is so hot: what
+is left of a line shrinks by a third each time, and remainders too short to be
+cut are all within EDITS edits of the head's. So every pair within the bound is
+compared or already in one component, at any group size.
 """
 
 from __future__ import annotations
@@ -29,14 +36,12 @@ from pyspark.sql import types as T
 
 from . import tokens
 from .components import components
+from .near_dup import confirmed
 from .store import small, stored
 
 EDITS = 2
-MIN_CHARS = 24        # shorter lines are left alone
-HOT = 32              # lines under one key beyond which the key is refined
-DEPTH = 3
-LEAST_LEFT = 0.2      # a document of which less is left, the rest seen in others, goes
-COPIED = 0.5          # share of a document, in two lines or more, of one other document: left whole
+MIN_CHARS = 24        # shorter lines are compared for equality only
+HOT = 32              # lines outside a key's largest component beyond which the key is refined
 
 LINE_BYTE = np.ones(256, bool)
 LINE_BYTE[[10, 13]] = False
@@ -149,19 +154,23 @@ def within(a: str, b: str, most: int) -> bool:
 # Spark --------------------------------------------------------------------
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> one row per line of MIN_CHARS or more: id, place, segment keys."""
+    """(doc_id, text) -> one row per line: id, place, characters, segment keys. Lines of
+    under MIN_CHARS have no keys; of those, lines without a word are left out."""
     for batch in batches:
         data, offsets = tokens.raw(batch.column(1))
         for at, to in tokens.cut(offsets):
             w = _lines(data, offsets[at: to + 1])
             points, bounds = _points(w)
+            chars = np.diff(bounds)
             number = np.arange(len(w.starts)) - np.repeat(w.offsets[:-1], w.counts)
-            long = np.flatnonzero(np.diff(bounds) >= MIN_CHARS)
+            inked = np.concatenate([[0], np.cumsum(tokens.BLANK_SPLIT[w.text])])
+            rows = np.flatnonzero((chars >= MIN_CHARS) | (inked[w.ends] > inked[w.starts]))
+            short = chars[rows] < MIN_CHARS
             s = Segments(points, bounds, np.zeros(len(w.starts), np.uint64))
-            doc = batch.column(0).take(pa.array(tokens.owners(w.offsets)[long] + at))
+            doc = batch.column(0).take(pa.array(tokens.owners(w.offsets)[rows] + at))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.signed(w.hashes()[long])), doc, pa.array(number[long].astype(np.int32)),
-                 pa.array(np.diff(bounds)[long].astype(np.int32)), *(pa.array(tokens.signed(k[long])) for _, k, _, _ in s.index())],
+                [pa.array(tokens.signed(w.hashes()[rows])), doc, pa.array(number[rows].astype(np.int32)), pa.array(chars[rows].astype(np.int32)),
+                 *(pa.array(tokens.signed(k[rows]), mask=short) for _, k, _, _ in s.index())],
                 names=["id", "doc_id", "line", "chars", *(f"k{i}" for i in range(EDITS + 1))])
 
 
@@ -172,22 +181,6 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tokens.Words:
     return tokens.words_of(data, offsets, LINE_BYTE, SAME)
 
 
-def _short_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> id, doc_id, line, chars of the lines of under MIN_CHARS that hold a word."""
-    for batch in batches:
-        data, offsets = tokens.raw(batch.column(1))
-        for at, to in tokens.cut(offsets):
-            w = _lines(data, offsets[at: to + 1])
-            _, bounds = _points(w)
-            number = np.arange(len(w.starts)) - np.repeat(w.offsets[:-1], w.counts)
-            inked = np.concatenate([[0], np.cumsum(tokens.BLANK_SPLIT[w.text])])
-            short = np.flatnonzero((np.diff(bounds) < MIN_CHARS) & (inked[w.ends] > inked[w.starts]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.signed(w.hashes()[short])), batch.column(0).take(pa.array(tokens.owners(w.offsets)[short] + at)),
-                 pa.array(number[short].astype(np.int32)), pa.array(np.diff(bounds)[short].astype(np.int32))],
-                names=["id", "doc_id", "line", "chars"])
-
-
 def _probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, repeats) -> (key, id) of the substrings of the lines not in repeats."""
     for batch in batches:
@@ -263,16 +256,80 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _pairs(own: DataFrame, others: DataFrame, signed: bool) -> DataFrame:
-    x, y = own.alias("x"), others.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id"))
-    if signed:
-        on = on & (F.bit_count(F.col("x.sign").bitwiseXOR(F.col("y.sign"))) <= 4 * EDITS)
-    return x.join(y, on).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The ``pairs`` (a, b) whose lines are within EDITS edits."""
+    ta, tb = (texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    full = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
+    return stored(full.mapInArrow(_verify, "a long, b long"), f"{name}-links")
+
+
+def _joined(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Pairs of rows under one key that lie in two components and whose signatures are near."""
+    x, y = x.alias("x"), y.alias("y")
+    on = ((F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+          & (F.bit_count(F.col("x.sign").bitwiseXOR(F.col("y.sign"))) <= 4 * EDITS))
+    return x.join(y, on).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
 
+def _placed(rows: DataFrame, near: DataFrame | None) -> DataFrame:
+    if near is None:
+        return rows.withColumn("component", F.col("id"))
+    return (rows.join(small(near.withColumnRenamed("node", "id")), "id", "left")
+            .withColumn("component", F.coalesce("component", "id")))
 
-def _hot(own: DataFrame, name: str) -> DataFrame:
-    return stored(own.groupBy("key").count().filter(F.col("count") > HOT).select("key"), name)
+
+def _linked(rows: DataFrame, texts: DataFrame, remainders: DataFrame | None) -> DataFrame:
+    """(node, component) of the lines that are linked under any key of ``rows``
+    (key, id, own, sign): a key's own lines hold it as a segment, the others as a substring.
+
+    ``texts`` (id, text) has the lines of all rows. Rows of the first round have
+    ``remainders`` None and no signature; see the module's text.
+    """
+    links, near, depth = None, None, 0
+    while True:
+        name = f"lines-{depth}"
+
+        def settle(pairs: DataFrame, step: str) -> None:
+            nonlocal links, near
+            more = _verified(stored(pairs, f"{name}-{step}-pairs"), texts, f"{name}-{step}")
+            if more.isEmpty() and links is not None:
+                return
+            # What is linked so far stands for its links.
+            links = more if near is None else near.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
+            near = stored(components(links, f"{name}-{step}"), f"{name}-{step}-near")
+
+        placed = _placed(rows, near)
+        heads = placed.filter("own").groupBy("key").agg(F.min(F.struct("id", "sign", "component")).alias("h"))
+        heads = small(stored(heads.select("key", "h.*"), f"{name}-heads"))
+        settle(_joined(heads, placed.filter("not own")), "star")
+        # Per key the largest component, and how many lines lie outside it.
+        placed = stored(_placed(rows, near), f"{name}-placed")
+        mine = F.col("own").cast("int")
+        per = placed.groupBy("key", "component").agg(F.sum(mine).alias("o"), F.sum(1 - mine).alias("p"))
+        keys = (per.groupBy("key").agg(F.max(F.struct(F.col("o") + F.col("p"), "component", "o", "p")).alias("top"),
+                                       F.sum("o").alias("o"), F.sum("p").alias("p"))
+                .select("key", F.col("top.component").alias("major"), (F.col("o") - F.col("top.o")).alias("o"), (F.col("p") - F.col("top.p")).alias("p"))
+                .filter("o > 0 or p > 0").select("key", "major", (F.greatest("o", "p") > HOT).alias("hot")))
+        keys = stored(keys, f"{name}-keys")
+        if keys.isEmpty():
+            return near
+        rest = placed.join(small(keys), "key")
+        rest = stored(rest, f"{name}-rest")
+        cold, outside = rest.filter("not hot"), F.col("component") != F.col("major")
+        pairs = (_joined(cold.filter(F.col("own") & outside), cold.filter("not own"))
+                 .unionAll(_joined(cold.filter(F.col("own") & ~outside), cold.filter(~F.col("own") & outside))).distinct())
+        settle(pairs, "cold")
+        hot = rest.filter("hot")
+        if hot.isEmpty():
+            return near
+        depth += 1
+        on = ["id", "own"] if remainders is None else ["prefix", "id", "own"]
+        held = hot.groupBy(*on).agg(F.collect_set("key").alias("keys"))
+        whole = texts.withColumn("prefix", F.lit(0).cast("long")) if remainders is None else remainders.drop("sign")
+        work = held.join(whole, ["id"] if remainders is None else on).select("prefix", "id", "own", "text", "keys")
+        remainders = stored(work.mapInArrow(_refined, WORK), f"lines-work{depth}")
+        rows = remainders.mapInArrow(_work_keys, "key long, id long, own boolean, prefix long, sign long").distinct()
+        rows = stored(rows, f"lines-keys{depth}")
 
 
 def _line_texts(docs: DataFrame, distinct: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -289,15 +346,14 @@ def line_classes(docs: DataFrame) -> DataFrame:
     place of the class's first occurrence (by doc_id, then line number).
 
     ``docs`` has doc_id and text. Lines end at line feeds and carriage returns;
-    empty lines aren't numbered; lines of under MIN_CHARS characters, null and
-    empty texts have no part. Rows without a doc_id are left out; rows that
+    empty lines aren't numbered. Lines of under MIN_CHARS characters have a part
+    where they are equal and hold a word; null and empty texts have none. Rows without a doc_id are left out; rows that
     repeat a doc_id are taken for the same places. Other columns are not read.
     """
     docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .filter("doc_id is not null and text is not null"))
     keys = [f"k{i}" for i in range(EDITS + 1)]
-    seen = docs.mapInArrow(_occurrences, OCCURRENCE)
-    seen = stored(seen, "lines-seen")
+    seen = stored(docs.mapInArrow(_occurrences, OCCURRENCE), "lines-seen")
     distinct = stored(seen.groupBy("id").agg(
         F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("times"),
         *(F.first(k).alias(k) for k in keys)), "lines-distinct")
@@ -307,38 +363,19 @@ def line_classes(docs: DataFrame) -> DataFrame:
                    .filter((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line") != F.col("first.line")))
                    .groupBy("doc_id").agg(F.collect_list("line").alias("repeats")), "lines-again")
     others = docs.join(small(again, "size(repeats)"), "doc_id", "left").select("text", "repeats").mapInArrow(_probe_rows, "key long, id long")
-    own = distinct.select("id", F.explode(F.array(*keys)).alias("key"))
-    hot = _hot(own, "lines-hot")
-    cold = _pairs(own.join(small(hot), "key", "left_anti"), others, False).distinct()
-    pairs = stored(cold, "lines-cold")
-    # Under hot keys: the remainders, for at most DEPTH rounds.
-    work = None
-    if not hot.isEmpty():
-        held = (own.join(small(hot), "key").select("id", "key", F.lit(True).alias("own"))
-                .unionAll(others.join(small(hot), "key").select("id", "key", F.lit(False).alias("own")).distinct()))
-        held = stored(held.groupBy("id", "own").agg(F.collect_set("key").alias("keys")), "lines-held")
-        texts = _line_texts(docs, distinct, stored(held.select("id").distinct(), "lines-held-ids"), "lines-held")
-        work = held.join(texts, "id").select(F.lit(0).cast("long").alias("prefix"), "id", "own", "text", "keys")
-    depth = 0
-    while work is not None:
-        depth += 1
-        work = stored(work.mapInArrow(_refined, WORK), f"lines-work{depth}")
-        rows = work.mapInArrow(_work_keys, "key long, id long, own boolean, prefix long, sign long").distinct()
-        rows = stored(rows, f"lines-keys{depth}")
-        hot = _hot(rows.filter("own"), f"lines-hot{depth}")
-        last = depth == DEPTH or hot.isEmpty()
-        cold = rows if last else rows.join(small(hot), "key", "left_anti")
-        pairs = pairs.unionAll(_pairs(cold.filter("own"), cold.filter("not own"), True).distinct())
-        if last:
-            break
-        held = rows.join(small(hot), "key").groupBy("prefix", "id", "own").agg(F.collect_set("key").alias("keys"))
-        work = work.join(held, ["prefix", "id", "own"]).select("prefix", "id", "own", "text", "keys")
-    pairs = stored(pairs.distinct(), "lines-pairs")
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "lines-ids")
-    texts = _line_texts(docs, distinct, ids, "lines-pairs")
-    ta, tb = (texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    links = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
-    near = stored(components(links, "lines"), "lines-near")
+    # Most substrings are no segment, or only their own line's.
+    own = distinct.filter("k0 is not null").select("id", F.explode(F.array(*keys)).alias("key"))
+    held = own.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    hits = others.join(held, "key").filter("id <> least or id <> most").select("key", "id").distinct()
+    hits = stored(hits, "lines-hits")
+    shared = stored(hits.select("key").distinct(), "lines-shared")
+    rows = hits.withColumn("own", F.lit(False)).unionAll(
+        own.join(small(shared), "key", "left_semi").select("key", "id", F.lit(True).alias("own")))
+    rows = stored(rows.withColumn("sign", F.lit(0).cast("long")), "lines-keys")
+    ids = stored(rows.select("id").distinct(), "lines-ids")
+    texts = _line_texts(docs, distinct, ids, "lines")
+    near = _linked(rows, texts, None)
+    near = near if near is not None else docs.sparkSession.createDataFrame([], "node long, component long")
     # The first occurrence of each class.
     named = (distinct.join(near.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("component", "id").alias("class"), "first", "times", F.col("component").isNotNull().alias("near"))
@@ -350,31 +387,21 @@ def line_classes(docs: DataFrame) -> DataFrame:
         "doc_id", "line", "chars", F.col("head.doc_id").alias("first_doc"), F.col("head.line").alias("first_line"))
 
 
-def short_classes(docs: DataFrame) -> DataFrame:
-    """As ``line_classes``, of the lines of under MIN_CHARS characters that hold a word: equal ones only."""
-    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .filter("doc_id is not null and text is not null"))
-    seen = stored(docs.mapInArrow(_short_lines, "id long, doc_id long, line int, chars int"), "lines-short")
-    heads = stored(seen.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("head"), F.count(F.lit(1)).alias("times"))
-                   .filter("times > 1").drop("times"), "lines-short-heads")
-    return seen.join(small(heads), "id").select(
-        "doc_id", "line", "chars", F.col("head.doc_id").alias("first_doc"), F.col("head.line").alias("first_line"))
-
-
-def repeats(docs: DataFrame, short: bool = False) -> DataFrame:
-    """(doc_id, lines, foreign_chars, sources, one_chars): per document that has
-    any, the numbers of its lines whose class occurs before, the characters of
+def repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, lines, foreign_chars, sources, source, source_chars): per document that
+    has any, the numbers of its lines whose class occurs before, the characters of
     those first seen in another document, the documents they were first seen in,
-    and the most characters, in two lines or more, first seen in one of them.
-    With ``short``, lines of under MIN_CHARS count where they are equal."""
-    classes = line_classes(docs).unionAll(short_classes(docs)) if short else line_classes(docs)
+    and the other document that most of the characters were first seen in."""
+    classes = line_classes(docs)
     later = classes.filter((F.col("doc_id") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))).distinct()
     foreign = F.when(F.col("doc_id") != F.col("first_doc"), F.col("chars")).otherwise(0)
     pairs = later.groupBy("doc_id", "first_doc").agg(F.collect_list("line").alias("lines"), F.sum(foreign).alias("chars"))
+    most = F.max(F.when(F.col("doc_id") != F.col("first_doc"), F.struct("chars", -F.col("first_doc"))))
     return stored(pairs.groupBy("doc_id").agg(
         F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"), F.sum("chars").alias("foreign_chars"),
         F.array_sort(F.collect_list("first_doc")).alias("sources"),
-        F.max(F.when(F.size("lines") > 1, F.col("chars")).otherwise(0)).alias("one_chars")), "lines-repeats")
+        most.alias("most")).select("doc_id", "lines", "foreign_chars", "sources", (-F.col("most.col2")).alias("source"), F.col("most.chars").alias("source_chars")),
+        "lines-repeats")
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,29 +426,39 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(out, pa.string())], names=batch.schema.names[:-1])
 
 
-def without_repeats(docs: DataFrame, least_left: float = LEAST_LEFT, copied: float | None = COPIED,
-                    short: bool = False, key: str = "doc_id") -> DataFrame:
+def near_copies(docs: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id) of the documents that are near copies of the one most of their
+    lines come from: half of their characters or more, confirmed on k-word shingles."""
+    rows = docs.select("doc_id", "text").join(small(found.filter("source is not null").select("doc_id", "source", "source_chars")), "doc_id")
+    pairs = (rows.filter(2 * F.col("source_chars") >= F.length(F.regexp_replace("text", r"[\r\n]", "")))
+             .select(F.col("doc_id").alias("a"), F.col("source").alias("b")).distinct())
+    return stored(confirmed(pairs, docs, k, percent, "lines-copies").select(F.col("a").alias("doc_id")).distinct(), "lines-copies")
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", copies: tuple[int, int] | None = None) -> DataFrame:
     """``docs`` without lines whose class occurs before; its columns and their order stay.
 
     A line stays at its first place (smallest ``key``, then line number). A
-    document that shares ``copied`` or more of its characters, in two lines or
-    more, with one other document is left whole; with None no document is. Of
-    the others, a document goes when lines first seen in other documents leave
-    less than ``least_left`` of its characters, or no line with a word is left.
-    With ``short``, equal lines of under MIN_CHARS go too. n_chars, where there
-    is such a column, is counted anew for changed texts. Documents without
-    repeated lines, also null and empty ones, stay as they are.
+    document goes when it had such lines and no line with a word is left. With
+    ``copies`` (k, percent), near copies of another document that have something
+    of their own left stay whole, for a later step to decide on: without their
+    common lines it could no longer see them. n_chars, where there is such a
+    column, is counted anew for changed texts. Documents without repeated lines,
+    also null and empty ones, stay as they are.
     """
-    found = repeats(docs.select(F.col(f"`{key}`").alias("doc_id"), "text"), short).select(F.col("doc_id").alias("at"), "lines", "foreign_chars", "one_chars")
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = repeats(texts)
+    whole = F.lit(False)
+    if copies:
+        found = found.join(small(near_copies(texts, found, *copies)).withColumn("copy", F.lit(True)), "doc_id", "left")
+        whole = F.coalesce(F.col("copy"), F.lit(False))
+    found = stored(found.select(F.col("doc_id").alias("at"), "lines", whole.alias("whole")), "lines-found")
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(f"`{key}`").cast("long").alias("at"))
-    whole = F.length(F.regexp_replace("d.text", r"[\r\n]", ""))
     both = (packed.join(small(found, "size(lines)"), "at", "left")
-            .withColumn("lines", F.col("lines") if copied is None else
-                        F.when(F.col("one_chars") >= copied * whole, F.lit(None)).otherwise(F.col("lines")))
-            .filter(F.col("lines").isNull() | (F.col("foreign_chars") <= (1 - least_left) * whole))
-            .select("d", F.col("lines").isNotNull().alias("changed"), F.col("d.text").alias("text"), "lines"))
-    out = both.mapInArrow(_without, T.StructType([*both.schema.fields[:2], T.StructField("text", T.StringType())]))
+            .select("d", F.col("lines").isNotNull().alias("changed"), F.coalesce("whole", F.lit(False)).alias("whole"), F.col("d.text").alias("text"), "lines"))
+    out = both.mapInArrow(_without, T.StructType([*both.schema.fields[:3], T.StructField("text", T.StringType())]))
     out = out.filter(~F.col("changed") | F.col("text").rlike(r"\S"))
+    out = out.withColumn("text", F.when(F.col("whole"), F.col("d.text")).otherwise(F.col("text")))
 
     def column(f: T.StructField):
         if f.name == "text":

@@ -168,7 +168,8 @@ def _texts(docs: DataFrame, pairs: DataFrame, x: str, y: str, name: str) -> Data
     return pairs.join(tb, y).join(ta, x).select(x, y, "text_a", "text_b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
+    """The ``pairs`` (a, b) of doc_ids whose full sets of k-word shingles agree to ``percent``."""
     full = _texts(docs, stored(pairs, f"{name}-pairs"), "a", "b", name)
     return stored(full.mapInArrow(_confirm(k, percent), "a long, b long").distinct(), f"{name}-links")
 
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     star = member.join(heads, "band").filter("id <> head").select("id", "n", "sign1", "sign2", "head").distinct().alias("x").join(
         facts.alias("y"), (F.col("x.head") == F.col("y.id")) & _alike("x", "y", percent)).select(
         F.col("x.head").alias("a"), F.col("x.id").alias("b")).distinct()
-    links = _verified(star, docs, k, percent, "near-star")
+    links = confirmed(star, docs, k, percent, "near-star")
     first = stored(components(links, "near-first"), "near-first-map")
     # In each band, members outside its largest component against the others.
     placed = (member.join(first.withColumnRenamed("node", "id"), "id", "left")
@@ -296,7 +297,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                    & _alike("x", "y", percent)
                    & (common * 100 >= (F.col("x.n") + F.col("y.n") - common) * percent) & first_shared).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    more = _verified(cross, docs, k, percent, "near-cross")
+    more = confirmed(cross, docs, k, percent, "near-cross")
     if not more.isEmpty():
         links = first.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(more)
         first = stored(components(links, "near-all"), "near-all-map")

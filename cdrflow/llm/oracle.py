@@ -41,17 +41,19 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FRO
 
 
 # Thirds of each line against shifted substrings of lines of up to two more
-# characters: any two lines within two edits share one.
+# characters: any two lines within two edits share one. Shorter lines than 24
+# characters are classed where they are equal.
 _OP2 = r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\r\n]+'), lambda x: x <> '') AS v FROM documents),
 occ AS (SELECT doc_id, i - 1 AS line, v[i] AS t, length(v[i]) AS n
-        FROM (SELECT doc_id, v, unnest(range(1, len(v) + 1)) AS i FROM d) WHERE length(v[i]) >= 24),
+        FROM (SELECT doc_id, v, unnest(range(1, len(v) + 1)) AS i FROM d)
+        WHERE length(v[i]) >= 24 OR regexp_matches(v[i], '[^\x20\x09-\x0D]')),
 ln AS (SELECT t, n, min((doc_id, line)) AS first, row_number() OVER (ORDER BY t) AS id FROM occ GROUP BY t, n),
 seg AS (SELECT n, k, k * (n // 3) + greatest(0, k - 3 + n % 3) AS s, n // 3 + CASE WHEN k >= 3 - n % 3 THEN 1 ELSE 0 END AS w
-        FROM (SELECT DISTINCT n FROM occ), (SELECT unnest([0, 1, 2]) AS k)),
+        FROM (SELECT DISTINCT n FROM occ WHERE n >= 24), (SELECT unnest([0, 1, 2]) AS k)),
 own AS (SELECT id, n, k, substr(t, CAST(s + 1 AS BIGINT), CAST(w AS BIGINT)) AS g FROM ln JOIN seg USING (n)),
 sub AS (SELECT DISTINCT id, seg.n, k, substr(t, CAST(s + o + 1 AS BIGINT), CAST(w AS BIGINT)) AS g
-        FROM ln JOIN seg ON seg.n BETWEEN ln.n - 2 AND ln.n, (SELECT unnest([-2, -1, 0, 1, 2]) AS o)
+        FROM ln JOIN seg ON ln.n >= 24 AND seg.n BETWEEN ln.n - 2 AND ln.n, (SELECT unnest([-2, -1, 0, 1, 2]) AS o)
         WHERE s + o >= 0 AND s + o + w <= ln.n),
 cand AS (SELECT DISTINCT own.id AS a, sub.id AS b FROM own JOIN sub USING (n, k, g) WHERE own.id <> sub.id),
 link AS (SELECT a, b FROM cand JOIN ln x ON x.id = a JOIN ln y ON y.id = b WHERE levenshtein(x.t, y.t) <= 2),

@@ -45,14 +45,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Verified near copies go, by the next stage's measure: without their common
-    lines it could no longer see them. Of all others the lines go that repeat an
-    earlier one but for two edits, short ones if equal; a document goes only when
-    no line with a word is left."""
+    """Lines go that repeat an earlier one but for two edits, short ones if equal; a
+    document goes only when no line with a word is left. Near copies, by the next
+    stage's measure, with something of their own left stay whole for that stage."""
     rows, key = keyed(docs, "line-dedup")
-    found = near_dup.near_duplicates(texts(rows, key), k=5, percent=80)
-    rest = stored(dropped(rows, key, found.filter(~F.col("kept")).select("doc_id"), "line-copies"), "line-rest")
-    return line_dedup.without_repeats(rest, least_left=0.0, copied=None, short=True, key=key).drop(key)
+    return line_dedup.without_repeats(rows, key=key, copies=(5, 80)).drop(key)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
