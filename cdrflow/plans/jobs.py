@@ -307,13 +307,14 @@ def _descriptor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [n for n in LINE_FIELDS if n not in ("session_time", "imei")]
     fields = F.concat_ws(",", field("cell", "String"), *(field(n, "String", "not a date: nnn") for n in names[:4]),
                          F.when(fault != 3, field("session_time", F.when(timed, "String").otherwise("long"),
-                                                  F.when(fault == 4, "EEE yyyy").when(timed, "yyyy-MM-dd HH:mm:ss").otherwise(""))),
+                                                  F.when(fault == 4, "EEE yyyy").when(timed, "yyyy-MM-dd\\ HH\\:mm:ss").otherwise(""))),
                          *(field(n, "int") for n in names[4:]))
     start = F.date_format(utc_wall_time(F.lit(1_600_000_000) + F.pmod(key, F.lit(50)) * 86_400), "yyyy-MM-dd HH:mm:ss")
     content = F.concat(
-        F.lit("# \\u0041 descriptor\n"), F.when(fault != 1, F.concat(F.lit("format_start_date_time="), F.when(fault == 2, "soon").otherwise(start), F.lit("\n"))).otherwise(""),
-        F.lit("delimiter="), F.when(F.pmod(key, F.lit(3)) == 0, "").when(F.pmod(key, F.lit(3)) == 1, "|").otherwise("\\u003B"), F.lit("\n"),
-        F.lit('fields={"fields":['), F.when(fault != 5, fields).otherwise(""), F.lit("]}\n"))
+        F.lit("# \\u0041 descriptor \\\n!delimiter=x\r\n \t\r"), F.when(fault != 1, F.concat(F.lit("format_start_date_time="), F.when(fault == 2, "soon").otherwise(start), F.lit("\n"))).otherwise(""),
+        F.lit("delimiter="), F.when(F.pmod(key, F.lit(6)) == 0, "").when(F.pmod(key, F.lit(6)) == 3, "\\\\\\u0074\\t\\\n  |")
+        .when(F.pmod(key, F.lit(3)) == 1, "|").otherwise("\\u003B"), F.lit("\r\n"),
+        F.lit('  fi\\u0065lds : {"fields":[\\\n\t  '), F.when(fault != 5, fields).otherwise(""), F.lit("]}\n"))
     name = F.when(fault == 6, F.concat(F.lit("format-"), key.cast("string"), F.lit(".properties"))).otherwise(
         F.concat(F.lit("data_format-x-op"), F.col("c_nationkey").cast("string"), F.lit("-"), key.cast("string"), F.lit(".properties")))
     return c.select(F.concat(F.lit("dc"), F.pmod(key, F.lit(2)).cast("string")).alias("dc"), F.lit("webcdr").alias("datatype"),

@@ -15,7 +15,7 @@ f AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {i}, {repr(t) if t else 'NULL'}
 d AS (SELECT c_custkey AS k, 'dc' || CAST(c_custkey % 2 AS VARCHAR) AS dc, 'op' || CAST(c_nationkey AS VARCHAR) AS op,
              CASE WHEN c_custkey % 7 = 6 THEN 'format-' || CAST(c_custkey AS VARCHAR) || '.properties'
                   ELSE 'data_format-x-op' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) || '.properties' END AS file_name,
-             CASE c_custkey % 3 WHEN 1 THEN '|' ELSE ';' END AS delimiter,
+             CASE WHEN c_custkey % 6 = 3 THEN chr(92) || 't' || chr(9) || '|' WHEN c_custkey % 3 = 1 THEN '|' ELSE ';' END AS delimiter,
              CAST(1600000000 + (c_custkey % 50) * 86400 AS BIGINT) AS start_time,
              CASE c_custkey % 7 WHEN 6 THEN 'bad_descriptor_name' WHEN 1 THEN 'no_start_time' WHEN 2 THEN 'bad_start_time'
                   WHEN 5 THEN 'no_fields' WHEN 3 THEN 'no_session_time'

@@ -19,9 +19,13 @@ from ..schema import (EPOCH_TARGET, DEFAULT_DELIMITER, DESCRIPTOR_FIELDS_SCHEMA,
                       FORMAT_FIELDS_KEY, FORMAT_FILE_PATTERN, FORMAT_START_KEY,
                       FORMAT_START_PATTERN, LINE_FIELDS, URL_PATTERN)
 
-# Key: plain characters with backslash escapes, written as an unrolled loop
+# Keys and lines: plain characters with backslash escapes, written as unrolled loops
 # (a repeated alternation recurses once per character in Java's regex engine).
-_KEY_VALUE = r"^\s*([^=:\s\\]*(?:\\.[^=:\s\\]*)*)\s*[=:\s]?\s*(.*)$"
+_KEY_VALUE = r"(?s)^[ \t\f]*([^=: \t\f\\]*(?:\\.[^=: \t\f\\]*)*)[ \t\f]*[=:]?[ \t\f]*(.*)$"
+# A logical line: a comment, or text in which an escaped line end doesn't end it.
+_LINES = r"(?m)^[ \t\f]*+(?:[#!][^\r\n]*+|[^\r\n\\]*+(?:\\(?:\r\n|[\s\S])[^\r\n\\]*+)*+)"
+# Its parts: a continuation, a code point, another escape, or plain text.
+_PARTS = r"\\(?:\r\n|\r|\n)[ \t\f]*+|\\u[0-9a-fA-F]{4}|\\[^\r\n]|[^\\]++"
 
 
 def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> DataFrame:
@@ -48,14 +52,21 @@ def read_descriptors(spark: SparkSession, root: str, registered_at: int) -> Data
             .drop("path"))
 
 
+def _parts(text: Column, each) -> Column:
+    """``text`` with ``each`` applied to its parts, in one pass from left to right."""
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PARTS), F.lit(0)), each), "")
+
+
 def _unescape(value: Column) -> Column:
-    """Properties escapes: ``\\uXXXX``, ``\\t \\n \\r \\f`` and ``\\x`` for any other x."""
-    pieces = F.split(value, r"(?<!\\)(?:\\\\)*\\u(?=[0-9a-fA-F]{4})")
-    v = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.concat(
-        F.decode(F.unhex(F.substr(p, F.lit(1), F.lit(4))), "UTF-16BE"), F.substr(p, F.lit(5))))), "")
-    for code, char in (("t", "\t"), ("n", "\n"), ("r", "\r"), ("f", "\f")):
-        v = F.regexp_replace(v, r"(?<!\\)\\" + code, char)
-    return F.regexp_replace(v, r"\\(.)", "$1")
+    r"""Properties escapes: ``\uXXXX``, ``\t \n \r \f`` and ``\x`` for any other x.
+    What an escape gives is never read as one again; a last backslash stands alone and goes."""
+    def plain(p: Column) -> Column:
+        letter = F.substr(p, F.lit(2))
+        return (F.when(~p.startswith("\\"), p)
+                .when(F.length(p) == 6, F.decode(F.unhex(F.substr(p, F.lit(3))), "UTF-16BE"))
+                .when(letter == "t", "\t").when(letter == "n", "\n").when(letter == "r", "\r").when(letter == "f", "\f")
+                .otherwise(letter))
+    return _parts(value, plain)
 
 
 def _keep_last(entries: Column, key: str) -> Column:
@@ -67,13 +78,11 @@ def _keep_last(entries: Column, key: str) -> Column:
 
 def property_entries(content: Column) -> Column:
     """Properties text to an array of (key, value) in file order."""
-    # A line ending in an odd number of backslashes continues on the next
-    # line, whose leading blanks are dropped (Java properties rule).
-    joined = F.regexp_replace(content, r"(?<!\\)((?:\\\\)*)\\\r?\n[ \t\f]*", "$1")
-    lines = F.transform(F.split(joined, "\n"), lambda l: F.regexp_replace(l, "\r$", ""))
-    kept = F.filter(lines, lambda l: (F.trim(l) != "") & ~F.trim(l).startswith("#")
-                    & ~F.trim(l).startswith("!"))
-    return F.transform(kept, lambda l: F.struct(
+    lines = F.regexp_extract_all(content, F.lit(_LINES), F.lit(0))
+    kept = F.filter(lines, lambda l: l.rlike(r"^[ \t\f]*[^ \t\f#!]"))
+    # A continued line goes on behind the next one's leading blanks.
+    whole = F.transform(kept, lambda l: _parts(l, lambda p: F.when(p.rlike(r"^\\[\r\n]"), "").otherwise(p)))
+    return F.transform(whole, lambda l: F.struct(
         _unescape(F.regexp_extract(l, _KEY_VALUE, 1)).alias("key"),
         _unescape(F.regexp_extract(l, _KEY_VALUE, 2)).alias("value")))
 

@@ -78,3 +78,15 @@ def test_properties_line_continuation(spark):
     m = spark.range(1).select(parse_properties(F.lit(text)).alias("m")).first()["m"]
     assert m["fields"] == '{"fields": [{"name": "msisdn", "type": "String", "format": ""}]}'
     assert m["path"] == "c:\\\\" and m["next"] == "1"
+
+
+def test_properties_are_read_in_one_pass(spark):
+    """What an escape gives is never an escape again; comments don't continue; a lone \\r ends a line."""
+    cases = {r"a=\\\u0041": "\\A", r"a=\u005Cn": "\\n", r"a=\\\t": "\\\t", r"a=\\t": "\\t", r"a=x\\": "x\\", r"a=x\q\=\:\ y": "xq=: y",
+             "# note \\\na=1": "1", "! note\\\ra=1": "1", "a=1\\\r\n   2\\\n\t3": "123", "a=1\\\\\nb=2": "1\\", "a 1": "1", "a\t:\t1": "1", "\r\n \t\na=1": "1",
+             r"\u0061=1": "1", r"a=\u4e2d\u6587": "\u4e2d\u6587", r"a=\u00": "u00", "a": "", "a=": "", "a==x": "=x"}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["a"] for r in df.select("i", parse_properties(F.col("t"))["a"].alias("a")).collect()}
+    assert got == dict(enumerate(cases.values()))
+    long = "fields=" + "x\\=y" * 20_000  # as deep as a regex may recurse on a stream's thread
+    assert spark.createDataFrame([(long,)], "t string").select(F.length(parse_properties(F.col("t"))["fields"])).first()[0] == 60_000
