@@ -16,7 +16,10 @@ from ..functions.text import extract_urls, field_at, parse_int, parse_long, spli
 from ..functions.time import to_timestamp
 from ..schema import EPOCH_TARGET, LINE_FIELDS, UNPLACED, URL_TARGET
 from ..session import built_once
-from .asof import attach_versions, with_chosen_version
+from .asof import OP_KEY, attach_versions, versions_per_operator, with_chosen_version, with_ranked_version
+
+#: Versions of one operator that a line walks; more are searched.
+MANY = 24
 
 TAG_COLUMNS = ["dc", "datatype", "batch_id", "op", "source_file", "row_id"]
 
@@ -53,12 +56,24 @@ def parse_lines(lines: DataFrame, versions: DataFrame,
     generator (see :func:`with_chosen_version`); what follows is cheap
     enough for the optimizer to copy where it filters early.
     """
-    chosen = with_chosen_version(attach_versions(lines, versions, small))
+    return _typed_lines(with_chosen_version(attach_versions(lines, versions, small)), mode)
+
+
+def _typed_lines(chosen: DataFrame, mode: str) -> DataFrame:
     for step in _steps(mode):
         chosen = chosen.select(*step)
     return chosen
 
 
+def parse_by_formats(lines: DataFrame, formats: DataFrame, mode: str = "quarantine") -> DataFrame:
+    """As :func:`parse_lines`, from the catalog's rows: with more than ``MANY`` versions
+    of any operator they are searched instead of walked. The result is the same."""
+    most = formats.where(F.col("problem").isNull()).groupBy(*OP_KEY).count().agg(F.max("count")).first()[0] or 0
+    if most > MANY:
+        return _typed_lines(with_ranked_version(lines, formats), mode)
+    return parse_lines(lines, versions_per_operator(formats), mode=mode)
+
+
 @built_once
 def _steps(mode: str) -> list[list[Column | str]]:
     """The projections of :func:`parse_lines` behind the version choice, in order."""

@@ -85,7 +85,7 @@ def parse_and_store(spark: SparkSession, lines: DataFrame, wh: Warehouse, batch_
     known = catalog.formats(spark, wh)
     newest = known.agg(F.max("registered_at").alias("registered_at")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     tables.write_batch(newest, wh.parsed_with, ["batch_id"], batch_id)
-    return _store(spark, standardize.parse_lines(lines, catalog.versions(spark, wh)), wh, batch_id)
+    return _store(spark, standardize.parse_by_formats(lines, known), wh, batch_id)
 
 
 def records(spark: SparkSession, wh: Warehouse, batch_id: int, schema) -> DataFrame:
@@ -273,7 +273,7 @@ def apply_late_descriptors(spark: SparkSession, descriptor_root: str, warehouse:
         Batches(spark, wh).open(batch_id)
         with _step(spark, "parse lines of late descriptors"):
             lines, kept = new
-            parsed = standardize.parse_lines(lines, catalog.versions(spark, wh))
+            parsed = standardize.parse_by_formats(lines, known)
             merged = kept.drop("status").unionByName(parsed.select(*[c for c in schema.names if c != "status"]))
             # What is being replaced is being read: the new rows are stored first.
             merged = staged(merged, "late-records")

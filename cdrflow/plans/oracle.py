@@ -165,6 +165,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN e.op <> 'zetanet' AND e.version IS NOT NULL
                     THEN 'data_format-webcdr-' || e.op || '-' || e.version || '.properties' END AS format_name
         FROM ev e"""),
+    "format_asof_many": _q("""
+        SELECT row_id, dc, op, CASE WHEN good THEN epoch_s END AS session_time,
+               CASE WHEN good THEN 'data_format-webcdr-' || op || '-' || CAST(least(999, (epoch_s - CAST(epoch(TIMESTAMP '2024-01-02 00:00:00') AS BIGINT)) // 2700) AS VARCHAR)
+                    || '.properties' END AS format_name,
+               CASE WHEN op = 'zetanet' THEN 'unknown_operator' WHEN version IS NULL THEN 'no_valid_format' END AS reason
+        FROM (SELECT event_id AS row_id, *, op <> 'zetanet' AND version IS NOT NULL AS good FROM ev)"""),
     "format_rejects": _q("""
         SELECT event_id AS row_id, dc, op,
                CASE WHEN op = 'zetanet' THEN 'unknown_operator' ELSE 'no_valid_format' END AS reason

@@ -85,6 +85,25 @@ def format_asof(spark, sf_dir):
     return parsed.select("row_id", "dc", "op", "session_time", "format_name")
 
 
+#: Versions per operator of ``format_asof_many``, and seconds between their starts.
+MANY_VERSIONS, MANY_SECONDS = 1000, 2700
+
+
+def format_asof_many(spark, sf_dir):
+    """The version of every line where each operator has a thousand, a new one
+    every 45 minutes, in the three layouts of the feed."""
+    first = f"unix_seconds(TIMESTAMP'{feed.VERSION_STARTS['v1']} UTC')"
+    start = f"{first} + id * {MANY_SECONDS}"
+    era = " ".join(f"WHEN {start} >= unix_seconds(TIMESTAMP'{s} UTC') THEN '{v}'" for v, s in reversed(feed.VERSION_STARTS.items()))
+    many = spark.range(MANY_VERSIONS).selectExpr("id AS n", f"{start} AS many_start", f"CASE {era} END AS layout_version")
+    name = F.concat(F.lit(f"data_format-{feed.DATATYPE}-"), "op", F.lit("-"), F.col("n").cast("string"), F.lit(".properties"))
+    formats = (feed.formats(spark).withColumn("layout_version", F.regexp_extract("format_name", r"-(v\d)\.", 1))
+               .join(F.broadcast(many), "layout_version")
+               .withColumns({"start_time": F.col("many_start"), "format_name": name, "format_id": F.concat_ws("/", "dc", name)}))
+    parsed = standardize.parse_by_formats(feed.cdr_feed(spark, sf_dir, BATCH), staged(formats, "many-formats"))
+    return parsed.select("row_id", "dc", "op", "session_time", "format_name", "reason")
+
+
 def format_rejects(spark, sf_dir):
     """Quarantined lines and why."""
     rejected = standardize.rejected_rows(_parsed(spark, sf_dir))
@@ -307,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "typed_or_empty": typed_or_empty,
     "standard_rows": standard_rows,
     "format_asof": format_asof,
+    "format_asof_many": format_asof_many,
     "format_rejects": format_rejects,
     "reject_counts": reject_counts,
     "formats_per_operator": formats_per_operator,
