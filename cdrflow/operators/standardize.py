@@ -101,8 +101,8 @@ def _steps(mode: str) -> list[list[Column | str]]:
                         to_timestamp(F.col("session_time")).alias("session_ts")]]
 
 
-def good_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNull()).select(*STD_COLUMNS)
+def good_rows(parsed: DataFrame, *more: str) -> DataFrame:
+    return parsed.where(F.col("reason").isNull()).select(*STD_COLUMNS, *more)
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ..sources import dictionary, tables
 from ..sources.descriptors import format_fields, parse_descriptors
 from ..sources.landing import read_landing
 from ..sources.tables import Warehouse
-from ..streaming import arrival
+from ..streaming import arrival, usage
 from ..operators import enrich
 from ..operators.dims import user_keys
 from ..operators.staging import staged
@@ -281,6 +281,17 @@ def ids_two_writers(spark, sf_dir):
                                          F.count_distinct("op", "msisdn", "imsi", "imei").alias("keys"), F.max("user_id").alias("highest"))
 
 
+def usage_stream(spark, sf_dir):
+    """Usage per 15 minutes kept by a stream over three runs from one
+    checkpoint; the second brings earlier times than the first, the third lines again."""
+    root, out, checkpoint = (scratch_path(spark, f"usage-{n}") for n in ("landing", "counts", "checkpoint"))
+    lines, formats = feed.cdr_feed(spark, sf_dir), staged(feed.formats(spark), "usage-formats")
+    for n, (part, prefix) in enumerate((("row_id % 3 > 0", ""), ("row_id % 3 = 0", "late-"), ("row_id % 5 = 0", "again-"))):
+        write_landing(spark, lines.where(part), root, prefix=f"{prefix}CDR_")
+        usage.run_available(spark, root, formats, out, checkpoint, delay="60 days")
+    return usage.usage_now(spark, out)
+
+
 def dim_compacted(spark, sf_dir):
     """Rows are looked up in a dictionary of a compact form and later commits."""
     wh = Warehouse(scratch_path(spark, "job-warehouse"))
@@ -378,4 +389,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     second_run_reads_nothing, rerun_totals, landing_paths, landing_rejects, two_checkpoints,
     descriptor_fields, descriptor_problems, catalog_versions, import_users, import_pages,
     touched_file, batch_and_stream_one_landing, odd_file_names, odd_times, half_written_batch, late_descriptor,
-    ids_two_writers, dim_compacted)}
+    ids_two_writers, dim_compacted, usage_stream)}

@@ -91,5 +91,9 @@ ORACLE_SQL: dict[str, str] = {
         m AS (SELECT dc, max(user_id) AS m, count(*) AS n FROM known_u GROUP BY dc)
         SELECT u.dc, count(*) AS rows, count(*) AS ids, count(*) AS keys, CAST(any_value(m.m) + count(*) - any_value(m.n) AS BIGINT) AS highest
         FROM u JOIN m USING (dc) GROUP BY u.dc"""),
+    "usage_stream": _q("""
+        SELECT dc, op, CAST(floor(session_time / 900) * 900 AS BIGINT) AS window_start, count(*) AS sessions,
+               CAST(sum(TRY_CAST(duration AS BIGINT)) AS BIGINT) AS duration, CAST(sum(TRY_CAST(page_sent AS BIGINT)) AS BIGINT) AS pages
+        FROM (SELECT DISTINCT s.dc, s.op, line, session_time, duration, page_sent FROM std s JOIN lines USING (row_id)) GROUP BY ALL"""),
     "dim_compacted": _q("SELECT row_id, user_id FROM enriched"),
 }

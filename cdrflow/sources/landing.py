@@ -56,13 +56,14 @@ def is_data(path: Column) -> Column:
     return ~path.endswith(DESCRIPTOR_SUFFIX)
 
 
-def tag_lines(raw: DataFrame, batch_id: int | Column, root: str | None = None) -> DataFrame:
+def tag_lines(raw: DataFrame, batch_id: int | Column, root: str | None = None, number: bool = True) -> DataFrame:
     """Tag raw lines (``line``, ``source_file``) with dc, datatype, op, batch.
 
     Blank lines are dropped and a trailing CR is removed. ``row_id`` is
     unique within the batch. ``dc``, ``datatype`` and ``op`` columns already
     present (partition folders) are kept; otherwise they come from the path
     below ``root``. A file at another depth gets the data type ``_unplaced``.
+    A stream can't number rows over its batches: without ``number`` all are 0.
     """
     bid = F.lit(batch_id).cast("bigint") if isinstance(batch_id, int) else batch_id.cast("bigint")
     line = F.regexp_replace(F.col("line"), "\r$", "")
@@ -77,7 +78,7 @@ def tag_lines(raw: DataFrame, batch_id: int | Column, root: str | None = None) -
             .where(F.length("line") > 0)
             .withColumns(tags)
             .withColumn("batch_id", bid)
-            .withColumn("row_id", F.monotonically_increasing_id()))
+            .withColumn("row_id", F.monotonically_increasing_id() if number else F.lit(0).cast("bigint")))
 
 
 def _lines(df: DataFrame, *more: Column) -> DataFrame:
