@@ -49,10 +49,13 @@ def write_descriptors(spark: SparkSession, root: str, dcs=feed.DATA_CENTRES, ver
 
 def write_landing(spark: SparkSession, lines: DataFrame, root: str, prefix: str = "CDR_", below: str = "") -> None:
     """``lines`` (dc, op, line) as ``<root>/<dc>/<datatype>/<below><prefix><op>_<date>_<time>_<n>``:
-    written by Spark, then given their names (one rename per file)."""
-    staged = scratch_path(spark, "staged-landing")
-    lines.select("dc", "op", "line").write.partitionBy("dc", "op").text(staged)
-    pattern, fs = _file_system(spark, f"{staged}/dc=*/op=*/part-*")
+    written by Spark, as many files per operator as an eighth of the cores and one,
+    then given their names (one rename per file)."""
+    path = scratch_path(spark, "staged-landing")
+    files = spark.sparkContext.defaultParallelism // 8 + 1
+    (lines.select("dc", "op", "line").repartition("dc", "op", F.pmod(F.xxhash64("line"), F.lit(files)))
+     .write.partitionBy("dc", "op").text(path))
+    pattern, fs = _file_system(spark, f"{path}/dc=*/op=*/part-*")
     for i, found in enumerate(sorted(str(f.getPath().toString()) for f in fs.globStatus(pattern) or [])):
         dc, op = (found.rsplit("/", 3)[j].split("=", 1)[1] for j in (1, 2))
         source, _ = _file_system(spark, found)
@@ -292,6 +295,20 @@ def usage_stream(spark, sf_dir):
     return usage.usage_now(spark, out)
 
 
+def archived_landing(spark, sf_dir):
+    """A stream that moves finished files away; after its second run none of
+    the first run's files is left to be listed."""
+    root, formats, archive, checkpoint = (scratch_path(spark, f"archived-{n}") for n in ("landing", "formats", "archive", "checkpoint"))
+    wh, lines = Warehouse(scratch_path(spark, "job-warehouse")), feed.cdr_feed(spark, sf_dir)
+    write_descriptors(spark, formats)
+    for n in range(2):
+        write_landing(spark, lines.where(F.pmod("row_id", F.lit(2)) == n), root, prefix=f"run{n}-CDR_")
+        arrival.run_available(spark, root, wh.root, checkpoint, descriptor_root=formats, archive=archive)
+    names = [path.rsplit("/", 1)[1] for path in _files(spark, root)]
+    left = spark.createDataFrame([("left of the first run", sum(x.startswith("run0-") for x in names))], "reason string, lines bigint")
+    return _counts(spark, wh, "reason").unionAll(left)
+
+
 def dim_compacted(spark, sf_dir):
     """Rows are looked up in a dictionary of a compact form and later commits."""
     wh = Warehouse(scratch_path(spark, "job-warehouse"))
@@ -389,4 +406,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     second_run_reads_nothing, rerun_totals, landing_paths, landing_rejects, two_checkpoints,
     descriptor_fields, descriptor_problems, catalog_versions, import_users, import_pages,
     touched_file, batch_and_stream_one_landing, odd_file_names, odd_times, half_written_batch, late_descriptor,
-    ids_two_writers, dim_compacted, usage_stream)}
+    ids_two_writers, dim_compacted, usage_stream, archived_landing)}

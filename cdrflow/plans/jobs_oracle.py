@@ -95,5 +95,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT dc, op, CAST(floor(session_time / 900) * 900 AS BIGINT) AS window_start, count(*) AS sessions,
                CAST(sum(TRY_CAST(duration AS BIGINT)) AS BIGINT) AS duration, CAST(sum(TRY_CAST(page_sent AS BIGINT)) AS BIGINT) AS pages
         FROM (SELECT DISTINCT s.dc, s.op, line, session_time, duration, page_sent FROM std s JOIN lines USING (row_id)) GROUP BY ALL"""),
+    "archived_landing": _q(f"""
+        SELECT {_REASON} AS reason, count(*) AS lines FROM ev GROUP BY ALL
+        UNION ALL SELECT 'left of the first run', CAST(0 AS BIGINT)"""),
     "dim_compacted": _q("SELECT row_id, user_id FROM enriched"),
 }
