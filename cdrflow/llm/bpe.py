@@ -40,7 +40,7 @@ _BLANK = r" \t-\r"
 LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^{_BLANK}0-9{_LATIN}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 BEYOND_LATIN = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0250-\u200a\u2028-\u202f\u205f-\U0010ffff]")
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 MODEL_BYTES = 64 << 20
 
 

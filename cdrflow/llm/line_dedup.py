@@ -15,8 +15,9 @@ hashes and keys are shuffled, and only the texts of candidates are read
 again. Under a key, every line is first compared with the key's head alone, and
 what agrees is one component; a group of n variants of a line costs n
 comparisons. Only lines outside a key's largest component are then compared with
-the others, if they are at most HOT: HOT times the key's lines are all that is
-written. Under a key with more of them the lines' remainders, which must again be
+the others, if they are at most HOT, so that no more than HOT times the key's
+lines are compared; all comparisons begin with a signature of the lines, in the
+join condition, which leaves few pairs to write and to verify. Under a key with more of them the lines' remainders, which must again be
 within EDITS edits, are cut into segments in turn, until no key is so hot: what
 is left of a line shrinks by a third each time, and remainders too short to be
 cut are all within EDITS edits of the head's. So every pair within the bound is
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +42,7 @@ from .store import small, stored
 
 EDITS = 2
 MIN_CHARS = 24        # shorter lines are compared for equality only
-HOT = 32              # lines outside a key's largest component beyond which the key is refined
+HOT = 1_000           # lines outside a key's largest component beyond which the key is refined
 
 LINE_BYTE = np.ones(256, bool)
 LINE_BYTE[[10, 13]] = False
@@ -120,6 +121,11 @@ def _signature(text: str) -> int:
     return sign - (1 << 64) if sign >> 63 else sign
 
 
+def _agree(x: str, y: str) -> Column:
+    """The signatures ``x`` and ``y`` may be of lines within EDITS edits."""
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= 4 * EDITS
+
+
 # Distance -----------------------------------------------------------------
 
 def within(a: str, b: str, most: int) -> bool:
@@ -199,7 +205,7 @@ def _probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted line numbers) -> (id, text) of those lines."""
+    """(text, wanted line numbers) -> (id, text, sign) of those lines."""
     for batch in batches:
         data, offsets = tokens.raw(batch.column(0))
         for at, to in tokens.cut(offsets):
@@ -207,7 +213,8 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = [w.offsets[i] + np.array(x or [], np.int64) for i, x in enumerate(batch.column(1).slice(at, to - at).to_pylist())]
             rows = np.concatenate(wanted) if wanted else np.zeros(0, np.int64)
             ids = tokens.signed(w.hashes()[rows]) if len(rows) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([w.word(i).decode() for i in rows.tolist()], pa.string())], names=["id", "text"])
+            texts = [w.word(i).decode() for i in rows.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts, pa.string()), pa.array(map(_signature, texts), pa.int64())], names=["id", "text", "sign"])
 
 
 def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,8 +273,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 def _joined(x: DataFrame, y: DataFrame) -> DataFrame:
     """Pairs of rows under one key that lie in two components and whose signatures are near."""
     x, y = x.alias("x"), y.alias("y")
-    on = ((F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-          & (F.bit_count(F.col("x.sign").bitwiseXOR(F.col("y.sign"))) <= 4 * EDITS))
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _agree("x.sign", "y.sign")
     return x.join(y, on).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -280,10 +286,11 @@ def _placed(rows: DataFrame, near: DataFrame | None) -> DataFrame:
 
 def _linked(rows: DataFrame, texts: DataFrame, remainders: DataFrame | None) -> DataFrame:
     """(node, component) of the lines that are linked under any key of ``rows``
-    (key, id, own, sign): a key's own lines hold it as a segment, the others as a substring.
+    (key, id, own, sign): a key's own lines hold it as a segment, the others as a
+    substring; sign is the signature of what is to be compared.
 
-    ``texts`` (id, text) has the lines of all rows. Rows of the first round have
-    ``remainders`` None and no signature; see the module's text.
+    ``texts`` (id, text, times) has the lines of all rows and how often they occur. In the first round these are whole lines
+    and ``remainders`` is None; see the module's text.
     """
     links, near, depth = None, None, 0
     while True:
@@ -298,9 +305,11 @@ def _linked(rows: DataFrame, texts: DataFrame, remainders: DataFrame | None) ->
             links = more if near is None else near.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
             near = stored(components(links, f"{name}-{step}"), f"{name}-{step}-near")
 
+        # The line that occurs most often: of the variants of a line, more likely that line than one of them.
         placed = _placed(rows, near)
-        heads = placed.filter("own").groupBy("key").agg(F.min(F.struct("id", "sign", "component")).alias("h"))
-        heads = small(stored(heads.select("key", "h.*"), f"{name}-heads"))
+        owned = placed.filter("own").join(small(texts.select("id", "times")), "id")
+        heads = owned.groupBy("key").agg(F.max(F.struct("times", "id", "sign", "component")).alias("h"))
+        heads = small(stored(heads.select("key", "h.id", "h.sign", "h.component"), f"{name}-heads"))
         settle(_joined(heads, placed.filter("not own")), "star")
         # Per key the largest component, and how many lines lie outside it.
         placed = stored(_placed(rows, near), f"{name}-placed")
@@ -325,7 +334,7 @@ def _linked(rows: DataFrame, texts: DataFrame, remainders: DataFrame | None) ->
         depth += 1
         on = ["id", "own"] if remainders is None else ["prefix", "id", "own"]
         held = hot.groupBy(*on).agg(F.collect_set("key").alias("keys"))
-        whole = texts.withColumn("prefix", F.lit(0).cast("long")) if remainders is None else remainders.drop("sign")
+        whole = texts.select("id", "text", F.lit(0).cast("long").alias("prefix")) if remainders is None else remainders.drop("sign")
         work = held.join(whole, ["id"] if remainders is None else on).select("prefix", "id", "own", "text", "keys")
         remainders = stored(work.mapInArrow(_refined, WORK), f"lines-work{depth}")
         rows = remainders.mapInArrow(_work_keys, "key long, id long, own boolean, prefix long, sign long").distinct()
@@ -333,11 +342,11 @@ def _linked(rows: DataFrame, texts: DataFrame, remainders: DataFrame | None) ->
 
 
 def _line_texts(docs: DataFrame, distinct: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """(id, text) of the lines ``ids``, read from the documents that own them."""
+    """(id, text, sign) of the lines ``ids``, read from the documents that own them."""
     places = distinct.join(small(ids), "id", "left_semi").select("first.doc_id", "first.line")
     places = stored(places.groupBy("doc_id").agg(F.collect_list("line").alias("lines")), f"{name}-places")
     rows = docs.join(small(places, "size(lines)"), "doc_id").select("text", "lines")
-    return stored(rows.mapInArrow(_extracted, "id long, text string").dropDuplicates(["id"]), f"{name}-texts")
+    return rows.mapInArrow(_extracted, "id long, text string, sign long").dropDuplicates(["id"])
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
@@ -371,10 +380,10 @@ def line_classes(docs: DataFrame) -> DataFrame:
     shared = stored(hits.select("key").distinct(), "lines-shared")
     rows = hits.withColumn("own", F.lit(False)).unionAll(
         own.join(small(shared), "key", "left_semi").select("key", "id", F.lit(True).alias("own")))
-    rows = stored(rows.withColumn("sign", F.lit(0).cast("long")), "lines-keys")
+    rows = stored(rows, "lines-keys")
     ids = stored(rows.select("id").distinct(), "lines-ids")
-    texts = _line_texts(docs, distinct, ids, "lines")
-    near = _linked(rows, texts, None)
+    texts = stored(_line_texts(docs, distinct, ids, "lines").join(distinct.select("id", "times"), "id"), "lines-texts")
+    near = _linked(rows.join(small(texts.select("id", "sign")), "id"), texts, None)
     near = near if near is not None else docs.sparkSession.createDataFrame([], "node long, component long")
     # The first occurrence of each class.
     named = (distinct.join(near.withColumnRenamed("node", "id"), "id", "left").select(

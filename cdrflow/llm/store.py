@@ -11,7 +11,15 @@ from cdrflow.session import scratch_path
 BROADCAST_ROWS = 1_000_000
 
 
+#: Rows of an Arrow batch: documents have kilobytes, and a worker's memory isn't given back.
+BATCH_ROWS = 2_000
+_BATCH_ROWS, _SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts. Arrow batches get ``BATCH_ROWS`` rows unless the session has its own number."""
+    if spark.conf.get(_BATCH_ROWS, _SPARKS_OWN) == _SPARKS_OWN:
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
