@@ -165,12 +165,44 @@ def test_without_repeats(spark, make_docs):
     assert got[4]["text"] == "\n" + prose(24, 30)
 
 
-@pytest.mark.parametrize("head", [4_000_000, 5])
-def test_language_model(spark, make_docs, monkeypatch, head):
-    """Base scores against a count by hand, with all words broadcast and with most joined."""
-    monkeypatch.setattr(lm, "HEAD_WORDS", head)
+def _by_hand(rows, model):
+    """score per doc_id from n-gram counts in dictionaries, under the model's weights."""
+    held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows}
+    seq = {d: ["<s>", "<s>", *(t or "").encode().lower().split(), "</s>"] for d, t in rows}
+    count = Counter()
+    for d, x in seq.items():
+        if not held[d]:
+            count.update(tuple(x[i - n + 1: i + 1]) for i in range(2, len(x)) for n in (1, 2, 3))
+    texts = sum(not h for h in held.values())
+
+    def bounds(c):
+        q = int(lm._level(np.array([c]))[0])
+        return int(lm.VALUE[q]), int(lm.VALUE[q + 1]) - 1
+
+    out = {}
+    for d, x in seq.items():
+        total = 0.0
+        for i in range(2, len(x)):
+            u, v, w = x[i - 2: i + 1]
+            p = (count[(w,)] + 0.1) / (model.total + 0.1 * (model.vocabulary + 1))
+            first = texts if v == "<s>" else count[(v,)]
+            second = texts if v == "<s>" else bounds(count[(u, v)])[1] if count[(u, v)] else 0
+            for n, (history, c) in enumerate(((first, count[(v, w)]), (second, count[(u, v, w)])), 1):
+                a = model.weights[n][lm._level(np.array([history]))[0]]
+                p = a * (min(bounds(c)[0], history) / history if history else 0) + (1 - a) * p
+            total += np.log10(p)
+        out[d] = total
+    return out
+
+
+@pytest.mark.parametrize("chunk, shard", [(lm.CHUNK_BYTES, lm.SHARD_BYTES), (700, 500)])
+def test_language_model(spark, make_docs, monkeypatch, chunk, shard):
+    """Base scores against a count by hand, and scores against n-gram counts by hand, in few chunks and shards and in many."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(lm, "SHARD_BYTES", shard)
     rows = [(d, prose(d % 30, 40 + d, 60)) for d in range(120)] + [(200, None), (201, ""), (202, "Unseen WORDS here")]
-    got = {x["doc_id"]: x for x in lm.scores(make_docs(rows)).collect()}
+    docs = make_docs(rows)
+    got = {x["doc_id"]: x for x in lm.scores(docs).collect()}
     count = Counter()
     held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows}
     for d, t in rows:
@@ -185,20 +217,56 @@ def test_language_model(spark, make_docs, monkeypatch, head):
         assert x["score"] < 0
     out = [x for d, x in got.items() if held[d] and d < 200]
     assert sum(x["score"] for x in out) > sum(x["base_score"] for x in out)  # copies are foreseen
+    learnt = docs.selectExpr("doc_id", "coalesce(text, '') text", "pmod(crc32(cast(cast(doc_id as string) as binary)), 10) <> 0 train")
+    model, _, _ = lm.fit(learnt)
+    assert (model.total, model.vocabulary) == (n, v) and model.weights.max() > 0.1
+    assert {d: x["score"] for d, x in got.items()} == pytest.approx(_by_hand(rows, model))
+
+
+def _hashed(texts):
+    data = [t.encode() for t in texts]
+    return lm._sequence(tokens.words_of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), tokens.BLANK_SPLIT))
 
 
-def test_filter_counts(spark, make_docs):
-    """Levels read back are never too low, and seldom too high."""
-    rows = [(d, prose(d % 10, 200, 80)) for d in range(40)]
-    model, _ = lm.fit(make_docs(rows).select("doc_id", "text"))
-    data = [t.encode() for _, t in rows]
-    w = tokens.words_of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), tokens.BLANK_SPLIT)
-    x, offsets = lm._sequence(w)
-    keys, n = np.unique(lm._grams(x, offsets)[0], return_counts=True)
-    got = model.levels(keys)
-    want = lm._level(n, 1)
-    assert (got >= want).all() and (got > want).mean() < 0.08
-    assert (model.levels(keys ^ np.uint64(0x5555)) > 0).mean() < 0.05
+def test_levels():
+    """Levels rise with the counts, and a level's counts are within an eighth of each other."""
+    n = np.concatenate([np.arange(0, 5_000), 2 ** np.arange(3, 34), 2 ** np.arange(3, 34) - 1])
+    q = lm._level(n)
+    assert (lm.VALUE[q] <= n).all() and (n < lm.VALUE[q + 1]).all() and q.max() < lm.TOP
+    assert ((lm.VALUE[q + 1] - 1) * 8 <= np.maximum(lm.VALUE[q] * 9, 8)).all()
+
+
+def test_filter_counts():
+    """Every n-gram reads back at the level of its count, others at none."""
+    x, offsets = _hashed([prose(d % 10, 2_000, 3_000) for d in range(40)])
+    for grams in lm._grams(x, offsets):
+        keys, n = np.unique(grams, return_counts=True)
+        other = np.setdiff1d(keys ^ np.uint64(0x5555), keys)
+        back = lm._read_back(np.concatenate([keys, other]), np.concatenate([n, 0 * other.astype(int)]))
+        assert (back[: len(keys)] == lm._level(n)).all() and (back[len(keys):] > 0).mean() < 1e-4
+
+
+def test_probabilities_sum_to_one_at_most():
+    """Over the vocabulary and one unseen word, after any two words; nearly to one where counts are exact."""
+    texts = [prose(d, 150, 300) for d in range(60)]
+    x, offsets = _hashed(texts)
+    words, count = np.unique(x, return_counts=True)
+    grams = np.concatenate(lm._grams(x, offsets)[1:])
+    weights = np.full((lm.ORDER, lm.TOP + 1), 0.7)
+    weights[:, 0] = 0
+    model = lm.Model(len(x), len(words), len(texts), weights)
+    next_ = np.append(words, np.uint64(12345))
+    for at in [0, 1, 2, 77, 500, 1_234, 4_000]:
+        if x[at] == lm.END or x[at + 1] == lm.END:
+            continue
+        three = np.stack([np.full(len(next_), x[at]), np.full(len(next_), x[at + 1]), next_], 1).ravel()
+        bounds = np.arange(len(next_) + 1) * 3
+        wanted = lm._grams(three, bounds)[1:]
+        keys, back = np.unique(np.concatenate([grams, *wanted]), return_inverse=True)
+        levels = lm._read_back(keys, np.bincount(back[: len(grams)], minlength=len(keys)))[back[len(grams):]].reshape(2, -1)
+        i = np.minimum(np.searchsorted(words, three), len(words) - 1)
+        p = 10 ** model.log10(np.where(words[i] == three, count[i], 0), levels, bounds)[2::3]
+        assert 0.9 < p.sum() <= 1.0001
 
 
 def test_url_rules_and_models(spark):
@@ -356,32 +424,13 @@ def test_held_out_labels(spark):
     assert sum(a and b for a, b in rows) >= 0.4 * sum(b for _, b in rows)
 
 
-def test_filter_keeps_its_error_rate_in_blocks(spark, make_docs, monkeypatch):
-    """Every n-gram counts, also in texts that fit; many blocks read as one does."""
-    rows = [(d, prose(d, 150, 2_000)) for d in range(60)]
-    docs = make_docs(rows)
-    whole = {x["doc_id"]: x["score"] for x in lm.scores(docs).collect()}
-    monkeypatch.setattr(lm, "BLOCK_BYTES", 2_000)
-    monkeypatch.setattr(lm, "HELD_TOKENS", 500)
-    model, _ = lm.fit(docs.select("doc_id", "text"))
-    assert len(model.blocks) > 2
-    data = [t.encode() for _, t in rows]
-    w = tokens.words_of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), tokens.BLANK_SPLIT)
-    for grams in lm._grams(*lm._sequence(w)):
-        keys, n = np.unique(grams, return_counts=True)
-        got = model.levels(keys)
-        assert (got >= lm._level(n, 1)).all() and (got > lm._level(n, 1)).mean() < 0.05
-        assert (model.levels(keys ^ np.uint64(0x5555)) > 0).mean() < 0.05
-    assert {x["doc_id"]: x["score"] for x in lm.scores(docs).collect()} == pytest.approx(whole)
-
-
-def test_ngrams_count_from_one_occurrence(spark, make_docs):
-    """Those of texts that fit the weights too: one in ten here."""
-    rows = [(d, prose(500 + d, 60, 5_000)) for d in range(40)]
-    model, _ = lm.fit(make_docs(rows).select("doc_id", "text"))
-    for _, t in rows:
-        w = tokens.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), tokens.BLANK_SPLIT)
-        assert all((model.levels(g) > 0).all() for g in lm._grams(*lm._sequence(w)))
+def test_texts_that_change_between_passes_are_refused(spark, make_docs):
+    """Answers that belong to other texts are an error, never a score."""
+    import pyarrow as pa
+    texts = pa.table({"text": ["one two three"]})
+    none = pa.table({"shard": pa.array([0]), "grams": pa.array([b"\x01"], pa.binary()), "words": pa.array([b""], pa.binary())})
+    with pytest.raises(RuntimeError, match="partitions"):
+        lm._met(texts, none)
 
 
 def test_unknown_words_have_no_weight():
