@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, line_dedup, near_dup, toxicity
-from .store import small, stored, table
+from .store import lean_workers, small, stored, table
 
 
 def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -38,6 +38,7 @@ def dropped(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores at one half or more go."""
+    lean_workers(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     rows, key = keyed(docs, "toxic")
     bad = toxicity.toxicity(texts(rows, key), model).filter("score >= 0.5").select("doc_id")
@@ -48,12 +49,14 @@ def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Lines go that repeat an earlier one but for two edits, short ones if equal; a
     document goes only when no line with a word is left. Near copies, by the next
     stage's measure, with something of their own left stay whole for that stage."""
+    lean_workers(spark)
     rows, key = keyed(docs, "line-dedup")
     return line_dedup.without_repeats(rows, key=key, copies=(5, 80)).drop(key)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays: the smallest doc_id."""
+    lean_workers(spark)
     rows, key = keyed(docs, "near-dedup")
     found = near_dup.near_duplicates(texts(rows, key), k=5, percent=80)
     return dropped(rows, key, found.filter(~F.col("kept")).select("doc_id"), "near-dedup").drop(key)
@@ -61,6 +64,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word window of a benchmark item go."""
+    lean_workers(spark)
     rows, key = keyed(docs, "decontaminated")
     found = decontaminate.contamination(texts(rows, key), table(spark, sf_dir, "benchmark"))
     return dropped(rows, key, found.filter(F.size("spans") > 0).select("doc_id"), "decontaminated").drop(key)
@@ -70,5 +74,6 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its number of tokens and the digests of its token
     ids and of the text decoded from them; none goes. Columns of these three
     names that ``docs`` has are replaced."""
+    lean_workers(spark)
     made = ("n_tokens", "ids_sha256", "decoded_sha256")
     return bpe.encoded_digests(docs, bpe.tokenizer_path(), keep=tuple(c for c in docs.columns if c not in made))

@@ -16,6 +16,16 @@ BATCH_ROWS = 2_000
 _BATCH_ROWS, _SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
+#: Fixed thresholds: without them the allocator keeps what a worker's largest arrays once took, stage after stage.
+LEAN = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Have Python workers give freed arrays back to the system. Names that are set already stay."""
+    for name, value in LEAN.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of texts. Arrow batches get ``BATCH_ROWS`` rows unless the session has its own number."""
     if spark.conf.get(_BATCH_ROWS, _SPARKS_OWN) == _SPARKS_OWN:
