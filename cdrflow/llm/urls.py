@@ -31,7 +31,7 @@ ORDER = 5                   # characters of context at most
 BITS = 18                   # size of each hashed count table
 HOLD = 5                    # one in HOLD examples calibrates
 LOSS = 0.01                 # share of accepted examples that may fall under the threshold, and of rejected ones above
-CALIBRATION = 50_000        # examples' scores used for the threshold, at most
+GRID = 4_096                # cells of scores that are counted at a time; so many scores come to the driver at most
 
 #: (host suffix, path prefix, verdict); the longest that fits wins.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -143,6 +143,24 @@ def _differences(shared):
     return run
 
 
+def kth(values: DataFrame, k: int) -> float:
+    """The k-th smallest, from 0, of one column of doubles: values are counted in GRID
+    cells, then again within the cell that holds it, until few are left."""
+    x = F.col(values.columns[0])
+    while True:
+        low, high, n = values.agg(F.min(x), F.max(x), F.count(x)).first()
+        if low == high:
+            return low
+        if n <= GRID:
+            return sorted(r[0] for r in values.collect())[k]
+        cell = F.least(F.floor((x - low) / ((high - low) / GRID)), F.lit(GRID - 1))
+        for place, m in sorted(values.groupBy(cell.alias("cell")).count().collect()):
+            if k < m:
+                break
+            k -= m
+        values = values.filter(cell == place)
+
+
 def fit(examples: DataFrame, loss: float = LOSS) -> Model:
     """A model from ``examples`` (accepted boolean, url); null urls count as empty.
 
@@ -164,13 +182,13 @@ def fit(examples: DataFrame, loss: float = LOSS) -> Model:
     slot = follow["slot"].to_numpy(np.int64)
     model.follow[slot >> BITS, follow["order"], slot & (size - 1)] = follow["count"]
     shared = spark.sparkContext.broadcast(model)
+    scored = stored(rows.filter("held").select("accepted", "url").mapInArrow(_differences(shared), "accepted int, difference double"), "urls-scored")
     limits = []
     for kind, share in ((1, loss), (0, 1 - loss)):
-        scored = (rows.filter(F.col("held") & (F.col("accepted") == kind)).select("url")
-                  .orderBy(F.xxhash64(F.lit(3), "url")).limit(CALIBRATION)
-                  .mapInArrow(_differences(shared), "difference double").toArrow().to_pandas())
-        if len(scored):
-            limits.append(float(np.quantile(scored["difference"], share, method="lower")))
+        mine = scored.filter(F.col("accepted") == kind).select("difference")
+        n = mine.count()
+        if n:
+            limits.append(kth(mine, int(np.floor(share * (n - 1)))))
     if len(limits) == 2:
         model.threshold = min(limits)
     return model

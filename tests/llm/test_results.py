@@ -269,6 +269,16 @@ def test_probabilities_sum_to_one_at_most():
         assert 0.9 < p.sum() <= 1.0001
 
 
+def test_quantiles_of_all_scores(spark, monkeypatch):
+    """The k-th smallest of all values, also among ties, through several rounds of cells."""
+    monkeypatch.setattr(urls, "GRID", 16)
+    r = random.Random(9)
+    values = [r.gauss(0, 1) for _ in range(900)] + [0.25] * 300 + [r.random() * 1e-9 for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "difference double")
+    for k in (0, 15, 700, 1_000, len(values) - 1):
+        assert urls.kth(df, k) == sorted(values)[k]
+
+
 def test_url_rules_and_models(spark):
     r = random.Random(4)
     good = [f"https://{r.choice(['news', 'blog', 'lib'])}{r.randrange(90)}.org/read/{r.randrange(999)}" for _ in range(400)]
