@@ -11,9 +11,16 @@ from cdrflow.session import scratch_path
 BROADCAST_ROWS = 1_000_000
 
 
-#: Rows of an Arrow batch: documents have kilobytes, and a worker's memory isn't given back.
-BATCH_ROWS = 2_000
-_BATCH_ROWS, _SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+#: Rows and bytes of an Arrow batch, whichever is reached first: documents have kilobytes, some of them megabytes.
+BATCH_ROWS, BATCH_BYTES = 2_000, 4_000_000
+_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches. A limit that the cluster's configuration names stays."""
+    for name, most in _LIMITS.items():
+        if not spark.sparkContext.getConf().contains(name):
+            spark.conf.set(name, str(most))
 
 
 #: Fixed thresholds: without them the allocator keeps what a worker's largest arrays once took, stage after stage.
@@ -21,15 +28,15 @@ LEAN = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TR
 
 
 def lean_workers(spark: SparkSession) -> None:
-    """Have Python workers give freed arrays back to the system. Names that are set already stay."""
+    """Have Python workers give freed arrays back to the system, and bound their batches. Names that are set already stay."""
+    bounded_batches(spark)
     for name, value in LEAN.items():
         spark.sparkContext.environment.setdefault(name, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of texts. Arrow batches get ``BATCH_ROWS`` rows unless the session has its own number."""
-    if spark.conf.get(_BATCH_ROWS, _SPARKS_OWN) == _SPARKS_OWN:
-        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+    """A table of texts, read in bounded Arrow batches."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
