@@ -9,7 +9,7 @@ dimension rows are repeated in each. Both paths give the same result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,12 @@ from pyspark.sql import types as T
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Hot-key detection: sample share, the least share of rows, and the least rows
-# in the sample. At most 1 / HOT_MIN_SHARE keys can hold such a share.
+# in the sample. A key is hot at HOT_MIN_SHARE of all rows, and on a session with
+# many shuffle partitions already at HOT_PART of a partition's mean share; see ``hot_share``.
 HOT_SAMPLE_FRACTION = 0.01
 HOT_MIN_SHARE = 0.001
+HOT_PART = 0.5
+HOT_MOST = 100_000     # hot keys at most: no share under 1 / HOT_MOST counts
 HOT_MIN_ROWS = 20
 SALTS = 64
 
@@ -61,13 +64,21 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None,
     return within_bounds(*measure(df), max_rows, max_bytes)
 
 
+def hot_share(spark: SparkSession) -> float:
+    """The share of all rows at which a key is hot: with many shuffle partitions a
+    key far below HOT_MIN_SHARE can outweigh all else in its partition."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(HOT_MIN_SHARE, HOT_PART / partitions), 1 / HOT_MOST)
+
+
 def hot_keys(facts: DataFrame, keys: list[str], fraction: float = HOT_SAMPLE_FRACTION,
-             min_share: float = HOT_MIN_SHARE) -> DataFrame:
+             min_share: float | None = None) -> DataFrame:
     """Keys holding at least ``min_share`` of a sample of ``facts``, most rows first.
 
     At most 1 / ``min_share`` rows, from one pass; the result is checkpointed
-    so every use sees the same set.
+    so every use sees the same set. Without ``min_share``, the session's ``hot_share``.
     """
+    min_share = hot_share(facts.sparkSession) if min_share is None else min_share
     sample = facts.select(*keys).dropna(subset=keys).sample(fraction=fraction, seed=7)
     counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     total = counts.agg(F.sum("_n")).first()[0] or 0

@@ -39,3 +39,19 @@ def test_enrich_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     assert slow.exceptAll(fast).count() == 0
     hot_id = dim_u.where("msisdn = '+33600000000'").first()["user_id"]
     assert slow.where(F.col("user_id") == hot_id).count() == 20000 - 20000 // 3 - (1 if 20000 % 3 else 0)
+
+
+def test_hot_share_follows_the_partitions(spark, monkeypatch):
+    """Many partitions: a key of half a partition's mean share is hot; never more than HOT_MOST keys."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, share in (("4", joins.HOT_MIN_SHARE), ("5000", joins.HOT_PART / 5000), ("10000000", 1 / joins.HOT_MOST)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert joins.hot_share(spark) == share
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # A key with 1 row in 2,000 of all: below a thousandth.
+    facts = spark.range(400_000).select(F.when(F.col("id") % 2_000 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"))
+    assert joins.hot_keys(facts, ["key"], fraction=0.5).count() == 0
+    monkeypatch.setattr(joins, "HOT_MIN_SHARE", joins.HOT_PART / 5000)
+    assert [r["key"] for r in joins.hot_keys(facts, ["key"], fraction=0.5).collect()] == [-1]
