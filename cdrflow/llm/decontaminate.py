@@ -9,13 +9,16 @@ words themselves.
 
 Scale. The benchmark is dealt into blocks of at most ``BLOCK_WINDOWS``
 windows, so what is broadcast has a fixed bound; a larger benchmark takes
-more blocks, each merged into the marks of the rows. The corpus is read once
-for the shingle frequencies and once per block; nothing of it is shuffled
-but one count per benchmark shingle and task. No join can be skewed.
+more blocks. The corpus is read once for the shingle frequencies and once per
+block, and never written: with several blocks what each finds is kept by the
+text's digest, one row per text with hits, and joined to the rows of the last.
+With one block nothing of the corpus is shuffled but one count per benchmark
+shingle and task.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,8 +34,8 @@ from .store import stored
 BLOCK_WINDOWS = 500_000
 SHINGLE = 3
 
-MARKS = ("doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, "
-         "text string")
+MARKS = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, digest string"
+_SPANS, _ITEMS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())
 
 
 def _item_windows(size: int):
@@ -124,7 +127,7 @@ def _inside(w: tokens.Words, k: int, quick: np.ndarray, x: np.ndarray) -> np.nda
 
 
 def _mark(shared, containment: float):
-    """Arrow batches of MARKS -> the same with the block's hits merged in."""
+    """Arrow batches (doc_id, text, digest) -> MARKS: the block's hits in each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, prefixes = shared.value
         quick = {k: _bits(v[0]) for k, v in prefixes.items()}
@@ -139,10 +142,10 @@ def _mark(shared, containment: float):
             return len(sets[0] & sets[1]) >= containment * len(sets[0]) - 1e-9
 
         for batch in batches:
-            marks = [x or [] for x in batch.column(2).to_pylist()]
-            items = [set(x or []) for x in batch.column(3).to_pylist()]
+            marks = [[] for _ in range(batch.num_rows)]
+            items = [set() for _ in range(batch.num_rows)]
             n_words = np.zeros(batch.num_rows, np.int64)
-            for at, to, w in tokens.slices(batch.column(4), tokens.ALNUM):
+            for at, to, w in tokens.slices(batch.column(1), tokens.ALNUM):
                 n_words[at:to] = w.counts
                 h = w.hashes() if len(prefixes) else None
                 hits: set[tuple[int, int]] = set()
@@ -166,16 +169,21 @@ def _mark(shared, containment: float):
                         base = int(w.offsets[text])
                         items[at + text].update(block.items[win])
                         marks[at + text].append({"start": start - base, "end": start - base + int(block.sizes[win])})
-            for i, spans in enumerate(marks):
-                if len(spans) > 1:
-                    marks[i] = _union(spans)
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words), pa.array(marks, kind), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                 batch.column(4)], names=["doc_id", "n_words", "spans", "items", "text"])
+                [batch.column(0), pa.array(n_words), pa.array(map(_union, marks), _SPANS), pa.array(map(sorted, items), _ITEMS), batch.column(2)],
+                names=["doc_id", "n_words", "spans", "items", "digest"])
     return run
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_words, spans, items, more spans, more items) -> the first four, with the others merged in."""
+    for batch in batches:
+        spans, items, more_spans, more_items = (c.to_pylist() for c in batch.columns[2:])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:2], pa.array([_union(x + (y or [])) for x, y in zip(spans, more_spans)], _SPANS),
+             pa.array([sorted({*x, *(y or [])}) for x, y in zip(items, more_items)], _ITEMS)], names=batch.schema.names[:4])
+
+
 def _union(spans: list[dict]) -> list[dict]:
     out: list[dict] = []
     for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
@@ -209,9 +217,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, containme
             .groupBy("words").agg(F.collect_set("item_id").alias("items")))
     wins = stored(wins, "leak-windows")
     blocks = max(1, -(-wins.count() // BLOCK_WINDOWS))
-    out = rows.select("doc_id", F.lit(0).cast("long").alias("n_words"),
-                      F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"),
-                      F.lit(None).cast("array<string>").alias("items"), "text")
+    # Hits depend on the text alone: its digest stands for a row, also one without an id or with another's.
+    rows = rows.withColumn("digest", F.sha2("text", 256) if blocks > 1 else F.lit(None).cast("string"))
+    found = []
     for b in range(blocks):
         part = wins.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
         block = Block(part.collect(), shingle)  # at most about BLOCK_WINDOWS rows
@@ -222,10 +230,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, containme
             for r in seen.collect():  # one number per shingle of the block
                 counts[r["k"]][r["at"]] = r["n"]
         lookup = spark.sparkContext.broadcast((block, block.prefixes(counts, containment) if counts else {}))
-        out = out.mapInArrow(_mark(lookup, containment), MARKS)
+        out = rows.mapInArrow(_mark(lookup, containment), MARKS)
         if b + 1 < blocks:
-            out = stored(out, f"leak-block{b}")
-    return out.drop("text")
+            hits = out.filter(F.size("spans") > 0).select("digest", "spans", "items")
+            found.append(stored(hits.dropDuplicates(["digest"]), f"leak-block{b}"))
+    if not found:
+        return out.drop("digest")
+    more = functools.reduce(DataFrame.unionAll, found).groupBy("digest").agg(
+        F.flatten(F.collect_list("spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items"))
+    both = out.join(stored(more, "leak-found"), "digest", "left").drop("digest")
+    return both.mapInArrow(_merged, both.drop("more_spans", "more_items").schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
