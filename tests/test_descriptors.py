@@ -90,3 +90,16 @@ def test_properties_are_read_in_one_pass(spark):
     assert got == dict(enumerate(cases.values()))
     long = "fields=" + "x\\=y" * 20_000  # as deep as a regex may recurse on a stream's thread
     assert spark.createDataFrame([(long,)], "t string").select(F.length(parse_properties(F.col("t"))["fields"])).first()[0] == 60_000
+
+
+def test_a_filter_on_the_problem_parses_no_descriptor_again(spark):
+    """Each step is in the plan once, whatever is asked of its result."""
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        good = parse_descriptors(frame(spark, "data_format-x-a-1.properties", descriptor(START_1, ";"))).where(F.col("problem").isNull())
+        plan = good._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert plan.count("from_json(") == 1
+    assert good.count() == 1
