@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.text import operator_from_name
 from ..operators.partitioning import spread
 from ..schema import DATA_FILE_PATTERN, UNPLACED
 from ..session import text_partitions
@@ -49,7 +48,7 @@ def datatype_of(place: Column) -> Column:
 
 
 def file_name_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def is_data(path: Column) -> Column:
@@ -64,19 +63,23 @@ def tag_lines(raw: DataFrame, batch_id: int | Column, root: str | None = None, n
     present (partition folders) are kept; otherwise they come from the path
     below ``root``. A file at another depth gets the data type ``_unplaced``.
     A stream can't number rows over its batches: without ``number`` all are 0.
+
+    A path's parts are a projection of their own, so each is worked out once a line.
     """
     bid = F.lit(batch_id).cast("bigint") if isinstance(batch_id, int) else batch_id.cast("bigint")
     line = F.regexp_replace(F.col("line"), "\r$", "")
+    parts = {"_place": place_of(F.col("source_file"), root),
+             "_op": F.regexp_extract(file_name_of(F.col("source_file")), DATA_FILE_PATTERN, 1)}
     from_path = {
-        "dc": dc_of(place_of(F.col("source_file"), root)),
-        "datatype": datatype_of(place_of(F.col("source_file"), root)),
-        "op": operator_from_name(file_name_of(F.col("source_file")), DATA_FILE_PATTERN),
+        "dc": dc_of(F.col("_place")),
+        "datatype": datatype_of(F.col("_place")),
+        "op": F.when(F.col("_op") != "", F.col("_op")),
     }
     tags = {k: (F.col(k).cast("string") if k in raw.columns else v) for k, v in from_path.items()}
     return (raw
             .withColumn("line", line)
             .where(F.length("line") > 0)
-            .withColumns(tags)
+            .withColumns(parts).withColumns(tags).drop(*parts)
             .withColumn("batch_id", bid)
             .withColumn("row_id", F.monotonically_increasing_id() if number else F.lit(0).cast("bigint")))
 

@@ -61,3 +61,29 @@ def test_epoch_from_text_uses_explicit_zone(spark):
 
 def test_bucket_label_is_utc(spark):
     assert one(spark, bucket_label(F.lit(1344939827))) == "2012-08-14 10"
+
+
+def test_a_text_without_the_marks_of_a_pattern_is_not_tried(spark):
+    """What a pattern's marks leave out is what the parser would refuse."""
+    from pyspark.sql import functions as F
+    from cdrflow.functions.time import epoch_from_text, time_rule
+    patterns = {"yyyy-MM-dd HH:mm:ss": ["-", " ", ":"], "yyyyMMdd": [], "yyyy-MM-dd'T'HH:mm": ["-", ":"], "yyyy[-MM]": [], "yyyy/MM/dd X": ["/", " "]}
+    texts = ["2024-01-02 03:04:05", "1704164645", "-1704164645", "20240102", "2024-01-02T03:04", "2024", "2024/01/02 +01", "2024/01/02", "", "x", None]
+    for pattern, marks in patterns.items():
+        assert spark.range(1).select(time_rule(F.lit(pattern), F.lit("UTC"))["marks"]).first()[0] == marks
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        zoned = pattern.endswith("X")
+        plain = F.unix_seconds(F.try_to_timestamp(F.col("t") if zoned else F.concat("t", F.lit(" UTC")), F.lit(pattern if zoned else pattern + " VV")))
+        got = df.select(epoch_from_text(F.col("t"), pattern).alias("a"), F.when(F.trim("t") != "", plain).alias("b")).collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got]
+
+
+def test_a_path_is_taken_apart_once_a_line(spark):
+    from cdrflow.sources.landing import tag_lines
+    raw = spark.createDataFrame([("a;b\r", "file:/l/dc0/webcdr/CDR_x_y_20240101_000000_h"), ("", "file:/l/dc0/webcdr/CDR_x_20240101_000000_h"),
+                                 ("c", "file:/l/dc0/f"), ("d", "file:///l/dc0/a/b/CDR__20240101_000000"), ("e", "/other/f")], "line string, source_file string")
+    tagged = tag_lines(raw, 1, "/l")
+    got = {r["line"]: (r["dc"], r["datatype"], r["op"]) for r in tagged.collect()}
+    assert got == {"a;b": ("dc0", "webcdr", "x_y"), "c": ("dc0", "_unplaced", None), "d": ("dc0", "_unplaced", None), "e": ("_unplaced", "_unplaced", None)}
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("regexp_extract(") == 1
