@@ -173,7 +173,9 @@ def _page_size(spark: SparkSession, sf_dir: str, pages: DataFrame) -> tuple[int,
 
 def _events_with_urls(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     if events is None:
-        events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        rows = events.count()  # from the footers
+        events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), rows=rows)
     events = events.select("event_id", "ts", "user_id", "event_type", "value")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     n_pages, page_bytes = _page_size(spark, sf_dir, pages)

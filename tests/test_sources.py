@@ -91,3 +91,19 @@ def test_catalog_versions_and_problems(spark, tmp_dir):
     assert rows == [(10, ";"), (20, "|"), (40, ";")]
     assert catalog.versions(spark, wh).first()["versions"][-1]["registered_at"] == 40
     assert [r["problem"] for r in read_table(spark, wh.format_problems).collect()] == ["bad_descriptor_name"]
+
+
+def test_many_rows_are_spread_over_more_tasks_than_cores(spark, monkeypatch, tmp_dir):
+    """The feed's tasks take TASK_ROWS at most, about, however few splits its events have."""
+    from pyspark.sql import functions as F
+    from cdrflow.operators import partitioning
+    from cdrflow.plans import feed
+    (spark.range(2_000).select(F.col("id").alias("event_id"), F.lit("2024-01-05 00:00:00").cast("timestamp_ntz").alias("ts"), (F.col("id") % 50).alias("user_id"),
+                               F.lit("view").alias("event_type"), F.lit(1.5).alias("value")).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet"))
+    spark.createDataFrame([(0, "http://a.example/"), (1, "https://b.example/")], "page_id bigint, url string").write.parquet(f"{tmp_dir}/pages.parquet")
+    expected = sorted(r["line"] for r in feed.cdr_feed(spark, tmp_dir).collect())
+    monkeypatch.setattr(partitioning, "TASK_ROWS", 100)
+    lines = feed.cdr_feed(spark, tmp_dir)
+    assert lines.rdd.getNumPartitions() == 20
+    sizes = [r["n"] for r in lines.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) <= 200 and sorted(r["line"] for r in lines.collect()) == expected
