@@ -227,6 +227,61 @@ def test_language_model(spark, make_docs, monkeypatch, chunk, shard):
     assert {d: x["score"] for d, x in got.items()} == pytest.approx(_by_hand(rows, model))
 
 
+def _weights_by_hand(texts):
+    """Interpolation weights by level when each text is foreseen from n-gram counts of all other texts."""
+    seq = [["<s>", "<s>", *t.split(), "</s>"] for t in texts]
+    grams = [Counter(tuple(x[i - n + 1: i + 1]) for i in range(2, len(x)) for n in (1, 2, 3)) for x in seq]
+    count = sum(grams, Counter())
+    level = lambda c: int(lm._level(np.array([c]))[0])
+    places = []
+    for x, own in zip(seq, grams, strict=True):
+        others = {g: count[g] - n if len(g) == 1 else level(max(lm.VALUE[level(count[g])] - n, 0)) for g, n in own.items()}
+        total = sum(n for g, n in count.items() if len(g) == 1) - len(x) + 2
+        known = sum(len(g) == 1 and n > own[g] for g, n in count.items())
+        for u, v, w in zip(x, x[1:], x[2:]):
+            first = len(texts) - 1 if v == "<s>" else others[(v,)]
+            second = len(texts) - 1 if v == "<s>" else lm.VALUE[others[u, v] + 1] - 1 if first and others[u, v] else 0
+            pair = others[v, w] if others[(w,)] else 0
+            both = others[u, v, w] if pair else 0
+            shares = [min(lm.VALUE[q], h) / h if h else 0 for q, h in ((pair, first), (both, second))]
+            places.append(((others[(w,)] + 0.1) / (total + 0.1 * (known + 1)), [level(first), level(second)], shares))
+    p, out = np.array([x[0] for x in places]), []
+    for n in range(2):
+        q, s = (np.array([x[i][n] for x in places]) for i in (1, 2))
+        w = np.full(lm.TOP + 1, 0.5)
+        for _ in range(30):
+            w[0] = 0
+            part = np.bincount(q, w[q] * s / (w[q] * s + (1 - w[q]) * p), lm.TOP + 1)
+            w = np.clip((part + 0.1) / (np.bincount(q, minlength=lm.TOP + 1) + 1), 0, 0.98)
+        w[0] = 0
+        p = w[q] * s + (1 - w[q]) * p
+        out.append((w, np.unique(q)))
+    return out
+
+
+@pytest.mark.parametrize("chunk, shard", [(lm.CHUNK_BYTES, lm.SHARD_BYTES), (700, 500)])
+def test_weights_come_from_all_training_texts(spark, make_docs, monkeypatch, chunk, shard):
+    """Every training text, whatever its id, is foreseen from all the others; in few chunks and in many."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(lm, "SHARD_BYTES", shard)
+    r = random.Random(3)
+    texts = [" ".join(r.choice([" the cat", "the dog sat", "on a mat", f"w{r.randrange(60)}", f"x{d % 7} y{r.randrange(3)}"]) for _ in range(r.randint(0, 40)))
+             for d in range(60)]
+    texts += ["again again again " * 30, texts[5], texts[6], "only here"]
+    model, _, _ = lm.fit(make_docs([*enumerate(texts), (99, "held out " * 50)]).selectExpr("doc_id", "text", "doc_id < 99 train"))
+    for n, (wanted, found) in enumerate(_weights_by_hand(texts), 1):
+        assert len(found) > 5 and np.ptp(wanted[found]) > 0.3
+        assert model.weights[n][found] == pytest.approx(wanted[found], abs=0.01)
+
+
+def test_own_occurrences():
+    """Counts of each place's item within its text only."""
+    r = random.Random(5)
+    at, text = np.array([r.randrange(12) for _ in range(300)]), np.sort([r.randrange(20) for _ in range(300)])
+    times = Counter(zip(at, text, strict=True))
+    assert lm._within(at, text).tolist() == [times[x] for x in zip(at, text, strict=True)]
+
+
 def _hashed(texts):
     data = [t.encode() for t in texts]
     return lm._sequence(tokens.words_of(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), tokens.BLANK_SPLIT))
