@@ -447,6 +447,65 @@ def test_bpe_cache_stays_bounded(monkeypatch):
     assert e.encode_all(texts) == whole and len(e.cache) <= 50 + sum(len(set(t.split())) for t in texts)
 
 
+def test_bpe_automaton_gives_the_tokens_that_end_a_prefix(monkeypatch):
+    """One step a byte, against every end of the prefix looked up; with kept steps and without room for them."""
+    r = random.Random(9)
+    v = bpe.Vocabulary(bpe.tokenizer_path())
+    spelled = list(v.id_of)
+    words = [b"".join(r.choice(spelled) for _ in range(r.randrange(1, 5))) for _ in range(300)]
+    words += [bytes(r.randrange(256) for _ in range(20)) for _ in range(100)] + [b" " * 300]
+    for room in (bpe.KEPT_STEPS, 10):
+        monkeypatch.setattr(bpe, "KEPT_STEPS", room)
+        e = bpe.Encoder(v)
+        for word in words:
+            lasts, nodes = [], []
+            e._last_tokens(word, lasts, nodes)
+            assert len(lasts) == len(nodes) == len(word)
+            for end, node in enumerate(nodes, 1):
+                token, ends = node[bpe.LONGEST], []
+                while token is not None:
+                    ends.append(token)
+                    token = e.shorter[token]
+                every = [v.id_of.get(word[at:end]) for at in range(max(0, end - v.longest), end)]
+                assert ends == [t for t in every if t is not None and e._whole(t)]
+        assert e.kept_steps <= room
+
+
+def test_bpe_levels_equal_the_depth_first_walk(monkeypatch):
+    """Pieces walked level by level against the same pieces one by one, with few places for pairs too."""
+    r = random.Random(10)
+    v = bpe.Vocabulary(bpe.tokenizer_path())
+    words = {"".join(r.choice("abcdetino ß漢😀́\n019'#-") for _ in range(r.randrange(1, 34))) for _ in range(3000)}
+    words |= {prefix + tail for prefix in ("inter", " inter", "é" * 15, "a" * 31) for tail in ("", "a", "ab", "national", "é")}
+    monkeypatch.setattr(bpe, "SHORT_BYTES", 0)
+    one_by_one = bpe.Encoder(v)
+    monkeypatch.setattr(one_by_one, "_learn_short", lambda some: pytest.fail("no piece is short"))
+    one_by_one.learn(list(words))
+    monkeypatch.undo()
+    for slots, block in ((bpe.PAIR_SLOTS, bpe.BLOCK_PIECES), (8, 100)):
+        monkeypatch.setattr(bpe, "PAIR_SLOTS", slots)
+        monkeypatch.setattr(bpe, "BLOCK_PIECES", block)
+        e = bpe.Encoder(v)
+        for some in (sorted(words)[::2], sorted(words)[1::2], []):
+            e.learn(some)
+        assert e.cache == one_by_one.cache and e.spelled == one_by_one.spelled
+        assert all(e.spelled[w] == w.encode() for w in words)
+
+
+def test_bpe_pieces_in_use_outlast_new_ones(monkeypatch):
+    """A piece of every other slice is encoded once, however many others pass by."""
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 40)
+    e, learned = bpe.Encoder(bpe.Vocabulary(bpe.tokenizer_path())), []
+    learn = e.learn
+    monkeypatch.setattr(e, "learn", lambda words: (learned.extend(words), learn(words)))
+    want = e.encode_all(["steady"])
+    for i in range(60):
+        e.encode_all([" ".join(f"x{i}y{j}" for j in range(2))])
+        assert i % 2 or e.encode_all(["steady"]) == want
+        assert len(e.cache) <= 40 and len(e.older[0]) <= 40 and e.cache.keys() == e.spelled.keys()
+    assert learned.count("steady") == 1
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_near_duplicates(spark, make_docs, k):
     r = random.Random(k)
